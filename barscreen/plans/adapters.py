@@ -139,3 +139,30 @@ def event_sessions(spark: SparkSession, sf: str) -> DataFrame:
     dates = table(spark, sf, "events").select(day.alias("date")).distinct()
     dates = dates.where(F.weekday("date") < 5)
     return cal.session_dimension(dates.withColumn("is_half_day", F.weekday("date") == 4))
+
+
+def order_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Weekday order dates as the market calendar; 24 December and 3 July close early."""
+    dates = table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
+    early = ((F.month("date") == 12) & (F.dayofmonth("date") == 24)) | (
+        (F.month("date") == 7) & (F.dayofmonth("date") == 3)
+    )
+    weekdays = dates.distinct().where(F.weekday("date") < 5)
+    return cal.session_dimension(weekdays.withColumn("is_half_day", early))
+
+
+def splits(spark: SparkSession, sf: str) -> DataFrame:
+    """Three splits for each supplier with a positive balance, dated from its key."""
+    return (
+        table(spark, sf, "supplier")
+        .where(F.col("s_acctbal") > 0)
+        .withColumn("k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+        .select(
+            F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ticker"),
+            F.date_add(
+                F.lit("1995-06-01").cast("date"), (F.col("k") * 700 + F.col("s_suppkey") % 500).cast("int")
+            ).alias("execution_date"),
+            (1 + F.col("s_nationkey") % 2).cast("double").alias("split_from"),
+            F.pow(F.lit(2.0), F.col("k") + 1).alias("split_to"),
+        )
+    )
