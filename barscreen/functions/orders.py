@@ -7,7 +7,7 @@ call because they need a running session.
 
 from __future__ import annotations
 
-from pyspark.sql import Window, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -27,3 +27,13 @@ def day_order() -> WindowSpec:
 def calendar_order(*columns: str) -> WindowSpec:
     """One sequence over the whole table: only for tables bounded by the calendar."""
     return Window.partitionBy(F.lit(0)).orderBy(*columns)
+
+
+def by_security(bars: DataFrame) -> DataFrame:
+    """Bars shuffled to their security once; every window and grouped map after it reuses this.
+
+    The number of partitions is fixed to the session's: trailing windows cost far more than the
+    bytes they read, so merging partitions by size would leave most of a cluster idle.
+    """
+    n = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return bars.repartition(n, "security_key")

@@ -48,12 +48,19 @@ def past_values(value: Column, valid: Column, window: WindowSpec, n: int) -> Col
     return F.sort_array(F.collect_list(F.when(valid, value)).over(before(window, n)))
 
 
+def let(value: Column, body) -> Column:
+    """`body(value)` with `value` worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def middle(ordered: Column) -> Column:
     """The median of a sorted array: the mean of its two middle elements."""
-    size = F.size(ordered)
-    low = F.get(ordered, F.floor((size - 1) / 2).cast("int"))
-    high = F.get(ordered, F.floor(size / 2).cast("int"))
-    return F.when(size > 0, (low + high) / 2.0)
+
+    def of(a: Column) -> Column:
+        low = F.get(a, F.floor((F.size(a) - 1) / 2).cast("int"))
+        return (low + F.get(a, F.floor(F.size(a) / 2).cast("int"))) / 2.0
+
+    return F.when(F.size(ordered) > 0, let(ordered, of))
 
 
 def percentile_in(past: Column, value: Column, need: int) -> Column:
@@ -70,9 +77,15 @@ def median_of(past: Column, need: int) -> Column:
 
 def robust_z_in(past: Column, value: Column, need: int) -> Column:
     """`(value - median) / (1.4826 x MAD)`; unknown where the MAD is zero."""
-    centre = middle(past)
-    spread = MAD_TO_SIGMA * middle(F.sort_array(F.transform(past, lambda v: F.abs(v - centre))))
-    return F.when((F.size(past) >= need) & (spread > 0), (value - centre) / spread)
+
+    def around(centre: Column) -> Column:
+        off = F.sort_array(F.transform(past, lambda v: F.abs(v - centre)))
+        return let(
+            middle(off),
+            lambda mad: F.when(mad > 0, (value - centre) / (MAD_TO_SIGMA * mad)),
+        )
+
+    return F.when(F.size(past) >= need, let(middle(past), around))
 
 
 def trailing_percentile(

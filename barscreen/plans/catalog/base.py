@@ -6,13 +6,17 @@ the same tables. Doubles are rounded on both sides, as sums may be added in anot
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barscreen.session import shared_folder
+
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
+_STORED: dict[tuple[str, str, str], str] = {}
 ORACLES: dict[str, str] = {}
 DIGITS = 6
 
@@ -27,6 +31,22 @@ def query(sql: str | None = None) -> Callable[[Builder], Builder]:
     return register
 
 
+def stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A stage table: written to the shared folder by the first query of a session that needs
+    it, read back by all. The stages of a build hand over tables, not plans."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STORED:
+        path = f"{shared_folder(spark)}/stages/{uuid.uuid4().hex}/{name}"
+        build().write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
+def forget_stored() -> None:
+    """Let the next query build its stage tables anew (for timing)."""
+    _STORED.clear()
+
+
 def tidy(
     df: DataFrame, *columns: str, exact: str = "", digits: int = DIGITS
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barscreen.functions import trailing as tr
-from barscreen.functions.orders import bar_order, day_order
+from barscreen.functions.orders import bar_order, by_security, day_order
 from barscreen.operators import levels as lv
 from barscreen.operators import market as mk
 from barscreen.operators import pivots as pv
@@ -31,6 +31,16 @@ VALID = "NOT low_quality AND NOT is_half_day"
 # --- plain trailing measures ----------------------------------------------------
 
 
+def _bars(spark, sf):
+    return by_security(ad.slot_bars(spark, sf))
+
+
+def _days(spark, sf, security="nation", session="week"):
+    return by_security(ad.day_bars(spark, sf, security, session))
+
+
+
+
 @query(
     select(
         b.days("supplier", "week"),
@@ -55,7 +65,7 @@ VALID = "NOT low_quality AND NOT is_half_day"
     )
 )
 def trailing_measures(spark, sf):
-    days = ad.day_bars(spark, sf, "supplier", "week")
+    days = _days(spark, sf, "supplier", "week")
     w, volume, close = day_order(), F.col("volume"), F.col("close")
     return tidy(
         days.select(
@@ -91,7 +101,7 @@ VOLUME_COLS = " ".join(ft.VOLUME_HOURLY)
 
 @query(select(chain(b.bars(), VOLUME), "vol", "security_key date slot_index", VOLUME_COLS))
 def hourly_volume(spark, sf):
-    return tidy(vl.hourly_volume(ad.slot_bars(spark, sf)), *BAR, *ft.VOLUME_HOURLY)
+    return tidy(vl.hourly_volume(_bars(spark, sf)), *BAR, *ft.VOLUME_HOURLY)
 
 
 DVOLUME = f"""dvol AS (SELECT security_key, date,
@@ -105,7 +115,7 @@ DVOLUME = f"""dvol AS (SELECT security_key, date,
 
 @query(select(chain(b.days("supplier", "week"), DVOLUME), "dvol", "security_key date", " ".join(ft.VOLUME_DAILY)))
 def daily_volume(spark, sf):
-    return tidy(vl.daily_volume(ad.day_bars(spark, sf, "supplier", "week")), *DAY, *ft.VOLUME_DAILY)
+    return tidy(vl.daily_volume(_days(spark, sf, "supplier", "week")), *DAY, *ft.VOLUME_DAILY)
 
 
 # --- volatility, geometry, progress ---------------------------------------------
@@ -127,14 +137,14 @@ VOLAT = chain(
     )
 )
 def hourly_volatility(spark, sf):
-    found = vt.hourly_volatility(ad.slot_bars(spark, sf))
+    found = vt.hourly_volatility(_bars(spark, sf))
     found = found.withColumn("atr", F.round("atr20_bar", 4) + F.lit(0.0))
     return tidy(found, *BAR, "true_range", "atr", "spread_atr", "spread_pct_slot_60", exact="true_range atr")
 
 
 @query(select(chain(b.days("supplier", "week"), b.atr("days", "date", "aday")), "aday", "security_key date", "atr20", digits=4))
 def daily_atr(spark, sf):
-    found = ft.daily_atr(ad.day_bars(spark, sf, "supplier", "week"))
+    found = ft.daily_atr(_days(spark, sf, "supplier", "week"))
     return tidy(found.withColumnRenamed("daily_atr", "atr20"), *DAY, "atr20", digits=4)
 
 
@@ -147,7 +157,7 @@ GEOMETRY = """geo AS (SELECT security_key, date, slot_index,
 
 @query(select(chain(b.bars(), VOLAT, GEOMETRY), "geo", "security_key date slot_index", " ".join(ft.GEOMETRY)))
 def bar_geometry(spark, sf):
-    ranged = vt.with_true_range(ad.slot_bars(spark, sf), bar_order())
+    ranged = vt.with_true_range(_bars(spark, sf), bar_order())
     return tidy(vt.geometry(ranged), *BAR, *ft.GEOMETRY)
 
 
@@ -183,7 +193,7 @@ PROGRESS = _progress_sql("volat", BAR_W, SLOT_W, True)
 
 @query(select(chain(b.bars(), VOLAT, PROGRESS), "prg", "security_key date slot_index", " ".join(ft.PROGRESS)))
 def hourly_progress(spark, sf):
-    return tidy(pg.progress(vt.hourly_volatility(ad.slot_bars(spark, sf)), True), *BAR, *ft.PROGRESS)
+    return tidy(pg.progress(vt.hourly_volatility(_bars(spark, sf)), True), *BAR, *ft.PROGRESS)
 
 
 # --- the market ---------------------------------------------------------------
@@ -191,7 +201,7 @@ def hourly_progress(spark, sf):
 
 @query(select(chain(b.days("nation", "day"), b.market("day"), b.BETA), "beta", "security_key date", "beta_60"))
 def weekly_beta(spark, sf):
-    daily = ad.day_bars(spark, sf, "nation", "day")
+    daily = _days(spark, sf, "nation", "day")
     _, market = ad.market_bars(spark, sf, "day")
     return tidy(mk.beta_by_session(daily, market))
 
@@ -205,7 +215,7 @@ MARKET = f"""mkt AS (SELECT v.security_key, v.date, v.slot_index, beta_60,
 
 @query(select(chain(b.bars(), VOLAT, b.market(), b.BETA, MARKET), "mkt", "security_key date slot_index", " ".join(ft.MARKET)))
 def hourly_market(spark, sf):
-    bars, days = ad.slot_bars(spark, sf), ad.day_bars(spark, sf)
+    bars, days = _bars(spark, sf), _days(spark, sf)
     hourly, daily = ad.market_bars(spark, sf)
     own = vt.hourly_volatility(bars).withColumn("_pc", F.lag("close").over(bar_order()))
     own = own.join(mk.beta_by_session(days, daily), DAY, "left")
@@ -251,7 +261,7 @@ DAILY_ATR = b.atr("days", "date", "aday", "d")
 
 @query(select(chain(b.days("nation", "day"), DAILY_ATR, LEVELS), "lev", f"security_key date pos {' '.join(st.LEVELS)} {SETS}"))
 def session_levels(spark, sf):
-    found = st.session_levels(ad.day_bars(spark, sf, "nation", "day"))
+    found = st.session_levels(_days(spark, sf, "nation", "day"))
     return found.select(*DAY, "pos", *st.LEVELS, *SETS.split())
 
 
@@ -281,7 +291,7 @@ pivs AS (SELECT ctx.security_key, ctx.date, ctx.pos, lag(ph) OVER w AS pivot_hig
     )
 )
 def swing_pivots(spark, sf):
-    bars, days = cut_lineage(ad.slot_bars(spark, sf)), ad.day_bars(spark, sf)
+    bars, days = cut_lineage(_bars(spark, sf)), _days(spark, sf)
     found = pv.pivots_by_session(pv.confirmed_pivots_and_nodes(ft.daily_atr(days), bars))
     return found.drop("node")
 
@@ -299,15 +309,15 @@ nodes AS (SELECT security_key, pos, lo + (bin + 0.5) * (hi - lo) / 50 AS node
 @query(
     select(
         chain(b.bars(), DAILY_ATR, LEVELS, NODES),
-        "ctx LEFT JOIN nodes USING (security_key, pos)",
+        "(SELECT security_key, date, node / close AS node_to_close FROM ctx LEFT JOIN nodes USING (security_key, pos))",
         "security_key date",
-        "node",
-        digits=4,
+        "node_to_close",
     )
 )
 def volume_node(spark, sf):
-    bars, days = cut_lineage(ad.slot_bars(spark, sf)), ad.day_bars(spark, sf)
-    return tidy(pv.confirmed_pivots_and_nodes(ft.daily_atr(days), bars), *DAY, "node", digits=4)
+    bars, days = cut_lineage(_bars(spark, sf)), _days(spark, sf)
+    found = pv.confirmed_pivots_and_nodes(ft.daily_atr(days), bars).join(days, DAY)
+    return tidy(found.select(*DAY, (F.col("node") / F.col("close")).alias("node_to_close")))
 
 
 TOUCH = ", ".join(
@@ -321,7 +331,7 @@ TOUCHES = [f"touch_{a}" for a in lv.ANCHORS]
 
 @query(select(chain(b.bars(), DAILY_ATR, LEVELS, PIVOTS, ANCHORED), "anc", f"security_key date {' '.join(TOUCHES)}"))
 def level_touches(spark, sf):
-    bars, days = cut_lineage(ad.slot_bars(spark, sf)), ad.day_bars(spark, sf)
+    bars, days = cut_lineage(_bars(spark, sf)), _days(spark, sf)
     return ft.session_context(days, bars).select(*DAY, *TOUCHES)
 
 
@@ -335,7 +345,7 @@ def level_touches(spark, sf):
     )
 )
 def anchor_prices(spark, sf):
-    bars, days = cut_lineage(ad.slot_bars(spark, sf)), ad.day_bars(spark, sf)
+    bars, days = cut_lineage(_bars(spark, sf)), _days(spark, sf)
     return lv.anchor_prices(ft.session_context(days, bars))
 
 
@@ -363,7 +373,7 @@ STRUCTURE_COLS = (*ft.DISTANCES, *ft.PIVOTS, *ft.NEAREST)
 
 @query(select(chain(b.bars(), STRUCTURE_ALL), "str", "security_key date slot_index", " ".join(STRUCTURE_COLS)))
 def level_distances(spark, sf):
-    bars, days = cut_lineage(ad.slot_bars(spark, sf)), ad.day_bars(spark, sf)
+    bars, days = cut_lineage(_bars(spark, sf)), _days(spark, sf)
     context = ft.session_context(days, bars).drop(
         "open", "high", "low", "close", "volume", "requested_ticker", "ticker", "timestamp_utc",
         "is_half_day", "low_quality", "transactions", "minutes_with_trades",
@@ -393,7 +403,7 @@ SEQUENCE = f"""seq AS (SELECT security_key, date, slot_index,
     )
 )
 def bar_sequence(spark, sf):
-    own = vl.hourly_volume(vt.geometry(vt.hourly_volatility(ad.slot_bars(spark, sf))))
+    own = vl.hourly_volume(vt.geometry(vt.hourly_volatility(_bars(spark, sf))))
     return sq.sequence_features(own).select(*BAR, *ft.SEQUENCE)
 
 
@@ -421,10 +431,15 @@ def hourly_features(spark, sf):
     return tidy(found, *BAR, "is_half_day", "low_quality", "true_range", *FLAGS, *HOURLY_DOUBLES, exact="true_range")
 
 
+def stored_features(spark, sf):
+    """The hourly feature table with prices, as the screens read it: written once, then scanned."""
+    return b.stored(spark, sf, "hourly_features", lambda: hourly_frame(spark, sf))
+
+
 def hourly_frame(spark, sf):
     """The feature table with prices. Bars are read by several branches, so they are stored."""
-    bars = cut_lineage(ad.slot_bars(spark, sf))
-    days = cut_lineage(ad.day_bars(spark, sf))
+    bars = cut_lineage(_bars(spark, sf))
+    days = cut_lineage(_days(spark, sf))
     hourly, daily = ad.market_bars(spark, sf)
     return ft.hourly_features(bars, days, hourly, daily, keep=("daily_atr", *ft.PRICES))
 
@@ -453,7 +468,7 @@ DAILY_DOUBLES = tuple(c for c in ft.DAILY if c not in ("true_range", "atr20_day"
     select(DAILY_CTES, "dfeat", "security_key date is_half_day low_quality true_range", " ".join(DAILY_DOUBLES))
 )
 def daily_features(spark, sf):
-    days = cut_lineage(ad.day_bars(spark, sf, "nation", "day"))
+    days = cut_lineage(_days(spark, sf, "nation", "day"))
     _, market = ad.market_bars(spark, sf, "day")
     return tidy(ft.daily_features(days, market), *DAY, "is_half_day", "low_quality", "true_range", *DAILY_DOUBLES, exact="true_range")
 
@@ -470,5 +485,5 @@ def security_directory(spark, sf):
     )
 )
 def one_batch(spark, sf):
-    bars = ad.day_bars(spark, sf, "supplier", "week")
+    bars = _days(spark, sf, "supplier", "week")
     return ft.one_batch(bars, ["S1", "S2", "S3", "S5", "S8"]).select(*DAY, "close", "volume")

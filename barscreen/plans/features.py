@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barscreen.functions.orders import bar_order, day_order
+from barscreen.functions.orders import bar_order, by_security, day_order
 from barscreen.operators import levels as lv
 from barscreen.operators import market as mk
 from barscreen.operators import pivots as pv
@@ -79,6 +79,7 @@ def hourly_features(
 
     `bars` and `daily` are split-adjusted; pass the as-traded ones as well where they differ.
     """
+    bars, daily = by_security(bars), by_security(daily)
     own = vt.geometry(vt.hourly_volatility(bars))
     own = pg.progress(vl.hourly_volume(own), hourly=True)
     own = sq.sequence_features(own, **sequence_limits)
@@ -119,6 +120,7 @@ def daily_features(
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """The features that apply to daily bars."""
+    bars = by_security(bars)
     own = vl.daily_volume(vt.geometry(vt.daily_volatility(bars)))
     own = pg.progress(own, hourly=False)
     own = st.session_levels(own.withColumn("daily_atr", F.col("atr20_day")))
