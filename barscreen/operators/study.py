@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 #: Fixed values.
 REQUIRED_EDGE = 0.15
@@ -21,7 +22,7 @@ HOLDOUT_FROM = dt.date(2025, 9, 19)
 HORIZON = "move_5d_atr"
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def two_sided_p(t: pd.Series) -> pd.Series:
     """The normal two-sided p of a t; Spark has no erfc. Runs on summary rows only."""
     return pd.Series(

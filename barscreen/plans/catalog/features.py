@@ -233,7 +233,7 @@ def _last_at(side: str, level: str) -> str:
 
 
 def _period(name: str) -> str:
-    return f"""{name}s AS (SELECT security_key, period, lag(high) OVER w AS prior_{name}_high, lag(low) OVER w AS prior_{name}_low
+    return f"""prior_{name} AS (SELECT security_key, period, lag(high) OVER w AS prior_{name}_high, lag(low) OVER w AS prior_{name}_low
   FROM (SELECT security_key, date_trunc('{name}', date) AS period, max(high) AS high, min(low) AS low
     FROM days GROUP BY 1, 2) WINDOW w AS (PARTITION BY security_key ORDER BY period))"""
 
@@ -247,8 +247,8 @@ LEVELS = chain(
     CASE WHEN count(low) OVER w20 = 20 THEN min(low) OVER w20 END AS low_20,
     CASE WHEN count(high) OVER w60 = 60 THEN max(high) OVER w60 END AS high_60,
     CASE WHEN count(low) OVER w60 = 60 THEN min(low) OVER w60 END AS low_60
-  FROM aday d LEFT JOIN weeks ON weeks.security_key = d.security_key AND weeks.period = date_trunc('week', d.date)
-  LEFT JOIN months ON months.security_key = d.security_key AND months.period = date_trunc('month', d.date)
+  FROM aday d LEFT JOIN prior_week pw ON pw.security_key = d.security_key AND pw.period = date_trunc('week', d.date)
+  LEFT JOIN prior_month pm ON pm.security_key = d.security_key AND pm.period = date_trunc('month', d.date)
   WINDOW w AS (PARTITION BY d.security_key ORDER BY d.date), w20 AS (PARTITION BY d.security_key ORDER BY d.date {frame(20)}),
     w60 AS (PARTITION BY d.security_key ORDER BY d.date {frame(60)})),
 lev AS MATERIALIZED (SELECT c.*, {_last_at('high', 'high_20')} AS set_high_20, {_last_at('low', 'low_20')} AS set_low_20,
