@@ -12,6 +12,8 @@ MINUTES_JSON = (
     "ticker string, requested_ticker string, security_key string, t bigint, o double, h double, "
     "l double, c double, v double, vw double, n bigint"
 )
+#: The vendor's `t` and `otc` are left out of the schema, and so never read.
+GROUPED_JSON = "T string, o double, h double, l double, c double, v double, vw double, n bigint"
 SHORT_NAMES = {
     "o": "open", "h": "high", "l": "low", "c": "close", "v": "volume", "vw": "vwap",
     "n": "transactions",
@@ -46,9 +48,15 @@ def read_minutes(spark: SparkSession, path: str, start=None, end=None) -> DataFr
 
 
 def grouped_daily(raw: DataFrame, day) -> DataFrame:
-    """One day's whole-market rows: named, stamped with the date, vendor extras dropped."""
-    kept = [F.col(s).alias(n) for s, n in SHORT_NAMES.items() if s in raw.columns]
-    return raw.select(F.col("T").alias("ticker"), F.lit(day).cast("date").alias("date"), *kept)
+    """One day's whole-market rows, named and stamped with the date."""
+    named = [F.col(short).alias(name) for short, name in SHORT_NAMES.items()]
+    return nan_to_null(
+        raw.select(F.col("T").alias("ticker"), F.lit(day).cast("date").alias("date"), *named)
+    )
+
+
+def read_grouped_daily(spark: SparkSession, path: str, day) -> DataFrame:
+    return grouped_daily(spark.read.schema(GROUPED_JSON).json(path), day)
 
 
 def listed_once(lists: DataFrame) -> DataFrame:

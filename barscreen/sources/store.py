@@ -22,37 +22,56 @@ def file_name(path: Column) -> Column:
 
 
 def read_manifests(spark: SparkSession, folder: str) -> DataFrame:
-    manifests = spark.read.schema(MANIFEST).option("multiLine", True)
-    return manifests.option("pathGlobFilter", "*.manifest.json").json(folder)
+    return spark.read.schema(MANIFEST).json(folder)
 
 
-def read_complete_parts(spark: SparkSession, folder: str) -> DataFrame:
-    """All parts of a partition that have a manifest; the others are unfinished."""
+def checksums(spark: SparkSession, folder: str) -> DataFrame:
+    """Name and SHA-256 of every part, taken where the files are read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.parquet").load(folder)
+    return files.select(file_name(F.col("path")).alias("file"), F.sha2("content", 256).alias("_now"))
+
+
+def _parts(spark: SparkSession, folder: str) -> DataFrame:
     parts = spark.read.option("pathGlobFilter", "part-*.parquet").parquet(folder)
-    named = parts.select("*", F.col("_metadata.file_name").alias("_file"))
-    listed = read_manifests(spark, folder).select(F.col("file").alias("_file"))
-    return nan_to_null(named.join(listed, "_file", "left_semi").drop("_file"))
+    return parts.select("*", F.col("_metadata.file_name").alias("_file"))
+
 
+def write_manifests(spark: SparkSession, parts: str, manifests: str, run_id: str) -> None:
+    """Record the rows and checksum of every part that has no manifest yet."""
+    counts = _parts(spark, parts).groupBy(F.col("_file").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    (
+        checksums(spark, parts)
+        .withColumnRenamed("_now", "sha256")
+        .join(counts, "file")
+        .withColumn("run_id", F.lit(run_id))
+        .write.mode("append")
+        .json(manifests)
+    )
 
-def audit_manifests(spark: SparkSession, folder: str) -> DataFrame:
+
+def read_complete_parts(spark: SparkSession, parts: str, manifests: str) -> DataFrame:
+    """All parts of a partition that have a manifest; the others are unfinished."""
+    listed = read_manifests(spark, manifests).select(F.col("file").alias("_file"))
+    return nan_to_null(_parts(spark, parts).join(listed, "_file", "left_semi").drop("_file"))
+
+
+def audit_manifests(spark: SparkSession, parts: str, manifests: str) -> DataFrame:
     """Every part against its manifest: ok, changed, orphan (no manifest) or absent (no part).
 
-    Checksums are taken where the files are read; only names and digests are shuffled.
+    Only names and digests are shuffled.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "part-*.parquet")
-        .load(folder)
-        .select(file_name(F.col("path")).alias("file"), F.sha2("content", 256).alias("_now"))
-    )
-    manifests = read_manifests(spark, folder)
     state = (
         F.when(F.col("sha256").isNull(), "orphan")
         .when(F.col("_now").isNull(), "absent")
         .when(F.col("_now") == F.col("sha256"), "ok")
         .otherwise("changed")
     )
-    return files.join(manifests, "file", "full_outer").select("file", "rows", state.alias("state"))
+    known = read_manifests(spark, manifests)
+    return checksums(spark, parts).join(known, "file", "full_outer").select(
+        "file", "rows", state.alias("state")
+    )
 
 
 def read_dataset(spark: SparkSession, root: str, dataset: str) -> DataFrame:
