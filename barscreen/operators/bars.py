@@ -153,7 +153,7 @@ def hourly_bars(parts: DataFrame, min_minutes: int = MIN_MINUTES) -> DataFrame:
     minutes = F.least(
         F.lit(cal.SLOT_MINUTES), cal.close_minute(F.col("is_half_day")) - start
     ).cast("int")
-    stamp = F.col("open_utc") + F.make_dt_interval(mins=F.col("slot_index") * cal.SLOT_MINUTES)
+    stamp = F.timestamp_add("MINUTE", F.col("slot_index") * cal.SLOT_MINUTES, F.col("open_utc"))
     bars = grid.select(
         *IDENTITY, "date", stamp.alias("timestamp_utc"), "is_half_day", "slot_index",
         minutes.alias("slot_minutes"), *_merged(F.col("_mine")),

@@ -78,7 +78,7 @@ def close_minute(is_half_day: Column) -> Column:
 
 def at_minute(date: Column, minute: Column) -> Column:
     """The UTC wall clock of an Eastern minute of the day."""
-    eastern = date.cast("timestamp_ntz") + F.make_dt_interval(mins=minute)
+    eastern = F.timestamp_add("MINUTE", minute, date.cast("timestamp_ntz"))
     return F.convert_timezone(F.lit(EASTERN), F.lit("UTC"), eastern)
 
 

@@ -46,13 +46,16 @@ def trades(spark: SparkSession, sf: str, security: str = "nation", session: str
         F.col("l_orderkey") * 1000 + F.pmod(F.col("l_partkey"), F.lit(1000)),
         F.lit(86_400_000_000),
     )
-    day = F.col("l_shipdate").cast("timestamp_ntz")
+    # Whole numbers all the way: a micros count is a time stamp as it stands, with no calendar
+    # arithmetic per row.
+    day = F.col("l_shipdate").cast("date")
+    micros = F.unix_date(day).cast("bigint") * 86_400_000_000 + clock
     return items.select(
         key.alias("security_key"),
         key.alias("requested_ticker"),
         key.alias("ticker"),
-        (day + F.make_dt_interval(secs=(clock / 1e6).cast("decimal(18,6)"))).alias("timestamp_utc"),
-        F.date_trunc(session, day).cast("date").alias("date"),
+        F.timestamp_micros(micros).alias("timestamp_utc"),
+        (day if session == "day" else F.trunc(day, session)).alias("date"),
         (F.col("l_linenumber") - 1).alias("slot_index"),
         price.alias("open"),
         price.alias("high"),

@@ -407,8 +407,8 @@ def bar_sequence(spark, sf):
     return sq.sequence_features(own).select(*BAR, *ft.SEQUENCE)
 
 
-HOURLY_CTES = chain(
-    b.bars(), VOLUME, VOLAT, GEOMETRY, PROGRESS, b.market(), b.BETA, MARKET, STRUCTURE_ALL, SEQUENCE,
+ASSEMBLED = chain(
+    VOLUME, VOLAT, GEOMETRY, PROGRESS, b.BETA, MARKET, STRUCTURE_ALL, SEQUENCE,
     """feat AS (SELECT * FROM (SELECT security_key, date, slot_index, is_half_day, low_quality, open, high, low, close, volume,
       true_range, atr20_bar, spread_atr, spread_pct_slot_60 FROM volat)
   JOIN vol USING (security_key, date, slot_index) JOIN geo USING (security_key, date, slot_index)
@@ -416,19 +416,34 @@ HOURLY_CTES = chain(
   JOIN str USING (security_key, date, slot_index) JOIN seq USING (security_key, date, slot_index)
   LEFT JOIN (SELECT security_key, date, atr20 AS daily_atr FROM aday) USING (security_key, date))""",
 )
+HOURLY_CTES = chain(b.bars(), b.market(), ASSEMBLED)
 FLAGS = ("failed_new_high", "failed_new_low")
 HOURLY_DOUBLES = tuple(c for c in ft.HOURLY if c not in (*FLAGS, "true_range", "atr20_bar"))
 
 
+FEATURE_PLAIN = "security_key date slot_index is_half_day low_quality true_range " + " ".join(FLAGS)
+
+
+def _assembled(found):
+    return tidy(
+        found, *BAR, "is_half_day", "low_quality", "true_range", *FLAGS, *HOURLY_DOUBLES, exact="true_range"
+    )
+
+
+@query(select(HOURLY_CTES, "feat", FEATURE_PLAIN, " ".join(HOURLY_DOUBLES)))
+def hourly_features(spark, sf):
+    return _assembled(hourly_frame(spark, sf))
+
+
 @query(
     select(
-        HOURLY_CTES, "feat", "security_key date slot_index is_half_day low_quality true_range " + " ".join(FLAGS),
+        chain(b.bars("supplier", "month"), b.market("month"), ASSEMBLED), "feat", FEATURE_PLAIN,
         " ".join(HOURLY_DOUBLES),
     )
-)
-def hourly_features(spark, sf):
-    found = hourly_frame(spark, sf)
-    return tidy(found, *BAR, "is_half_day", "low_quality", "true_range", *FLAGS, *HOURLY_DOUBLES, exact="true_range")
+)
+def supplier_features(spark, sf):
+    """The same table on suppliers by month, whose bars grow with the data."""
+    return _assembled(hourly_frame(spark, sf, "supplier", "month"))
 
 
 def stored_features(spark, sf):
@@ -436,11 +451,11 @@ def stored_features(spark, sf):
     return b.stored(spark, sf, "hourly_features", lambda: hourly_frame(spark, sf))
 
 
-def hourly_frame(spark, sf):
+def hourly_frame(spark, sf, security="nation", session="week"):
     """The feature table with prices. Bars are read by several branches, so they are stored."""
-    bars = cut_lineage(_bars(spark, sf))
-    days = cut_lineage(_days(spark, sf))
-    hourly, daily = ad.market_bars(spark, sf)
+    bars = cut_lineage(ad.slot_bars(spark, sf, security, session))
+    days = cut_lineage(ad.day_bars(spark, sf, security, session))
+    hourly, daily = ad.market_bars(spark, sf, session)
     return ft.hourly_features(bars, days, hourly, daily, keep=("daily_atr", *ft.PRICES))
 
 

@@ -25,8 +25,8 @@ FILINGS_JSON = (
 
 
 def millis_to_utc(column: str) -> Column:
-    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(
-        secs=(F.col(column) / F.lit(1000)).cast("decimal(18,6)")
+    return F.timestamp_add(
+        "MILLISECOND", F.col(column), F.lit("1970-01-01").cast("timestamp_ntz")
     )
 
 
