@@ -15,30 +15,35 @@ VOLUME_SPANS = (3, 5)
 MIN_PARTICIPATION = 0.1
 
 
-def progress(bars: DataFrame, hourly: bool, window: int = 60) -> DataFrame:
-    """`ret_atr`, `progress_k`, `cum_vol_pct_k` and `efficiency`.
+def net_moves(bars: DataFrame, hourly: bool) -> DataFrame:
+    """`ret_atr` and `progress_k`, and the volume totals `volume_history` ranks.
 
-    Needs the bar's own ATR: `atr20_bar` (hourly) or `atr20_day`. A stretch of bars counts as a
-    baseline only if every bar in it is valid.
+    Everything read in bar order. Needs the bar's own ATR: `atr20_bar` (hourly) or `atr20_day`.
     """
     order = bar_order() if hourly else day_order()
-    like = slot_order() if hourly else day_order()
     atr = F.col("atr20_bar" if hourly else "atr20_day")
-    measurable = tr.measurable(F.col("is_half_day")) if hourly else F.lit(True)
-    need = tr.min_valid(window)
-
-    moves = {"ret_atr": ratio(F.col("close") - tr.shifted(F.col("close"), order, 1), atr)}
+    columns = {"ret_atr": ratio(F.col("close") - tr.shifted(F.col("close"), order, 1), atr)}
     for k in PROGRESS_SPANS:
-        moves[f"progress_{k}"] = ratio(F.col("close") - tr.shifted(F.col("close"), order, k), atr)
-    totals = {f"_sum_{k}": tr.span_total(F.col("volume"), order, k) for k in VOLUME_SPANS}
-    usable = {f"_ok_{k}": tr.span_all(valid_bar(), order, k) for k in VOLUME_SPANS}
+        columns[f"progress_{k}"] = ratio(F.col("close") - tr.shifted(F.col("close"), order, k), atr)
+    for k in VOLUME_SPANS:
+        columns[f"_sum_{k}"] = tr.span_total(F.col("volume"), order, k)
+        columns[f"_ok_{k}"] = tr.span_all(valid_bar(), order, k)
+    return bars.withColumns(columns)
+
 
+def volume_history(moved: DataFrame, hourly: bool, window: int = 60) -> DataFrame:
+    """`cum_vol_pct_k` and `efficiency`, against the same slot (hourly) before.
+
+    A stretch of bars counts as a baseline only if every bar in it is valid.
+    """
+    like = slot_order() if hourly else day_order()
+    measurable = tr.measurable(F.col("is_half_day")) if hourly else F.lit(True)
+    need = tr.min_valid(window)
     histories = {
         f"_past_{k}": tr.past_values(F.col(f"_sum_{k}"), F.col(f"_ok_{k}"), like, window)
         for k in VOLUME_SPANS
     }
     histories["_usual"] = tr.past_values(F.col("volume"), valid_bar(), like, window)
-
     percentiles = {
         f"cum_vol_pct_{k}": F.when(
             measurable & F.col(f"_ok_{k}"),
@@ -50,10 +55,14 @@ def progress(bars: DataFrame, hourly: bool, window: int = 60) -> DataFrame:
     participation = ratio(F.col("volume"), usual)
     # A floor on a known participation only: `greatest` would turn an unknown one into it.
     floored = F.when(participation.isNotNull(), F.greatest(participation, F.lit(MIN_PARTICIPATION)))
+    efficiency = F.when(measurable, F.abs(F.col("ret_atr")) / floored)
+    spent = [f"_{name}_{k}" for name in ("sum", "ok") for k in VOLUME_SPANS]
     return (
-        bars.withColumns({**moves, **totals, **usable})
-        .withColumns(histories)
-        .withColumns(percentiles)
-        .withColumn("efficiency", F.when(measurable, F.abs(F.col("ret_atr")) / floored))
-        .drop(*totals, *usable, *histories)
+        moved.withColumns(histories)
+        .withColumns({**percentiles, "efficiency": efficiency})
+        .drop(*spent, *histories)
     )
+
+
+def progress(bars: DataFrame, hourly: bool, window: int = 60) -> DataFrame:
+    return volume_history(net_moves(bars, hourly), hourly, window)

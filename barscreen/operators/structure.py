@@ -70,6 +70,9 @@ def _prior_period(daily: DataFrame, period: str) -> DataFrame:
     extreme of the whole period before; it then holds through the period. The level's date is
     the last earlier session at that price, which may lie in the period now running.
     """
+    # Periods rise with dates, so ordering by both is the order of dates - and the very sort the
+    # windows inside a period need: one sort serves all of them.
+    across = Window.partitionBy("security_key").orderBy("_period", "date")
     inside = Window.partitionBy("security_key", "_period").orderBy("date")
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
     earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
@@ -78,8 +81,8 @@ def _prior_period(daily: DataFrame, period: str) -> DataFrame:
         daily.withColumn("_period", F.date_trunc(period, "date"))
         .withColumn("_hi", F.max(_peak()).over(so_far))
         .withColumn("_lo", F.min(_trough()).over(so_far))
-        .withColumn("_hi", F.lag("_hi").over(day_order()))
-        .withColumn("_lo", F.lag("_lo").over(day_order()))
+        .withColumn("_hi", F.lag("_hi").over(across))
+        .withColumn("_lo", F.lag("_lo").over(across))
         .withColumn("_hi", F.first("_hi").over(so_far))
         .withColumn("_lo", F.first("_lo").over(so_far))
         .withColumn(hi, F.col("_hi.at"))

@@ -81,18 +81,27 @@ def with_wilder_atr(
     )
 
 
-def hourly_volatility(bars: DataFrame, window: int = 60) -> DataFrame:
-    """`true_range, atr20_bar, spread_atr, spread_pct_slot_60`."""
+def hourly_ranges(bars: DataFrame) -> DataFrame:
+    """`true_range, atr20_bar, spread_atr`: everything read in bar order."""
     ranged = with_wilder_atr(
         with_true_range(bars, bar_order()), ["date", "slot_index"], "atr20_bar"
     )
+    return ranged.withColumn("spread_atr", ratio(F.col("true_range"), F.col("atr20_bar")))
+
+
+def spread_percentile(ranged: DataFrame, window: int = 60) -> DataFrame:
+    """`spread_pct_slot_60`: the true range against the same slot before."""
     valid = valid_bar() & F.col("true_range").isNotNull()
-    percentile = tr.trailing_percentile(F.col("true_range"), valid, slot_order(), window)
-    return ranged.withColumn("spread_atr", ratio(F.col("true_range"), F.col("atr20_bar"))).withColumn(
-        "spread_pct_slot_60", F.when(tr.measurable(F.col("is_half_day")), percentile)
+    found = tr.trailing_percentile(F.col("true_range"), valid, slot_order(), window)
+    return ranged.withColumn(
+        "spread_pct_slot_60", F.when(tr.measurable(F.col("is_half_day")), found)
     )
 
 
+def hourly_volatility(bars: DataFrame, window: int = 60) -> DataFrame:
+    return spread_percentile(hourly_ranges(bars), window)
+
+
 def daily_volatility(daily: DataFrame) -> DataFrame:
     """`true_range, atr20_day, spread_atr` on daily bars."""
     ranged = with_wilder_atr(with_true_range(daily, day_order()), ["date"], "atr20_day")

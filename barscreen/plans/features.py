@@ -80,8 +80,11 @@ def hourly_features(
     `bars` and `daily` are split-adjusted; pass the as-traded ones as well where they differ.
     """
     bars, daily = by_security(bars), by_security(daily)
-    own = vt.geometry(vt.hourly_volatility(bars))
-    own = pg.progress(vl.hourly_volume(own), hourly=True)
+    # First all that is read in bar order, then all that is read in slot order, then what needs
+    # both: each change of order is a local sort.
+    own = pg.net_moves(vt.geometry(vt.hourly_ranges(bars)), hourly=True)
+    own = own.withColumn("_pc", F.lag("close").over(bar_order()))
+    own = pg.volume_history(vt.spread_percentile(vl.hourly_volume(own)), hourly=True)
     own = sq.sequence_features(own, **sequence_limits)
     wanted = [
         "daily_atr", "pos", *st.LEVELS, *[f"set_{a}" for a in lv.ANCHORS],
@@ -94,11 +97,7 @@ def hourly_features(
         .join(mk.beta_by_session(daily, market_daily), ["security_key", "date"], "left")
     )
     out = mk.market_features(
-        own.withColumn("_pc", F.lag("close").over(bar_order())).join(
-            context, ["security_key", "date"], "left"
-        ),
-        market_hourly,
-        hourly=True,
+        own.join(context, ["security_key", "date"], "left"), market_hourly, hourly=True
     )
     if raw_bars is None:
         out = st.level_distances(out)

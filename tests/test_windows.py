@@ -138,15 +138,13 @@ def test_pivots_hand_worked():
 
 
 def test_node_needs_every_session():
-    import pandas as pd
-
-    dates = np.array([START + dt.timedelta(days=i) for i in range(5)], dtype=object)
-    bars = pd.DataFrame({"date": dates, "slot_index": 0, "high": [10.0, 20.0, 20.0, 20.0, 20.0],
-                         "low": [0.0, 10.0, 10.0, 10.0, 10.0], "close": [1.0, 15.0, 15.0, 15.0, 3.0],
-                         "volume": [5.0, 1.0, 1.0, 1.0, 9.0]})
-    found = busiest_price(bars, dates, sessions=3, bins=10)
+    days = np.arange(5)
+    bars = {"high": np.array([10.0, 20.0, 20.0, 20.0, 20.0]), "low": np.array([0.0, 10.0, 10.0, 10.0, 10.0]),
+            "close": np.array([1.0, 15.0, 15.0, 15.0, 3.0]), "volume": np.array([5.0, 1.0, 1.0, 1.0, 9.0])}
+    found = busiest_price(days, bars, days, sessions=3, bins=10)
     assert np.isnan(found[:3]).all()
     assert found[3] == pytest.approx(1.0)  # 0..20 in ten bins: the bin 0..2 holds volume 5
     assert found[4] == pytest.approx(15.5)  # 10..20: the three closes at 15
-    gap = busiest_price(bars[bars["date"] != dates[2]], dates, sessions=3, bins=10)
+    keep = days != 2
+    gap = busiest_price(days[keep], {c: v[keep] for c, v in bars.items()}, days, sessions=3, bins=10)
     assert np.isnan(gap).all()
