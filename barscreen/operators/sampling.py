@@ -171,12 +171,12 @@ def daily_history(
 def label_summary(labels: DataFrame) -> DataFrame:
     """Totals, rate, notes and planned retests; one row."""
     total = F.count(F.lit(1))
-    hits = F.sum((F.col("response") == "interesting").cast("bigint"))
+    hits = F.count_if(F.col("response") == "interesting")
     return labels.agg(
         total.alias("labels"),
         F.greatest(F.lit(TARGET_LABELS) - total, F.lit(0)).alias("still_to_do"),
         hits.alias("interesting"),
-        F.sum((F.col("response") == "not_interesting").cast("bigint")).alias("not_interesting"),
+        F.count_if(F.col("response") == "not_interesting").alias("not_interesting"),
         (hits / total).alias("rate"),
         (hits / total).between(0.08, 0.60).alias("rate_in_range"),
         F.sum((F.trim(F.coalesce("note", F.lit(""))) != "").cast("bigint")).alias("notes"),
@@ -234,7 +234,7 @@ def repeated_charts(labels: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("_n"),
         F.sum(F.coalesce("is_retest", F.lit(False)).cast("bigint")).alias("_planned"),
     )
-    repeated = F.sum((F.col("_n") > 1).cast("bigint"))
+    repeated = F.count_if(F.col("_n") > 1)
     return per.agg(
         repeated.alias("repeated"), F.sum("_planned").alias("planned"),
         ((repeated > 0) & (repeated > F.sum("_planned"))).alias("unplanned"),
@@ -244,7 +244,7 @@ def repeated_charts(labels: DataFrame) -> DataFrame:
 def stratum_rates(labels: DataFrame, target: int = TARGET_LABELS) -> DataFrame:
     """Hits per stratum; no rows at all before the target is reached."""
     total = F.broadcast(labels.agg(F.count(F.lit(1)).alias("_total")))
-    hits = F.sum((F.col("response") == "interesting").cast("bigint"))
+    hits = F.count_if(F.col("response") == "interesting")
     return (
         labels.groupBy("stratum")
         .agg(hits.alias("hits"), F.count(F.lit(1)).alias("labels"))

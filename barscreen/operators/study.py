@@ -8,7 +8,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -100,13 +100,9 @@ def with_fold(rows: DataFrame, sessions: DataFrame, folds: int = FOLDS, purge: i
 def match_quality(rows: DataFrame) -> DataFrame:
     """How tightly the controls were matched."""
     w = F.col("widening")
-
-    def count(condition: Column) -> Column:
-        return F.sum(condition.cast("bigint"))
-
     return rows.where(F.col("kind") == "control").agg(
-        F.count(F.lit(1)).alias("controls"), count(w == 0).alias("exact"),
-        count(w == 1).alias("within_one"), count(w >= 2).alias("within_two_or_more"),
+        F.count(F.lit(1)).alias("controls"), F.count_if(w == 0).alias("exact"),
+        F.count_if(w == 1).alias("within_one"), F.count_if(w >= 2).alias("within_two_or_more"),
         F.avg(w).alias("mean_widening"),
     )
 
