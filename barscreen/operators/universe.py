@@ -105,6 +105,14 @@ def listing_date() -> Column:
     return F.least("list_date", "first_event_date")
 
 
+def static_step(rules: Rules) -> Column:
+    """The first step a security fails whatever the month: exchange (0), type (1), or - having no
+    bar to be measured by - close (2)."""
+    listed = F.coalesce(F.col("primary_exchange").isin(*rules.exchanges), F.lit(False))
+    common = F.coalesce(F.col("type") == rules.security_type, F.lit(False))
+    return F.when(~listed, 0).when(~common, 1).otherwise(2)
+
+
 def rated(
     rebalances: DataFrame,
     securities: DataFrame,
@@ -113,9 +121,10 @@ def rated(
     sessions: DataFrame,
     rules: Rules,
 ) -> DataFrame:
-    """Every security at every rebalance with its measures and the first step it fails.
+    """The securities with bars in a rebalance's window, measured, with the first step each fails.
 
-    `failed_step` is the position of that step in `STEPS`, or null.
+    `failed_step` is the position of that step in `STEPS`, or null. A security without bars has
+    no row: it cannot pass, and `attrition` only has to count it.
     """
     dated = rebalances.withColumn(
         "share_count_date", cal.share_count_date(F.col("as_of_session"), rules.share_count_lag_days)
@@ -124,15 +133,12 @@ def rated(
     dated = dated.join(
         F.broadcast(numbers), F.col("_h") == F.col("as_of_no") - rules.min_history_sessions + 1, "left"
     ).drop("_h")
-    calendar = F.broadcast(
-        dated.select("rebalance_date", "as_of_session", "share_count_date", "_history_from")
-    )
-    measured = measure(rebalances, bars, splits, sessions, rules).drop("as_of_session")
+    calendar = F.broadcast(dated.select("rebalance_date", "share_count_date", "_history_from"))
     out = (
-        securities.crossJoin(calendar)
-        .join(measured, ["rebalance_date", "ticker"], "left")
+        measure(rebalances, bars, splits, sessions, rules)
+        .join(securities, "ticker")
+        .join(calendar, "rebalance_date")
         .join(forward_splits(dated, splits), ["rebalance_date", "ticker"], "left")
-        .withColumn("median_dollar_volume_60", F.coalesce("median_dollar_volume_60", F.lit(0.0)))
         .withColumn("listing_date", listing_date())
         .withColumn(
             "market_cap",
@@ -174,16 +180,44 @@ def select_universe(rated_securities: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
-def attrition(rated_securities: DataFrame, rules: Rules) -> DataFrame:
-    """How many securities each step removed, in order, per rebalance; one row a step."""
-    counts = rated_securities.groupBy("rebalance_date", "failed_step").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    removed = counts.where(F.col("failed_step").isNotNull()).select(
-        "rebalance_date", F.element_at(F.array(*map(F.lit, STEPS)), F.col("failed_step") + 1).alias("step"),
-        F.col("n").alias("removed"),
+def attrition(
+    rated_securities: DataFrame, securities: DataFrame, rebalances: DataFrame, rules: Rules
+) -> DataFrame:
+    """How many securities each step removed, in order, per rebalance; one row a step.
+
+    Those without bars are counted, not listed: the totals of the three static steps less those
+    that have a row.
+    """
+    count = F.count(F.lit(1))
+    measured = rated_securities.groupBy("rebalance_date", "failed_step").agg(count.alias("n"))
+    present = rated_securities.groupBy("rebalance_date", static_step(rules).alias("step_no")).agg(
+        count.alias("present")
+    )
+    # Three totals for each month of the calendar.
+    totals = securities.groupBy(static_step(rules).alias("step_no")).agg(count.alias("total"))
+    absent = (
+        rebalances.select("rebalance_date")
+        .crossJoin(F.broadcast(totals))
+        .join(present, ["rebalance_date", "step_no"], "left")
+        .select(
+            "rebalance_date", "step_no",
+            (F.col("total") - F.coalesce("present", F.lit(0))).alias("n"),
+        )
     )
-    beyond = counts.where(F.col("failed_step").isNull()).select(
+    failed = measured.where(F.col("failed_step").isNotNull())
+    removed = (
+        failed.select("rebalance_date", F.col("failed_step").alias("step_no"), "n")
+        .unionByName(absent)
+        .groupBy("rebalance_date", "step_no")
+        .agg(F.sum("n").alias("removed"))
+        .where(F.col("removed") > 0)
+        .select(
+            "rebalance_date",
+            F.element_at(F.array(*map(F.lit, STEPS)), F.col("step_no") + 1).alias("step"),
+            "removed",
+        )
+    )
+    beyond = measured.where(F.col("failed_step").isNull()).select(
         "rebalance_date", F.lit("top_n").alias("step"),
         F.greatest(F.col("n") - rules.top_n, F.lit(0)).alias("removed"),
     )

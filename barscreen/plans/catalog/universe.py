@@ -112,7 +112,8 @@ FROM failing WHERE failed_step IS NOT NULL GROUP BY ALL
 UNION ALL SELECT rebalance_date, 'top_n', greatest(count(*) - {RULES.top_n}, 0) FROM failing WHERE failed_step IS NULL GROUP BY 1"""
 )
 def universe_attrition(spark, sf):
-    return un.attrition(rated(spark, sf), RULES)
+    rebalances = cal.rebalance_dates(ad.sessions_of(supplier_bars(spark, sf)))
+    return un.attrition(rated(spark, sf), securities(spark, sf), rebalances, RULES)
 
 
 @query(select(RATED, "failing", "rebalance_date ticker", tail="WHERE p0 AND p1 AND p2 AND p3"))
