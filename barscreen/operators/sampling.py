@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from barscreen.functions.ranks import top_rows
 from barscreen.operators import bars as bo
-from barscreen.operators import calendar as cal
 from barscreen.schema import require
 
 CANDIDATE_SHARE = 1 / 3

@@ -21,7 +21,7 @@ from barscreen.operators import volume as vl
 from barscreen.plans import adapters as ad
 from barscreen.plans import features as ft
 from barscreen.plans.catalog import base as b
-from barscreen.plans.catalog.base import BAR_W, DAY_W, EARLIER, SLOT_W, SO_FAR, chain, frame, query, select, tidy
+from barscreen.plans.catalog.base import BAR_W, DAY_W, SLOT_W, SO_FAR, chain, frame, query, select, tidy
 from barscreen.session import cut_lineage
 
 BAR = ["security_key", "date", "slot_index"]

@@ -11,7 +11,6 @@ from barscreen.operators import patterns as pt
 from barscreen.operators import sampling as sp
 from barscreen.plans import adapters as ad
 from barscreen.plans.catalog import base as b
-from barscreen.plans.catalog import features as cf
 from barscreen.plans.catalog.base import chain, query, select, tidy
 from barscreen.plans.catalog.features import BAR, HOURLY_CTES, stored_features
 
