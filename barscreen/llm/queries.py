@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barscreen.llm import chat, language, quality
+from barscreen.llm import chat, language, packing, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer's file; every machine has the package installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op1_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality.risk_controlled(table(spark, sf, "documents"), table(spark, sf, "labels"))
@@ -48,3 +55,31 @@ def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
     texts = language.fit(docs.where(~language.held_out()))
     found = language.predicted(docs.select("doc_id", "text"), texts, keep_text=False)
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labels = table(spark, sf, "labels").select("doc_id", "toxic").where(~toxicity.held_out())
+    machine = toxicity.fit(docs, labels)
+    return toxicity.scored(docs, machine, keep_text=False).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op4_hilbert_packing(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = packing.packed(table(spark, sf, "documents"), tokenizer_path())
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
