@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barscreen.llm import chat, language, packing, quality, simhash, toxicity
+from barscreen.llm import chat, language, mixing, packing, quality, reputation, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,39 @@ def op4_hilbert_packing(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset",
     )
+
+
+#: The contract's rules: host, path, verdict.
+URL_RULES = (
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+)
+
+
+@query
+def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = mixing.mixed(table(spark, sf, "documents").select("doc_id", "text", "source", "lang"))
+    return drawn.select(
+        "doc_id", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"),
+        F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), (F.round("_p", 6) + 0.0).alias("p"),
+    )
+
+
+@query
+def op7_url_reputation(spark: SparkSession, sf: str) -> DataFrame:
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    outcomes = table(spark, sf, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    rules = spark.createDataFrame(URL_RULES, "rule_host string, rule_path string, verdict string")
+    rounded = {c: F.round(c, 6) + 0.0 for c in ("bad_rate", "lower_bound")}
+    return reputation.judged(table(spark, sf, "pages"), outcomes, rules).withColumns(rounded)
+
+
+@query
+def op9_warc_derivatives(spark: SparkSession, sf: str) -> DataFrame:
+    made = warc.derivatives(warc.responses(table(spark, sf, "pages")))
+    return made.drop("block", "http_header", "date")
+
+
+ORACLES["op5_mixing"] = mixing.sql()
+ORACLES["op7_url_reputation"] = reputation.SQL.format(rules=", ".join(map(str, URL_RULES)))
+ORACLES["op9_warc_derivatives"] = warc.SQL
