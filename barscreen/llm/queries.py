@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barscreen.llm import chat, language, mixing, packing, quality, reputation, simhash, toxicity, warc
+from barscreen.llm import chat, language, mixing, neighbours, packing, quality, reputation, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -101,6 +101,11 @@ def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op6_nn_descent(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.near_vectors(table(spark, sf, "embeddings"))
+
+
 @query
 def op7_url_reputation(spark: SparkSession, sf: str) -> DataFrame:
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
