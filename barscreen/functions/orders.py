@@ -32,8 +32,6 @@ def calendar_order(*columns: str) -> WindowSpec:
 def by_security(bars: DataFrame) -> DataFrame:
     """Bars shuffled to their security once; every window and grouped map after it reuses this.
 
-    The number of partitions is fixed to the session's: trailing windows cost far more than the
-    bytes they read, so merging partitions by size would leave most of a cluster idle.
+    The number of partitions is left to adaptive execution, which follows the size of the data.
     """
-    n = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return bars.repartition(n, "security_key")
+    return bars.repartition("security_key")

@@ -16,6 +16,22 @@ MULTI_CLASS_TOLERANCE = 0.01
 CAP_WARN = 0.25
 SAME_PRICE = 0.005
 ACTION_DAYS = 30
+#: What an audit of a vendor's market caps reports.
+VERDICTS = {
+    "date": "OK: uses the close on that date",
+    "previous": "OK: uses the previous day's close",
+    "latest": "LOOK-AHEAD: uses the latest close",
+    "both": "CANNOT TELL: price barely moved since",
+    "none": "UNCLEAR: matches none of the closes",
+    "missing": "MISSING: vendor returned no market cap or share count",
+    "not found": "NOT FOUND: vendor has no record of this ticker on this date",
+}
+#: The report for each set of closes matched, in the order date, previous, latest.
+MATCHED_CLOSES = {
+    "": VERDICTS["none"], "date": VERDICTS["date"], "previous": VERDICTS["previous"],
+    "latest": VERDICTS["latest"], "date+previous": VERDICTS["date"], "date+latest": VERDICTS["both"],
+    "previous+latest": VERDICTS["both"], "date+previous+latest": VERDICTS["both"],
+}
 #: Releases a full year has, and the hour the two statistics come out.
 PER_YEAR = {"fomc": 8, "cpi": 12, "payrolls": 12}
 STATISTICS_TIME = "08:30"
@@ -34,15 +50,10 @@ def filing_coverage(traded: DataFrame, filings: DataFrame, sessions: DataFrame)
     A filing on a day without trading counts from the next session; one before the first
     session or after the last says nothing. `traded`: security_key, date, session_no.
     """
-    previous = F.lag("date").over(cal.in_order())
-    spans = sessions.select(
-        F.col("session_no").alias("_filed"), F.col("date").alias("_on"), previous.alias("_previous")
+    days = cal.session_days(sessions).select(
+        F.col("day").alias("filing_date"), F.col("session_no").alias("_filed")
     )
-    inside = (F.col("filing_date") <= F.col("_on")) & (
-        (F.col("filing_date") > F.col("_previous"))
-        | (F.col("_previous").isNull() & (F.col("filing_date") == F.col("_on")))
-    )
-    filed = filings.join(F.broadcast(spans), inside).select("security_key", "_filed").distinct()
+    filed = filings.join(F.broadcast(days), "filing_date").select("security_key", "_filed").distinct()
     known = filings.select("security_key").distinct().withColumn("_any", F.lit(True))
     rows = traded.select("security_key", "date", "session_no", F.lit(None).cast("int").alias("_filed"))
     rows = rows.unionByName(
@@ -216,20 +227,13 @@ def market_cap_ratio(selected: DataFrame, vendor: DataFrame) -> DataFrame:
 
 
 def lookahead_verdict(implied: Column, on_date: Column, previous: Column, latest: Column, found: Column) -> Column:
-    """Which close a vendor's implied price matches within half a percent."""
-
-    def same(close: Column) -> Column:
-        return F.coalesce(F.abs(F.try_divide(implied, close) - 1) <= SAME_PRICE, F.lit(False))
-
-    return (
-        F.when(~found, "not found")
-        .when(implied.isNull(), "missing")
-        .when((same(on_date) | same(previous)) & same(latest), "cannot tell")
-        .when(same(on_date), "close on date")
-        .when(same(previous), "previous close")
-        .when(same(latest), "look-ahead")
-        .otherwise("unclear")
-    )
+    """What the set of closes that an implied price equals (to half a percent) says about it."""
+    closes = {"date": on_date, "previous": previous, "latest": latest}
+    near = [F.when(F.abs(F.try_divide(implied, c) - 1) <= SAME_PRICE, F.lit(n)) for n, c in closes.items()]
+    matched = F.array_join(F.array_compact(F.array(*near)), "+")
+    table = F.create_map(*[F.lit(x) for pair in MATCHED_CLOSES.items() for x in pair])
+    stated = F.when(found & implied.isNotNull(), table[matched])
+    return F.coalesce(stated, F.when(found, VERDICTS["missing"]).otherwise(VERDICTS["not found"]))
 
 
 def value_counts(rows: DataFrame, column: str) -> DataFrame:

@@ -54,19 +54,40 @@ def with_previous_session(
     days: DataFrame, sessions: DataFrame, column: str = "date", into: str = "previous_session"
 ) -> DataFrame:
     """The last session strictly before each day, whether or not the day is a session."""
-    spans = gaps_to_next(sessions).select(
-        F.col("date").alias(into), F.col("next_date").alias("_next")
+    spans = gaps_to_next(sessions).where("next_date is not null")
+    known = spans.select(
+        F.explode(F.sequence(F.date_add("date", 1), F.col("next_date"))).alias(column),
+        F.col("date").alias("_on"),
+    )
+    last = F.broadcast(sessions.agg(F.max("date").alias("_last")))  # one row
+    found = F.coalesce("_on", F.when(F.col(column) > F.col("_last"), F.col("_last")))
+    return (
+        days.join(F.broadcast(known), column, "left").crossJoin(last)
+        .select(*days.columns, found.alias(into))
+    )
+
+
+def session_days(sessions: DataFrame) -> DataFrame:
+    """Every day up to the last session with the session that first trades on or after it:
+    `day, on, session_no, is_first`. At most one row a calendar day; days before the first
+    session are left out."""
+    previous = F.lag("date").over(in_order())
+    start = F.coalesce(F.date_add(previous, 1), F.col("date"))
+    return sessions.withColumn("_from", start).withColumn("is_first", previous.isNull()).select(
+        F.explode(F.sequence("_from", "date")).alias("day"), F.col("date").alias("on"), "session_no", "is_first"
     )
-    day = F.col(column)
-    inside = (day > F.col(into)) & (F.col("_next").isNull() | (day <= F.col("_next")))
-    return days.join(F.broadcast(spans), inside, "left").drop("_next")
 
 
 def sessions_ending(sessions: DataFrame, day, count: int) -> DataFrame:
-    """The `count` sessions up to and including `day`; no rows if `day` is no session."""
-    last = F.broadcast(
-        sessions.where(F.col("date") == F.lit(day)).select(F.col("session_no").alias("_last"))
+    """The `count` sessions up to and including `day`. The query fails if `day` is no session or
+    fewer sessions precede it."""
+    found = sessions.where(F.col("date") == F.lit(day)).agg(F.max("session_no").alias("_last"))
+    checked = (
+        F.when(F.col("_last").isNull(), F.raise_error(F.lit(f"{day} is no session")).cast("int"))
+        .when(F.col("_last") < count - 1, F.raise_error(F.lit(f"fewer than {count} sessions up to {day}")).cast("int"))
+        .otherwise(F.col("_last"))
     )
+    last = F.broadcast(found.select(checked.alias("_last")))  # one row
     number = F.col("session_no")
     inside = number.between(F.col("_last") - count + 1, F.col("_last"))
     return sessions.join(last, inside, "inner").drop("_last")

@@ -11,8 +11,8 @@ from barscreen.schema import require
 PER_CANDIDATE = 5
 DECILES = 10
 MAX_WIDENING = 3
-#: Members of one decile cell handled by one task; a larger cell is split.
-CELL_PART = 20_000
+#: Members and candidates of one decile cell handled by one task; a larger cell is split.
+CELL_PART, CANDIDATE_PART = 20_000, 200
 
 
 def relative_atr(daily_atr: Column, close: Column) -> Column:
@@ -113,31 +113,42 @@ def match(
         .withColumnRenamed("security_key", "candidate_key")
         .withColumnRenamed("slot_index", "candidate_slot")
     )
-    # How many parts a cell is cut into follows from its count; ordinary cells stay whole.
-    parts = F.ceil(F.col("eligible") / CELL_PART).cast("int")
-    spread = sizes.withColumn("_parts", parts).drop("eligible")
     offsets = F.sequence(-F.col("widening"), F.col("widening"))
-    wanted = (
+    cell = ["date", "atr_decile", "volume_decile"]
+    placed = (
         candidate.withColumn("_da", F.explode(offsets))
         .withColumn("_dv", F.explode(offsets))
         .withColumn("atr_decile", F.col("atr_decile") + F.col("_da"))
         .withColumn("volume_decile", F.col("volume_decile") + F.col("_dv"))
-        .join(spread, ["date", "atr_decile", "volume_decile"])
+        .drop("_da", "_dv")
+    )
+    # How many parts each side of a cell is cut into follows from its counts; ordinary cells stay
+    # whole. A candidate goes to one of its parts and meets every part of the eligible.
+    asking = placed.groupBy(*cell).agg(F.count(F.lit(1)).alias("_asking"))
+    spread = sizes.join(asking, cell).select(
+        *cell, F.ceil(F.col("eligible") / CELL_PART).cast("int").alias("_parts"),
+        F.ceil(F.col("_asking") / CANDIDATE_PART).cast("int").alias("_groups"),
+    )
+    own = F.pmod(F.hash("candidate_key", "candidate_slot"), F.col("_groups"))
+    wanted = (
+        placed.join(spread, cell)
+        .withColumn("_group", own)
         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-        .drop("_da", "_dv", "_parts")
+        .drop("_parts", "_groups")
     )
     eligible = (
         day.where(~F.col("is_candidate"))
         .select("date", "atr_decile", "volume_decile", F.col("security_key").alias("control_key"))
-        .join(spread, ["date", "atr_decile", "volume_decile"])
+        .join(spread, cell)
         .withColumn("_part", F.pmod(F.hash("control_key"), F.col("_parts")))
-        .drop("_parts")
+        .withColumn("_group", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)))
+        .drop("_parts", "_groups")
     )
     seed = F.concat_ws(
         "|", F.col("date").cast("string"), "candidate_key",
         F.col("candidate_slot").cast("string"), "control_key",
     )
-    pairs = wanted.join(eligible, ["date", "atr_decile", "volume_decile", "_part"]).select(
+    pairs = wanted.join(eligible, [*cell, "_part", "_group"]).select(
         "date", "candidate_key", "candidate_slot", "control_key", "widening",
         F.sha1(seed).alias("_digest"),
     )

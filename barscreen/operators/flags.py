@@ -33,30 +33,24 @@ def reacting_session(announced: DataFrame, sessions: DataFrame, day: str, minute
     session). Released before the close, the first session on or after the day reacts, else the
     first after it. News before the first or after the last session reacts nowhere.
 
-    The calendar is cut at each session into (previous, date] intervals; an announcement at or
-    after the close is moved on by a day first, which makes both cases one interval lookup.
+    Every day has its session in a table as long as the calendar; an announcement at or after
+    the close is moved on by a day first, which makes both cases one lookup by day.
     """
-    previous = F.lag("date").over(cal.in_order())
-    spans = sessions.select(
-        F.col("date").alias("reacted_on"), F.col("session_no").alias("reacted_no"),
-        previous.alias("_previous"),
-    )
+    days = cal.session_days(sessions).toDF("_day", "_on", "_no", "_first")
     half = sessions.where("is_half_day").select(F.col("date").alias(day), F.lit(True).alias("_half"))
     close = cal.close_minute(F.coalesce("_half", F.lit(False)))
     late = F.coalesce(F.col(minute) >= close, F.lit(False))
     moved = F.when(late, F.date_add(day, 1)).otherwise(F.col(day))
-    # Nothing precedes the first session; there the day itself must be the session, or - after
-    # a late release on it - later, which the next interval answers.
-    inside = (F.col("_day") <= F.col("reacted_on")) & (
-        (F.col("_day") > F.col("_previous"))
-        | (F.col("_previous").isNull() & (F.col("_day") == F.col("reacted_on")) & ~F.col("_late"))
-    )
+    # A late release moved onto the first session came before the calendar begins.
+    known = F.col("_on").isNotNull() & ~(F.col("_first") & F.col("_late"))
     return (
         announced.join(F.broadcast(half), day, "left")
         .withColumn("_late", late)
         .withColumn("_day", moved)
-        .join(F.broadcast(spans), inside, "left")
-        .drop("_half", "_late", "_day", "_previous")
+        .join(F.broadcast(days), "_day", "left")
+        .withColumn("reacted_on", F.when(known, F.col("_on")))
+        .withColumn("reacted_no", F.when(known, F.col("_no")))
+        .drop("_half", "_late", "_day", "_on", "_no", "_first")
     )
 
 
@@ -77,11 +71,12 @@ def macro_flags(sessions: DataFrame, releases: DataFrame) -> DataFrame:
 
 
 def _last_session_on_or_before(days: DataFrame, sessions: DataFrame) -> DataFrame:
-    spans = cal.gaps_to_next(sessions).select(F.col("date").alias("_on"), "next_date")
-    inside = (F.col("day") >= F.col("_on")) & (
-        F.col("next_date").isNull() | (F.col("day") < F.col("next_date"))
+    """`_on` for days up to the end of the last session's month."""
+    until = F.coalesce(F.date_sub("next_date", 1), F.last_day("date"))
+    known = cal.gaps_to_next(sessions).select(
+        F.explode(F.sequence("date", until)).alias("day"), F.col("date").alias("_on")
     )
-    return days.join(F.broadcast(spans), inside)
+    return days.join(F.broadcast(known), "day")
 
 
 def third_friday(month_start: Column) -> Column:

@@ -40,19 +40,18 @@ def orders(spark, sf):
 @query(
     select(
         chain(b.SESSIONS, ORDERS),
-        f"(SELECT o.o_orderkey, o.date, o.minute_et, CASE WHEN o.date >= {FIRST} THEN {REACTED} END AS reacted_on FROM ords o WHERE o_orderpriority = '1-URGENT')",
+        f"(SELECT o.o_orderkey, o.date, o.minute_et, CASE WHEN o.date >= {FIRST} THEN {REACTED} END AS reacted_on FROM ords o)",
         "o_orderkey date minute_et reacted_on",
     )
 )
 def reacting_sessions(spark, sf):
-    urgent = orders(spark, sf).where(F.col("o_orderpriority") == "1-URGENT")
-    found = fl.reacting_session(urgent, ad.order_sessions(spark, sf), "date", "minute_et")
+    found = fl.reacting_session(orders(spark, sf), ad.order_sessions(spark, sf), "date", "minute_et")
     return found.select("o_orderkey", "date", "minute_et", "reacted_on")
 
 
 RELEASES = """releases AS (SELECT date, ['fomc', 'cpi', 'payrolls'][CAST(o_orderkey % 3 + 1 AS INTEGER)] AS kind,
     CASE WHEN o_orderkey % 5 <> 0 THEN CAST((o_orderkey * 37) % 1440 AS INTEGER) END AS minute_et,
-    CASE WHEN o_orderkey % 5 <> 0 THEN '08:30' ELSE '' END AS time_et FROM ords WHERE o_totalprice > 495000)"""
+    CASE WHEN o_orderkey % 5 <> 0 THEN '08:30' ELSE '' END AS time_et FROM ords)"""
 MACRO = f"""reacted AS (SELECT DISTINCT kind, CASE WHEN o.date >= {FIRST} THEN {REACTED} END AS date FROM releases o),
 macro AS (SELECT s.date, {', '.join(f"EXISTS (SELECT 1 FROM reacted r WHERE r.date = s.date AND r.kind = '{k}') AS {k}" for k in fl.MACRO)} FROM sessions s)"""
 
@@ -60,7 +59,7 @@ macro AS (SELECT s.date, {', '.join(f"EXISTS (SELECT 1 FROM reacted r WHERE r.da
 def releases(spark, sf):
     key = F.col("o_orderkey")
     kinds = F.array(*map(F.lit, fl.MACRO))
-    return orders(spark, sf).where(F.col("o_totalprice") > 495000).select(
+    return orders(spark, sf).select(
         "date", F.get(kinds, (key % 3).cast("int")).alias("kind"),
         F.when(key % 5 != 0, ((key * 37) % 1440).cast("int")).alias("minute_et"),
         F.when(key % 5 != 0, "08:30").otherwise("").alias("time_et"),
@@ -87,7 +86,7 @@ def calendar_flags(spark, sf):
 
 TRADED = "traded AS (SELECT DISTINCT security_key, date, session_no FROM ords JOIN sessions USING (date))"
 EARNINGS = f"""ann AS (SELECT DISTINCT security_key, s.session_no FROM (SELECT o.security_key, CASE WHEN o.date >= {FIRST} THEN {REACTED} END AS date
-    FROM ords o WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 470000) JOIN sessions s USING (date)),
+    FROM ords o WHERE o_orderpriority = '1-URGENT') JOIN sessions s USING (date)),
 earn AS (SELECT t.security_key, t.date, t.session_no, CASE WHEN gap <= 126 THEN gap <= 1 END AS earnings
   FROM (SELECT t.*, (SELECT min(abs(a.session_no - t.session_no)) FROM ann a WHERE a.security_key = t.security_key) AS gap FROM traded t) t)"""
 
@@ -98,9 +97,7 @@ def traded(spark, sf):
 
 
 def announcements(spark, sf):
-    return orders(spark, sf).where(
-        (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 470000)
-    )
+    return orders(spark, sf).where(F.col("o_orderpriority") == "1-URGENT")
 
 
 @query(select(chain(b.SESSIONS, ORDERS, TRADED, EARNINGS), "earn", "security_key date session_no earnings"))
@@ -111,8 +108,8 @@ def earnings_flags(spark, sf):
 
 
 EVENT_TABLE = f"""evt AS (SELECT e.security_key, e.date, earnings,
-    EXISTS (SELECT 1 FROM ords d WHERE d.security_key = e.security_key AND d.date = e.date AND o_orderpriority = '2-HIGH' AND o_totalprice > 450000) AS ex_dividend,
-    EXISTS (SELECT 1 FROM ords d WHERE d.security_key = e.security_key AND d.date = e.date AND o_orderpriority = '3-MEDIUM' AND o_totalprice > 480000) AS split,
+    EXISTS (SELECT 1 FROM ords d WHERE d.security_key = e.security_key AND d.date = e.date AND o_orderpriority = '2-HIGH') AS ex_dividend,
+    EXISTS (SELECT 1 FROM ords d WHERE d.security_key = e.security_key AND d.date = e.date AND o_orderpriority = '3-MEDIUM') AS split,
     CAST(NULL AS BOOLEAN) AS index_change, CAST(NULL AS BOOLEAN) AS halt, {', '.join(fl.CALENDAR)}, fomc, cpi, payrolls
   FROM earn e JOIN cal USING (date) JOIN macro USING (date))"""
 EVENT_CTES = chain(b.SESSIONS, ORDERS, RELEASES, MACRO, CALENDAR, TRADED, EARNINGS, EVENT_TABLE)
@@ -124,14 +121,14 @@ EVENT_CTES = chain(b.SESSIONS, ORDERS, RELEASES, MACRO, CALENDAR, TRADED, EARNIN
 def event_table(spark, sf):
     rows = orders(spark, sf)
 
-    def dated(priority: str, above: int, column: str):
-        mine = rows.where((F.col("o_orderpriority") == priority) & (F.col("o_totalprice") > above))
+    def dated(priority: str, column: str):
+        mine = rows.where(F.col("o_orderpriority") == priority)
         return mine.select(F.col("security_key").alias("requested_ticker"), F.col("date").alias(column))
 
     securities = traded(spark, sf).withColumn("requested_ticker", F.col("security_key"))
     return fl.event_table(
         securities, ad.order_sessions(spark, sf), announcements(spark, sf),
-        dated("2-HIGH", 450000, "ex_dividend_date"), dated("3-MEDIUM", 480000, "execution_date"),
+        dated("2-HIGH", "ex_dividend_date"), dated("3-MEDIUM", "execution_date"),
         releases(spark, sf),
     )
 
@@ -139,7 +136,7 @@ def event_table(spark, sf):
 # --- filings ------------------------------------------------------------------
 
 COVERAGE = """filed AS (SELECT DISTINCT security_key, (SELECT min(session_no) FROM sessions s WHERE s.date >= o.date) AS n
-  FROM ords o WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 470000 AND n_ok AND o.date >= (SELECT min(date) FROM sessions)),
+  FROM ords o WHERE o_orderpriority = '1-URGENT' AND n_ok AND o.date >= (SELECT min(date) FROM sessions)),
 gaps AS (SELECT t.security_key, t.date, CAST(t.session_no - (SELECT max(n) FROM filed f WHERE f.security_key = t.security_key AND n <= t.session_no) AS INTEGER) AS gap_sessions FROM traded t),
 cover AS (SELECT *, CASE WHEN security_key NOT IN (SELECT security_key FROM filed) THEN 'no filings at all' WHEN gap_sessions IS NULL THEN 'before first filing'
     WHEN gap_sessions <= 63 THEN 'within a quarter of a filing' WHEN gap_sessions <= 126 THEN 'one to two quarters' ELSE 'over two quarters - suspect hole' END AS state FROM gaps)""".replace(
@@ -175,14 +172,14 @@ def longest_gaps(spark, sf):
 
 
 FILINGS = """filings AS (SELECT security_key, date AS filing_date, minute_et, o_orderkey,
-    ['2.02,9.01', '7.01', '8.01,9.01', '5.02'][CAST(o_orderkey % 4 + 1 AS INTEGER)] AS items FROM ords WHERE o_totalprice > 250000),
+    ['2.02,9.01', '7.01', '8.01,9.01', '5.02'][CAST(o_orderkey % 4 + 1 AS INTEGER)] AS items FROM ords),
 missed AS (SELECT * FROM filings v WHERE (items LIKE '%7.01%' OR items LIKE '%8.01%') AND NOT EXISTS (
   SELECT 1 FROM filings r WHERE r.security_key = v.security_key AND r.items LIKE '%2.02%' AND abs(r.filing_date - v.filing_date) <= 1))"""
 
 
 def filings(spark, sf):
     items = F.array(*map(F.lit, ("2.02,9.01", "7.01", "8.01,9.01", "5.02")))
-    return orders(spark, sf).where(F.col("o_totalprice") > 250000).select(
+    return orders(spark, sf).select(
         "security_key", F.col("date").alias("filing_date"), "minute_et", "o_orderkey",
         F.get(items, (F.col("o_orderkey") % 4).cast("int")).alias("items"),
     )
@@ -274,11 +271,8 @@ def market_cap_audit(spark, sf):
     chosen = b.stored(spark, sf, "universe", lambda: cu.selected(spark, sf))
     vendor = cu.securities(spark, sf).where(F.substring("ticker", 2, 20).cast("bigint") % 7 != 0)
     vendor = vendor.select("ticker", (F.col("share_class_shares") * 1500).alias("vendor_market_cap"))
-    dates = chosen.select("rebalance_date").distinct()
-    return tidy(
-        au.market_cap_ratio(chosen, vendor.crossJoin(F.broadcast(dates))),
-        exact="market_cap vendor_market_cap",
-    )
+    asked = chosen.select("rebalance_date", "ticker").join(vendor, "ticker")
+    return tidy(au.market_cap_ratio(chosen, asked), exact="market_cap vendor_market_cap")
 
 
 IMPLIED = f"""imp AS (SELECT security_key, date, close AS on_date, lag(close) OVER w AS previous, last_value(close) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS latest, CAST(volume AS BIGINT) AS v
@@ -288,7 +282,9 @@ imp2 AS (SELECT *, v % 13 <> 0 AS found, CASE WHEN v % 11 = 0 THEN NULL WHEN v %
 
 @query(
     f"""WITH {chain(b.days('supplier', 'week'), IMPLIED)}, same AS (SELECT *, coalesce(abs(implied / on_date - 1) <= 0.005, false) AS a, coalesce(abs(implied / previous - 1) <= 0.005, false) AS p, coalesce(abs(implied / latest - 1) <= 0.005, false) AS l FROM imp2)
-SELECT CASE WHEN NOT found THEN 'not found' WHEN implied IS NULL THEN 'missing' WHEN (a OR p) AND l THEN 'cannot tell' WHEN a THEN 'close on date' WHEN p THEN 'previous close' WHEN l THEN 'look-ahead' ELSE 'unclear' END AS verdict, count(*) AS n
+SELECT CASE WHEN NOT found THEN 'NOT FOUND: vendor has no record of this ticker on this date' WHEN implied IS NULL THEN 'MISSING: vendor returned no market cap or share count'
+  WHEN (a OR p) AND l THEN 'CANNOT TELL: price barely moved since' WHEN a THEN 'OK: uses the close on that date' WHEN p THEN 'OK: uses the previous day''s close'
+  WHEN l THEN 'LOOK-AHEAD: uses the latest close' ELSE 'UNCLEAR: matches none of the closes' END AS verdict, count(*) AS n
 FROM same GROUP BY 1"""
 )
 def lookahead_verdicts(spark, sf):
@@ -357,7 +353,7 @@ def reconciled_bars(spark, sf):
     return tidy(au.reconcile_daily(cu.supplier_bars(spark, sf), vendor))
 
 
-CASES = "cases AS (SELECT security_key AS ticker, date FROM days WHERE volume > 120)"
+CASES = "cases AS (SELECT security_key AS ticker, date FROM days)"
 
 
 @query(
@@ -368,7 +364,7 @@ def actions_near(spark, sf):
 
 
 def _cases(spark, sf):
-    return cu.supplier_bars(spark, sf).where(F.col("volume") > 120).select("ticker", "date")
+    return cu.supplier_bars(spark, sf).select("ticker", "date")
 
 
 @query(

@@ -216,12 +216,11 @@ def validation_mask(spark, sf):
 
 # --- chart histories --------------------------------------------------------------
 
-JUDGED = "judged AS (SELECT security_key, date, CAST(max(slot_index) AS INTEGER) AS judged_slot FROM bars WHERE volume > 150 GROUP BY 1, 2)"
+JUDGED = "judged AS (SELECT security_key, date, CAST(max(slot_index) AS INTEGER) AS judged_slot FROM bars WHERE NOT low_quality GROUP BY 1, 2)"
 
 
 def _judged(bars):
-    busy = bars.where(F.col("volume") > 150)
-    return busy.groupBy("security_key", "date").agg(F.max("slot_index").alias("judged_slot"))
+    return bars.where(~F.col("low_quality")).groupBy("security_key", "date").agg(F.max("slot_index").alias("judged_slot"))
 
 
 @query(

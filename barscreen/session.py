@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,11 +34,14 @@ def build_session(app: str = "barscreen", master: str | None = None, **extra: st
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    A cluster names it in `spark.checkpoint.dir`. Only where that is unset (tests, a laptop) is
-    a temporary folder made.
+    A cluster names it in `spark.checkpoint.dir`, and must: a folder of one machine is made only
+    where all tasks run in this process (tests, a laptop).
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
