@@ -46,6 +46,16 @@ def attach_deciles(day: DataFrame) -> DataFrame:
     return with_decile(out, "median_dollar_volume_60", "volume_decile")
 
 
+def among_members(day: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows of securities that belonged to the universe in force on their date, with that
+    snapshot's dollar volume. Run it before the deciles: they rank members only.
+
+    `members`: date, security_key, median_dollar_volume_60.
+    """
+    kept = [c for c in day.columns if c != "median_dollar_volume_60"]
+    return day.select(*kept).join(members, ["date", "security_key"])
+
+
 def cell_sizes(day: DataFrame) -> DataFrame:
     """Eligible securities per decile cell and date: at most a hundred rows a date."""
     return (

@@ -18,6 +18,8 @@ REQUIRED_P = 0.01
 REQUIRED_FOLD_SHARE = 2 / 3
 FOLDS = 3
 PURGE_DAYS = 90
+#: Sessions before which features cannot fill and nothing is a candidate.
+WARMUP = 120
 HOLDOUT_FROM = dt.date(2025, 9, 19)
 HORIZON = "move_5d_atr"
 
@@ -112,17 +114,28 @@ def development_rows(rows: DataFrame, holdout_from: dt.date = HOLDOUT_FROM) -> D
     return rows.where(F.col("date") < F.lit(holdout_from))
 
 
-def warmed_up(sessions: DataFrame, warmup: int = 120) -> DataFrame:
+def warmed_up(sessions: DataFrame, warmup: int = WARMUP) -> DataFrame:
     """Sessions after the feature warm-up."""
     return sessions.where(F.col("session_no") >= warmup)
 
 
+def study_window(
+    rows: DataFrame, sessions: DataFrame, holdout_from: dt.date = HOLDOUT_FROM, warmup: int = WARMUP
+) -> tuple[DataFrame, DataFrame]:
+    """Rows and sessions after the warm-up and before the holdout."""
+    usable = warmed_up(development_rows(sessions, holdout_from), warmup)
+    return rows.join(F.broadcast(usable.select("date")), "date", "left_semi"), usable
+
+
 def verdict(
-    rows: DataFrame, sessions: DataFrame, families: tuple[str, ...], holdout_from: dt.date = HOLDOUT_FROM
-) -> DataFrame:
-    """One row: the estimate, in how many folds it holds under both readings, and the answer."""
-    usable = development_rows(sessions, holdout_from)
-    rows = development_rows(rows, holdout_from)
+    rows: DataFrame, sessions: DataFrame, families: tuple[str, ...],
+    holdout_from: dt.date = HOLDOUT_FROM, warmup: int = WARMUP,
+) -> DataFrame:
+    """One row: the estimate, in how many folds it holds under both readings, and the answer.
+
+    Nothing before the warm-up counts, in the estimate or in the folds.
+    """
+    rows, usable = study_window(rows, sessions, holdout_from, warmup)
     picked = picked_rows(with_fold(rows, usable), families, ("fold",))
     per_fold = clustered_estimate(
         daily_differences(picked.where(F.col("fold").isNotNull()), ("fold",)), ("fold",)

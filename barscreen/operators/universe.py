@@ -225,15 +225,26 @@ def attrition(
 
 def snapshot_in_force(days: DataFrame, snapshots: DataFrame) -> DataFrame:
     """For each day the latest rebalance on or before it. Both sides are calendar tables."""
-    w = Window.partitionBy(F.lit(0)).orderBy("rebalance_date")
-    spans = (
-        snapshots.select("rebalance_date")
-        .distinct()
-        .withColumn("_next", F.lead("rebalance_date").over(w))
-    )
-    day = F.col("date")
-    inside = (day >= F.col("rebalance_date")) & (F.col("_next").isNull() | (day < F.col("_next")))
-    return days.join(F.broadcast(spans), inside, "inner").drop("_next")
+    starts = snapshots.select("rebalance_date").distinct()
+    both = days.withColumn("rebalance_date", F.lit(None).cast("date")).unionByName(
+        starts.withColumn("date", F.col("rebalance_date")).select(*[
+            F.col(c) if c in ("date", "rebalance_date") else F.lit(None).cast(t).alias(c)
+            for c, t in days.dtypes + [("rebalance_date", "date")]
+        ]).withColumn("_start", F.lit(True)),
+        allowMissingColumns=True,
+    )
+    # One order over the calendar; a start sorts before the day it falls on.
+    w = Window.partitionBy(F.lit(0)).orderBy("date", F.col("_start").desc_nulls_last())
+    held = F.last("rebalance_date", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    found = both.withColumn("rebalance_date", held).where("_start is null and rebalance_date is not null")
+    return found.drop("_start")
+
+
+def members_in_force(days: DataFrame, snapshots: DataFrame, key: str = "security_key") -> DataFrame:
+    """(date, security_key, median_dollar_volume_60) of the snapshot governing each day."""
+    members = snapshots.select("rebalance_date", F.col(key).alias("security_key"), "median_dollar_volume_60")
+    in_force = snapshot_in_force(days.select("date").distinct(), snapshots)
+    return members.join(F.broadcast(in_force), "rebalance_date").drop("rebalance_date")
 
 
 def latest_per_security(snapshots: DataFrame) -> DataFrame:

@@ -5,16 +5,17 @@ The study runs on suppliers by week: a bar a supplier and week, so it grows with
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import functions as F
 
-from barscreen.functions import trailing as tr
 from barscreen.functions.orders import by_security, day_order
 from barscreen.operators import controls as ct
 from barscreen.operators import exits as ex
 from barscreen.operators import sampling as sp
 from barscreen.operators import study as sd
+from barscreen.operators import universe as un
 from barscreen.operators import volatility as vt
 from barscreen.operators import volume as vl
 from barscreen.plans import adapters as ad
@@ -22,18 +23,25 @@ from barscreen.plans import features as ft
 from barscreen.plans.catalog import base as b
 from barscreen.plans.catalog import features as cf
 from barscreen.plans.catalog import screens as cs
+from barscreen.plans.catalog import universe as cu
 from barscreen.plans.catalog.base import chain, query, select, tidy
 
 FAMILIES = ("family_a", "family_b")
 
+#: The study's universe: the rules of the universe queries, with as many members as pass.
+STUDY_RULES = dataclasses.replace(cu.RULES, top_n=400)
+MEMBERS = f"""mem AS MATERIALIZED (SELECT w.date, k.ticker AS security_key, k.median_dollar_volume_60
+  FROM (SELECT w2.date, max(r2.rebalance_date) AS r FROM weeks w2 JOIN (SELECT DISTINCT rebalance_date FROM failing WHERE failed_step IS NULL) r2 ON r2.rebalance_date <= w2.date GROUP BY 1) w
+  JOIN (SELECT *, row_number() OVER (PARTITION BY rebalance_date ORDER BY median_dollar_volume_60 DESC, ticker) AS rank FROM failing WHERE failed_step IS NULL) k
+    ON k.rebalance_date = w.r AND k.rank <= {STUDY_RULES.top_n})"""
 DAY = chain(
-    b.days("supplier", "week"), b.WEEKS, b.atr("days", "date", "aday", "s"), cf.DVOLUME,
-    f"""sday AS MATERIALIZED (SELECT a.*, a.atr20 AS daily_atr, v.vol_pct_d_20,
-    CASE WHEN count(close * volume) FILTER ({cf.VALID}) OVER w >= 40 THEN median(close * volume) FILTER ({cf.VALID}) OVER w END AS median_dollar_volume_60,
+    cu.RATED.split("picked AS")[0], MEMBERS, b.atr("days", "date", "aday", "s"), cf.DVOLUME,
+    """sday AS MATERIALIZED (SELECT a.*, a.atr20 AS daily_atr, v.vol_pct_d_20,
     CASE WHEN atr20 > 0 THEN (close - pc) / atr20 END AS ret_atr
-  FROM aday a JOIN dvol v USING (security_key, date) WINDOW w AS (PARTITION BY a.security_key ORDER BY a.date {b.frame(60)})),
+  FROM aday a JOIN dvol v USING (security_key, date)),
 fired AS MATERIALIZED (SELECT *, coalesce(vol_pct_d_20 >= 90 AND ret_atr >= 0, false) AS family_a, coalesce(vol_pct_d_20 >= 90 AND ret_atr < 0, false) AS family_b FROM sday),
-day AS MATERIALIZED (SELECT *, family_a OR family_b AS is_candidate FROM fired)""",
+day AS MATERIALIZED (SELECT f.*, m.median_dollar_volume_60, family_a OR family_b AS is_candidate FROM fired f JOIN mem m USING (date, security_key)),
+fire AS MATERIALIZED (SELECT d.*, CAST(s.slot AS INTEGER) AS slot FROM day d, (VALUES (0), (1)) s(slot) WHERE is_candidate AND (s.slot = 0 OR transactions % 2 = 0))""",
 )
 
 
@@ -49,32 +57,32 @@ DECILES = chain(
     _decile_sql("median_dollar_volume_60", "volume_decile"),
     """dec AS MATERIALIZED (SELECT day.*, atr_decile, volume_decile FROM day LEFT JOIN atr_decile_d USING (security_key, date) LEFT JOIN volume_decile_d USING (security_key, date))""",
 )
-MATCHED = """near AS (SELECT c.date, c.security_key AS candidate_key, e.security_key AS control_key,
+MATCHED = """near AS (SELECT c.date, c.security_key AS candidate_key, c.slot AS candidate_slot, e.security_key AS control_key,
     greatest(abs(c.atr_decile - e.atr_decile), abs(c.volume_decile - e.volume_decile)) AS w,
-    sha1(CAST(c.date AS VARCHAR) || '|' || c.security_key || '|0|' || e.security_key) AS digest
-  FROM dec c JOIN dec e ON e.date = c.date AND c.is_candidate AND NOT e.is_candidate
+    sha1(CAST(c.date AS VARCHAR) || '|' || c.security_key || '|' || c.slot || '|' || e.security_key) AS digest
+  FROM (SELECT dec.*, slot FROM dec JOIN (SELECT date, security_key, slot FROM fire) USING (date, security_key)) c JOIN dec e ON e.date = c.date AND c.is_candidate AND NOT e.is_candidate
     AND c.atr_decile IS NOT NULL AND c.volume_decile IS NOT NULL AND e.atr_decile IS NOT NULL AND e.volume_decile IS NOT NULL),
-width AS (SELECT date, candidate_key, CASE WHEN count(*) FILTER (w <= 0) >= 5 THEN 0 WHEN count(*) FILTER (w <= 1) >= 5 THEN 1
-    WHEN count(*) FILTER (w <= 2) >= 5 THEN 2 WHEN count(*) FILTER (w <= 3) >= 5 THEN 3 END AS widening FROM near GROUP BY 1, 2),
-matched AS MATERIALIZED (SELECT date, candidate_key, 0 AS candidate_slot, control_key, widening FROM (
-  SELECT *, row_number() OVER (PARTITION BY date, candidate_key ORDER BY digest) AS r FROM near JOIN width USING (date, candidate_key) WHERE w <= widening) WHERE r <= 5)"""
+width AS (SELECT date, candidate_key, candidate_slot, CASE WHEN count(*) FILTER (w <= 0) >= 5 THEN 0 WHEN count(*) FILTER (w <= 1) >= 5 THEN 1
+    WHEN count(*) FILTER (w <= 2) >= 5 THEN 2 WHEN count(*) FILTER (w <= 3) >= 5 THEN 3 END AS widening FROM near GROUP BY 1, 2, 3),
+matched AS MATERIALIZED (SELECT date, candidate_key, candidate_slot, control_key, widening FROM (
+  SELECT *, row_number() OVER (PARTITION BY date, candidate_key, candidate_slot ORDER BY digest) AS r FROM near JOIN width USING (date, candidate_key, candidate_slot) WHERE w <= widening) WHERE r <= 5)"""
 MATCHED_CTES = chain(DECILES, MATCHED)
 
 
 def _day_frame(spark, sf):
     days = by_security(ad.day_bars(spark, sf, "supplier", "week"))
     own = vl.daily_volume(vt.daily_volatility(days))
-    value = F.col("close") * F.col("volume")
     before = F.lag("close").over(day_order())
     own = own.withColumns(
         {
-            "median_dollar_volume_60": tr.trailing_median(value, vl.valid_bar(), day_order(), 60),
             "daily_atr": F.col("atr20_day"),
             "ret_atr": F.when(F.col("atr20_day") > 0, (F.col("close") - before) / F.col("atr20_day")),
         }
     )
     busy = F.coalesce(F.col("vol_pct_d_20") >= 90, F.lit(False))
-    return own.withColumns(
+    chosen = un.select_universe(cu.rated(spark, sf), STUDY_RULES)
+    members = un.members_in_force(ad.sessions_of(ad.day_bars(spark, sf, "supplier", "week")), chosen, "ticker")
+    return ct.among_members(own, members).withColumns(
         {
             "family_a": busy & F.coalesce(F.col("ret_atr") >= 0, F.lit(False)),
             "family_b": busy & F.coalesce(F.col("ret_atr") < 0, F.lit(False)),
@@ -92,7 +100,9 @@ def with_deciles(spark, sf):
 
 
 def firing(spark, sf):
-    return day_frame(spark, sf).where("is_candidate").withColumn("slot_index", F.lit(0))
+    """One or two bars of each candidate day: bars of one security draw their own controls."""
+    slots = F.when(F.col("transactions") % 2 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return day_frame(spark, sf).where("is_candidate").withColumn("slot_index", F.explode(slots))
 
 
 def matched(spark, sf):
@@ -103,8 +113,7 @@ def matched(spark, sf):
 
 @query(select(DECILES, "dec", "security_key date is_candidate atr_decile volume_decile"))
 def deciles(spark, sf):
-    found = ct.attach_deciles(_day_frame(spark, sf))
-    return found.select("security_key", "date", "is_candidate", "atr_decile", "volume_decile")
+    return with_deciles(spark, sf).select("security_key", "date", "is_candidate", "atr_decile", "volume_decile")
 
 
 CELLS = "cells AS (SELECT date, atr_decile, volume_decile, count(*) AS eligible FROM dec WHERE NOT is_candidate AND atr_decile IS NOT NULL AND volume_decile IS NOT NULL GROUP BY ALL)"
@@ -126,9 +135,9 @@ def matched_controls(spark, sf):
 
 
 @query(
-    f"""WITH RECURSIVE {MATCHED_CTES}, per AS (SELECT date, candidate_key, count(*) AS n FROM matched GROUP BY ALL)
-SELECT (SELECT count(*) FROM day WHERE is_candidate) AS candidates, (SELECT count(*) FROM per WHERE n >= 5) AS matched,
-  (SELECT count(*) FROM day WHERE is_candidate) - (SELECT count(*) FROM per) AS unmatched, count(*) FILTER (widening = 0) AS exact,
+    f"""WITH RECURSIVE {MATCHED_CTES}, per AS (SELECT date, candidate_key, candidate_slot, count(*) AS n FROM matched GROUP BY ALL)
+SELECT (SELECT count(*) FROM fire) AS candidates, (SELECT count(*) FROM per WHERE n >= 5) AS matched,
+  (SELECT count(*) FROM fire) - (SELECT count(*) FROM per) AS unmatched, count(*) FILTER (widening = 0) AS exact,
   count(*) FILTER (widening > 0) AS widened, round(avg(widening), 6) + 0.0 AS mean_widening FROM matched"""
 )
 def match_summary(spark, sf):
@@ -219,7 +228,7 @@ sbars AS (SELECT *, 0 AS slot_index FROM days)""",
     _walk_sql("sig", "sbars", "weeks"),
     """evf AS (SELECT security_key, date, CASE WHEN CAST(volume AS BIGINT) % 7 <> 0 THEN transactions >= 3 END AS any_event FROM days),
 outc AS MATERIALIZED (SELECT k.*, e.any_event, w.* EXCLUDE (security_key, date) FROM (
-    SELECT 'candidate' AS kind, security_key, security_key AS requested_ticker, date, 0 AS slot_index, family_a, family_b, CAST(NULL AS VARCHAR) AS matched_candidate_key, -1 AS matched_candidate_slot, -1 AS widening FROM day WHERE is_candidate
+    SELECT 'candidate' AS kind, security_key, security_key AS requested_ticker, date, slot AS slot_index, family_a, family_b, CAST(NULL AS VARCHAR) AS matched_candidate_key, -1 AS matched_candidate_slot, -1 AS widening FROM fire
     UNION ALL SELECT 'control', control_key, NULL, date, -1, false, false, candidate_key, candidate_slot, widening FROM matched) k
   LEFT JOIN evf e USING (security_key, date) LEFT JOIN walked w USING (security_key, date))""",
 )
@@ -249,7 +258,7 @@ def outcomes(spark, sf):
 
 # --- statistics -----------------------------------------------------------------
 
-PICKED = """picked AS (SELECT date, kind, move_5d_atr FROM outc WHERE kind = 'candidate' AND (family_a OR family_b)
+PICKED = """studied AS (SELECT date, kind, move_5d_atr FROM outc WHERE kind = 'candidate' AND (family_a OR family_b)
   UNION ALL SELECT o.date, o.kind, o.move_5d_atr FROM outc o WHERE o.kind = 'control' AND EXISTS (SELECT 1 FROM outc c WHERE c.kind = 'candidate' AND (c.family_a OR c.family_b)
     AND c.date = o.date AND c.security_key = o.matched_candidate_key AND c.slot_index = o.matched_candidate_slot))"""
 
@@ -263,13 +272,13 @@ def _estimate(rows: str, into: str, by: str = "") -> str:
     avg(control_mean) AS control_mean, avg(candidate_mean - control_mean) AS edge, stddev_samp(candidate_mean - control_mean) / sqrt(count(*)) AS standard_error FROM {into}_day WHERE candidates > 0 AND controls > 0 {group}))"""
 
 
-@query(select(chain(OUTCOMES, PICKED, _estimate("picked", "est")), "est", "dates candidates controls", "candidate_mean control_mean edge standard_error t"))
+@query(select(chain(OUTCOMES, PICKED, _estimate("studied", "est")), "est", "dates candidates controls", "candidate_mean control_mean edge standard_error t"))
 def clustered_difference(spark, sf):
     return tidy(sd.clustered_difference(stored_outcomes(spark, sf), FAMILIES).drop("p"))
 
 
 @query(
-    f"""WITH RECURSIVE {chain(OUTCOMES, PICKED, _estimate('picked', 'est'))}
+    f"""WITH RECURSIVE {chain(OUTCOMES, PICKED, _estimate('studied', 'est'))}
 SELECT round(t, 6) + 0.0 AS t, round(1 - 2 / sqrt(pi()) * (SELECT sum(pow(-1, n) * pow(abs(t) / sqrt(2), 2 * n + 1) / (gamma(n + 1) * (2 * n + 1)))
   FROM (SELECT unnest(range(81)) AS n)), 6) + 0.0 AS p FROM est"""
 )
@@ -279,16 +288,17 @@ def clustered_p_value(spark, sf):
 
 
 HOLDOUT = dt.date(2001, 1, 1)
-FOLDED = f"""span AS (SELECT min(date) AS first, (date_diff('day', min(date), max(date)) - 180) // 3 AS len FROM weeks WHERE date < DATE '{HOLDOUT}'),
+FOLDED = f"""usable AS (SELECT date FROM weeks WHERE session_no >= 120 AND date < DATE '{HOLDOUT}'),
+span AS (SELECT min(date) AS first, (date_diff('day', min(date), max(date)) - 180) // 3 AS len FROM usable),
 folded AS (SELECT o.*, CASE WHEN date >= first AND (date_diff('day', first, date) // (len + 90)) < 3 AND date_diff('day', first, date) % (len + 90) < len
-    THEN CAST(date_diff('day', first, date) // (len + 90) AS INTEGER) END AS fold FROM outc o, span WHERE date < DATE '{HOLDOUT}')"""
+    THEN CAST(date_diff('day', first, date) // (len + 90) AS INTEGER) END AS fold FROM outc o, span WHERE date IN (SELECT date FROM usable))"""
 
 
 @query(f"WITH RECURSIVE {chain(OUTCOMES, FOLDED)} SELECT fold, kind, count(*) AS n, min(date) AS first_date, max(date) AS last_date FROM folded GROUP BY ALL")
 def walk_forward_folds(spark, sf):
-    sessions = sd.development_rows(ad.sessions_of(ad.day_bars(spark, sf, "supplier", "week")), HOLDOUT)
-    rows = sd.with_fold(sd.development_rows(stored_outcomes(spark, sf), HOLDOUT), sessions)
-    return rows.groupBy("fold", "kind").agg(
+    sessions = ad.sessions_of(ad.day_bars(spark, sf, "supplier", "week"))
+    rows, usable = sd.study_window(stored_outcomes(spark, sf), sessions, HOLDOUT)
+    return sd.with_fold(rows, usable).groupBy("fold", "kind").agg(
         F.count(F.lit(1)).alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date")
     )
 
@@ -307,7 +317,7 @@ SURE = "abs(t) > 2.575829303548901"
 
 
 @query(
-    f"""WITH RECURSIVE {chain(OUTCOMES, FOLDED, DEV, _estimate('picked', 'est'), _estimate('(SELECT * FROM picked WHERE fold IS NOT NULL)', 'fest', 'fold'))}
+    f"""WITH RECURSIVE {chain(OUTCOMES, FOLDED, DEV, _estimate('studied', 'est'), _estimate('(SELECT * FROM studied WHERE fold IS NOT NULL)', 'fest', 'fold'))}
 SELECT dates, candidates, controls, round(edge, 6) + 0.0 AS edge, round(t, 6) + 0.0 AS t, f.folds_effect, f.folds_whole, coalesce(edge >= 0.15, false) AS edge_ok, coalesce({SURE}, false) AS p_ok,
   f.folds_effect / 3.0 >= 2.0 / 3 AS folds_ok, coalesce(edge >= 0.15, false) AND coalesce({SURE}, false) AND f.folds_effect / 3.0 >= 2.0 / 3 AS earned
 FROM est, (SELECT CAST(count(*) FILTER (edge >= 0.15) AS BIGINT) AS folds_effect, CAST(count(*) FILTER (edge >= 0.15 AND {SURE}) AS BIGINT) AS folds_whole FROM fest) f"""
