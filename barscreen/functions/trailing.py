@@ -137,7 +137,7 @@ def span_total(value: Column, window: WindowSpec, n: int) -> Column:
 
 
 def span_all(flag: Column, window: WindowSpec, n: int) -> Column:
-    """Whether this row and the n-1 before it are all true."""
+    """True where the flag has held for n rows in a row, the current one included."""
     hits = F.count(F.when(flag, F.lit(1))).over(window.rowsBetween(-(n - 1), 0))
     return hits == n
 

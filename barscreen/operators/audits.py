@@ -45,7 +45,7 @@ def _count(condition: Column) -> Column:
 
 
 def filing_coverage(traded: DataFrame, filings: DataFrame, sessions: DataFrame) -> DataFrame:
-    """How many sessions each traded session is from the security's last filing, as a state.
+    """`gap_sessions` since the latest filing per traded session, and the state that gap means.
 
     A filing on a day without trading counts from the next session; one before the first
     session or after the last says nothing. `traded`: security_key, date, session_no.

@@ -60,7 +60,7 @@ def regular_hours(slotted: DataFrame) -> DataFrame:
 
 
 def identities(slotted: DataFrame) -> DataFrame:
-    """Every security with data in a session, including pre-market only."""
+    """(security, symbol, session) of all minutes, inside and outside trading hours alike."""
     return slotted.select(*IDENTITY, "date").distinct()
 
 

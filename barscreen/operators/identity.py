@@ -59,10 +59,11 @@ def change_intervals(identities: DataFrame) -> DataFrame:
 
 
 def segments(identities: DataFrame, start: Column, end: Column) -> DataFrame:
-    """`start`..`end` cut into runs of dates under one symbol.
+    """(security_key, ticker, start, end): which symbol to ask for on which dates.
 
-    The first symbol also covers the time before its change; neighbours with the same symbol
-    are one run. A history that is not "ok" is one run under the requested symbol.
+    A symbol holds from its change to the day before the next one, the first from `start` on,
+    and repeats of one symbol are merged. Where the history is not "ok" the requested symbol
+    stands for the whole span.
     """
     rows = identities.withColumns({"_start": start, "_end": end}).where("_start <= _end")
     whole = rows.where(F.col("status") != "ok").select(

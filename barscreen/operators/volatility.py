@@ -29,7 +29,7 @@ def with_true_range(bars: DataFrame, order: WindowSpec) -> DataFrame:
 def with_wilder_atr(
     bars: DataFrame, order_by: list[str], into: str, period: int = ATR_PERIOD
 ) -> DataFrame:
-    """Wilder's ATR as it stood after the previous bar.
+    """`into`: the averaged true range known when a bar opens.
 
     The recursion `a' = a + (range - a) / period`, started from the mean of the first `period`
     known ranges, is a weighted sum: each range counts 1/period and fades by (1 - 1/period) a

@@ -74,22 +74,39 @@ def _condition(family: str, name: str, value: str, sense: str, limit) -> str:
     )
 
 
+def _touch(n: str) -> str:
+    return f"CASE WHEN {n} <= 0 OR drop_atr >= {n} THEN abs({n}) END"
+
+
+def _levels():
+    for family, levels, limit in (("A", pt.A_LEVELS, "a_location_atr"), ("B", pt.B_LEVELS, "b_location_atr")):
+        for n in levels:
+            near = f"abs({n})" if family == "A" else _touch(n)
+            yield _condition(family, n, n, "<=", L[limit]).replace(f"coalesce({n} <=", f"coalesce({near} <=")
+
+
 @query(
-    f"WITH RECURSIVE {HOURLY_CTES} "
+    f"WITH RECURSIVE {MARKED_CTES} "
     + " UNION ALL ".join(
-        _condition(*c)
-        for c in (
-            ("A", "vol_pct_slot_60", "vol_pct_slot_60", ">=", L["min_vol_pct"]),
-            ("A", "spread_atr", "spread_atr", "<=", L["a_max_spread_atr"]),
-            ("A", "abs_ret_atr", "abs(ret_atr)", "<=", L["a_max_ret_atr"]),
-            ("A", "abs_resid_ret_atr", "abs(resid_ret_atr)", "<=", L["a_max_resid_ret_atr"]),
-            ("A", "nearest_level", _nearest(pt.A_LEVELS), "<=", L["a_location_atr"]),
-            ("B", "vol_pct_slot_60", "vol_pct_slot_60", ">=", L["min_vol_pct"]),
-            ("B", "upper_wick_frac", "upper_wick_frac", ">=", L["b_min_upper_wick_frac"]),
-            ("B", "close_loc", "close_loc", "<=", L["b_max_close_loc"]),
-            ("B", "nearest_level", _nearest(pt.B_LEVELS), "<=", L["b_location_atr"]),
-        )
-    )
+        [
+            _condition(*c)
+            for c in (
+                ("A", "vol_pct_slot_60", "vol_pct_slot_60", ">=", L["min_vol_pct"]),
+                ("A", "spread_atr", "spread_atr", "<=", L["a_max_spread_atr"]),
+                ("A", "abs_ret_atr", "abs(ret_atr)", "<=", L["a_max_ret_atr"]),
+                ("A", "abs_resid_ret_atr", "abs(resid_ret_atr)", "<=", L["a_max_resid_ret_atr"]),
+                ("A", "low_quality", "CAST(low_quality AS DOUBLE)", "<=", 0),
+                ("A", "nearest_level", _nearest(pt.A_LEVELS), "<=", L["a_location_atr"]),
+                ("B", "vol_pct_slot_60", "vol_pct_slot_60", ">=", L["min_vol_pct"]),
+                ("B", "upper_wick_frac", "upper_wick_frac", ">=", L["b_min_upper_wick_frac"]),
+                ("B", "close_loc", "close_loc", "<=", L["b_max_close_loc"]),
+                ("B", "failed_new_high", "CAST(failed_new_high AS DOUBLE)", ">=", 1),
+                ("B", "low_quality", "CAST(low_quality AS DOUBLE)", "<=", 0),
+                ("B", "tested_level", f"least({', '.join(map(_touch, pt.B_LEVELS))})", "<=", L["b_location_atr"]),
+            )
+        ]
+        + list(_levels())
+    ).replace("FROM feat", "FROM low")
 )
 def condition_report(spark, sf):
     return tidy(pt.explain_conditions(stored_features(spark, sf), LIMITS))

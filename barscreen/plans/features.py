@@ -43,7 +43,7 @@ PRICES = ("open", "high", "low", "close", "volume")
 
 
 def daily_atr(daily: DataFrame) -> DataFrame:
-    """Each session's daily ATR through the session before."""
+    """`daily_atr` per session: the averaged range as of the previous close."""
     return vt.with_wilder_atr(vt.with_true_range(daily, day_order()), ["date"], "daily_atr").drop(
         "true_range"
     )
@@ -118,7 +118,7 @@ def daily_features(
     raw_bars: DataFrame | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The features that apply to daily bars."""
+    """One row a daily bar with its volume, range, progress, market and level measures."""
     bars = by_security(bars)
     own = vl.daily_volume(vt.geometry(vt.daily_volatility(bars)))
     own = pg.progress(own, hourly=False)
