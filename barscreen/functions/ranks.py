@@ -77,10 +77,34 @@ def top_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: in
     """The first `k` rows of each group.
 
     `row_number() <= k` lets Spark keep only k rows a group in every task before the shuffle, so
-    a group of any size arrives as k rows a task.
+    a group of any size arrives as k rows a task. Spark does so up to a limit; a larger k, which
+    would sort a whole group in one task, is refused.
     """
+    most = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k > most:
+        raise ValueError(f"top {k} of a group is more than spark.sql.optimizer.windowGroupLimitThreshold ({most})")
     return (
         df.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
         .where(F.col("_n") <= k)
         .drop("_n")
     )
+
+
+def first_by_digest(df: DataFrame, digest: Column, ties: Sequence[str], wanted: DataFrame) -> DataFrame:
+    """The first n rows of a whole table by (`digest`, `ties`), n from the one-row, one-column
+    `wanted`.
+
+    Rows are counted by the digest's first four hex digits: at most 65,536 counts say which
+    buckets are wanted whole and which one partly, and only rows within a bucket are ordered.
+    """
+    marked = df.withColumn("_d", digest).withColumn("_bucket", F.substring("_d", 1, 4))
+    counts = marked.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_here"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    limit = F.broadcast(wanted.toDF("_wanted"))
+    starts = counts.withColumn("_before", F.coalesce(F.sum("_here").over(earlier), F.lit(0))).crossJoin(limit)
+    starts = F.broadcast(starts.where("_before < _wanted").drop("_here"))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("_bucket").orderBy("_d", *ties))
+    return (
+        marked.join(starts, "_bucket").withColumn("_place", place).where("_place <= _wanted")
+        .select(*df.columns)
+    )

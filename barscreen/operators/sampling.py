@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barscreen.functions.ranks import top_rows
+from barscreen.functions.ranks import first_by_digest, top_rows
 from barscreen.operators import bars as bo
 from barscreen.schema import require
 
@@ -76,15 +76,8 @@ def due_for_retest(shown: DataFrame, today, seed: str) -> DataFrame:
         (F.col("shown_on") <= F.date_sub(F.lit(today), RETEST_GAP_DAYS))
         & ~F.coalesce("is_retest", F.lit(False))
     )
-    total = F.broadcast(
-        shown.agg(F.bround(F.count(F.lit(1)) * F.lit(RETEST_SHARE)).alias("_wanted"))
-    )
-    ranked = ripe.withColumn("_d", digest(f"{seed}|retest")).withColumn(
-        "_place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_d", *BAR))
-    )
-    return ranked.crossJoin(total).where(F.col("_place") <= F.col("_wanted")).drop(
-        "_d", "_place", "_wanted"
-    )
+    total = shown.agg(F.bround(F.count(F.lit(1)) * F.lit(RETEST_SHARE)).alias("_wanted"))
+    return first_by_digest(ripe, digest(f"{seed}|retest"), BAR, total)
 
 
 def unlabelled(pool: DataFrame, labels: DataFrame) -> DataFrame:
@@ -183,34 +176,63 @@ def label_summary(labels: DataFrame) -> DataFrame:
     )
 
 
+#: Sequences of answers are cut at this many seconds, and the pieces' edges are put together.
+PIECE_SECONDS = 3600
+
+
+def _in_pieces(labels: DataFrame, per: tuple[str, ...], order: str) -> tuple[DataFrame, list[str]]:
+    """Answered labels with `_per` (one value if nothing sets labellers apart) and `_piece`."""
+    seconds = F.unix_seconds(F.col(order).cast("timestamp"))
+    known = labels.where(F.col(order).isNotNull()).withColumn("_piece", F.floor(seconds / PIECE_SECONDS))
+    return known, [*per, "_piece"]
+
+
 def longest_run(labels: DataFrame, order: str = "answered_at", per: tuple[str, ...] = ()) -> DataFrame:
     """The longest stretch of identical answers, by gaps and islands.
 
-    `per` names the labeller (and session) a sequence belongs to. One person's labels are few;
-    they are hand-made.
+    `per` names the labeller (and session) a sequence belongs to. Islands are found within
+    pieces of time; a stretch can go on only from a piece's last island to the next piece's
+    first, so just these two rows a piece are ordered over the whole sequence.
     """
-    w = Window.partitionBy(*per).orderBy(order) if per else Window.partitionBy(F.lit(0)).orderBy(order)
-    turned = F.coalesce(F.lag("response").over(w) != F.col("response"), F.lit(True))
-    island = F.sum("_turned").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return (
-        labels.withColumn("_turned", turned.cast("int"))
-        .withColumn("_island", island)
-        .groupBy(*per, "_island")
-        .agg(F.count(F.lit(1)).alias("_run"))
-        .groupBy(*per)
-        .agg(F.max("_run").alias("longest_run"))
+    known, piece = _in_pieces(labels, per, order)
+    w = Window.partitionBy(*piece).orderBy(order)
+    turned = F.coalesce(~F.lag("response").over(w).eqNullSafe(F.col("response")), F.lit(True))
+    islands = (
+        known.withColumn("_turned", turned.cast("int"))
+        .withColumn("_island", F.sum("_turned").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*piece, "_island")
+        .agg(F.count(F.lit(1)).alias("_run"), F.first("response").alias("response"))
+        .withColumn("_last", F.max("_island").over(Window.partitionBy(*piece)))
+    )
+    edges = islands.where((F.col("_island") == 1) | (F.col("_island") == F.col("_last")))
+    along = Window.partitionBy(*(per or [F.lit(0)])).orderBy("_piece", "_island")
+    goes_on = (F.col("_island") == 1) & F.lag("response").over(along).eqNullSafe(F.col("response"))
+    goes_on = goes_on & F.lag(F.lit(1)).over(along).isNotNull()
+    joined = (
+        edges.withColumn("_new", (~goes_on).cast("int"))
+        .withColumn("_stretch", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*per, "_stretch")
+        .agg(F.sum("_run").alias("_run"))
+        .drop("_stretch")
     )
+    both = joined.unionByName(islands.select(*per, "_run"))
+    return both.groupBy(*per).agg(F.max("_run").alias("longest_run"))
 
 
 def label_pace(labels: DataFrame, per: tuple[str, ...] = ()) -> DataFrame:
-    """The middle gap between answers under ten minutes apart, and how many were too quick."""
-    w = Window.partitionBy(*per).orderBy("answered_at") if per else Window.partitionBy(F.lit(0)).orderBy("answered_at")
-    gap = F.timestamp_diff("SECOND", F.lag("answered_at").over(w), F.col("answered_at"))
-    gaps = (
-        labels.where(F.col("answered_at").isNotNull())
-        .withColumn("gap", gap)
-        .where(F.col("gap") < PAUSE_SECONDS)
-    )
+    """The middle gap between answers under ten minutes apart, and how many were too quick.
+
+    Gaps within a piece of time come from the piece, those between pieces from its ends.
+    """
+    known, piece = _in_pieces(labels, per, "answered_at")
+    w = Window.partitionBy(*piece).orderBy("answered_at")
+    since = lambda before, after: F.timestamp_diff("SECOND", before, after)
+    inside = known.withColumn("gap", since(F.lag("answered_at").over(w), F.col("answered_at")))
+    ends = known.groupBy(*piece).agg(F.min("answered_at").alias("_from"), F.max("answered_at").alias("_to"))
+    along = Window.partitionBy(*(per or [F.lit(0)])).orderBy("_piece")
+    between = ends.withColumn("gap", since(F.lag("_to").over(along), F.col("_from")))
+    gaps = inside.select(*per, "gap").unionByName(between.select(*per, "gap"))
+    gaps = gaps.where(F.col("gap") < PAUSE_SECONDS)
     return gaps.groupBy(*per).agg(
         F.count(F.lit(1)).alias("gaps"),
         # The upper middle element, as an exact order statistic of whole seconds.

@@ -116,7 +116,7 @@ def market_bars(spark: SparkSession, sf: str, session: str = "week") -> tuple[Da
 
 
 def sessions_of(bars: DataFrame) -> DataFrame:
-    return cal.session_dimension(bars.select("date", "is_half_day"))
+    return cal.session_dimension(bars.select("date", "is_half_day").distinct())
 
 
 def event_minutes(spark: SparkSession, sf: str) -> DataFrame:

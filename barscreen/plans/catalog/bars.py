@@ -275,15 +275,15 @@ def split_adjusted_bars(spark, sf):
 
 @query(
     f"""WITH {SPLITS}, fetched AS (SELECT ticker AS requested_ticker, execution_date, split_from, split_to,
-    CAST(o_orderdate AS DATE) AS fetched, o_orderpriority AS note
-  FROM splits JOIN supplier ON ticker = 'S' || s_suppkey JOIN orders ON o_custkey % 100 = s_suppkey % 100)
+    execution_date + CAST(30 * unnest(range(1 + CAST(substr(ticker, 2) AS INTEGER) % 4)) AS INTEGER) AS fetched FROM splits)
 SELECT requested_ticker, execution_date, split_from, split_to, max(fetched) AS fetched
 FROM fetched GROUP BY ALL"""
 )
 def newest_splits(spark, sf):
-    orders = ad.table(spark, sf, "orders").select(
-        (F.col("o_custkey") % 100).alias("_k"), F.col("o_orderdate").cast("date").alias("fetched")
-    )
-    splits = ad.splits(spark, sf).withColumn("_k", F.substring("ticker", 2, 20).cast("bigint") % 100)
-    fetched = splits.withColumnRenamed("ticker", "requested_ticker").join(orders, "_k").drop("_k")
+    """Every split was fetched one to four times, a month apart."""
+    times = F.sequence(F.lit(0), (F.substring("ticker", 2, 20).cast("bigint") % 4).cast("int"))
+    fetched = ad.splits(spark, sf).withColumn("_n", F.explode(times)).select(
+        F.col("ticker").alias("requested_ticker"), "execution_date", "split_from", "split_to",
+        F.date_add("execution_date", 30 * F.col("_n")).alias("fetched"),
+    )
     return adjust.newest_fetch(fetched)

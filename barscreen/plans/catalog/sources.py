@@ -45,8 +45,9 @@ def minute_json(spark, sf):
         F.floor(micros / 1000).alias("t"), value.alias("o"), value.alias("h"), value.alias("l"),
         value.alias("c"), F.lit(1.0).alias("v"), value.alias("vw"), F.col("event_id").alias("n"),
     )
-    raw = events.select(F.from_json(F.to_json(row), landed.MINUTES_JSON).alias("r")).select("r.*")
-    kept = landed.minute_rows(raw, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+    path = scratch(spark, "minutes")
+    events.select(F.to_json(row)).write.text(path)
+    kept = landed.read_minutes(spark, path, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
     return kept.select("security_key", "timestamp_utc", "date_et", "close", "volume", "transactions")
 
 
@@ -62,8 +63,43 @@ def grouped_daily(spark, sf):
             F.col("transactions").alias("n"), F.lit(True).alias("otc"),
         )
     )
-    raw = bars.select(F.from_json(sent, landed.GROUPED_JSON).alias("r")).select("r.*")
-    return landed.grouped_daily(raw, dt.date(1998, 6, 15)).drop("vwap")
+    path = scratch(spark, "grouped")
+    bars.select(sent).write.text(path)
+    return landed.read_grouped_daily(spark, path, dt.date(1998, 6, 15)).drop("vwap")
+
+
+@query(f"""WITH {cu.RATED} SELECT rebalance_date, ticker, rank, median_dollar_volume_60 FROM keyed""")
+def snapshot_store(spark, sf):
+    """Write the snapshots in two goes, each rebalance once, and read the table back."""
+    root = scratch(spark, "universe")
+    chosen = b.stored(spark, sf, "universe", lambda: cu.selected(spark, sf))
+    rows = chosen.select("rebalance_date", "ticker", "rank", "median_dollar_volume_60")
+    late = F.col("rebalance_date") >= F.lit("1998-01-01").cast("date")
+    store.write_snapshots(rows.where(~late), root)
+    store.write_snapshots(rows.where(late), root)
+    return spark.read.parquet(root)
+
+
+DIVIDENDS = """dividends AS (SELECT 'S' || ps AS ticker, DATE '1995-03-01' + CAST(91 * q + ps % 60 AS INTEGER) AS ex_dividend_date,
+    round(cost / 100, 4) AS cash_amount, ['CD', 'SC'][CAST(q % 2 + 1 AS INTEGER)] AS dividend_type, 4 AS frequency
+  FROM (SELECT s_suppkey AS ps, abs(s_acctbal) AS cost FROM supplier), (SELECT unnest(range(12)) AS q))"""
+
+
+@query(f"WITH {DIVIDENDS} SELECT ticker, ex_dividend_date, cash_amount, dividend_type, frequency, DATE '2002-01-01' AS fetched FROM dividends")
+def dividends(spark, sf):
+    """Dividends landed as JSON, stored by the day they were fetched, and read back."""
+    k = F.col("s_suppkey")
+    rows = ad.table(spark, sf, "supplier").withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(11))))
+    sent = F.struct(
+        F.concat(F.lit("S"), k.cast("string")).alias("ticker"),
+        F.date_add(F.lit("1995-03-01").cast("date"), (91 * F.col("q") + k % 60).cast("int")).cast("string").alias("ex_dividend_date"),
+        F.round(F.abs("s_acctbal") / 100, 4).alias("cash_amount"),
+        F.get(F.array(F.lit("CD"), F.lit("SC")), F.col("q") % 2).alias("dividend_type"), F.lit(4).alias("frequency"),
+    )
+    path, root = scratch(spark, "dividends"), scratch(spark, "actions")
+    rows.select(F.to_json(sent)).write.text(path)
+    store.write_actions(landed.read_dividends(spark, path, dt.date(2002, 1, 1)), root, "dividends")
+    return store.read_dataset(spark, root, "dividends")
 
 
 @query("SELECT last_day(l_shipdate) AS date, 'S' || l_suppkey AS ticker, min('X' || l_partkey) AS composite_figi FROM lineitem GROUP BY 1, 2")
@@ -221,7 +257,7 @@ def session_store(spark, sf):
 def _parts(spark, sf):
     root = scratch(spark, "raw")
     bars = cu.supplier_bars(spark, sf).select("security_key", "date", "close", "volume")
-    bars.repartition(4, "security_key").write.parquet(f"{root}/parts")
+    bars.hint("rebalance", "security_key").write.parquet(f"{root}/parts")
     store.write_manifests(spark, f"{root}/parts", f"{root}/manifests", "run-1")
     return f"{root}/parts", f"{root}/manifests"
 
@@ -275,8 +311,8 @@ def new_part_rows(spark, sf):
 
 @query(
     """WITH parts AS (SELECT DISTINCT CAST(date_trunc('week', l_shipdate) AS DATE) AS date, 'part-' || (l_suppkey % 5) AS file, l_suppkey % 5 AS k FROM lineitem),
-now AS (SELECT date, sha1(string_agg(file, chr(10) ORDER BY file)) AS parts_digest FROM parts GROUP BY 1),
-built AS (SELECT date, sha1(string_agg(file, chr(10) ORDER BY file)) AS parts_digest FROM parts WHERE month(date) <> 5 AND (year(date) <> 1997 OR k < 3) GROUP BY 1)
+now AS (SELECT date, count(*) || '-' || sum(('0x' || substr(sha1(file), 1, 13))::BIGINT) AS parts_digest FROM parts GROUP BY 1),
+built AS (SELECT date, count(*) || '-' || sum(('0x' || substr(sha1(file), 1, 13))::BIGINT) AS parts_digest FROM parts WHERE month(date) <> 5 AND (year(date) <> 1997 OR k < 3) GROUP BY 1)
 SELECT n.date, n.parts_digest FROM now n LEFT JOIN built b ON b.date = n.date AND b.parts_digest = n.parts_digest WHERE b.date IS NULL"""
 )
 def stale_sessions(spark, sf):

@@ -18,6 +18,9 @@ SHORT_NAMES = {
     "o": "open", "h": "high", "l": "low", "c": "close", "v": "volume", "vw": "vwap",
     "n": "transactions",
 }
+DIVIDENDS_JSON = (
+    "ticker string, ex_dividend_date date, cash_amount double, dividend_type string, frequency int"
+)
 FILINGS_JSON = (
     "struct<form:array<string>,accessionNumber:array<string>,filingDate:array<string>,"
     "acceptanceDateTime:array<string>,items:array<string>>"
@@ -106,6 +109,12 @@ def corporate_actions(splits: DataFrame, fetched) -> DataFrame:
     ).withColumn("fetched", F.lit(fetched).cast("date"))
 
 
+def read_dividends(spark: SparkSession, path: str, fetched) -> DataFrame:
+    """Landed dividends with the day of the fetch."""
+    rows = spark.read.schema(DIVIDENDS_JSON).json(path)
+    return nan_to_null(rows.withColumn("fetched", F.lit(fetched).cast("date")))
+
+
 def changes_table(identities: DataFrame) -> DataFrame:
     """Ticker changes in long form, for storing."""
     return identities.select("requested", "composite_figi", F.inline("changes"))

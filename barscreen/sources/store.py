@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barscreen.operators.adjust import split_adjust
 from barscreen.schema import nan_to_null
 
-MANIFEST = "file string, rows bigint, sha256 string, run_id string"
+MANIFEST = "file string, rows bigint, digest string, run_id string"
 MACRO_CSV = "date date, kind string, time_et string, source string, note string"
 LABELS_JSON = (
     "security_key string, date date, slot_index int, stratum string, weight double, "
@@ -25,26 +26,28 @@ def read_manifests(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(MANIFEST).json(folder)
 
 
-def checksums(spark: SparkSession, folder: str) -> DataFrame:
-    """Name and SHA-256 of every part, taken where the files are read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.parquet").load(folder)
-    return files.select(file_name(F.col("path")).alias("file"), F.sha2("content", 256).alias("_now"))
-
-
 def _parts(spark: SparkSession, folder: str) -> DataFrame:
-    parts = spark.read.option("pathGlobFilter", "part-*.parquet").parquet(folder)
+    parts = spark.read.option("pathGlobFilter", "*.parquet").parquet(folder)
     return parts.select("*", F.col("_metadata.file_name").alias("_file"))
 
 
-def write_manifests(spark: SparkSession, parts: str, manifests: str, run_id: str) -> None:
-    """Record the rows and checksum of every part that has no manifest yet."""
-    counts = _parts(spark, parts).groupBy(F.col("_file").alias("file")).agg(
-        F.count(F.lit(1)).alias("rows")
+def checksums(rows: DataFrame) -> DataFrame:
+    """(file, rows, digest) of every part, from its rows, whatever its size.
+
+    The digest adds up two 60-bit pieces of the SHA-256 of each row, so it needs no order and
+    sums up where rows are read.
+    """
+    row = F.sha2(F.to_json(F.struct(*[c for c in rows.columns if c != "_file"])), 256)
+    piece = lambda at: F.sum(F.conv(F.substring(row, at, 15), 16, 10).cast("decimal(38,0)"))
+    return rows.groupBy(F.col("_file").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.concat_ws("-", piece(1), piece(16)).alias("digest")
     )
+
+
+def write_manifests(spark: SparkSession, parts: str, manifests: str, run_id: str) -> None:
+    """Record the rows and checksum of every part."""
     (
-        checksums(spark, parts)
-        .withColumnRenamed("_now", "sha256")
-        .join(counts, "file")
+        checksums(_parts(spark, parts))
         .withColumn("run_id", F.lit(run_id))
         .write.mode("append")
         .json(manifests)
@@ -52,9 +55,21 @@ def write_manifests(spark: SparkSession, parts: str, manifests: str, run_id: str
 
 
 def read_complete_parts(spark: SparkSession, parts: str, manifests: str) -> DataFrame:
-    """All parts of a partition that have a manifest; the others are unfinished."""
-    listed = read_manifests(spark, manifests).select(F.col("file").alias("_file"))
-    return nan_to_null(_parts(spark, parts).join(listed, "_file", "left_semi").drop("_file"))
+    """All parts of a partition that have a manifest; the others are unfinished.
+
+    The query fails if a listed part is absent or its rows differ from its manifest: that costs
+    one more pass over the parts.
+    """
+    rows = _parts(spark, parts)
+    listed = read_manifests(spark, manifests).select("file", F.col("digest").alias("_listed"))
+    now = checksums(rows).select("file", "digest")
+    refused = lambda why: F.raise_error(F.concat(F.lit(why), F.col("file"))).cast("string")
+    checked = listed.join(now, "file", "left").select(
+        F.when(F.col("digest").isNull(), refused("a listed part is absent: "))
+        .when(F.col("digest") != F.col("_listed"), refused("a part has changed: "))
+        .otherwise(F.col("file")).alias("_file")
+    )
+    return nan_to_null(rows.join(checked, "_file", "left_semi").drop("_file"))
 
 
 def audit_manifests(spark: SparkSession, parts: str, manifests: str) -> DataFrame:
@@ -63,14 +78,15 @@ def audit_manifests(spark: SparkSession, parts: str, manifests: str) -> DataFram
     Only names and digests are shuffled.
     """
     state = (
-        F.when(F.col("sha256").isNull(), "orphan")
+        F.when(F.col("digest").isNull(), "orphan")
         .when(F.col("_now").isNull(), "absent")
-        .when(F.col("_now") == F.col("sha256"), "ok")
+        .when(F.col("_now") == F.col("digest"), "ok")
         .otherwise("changed")
     )
     known = read_manifests(spark, manifests)
-    return checksums(spark, parts).join(known, "file", "full_outer").select(
-        "file", "rows", state.alias("state")
+    now = checksums(_parts(spark, parts)).select("file", F.col("rows").alias("_rows"), F.col("digest").alias("_now"))
+    return now.join(known, "file", "full_outer").select(
+        "file", F.coalesce("rows", "_rows").alias("rows"), state.alias("state")
     )
 
 
@@ -104,9 +120,31 @@ def write_sessions(df: DataFrame, root: str, kind: str) -> None:
     )
 
 
-def write_snapshot(df: DataFrame, root: str, rebalance_date: str) -> None:
-    """Write one month's universe once; a second write fails."""
-    df.write.mode("errorifexists").parquet(f"{root}/rebalance_date={rebalance_date}")
+def write_snapshots(df: DataFrame, root: str) -> None:
+    """Append rebalances to the table of snapshots, one partition each; a rebalance that is
+    there already is an error and nothing is written."""
+    spark = df.sparkSession
+    old = _stored_rebalances(spark, root)
+    if old is not None:
+        again = df.select(F.col("rebalance_date").cast("string")).distinct().join(old, "rebalance_date").limit(3).collect()
+        if again:
+            raise ValueError(f"snapshots are written once; there already: {[r[0] for r in again]}")
+    df.hint("rebalance", "rebalance_date").write.mode("append").partitionBy("rebalance_date").parquet(root)
+
+
+def _stored_rebalances(spark: SparkSession, root: str) -> DataFrame | None:
+    """Dates in the table of snapshots, None before the first one is written."""
+    try:
+        return spark.read.parquet(root).select(F.col("rebalance_date").cast("string")).distinct()
+    except AnalysisException:
+        return None
+
+
+def write_actions(df: DataFrame, root: str, kind: str) -> None:
+    """Add a fetch of splits, dividends or ticker events under its day; a fetch repeated the
+    same day replaces its own partition only."""
+    out = df.hint("rebalance", "fetched").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy("fetched").parquet(f"{root}/{kind}")
 
 
 def set_aside(spark: SparkSession, root: str, rebalance_date: str, run_id: str) -> None:

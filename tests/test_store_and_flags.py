@@ -7,7 +7,6 @@ import glob
 import os
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from barscreen.operators import adjust
@@ -138,14 +137,29 @@ def test_manifest_audit_sees_changes(spark, tmp_path):
     os.replace(side[0], side[1])
     again = [r.state for r in store.audit_manifests(spark, parts, manifests).collect()]
     assert sorted(again) == ["absent", "changed", "ok", "orphan"]
+    with pytest.raises(Exception, match="a (listed part is absent|part has changed)"):
+        store.read_complete_parts(spark, parts, manifests).collect()
+
+
+def test_parts_may_have_any_name(spark, tmp_path):
+    parts, manifests = f"{tmp_path}/parts", f"{tmp_path}/manifests"
+    spark.range(10).coalesce(1).write.parquet(parts)
+    (name,) = glob.glob(f"{parts}/part-*.parquet")
+    os.replace(name, f"{parts}/minutes.parquet")
+    store.write_manifests(spark, parts, manifests, "r1")
+    assert store.read_complete_parts(spark, parts, manifests).count() == 10
 
 
 def test_snapshot_is_written_once(spark, tmp_path):
-    store.write_snapshot(spark.range(3), str(tmp_path / "u"), "2024-01-02")
-    with pytest.raises(AnalysisException):
-        store.write_snapshot(spark.range(4), str(tmp_path / "u"), "2024-01-02")
-    store.set_aside(spark, str(tmp_path / "u"), "2024-01-02", "run7")
-    kept = spark.read.parquet(f"{tmp_path}/u_superseded/run_id=run7/rebalance_date=2024-01-02")
+    root = str(tmp_path / "u")
+    month = lambda day, n: spark.range(n).withColumn("rebalance_date", F.lit(day).cast("date"))
+    store.write_snapshots(month("2024-01-02", 3), root)
+    store.write_snapshots(month("2024-02-01", 2), root)
+    with pytest.raises(ValueError, match="written once"):
+        store.write_snapshots(month("2024-01-02", 4).unionAll(month("2024-03-01", 1)), root)
+    assert spark.read.parquet(root).count() == 5
+    store.set_aside(spark, root, "2024-01-02", "run7")
+    kept = spark.read.parquet(f"{root}_superseded/run_id=run7/rebalance_date=2024-01-02")
     assert kept.count() == 3
 
 
