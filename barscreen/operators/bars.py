@@ -55,10 +55,6 @@ def with_slot(minutes: DataFrame, sessions: DataFrame) -> DataFrame:
     )
 
 
-def regular_hours(slotted: DataFrame) -> DataFrame:
-    return slotted.where(F.col("slot_index").isNotNull())
-
-
 def identities(slotted: DataFrame) -> DataFrame:
     """(security, symbol, session) of all minutes, inside and outside trading hours alike."""
     return slotted.select(*IDENTITY, "date").distinct()

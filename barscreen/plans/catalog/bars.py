@@ -36,6 +36,17 @@ def session_lookup(spark, sf):
     return cal.with_previous_session(cal.with_is_session(days.distinct(), known), known)
 
 
+@query(select(b.SESSIONS, "sessions", "date session_no", tail="WHERE date BETWEEN DATE '1996-03-01' AND DATE '1997-02-28'"))
+def sessions_in_range(spark, sf):
+    known = cal.sessions_between(ad.order_sessions(spark, sf), dt.date(1996, 3, 1), dt.date(1997, 2, 28))
+    return known.select("date", "session_no")
+
+
+@query("SELECT max(CAST(date_trunc('week', l_shipdate) AS DATE)) AS date FROM lineitem")
+def latest_session(spark, sf):
+    return cal.latest_session(ad.trades(spark, sf, "supplier", "week"))
+
+
 EVENT_SESSIONS = """esessions AS (SELECT date, CAST(row_number() OVER (ORDER BY date) - 1 AS INTEGER)
     AS session_no, isodow(date) = 5 AS is_half_day
   FROM (SELECT DISTINCT CAST(ts - INTERVAL 5 HOUR AS DATE) AS date FROM events) WHERE isodow(date) < 6),

@@ -16,7 +16,7 @@ from barscreen.session import shared_folder
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str, str], str] = {}
 ORACLES: dict[str, str] = {}
 DIGITS = 6
 
@@ -33,8 +33,9 @@ def query(sql: str | None = None) -> Callable[[Builder], Builder]:
 
 def stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A stage table: written to the shared folder by the first query of a session that needs
-    it, read back by all. The stages of a build hand over tables, not plans."""
-    key = (spark.sparkContext.applicationId, sf, name)
+    it, read back by all. The stages of a build hand over tables, not plans. A change of the
+    input files (names, sizes, times) makes it anew."""
+    key = (spark.sparkContext.applicationId, sf, input_state(spark, sf), name)
     if key not in _STORED:
         path = f"{shared_folder(spark)}/stages/{uuid.uuid4().hex}/{name}"
         build().write.parquet(path)
@@ -42,6 +43,14 @@ def stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFram
     return spark.read.parquet(_STORED[key])
 
 
+def input_state(spark: SparkSession, sf: str) -> str:
+    """A digest of the listing of a folder of tables; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = files.option("pathGlobFilter", "*.parquet").load(sf)
+    each = F.xxhash64("path", "modificationTime", "length").cast("decimal(38,0)")
+    return str(files.agg(F.count(F.lit(1)), F.sum(each)).first())
+
+
 def forget_stored() -> None:
     """Let the next query build its stage tables anew (for timing)."""
     _STORED.clear()

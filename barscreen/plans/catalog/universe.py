@@ -164,6 +164,16 @@ def target_set(spark, sf):
     return idn.target_set(selected(spark, sf), listed.where(F.col("type") == "ETF"), lists)
 
 
+@query("SELECT 'S' || l_suppkey AS ticker, CAST(l_shipdate AS DATE) AS date, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+def repeated_listings(spark, sf):
+    """What uniqueness of (ticker, date) would refuse if every line item were a daily bar."""
+    rows = ad.table(spark, sf, "lineitem").select(
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"),
+        F.col("l_shipdate").cast("date").alias("date"),
+    )
+    return un.unlisted_repeats(rows, ["ticker", "date"])
+
+
 @query(
     "SELECT 'S' || s_suppkey AS ticker, CASE WHEN s_suppkey % 2 = 0 THEN 'BBG' || s_suppkey ELSE 'TICKER:S' || s_suppkey END AS security_key FROM supplier"
 )

@@ -10,8 +10,12 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from barscreen.plans.catalog import QUERIES  # noqa: E402
@@ -21,6 +25,7 @@ from barscreen.session import build_session  # noqa: E402
 HEADLINE = (
     "slot_bars", "day_bars", "session_hourly_bars", "split_adjusted_bars", "trailing_measures",
     "hourly_volume", "daily_volume", "hourly_volatility", "daily_features", "hourly_features",
+    "supplier_features",
     "capped_candidates", "universe", "event_table", "missed_announcements", "matched_controls",
     "exit_walk", "outcomes", "verdict", "label_draw",
 )
@@ -41,18 +46,21 @@ def main() -> None:
             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="spark-", dir="/tmp"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {}
+    seconds, rows = {}, {}
     for name in names:
         for _ in range(2):
             forget_stored()
             start = time.time()
-            built = QUERIES[name](spark, folder)
+            seen = Observation()
+            built = QUERIES[name](spark, folder).observe(seen, F.count(F.lit(1)).alias("rows"))
             built.write.format("noop").mode("overwrite").save()
             seconds[name] = round(time.time() - start, 3)
-        print(name, seconds[name], file=sys.stderr, flush=True)
+            rows[name] = seen.get["rows"]
+        print(name, seconds[name], rows[name], file=sys.stderr, flush=True)
     lineitems = spark.read.parquet(f"{folder}/lineitem.parquet").count()
     total = round(sum(seconds.values()), 3)
     print(
@@ -60,7 +68,8 @@ def main() -> None:
             {
                 "metric": "headline_queries_total", "value": total, "unit": "sec",
                 "queries": seconds, "sf": folder.rstrip("/").rsplit("sf", 1)[-1],
-                "lineitem_rows": lineitems,
+                "lineitem_rows": lineitems, "rows": rows,
+                "rows_per_second": {n: round(rows[n] / seconds[n]) for n in seconds},
             }
         )
     )
