@@ -145,6 +145,55 @@ def stitch(bars: DataFrame, splits: DataFrame, held: DataFrame) -> tuple[DataFra
     return relabel(bars, "date", usable), relabel(splits, "execution_date", spans), usable
 
 
+def stitched_windows(
+    bars: DataFrame, rebalances: DataFrame, sessions: DataFrame, listed: DataFrame, held: DataFrame,
+    n: int, min_median: float,
+) -> tuple[DataFrame, DataFrame]:
+    """Each rebalance's bars of its last `n` sessions with renames joined up, and the stitch log.
+
+    Suspects are found in each month's own window; only their old symbols are looked up. `held`:
+    one row per symbol a security used (`ticker_now, ticker_then, start, end, status`). The log
+    has a row per rebalance and old symbol with bars in the window: `stitched`, `clash` (both
+    symbols have bars on one day, nothing is moved) or `no history` (the identity is not ok).
+    Rebalances are repeated once a session of their window, so bars join on the session.
+    """
+    windows = rebalances.select(
+        "rebalance_date", F.explode(F.sequence(F.col("as_of_no") - n + 1, F.col("as_of_no"))).alias("session_no")
+    )
+    windows = F.broadcast(windows.join(sessions.select("session_no", "date"), "session_no").drop("session_no"))
+    seen = bars.join(windows, "date")
+    month = ["rebalance_date", "ticker"]
+    suspects = (
+        seen.join(listed.select("ticker").distinct(), "ticker", "left_semi").groupBy(*month)
+        .agg(F.count_distinct("date").alias("_days"), F.median(F.col("close") * F.col("volume")).alias("_median"))
+        .where((F.col("_days") < n) & (F.col("_median") >= min_median))
+        .select("rebalance_date", F.col("ticker").alias("ticker_now"))
+    )
+    asked = suspects.join(held.where("ticker_now <> ticker_then"), "ticker_now")
+    old = seen.join(asked.withColumnRenamed("ticker_then", "ticker"), month)
+    old = old.where(F.col("date").between(F.col("start"), F.coalesce("end", F.lit("9999-12-31").cast("date"))))
+    now = seen.select("rebalance_date", F.col("ticker").alias("ticker_now"), "date", F.lit(True).alias("_both"))
+    met = old.join(now.distinct(), ["rebalance_date", "ticker_now", "date"], "left")
+    log = met.groupBy("rebalance_date", "ticker_now", F.col("ticker").alias("ticker_then"), "start").agg(
+        F.count(F.lit(1)).alias("bars"),
+        F.when(F.first("status") != "ok", "no history")
+        .when(F.count("_both") > 0, "clash").otherwise("stitched").alias("outcome"),
+    )
+    moved = log.where("outcome = 'stitched'").select(
+        "rebalance_date", "ticker_now", F.col("ticker_then").alias("ticker"), "start"
+    )
+    spans = moved.join(held.select("ticker_now", F.col("ticker_then").alias("ticker"), "start", "end"), ["ticker_now", "ticker", "start"])
+    spans = spans.select(*month, "ticker_now", F.col("start").alias("_from"), F.col("end").alias("_to"))
+    inside = F.col("date").between(F.col("_from"), F.coalesce("_to", F.lit("9999-12-31").cast("date")))
+    # A symbol may have had several owners: only the span that holds the day counts.
+    renamed = seen.join(spans, month, "left").withColumn("_name", F.when(inside, F.col("ticker_now")))
+    keys = ["rebalance_date", "date", "ticker"]
+    rest = [c for c in seen.columns if c not in keys]
+    renamed = renamed.groupBy(*keys, *rest).agg(F.max("_name").alias("_name"))
+    stitched = renamed.withColumn("ticker", F.coalesce("_name", "ticker")).select(*seen.columns)
+    return stitched, log
+
+
 def target_set(snapshots: DataFrame, extra: DataFrame, lists: DataFrame) -> DataFrame:
     """Every security ever selected or asked for, with its listed ticker at each month end.
 

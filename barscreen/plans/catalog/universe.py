@@ -344,12 +344,54 @@ def stitched_splits(spark, sf):
 @query(
     f"""WITH {chain(b.days('supplier', 'week'), RENAMED)}
 SELECT ticker, count(DISTINCT date) AS days, median(close * volume) AS median_on_days_held FROM renamed
-WHERE date BETWEEN DATE '1997-06-02' AND DATE '1998-07-20' AND ticker LIKE 'S%' GROUP BY ticker
-HAVING count(DISTINCT date) < 60 AND median(close * volume) >= 20000"""
+WHERE ticker LIKE 'S%' GROUP BY ticker
+HAVING count(DISTINCT date) < (SELECT count(DISTINCT date) FROM renamed) AND median(close * volume) >= 20000"""
 )
 def rename_suspects(spark, sf):
-    window = renamed_bars(spark, sf).where(F.col("date").between(dt.date(1997, 6, 2), dt.date(1998, 7, 20)))
-    return idn.rename_suspects(window, 60, 20000.0, securities(spark, sf))
+    """Suspects over the whole history; `monthly_stitches` has those of each month."""
+    bars = renamed_bars(spark, sf)
+    return idn.rename_suspects(bars, bars.select("date").distinct().count(), 20000.0, securities(spark, sf))
+
+
+STITCHES = f"""held AS (SELECT 'S' || s_suppkey AS ticker_now, 'OLD' || s_suppkey AS ticker_then, DATE '1990-01-01' AS s, DATE '1997-12-31' AS e, CASE WHEN s_suppkey % 3 = 0 THEN 'no_events' ELSE 'ok' END AS status
+  FROM supplier WHERE s_suppkey % 4 = 1),
+reb AS (SELECT w.date AS rebalance_date, p.session_no AS as_of_no FROM weeks w JOIN weeks p ON p.session_no = w.session_no - 1 WHERE date_trunc('month', p.date) <> date_trunc('month', w.date)),
+seen AS (SELECT r.rebalance_date, b.* FROM reb r JOIN weeks w ON w.session_no BETWEEN r.as_of_no - 59 AND r.as_of_no JOIN renamed b USING (date)),
+susp AS (SELECT rebalance_date, ticker FROM seen WHERE ticker LIKE 'S%' GROUP BY ALL HAVING count(DISTINCT date) < 60 AND median(close * volume) >= {RULES.min_median_dollar_volume}),
+olds AS (SELECT o.*, ticker_now, status, EXISTS (SELECT 1 FROM seen n WHERE n.rebalance_date = o.rebalance_date AND n.ticker = ticker_now AND n.date = o.date) AS both_
+  FROM seen o JOIN held ON o.ticker = ticker_then AND o.date BETWEEN s AND e JOIN susp x ON x.rebalance_date = o.rebalance_date AND x.ticker = ticker_now),
+stitches AS (SELECT rebalance_date, ticker_now, ticker AS ticker_then, count(*) AS bars, CASE WHEN any_value(status) <> 'ok' THEN 'no history' WHEN bool_or(both_) THEN 'clash' ELSE 'stitched' END AS outcome FROM olds GROUP BY ALL)"""
+
+
+def _stitched(spark, sf):
+    bars = supplier_bars(spark, sf)
+    known = ad.sessions_of(bars)
+    k = F.substring("ticker_now", 2, 20).cast("bigint")
+    held = renames(spark, sf).withColumn("status", F.when(k % 3 == 0, "no_events").otherwise("ok"))
+    return idn.stitched_windows(
+        renamed_bars(spark, sf), cal.rebalance_dates(known), known, securities(spark, sf), held, 60,
+        RULES.min_median_dollar_volume,
+    )
+
+
+@query(select(chain(b.days("supplier", "week"), b.WEEKS, RENAMED, STITCHES), "stitches", "rebalance_date ticker_now ticker_then bars outcome"))
+def monthly_stitches(spark, sf):
+    return _stitched(spark, sf)[1].drop("start")
+
+
+@query(
+    f"""WITH {chain(b.days("supplier", "week"), b.WEEKS, RENAMED, STITCHES)}, moved AS (SELECT seen.rebalance_date, date, close, volume,
+    coalesce((SELECT t.ticker_now FROM stitches t JOIN held h USING (ticker_now, ticker_then) WHERE t.outcome = 'stitched' AND t.rebalance_date = seen.rebalance_date
+      AND t.ticker_then = seen.ticker AND seen.date BETWEEN h.s AND h.e), ticker) AS ticker FROM seen)
+SELECT rebalance_date, ticker, count(DISTINCT date) AS days, round(median(close * volume), 6) + 0.0 AS median_on_days_held FROM moved GROUP BY ALL"""
+)
+def stitched_measure(spark, sf):
+    """Days and dollar volume in each month's window, old symbols counted to their successors."""
+    rows = _stitched(spark, sf)[0].groupBy("rebalance_date", "ticker").agg(
+        F.count_distinct("date").alias("days"),
+        F.median(F.col("close") * F.col("volume")).alias("median_on_days_held"),
+    )
+    return b.tidy(rows)
 
 
 @query(
