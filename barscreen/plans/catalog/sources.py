@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from barscreen.operators import audits as au
 from barscreen.operators import patterns as pt
 from barscreen.plans import adapters as ad
 from barscreen.plans.catalog import base as b
@@ -273,6 +274,47 @@ def manifest_audit(spark, sf):
     return audit.groupBy("state").agg(F.sum("rows").alias("rows"))
 
 
+LOGGED = {
+    "listing_date_discrepancies": "listing_date_differences", "share_count_problems": "share_count_problems",
+    "multi_class_securities": "multi_class", "market_cap_audit": "market_cap_audit",
+    "ticker_history_gaps": "history_gaps", "ticker_stitches": "monthly_stitches",
+}
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{log}' AS log, count(*) AS rows FROM ({b.ORACLES[name]})"
+        + (" WHERE outcome = 'stitched'" if log == "ticker_stitches" else "")
+        for log, name in LOGGED.items()
+    )
+)
+def audit_logs(spark, sf):
+    """Every audit appended to its log and the logs read back."""
+    root = scratch(spark, "audits")
+    securities, shares = cu.securities(spark, sf), cu.share_counts(spark, sf).withColumnRenamed("ticker_on_date", "ticker")
+    chosen = b.stored(spark, sf, "universe", lambda: cu.selected(spark, sf))
+    found = {
+        "listing_date_discrepancies": au.listing_date_differences(securities).withColumnsRenamed(
+            {"list_date": "vendor_list_date", "first_event_date": "first_ticker_event"}
+        ),
+        "share_count_problems": au.share_count_problems(shares),
+        "multi_class_securities": au.multi_class(shares),
+        "market_cap_audit": chosen.withColumnRenamed("market_cap", "our_market_cap"),
+        "ticker_history_gaps": au.history_gaps(cu.identities(spark, sf)).withColumnRenamed("requested", "ticker"),
+        "ticker_stitches": cu._stitched(spark, sf)[1].where("outcome = 'stitched'").withColumnsRenamed(
+            {"ticker_now": "requested_ticker", "ticker_then": "fetched_as"}
+        ).withColumn("run_id", F.lit("run-1")),
+    }
+    counts = []
+    for log, rows in found.items():
+        store.append_audit(rows, root, log)
+        counts.append(store.read_audit(spark, root, log).agg(F.lit(log).alias("log"), F.count(F.lit(1)).alias("rows")))
+    out = counts[0]
+    for more in counts[1:]:
+        out = out.unionAll(more)
+    return out
+
+
 @query(select(chain(cfl.ORDERS, cfl.RELEASES), "releases", "date kind time_et"))
 def macro_csv(spark, sf):
     path = scratch(spark, "macro")

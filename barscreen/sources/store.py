@@ -5,11 +5,21 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from barscreen.operators.adjust import split_adjust
 from barscreen.schema import nan_to_null
 
 MANIFEST = "file string, rows bigint, digest string, run_id string"
+#: The audit logs and their columns.
+LOGS = {
+    "ticker_history_gaps": "rebalance_date date, ticker string, composite_figi string, name string, status string, vendor_list_date date",
+    "listing_date_discrepancies": "rebalance_date date, ticker string, composite_figi string, name string, vendor_list_date date, first_ticker_event date, listing_date_used date",
+    "share_count_problems": "rebalance_date date, shares_date date, ticker string, status string, share_class_shares double, weighted_shares double",
+    "multi_class_securities": "rebalance_date date, shares_date date, ticker string, share_class_shares double, weighted_shares double, share_class_fraction double",
+    "market_cap_audit": "rebalance_date date, ticker string, our_market_cap double, vendor_market_cap double, ratio double",
+    "ticker_stitches": "run_id string, requested_ticker string, composite_figi string, name string, start date, end date, fetched_as string",
+}
 MACRO_CSV = "date date, kind string, time_et string, source string, note string"
 LABELS_JSON = (
     "security_key string, date date, slot_index int, stratum string, weight double, "
@@ -159,6 +169,19 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", True).csv(path)
 
 
+def append_audit(df: DataFrame, root: str, kind: str) -> None:
+    """Add rows to one of the LOGS; columns the rows lack are empty, others are left out."""
+    fields = StructType.fromDDL(LOGS[kind])
+    rows = df.select(*[
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields
+    ])
+    append_log(rows, f"{root}/logs/{kind}")
+
+
+def read_audit(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    return spark.read.schema(LOGS[kind]).option("header", True).csv(f"{root}/logs/{kind}")
+
+
 def read_macro_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MACRO_CSV).option("header", True).csv(path)
 
