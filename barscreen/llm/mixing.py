@@ -6,23 +6,25 @@ its tokens, scaled to the token budget and never above one, is the probability w
 of its documents is sampled. The draw is a hash of the document's id: repeating it, or adding
 documents, changes no other document's lot.
 
-Only counting reads the documents; raking works on the table of cells, as joins and aggregates
-like any other, so many sources are no trouble. Sweeps are written to the shared folder.
+Only counting reads the documents; raking works on the table of cells with window sums, which
+are dealt out like any other where sources are many. Sweeps are written to the shared folder.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barscreen.llm.common import attach, fresh, staged
+from barscreen.llm.common import BROADCAST_ROWS, attach, fresh, staged
 
 MARGINS = ("source", "lang", "topic")
 #: Targets are the shares of the table to these powers: below 1, small ones gain.
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 SWEEPS, SHARE, SEED = 8, 0.5, 11
+#: Sweeps of one plan; after them the cells are written to the shared folder.
+SWEEPS_A_PLAN = 4
 WORD = "[^ \\t\\n\\x0b\\f\\r]+"
 
 
@@ -60,18 +62,27 @@ def shares(cells: DataFrame, margin: str, power: float, given: Mapping[str, floa
 
 def raked(cells: DataFrame, sweeps: int = SWEEPS, targets: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
     """(MARGINS, tokens, weight): weights sum to 1 and fit each margin's targets as nearly as
-    the cells present allow; the last margin fits exactly. Cells without tokens weigh 0."""
-    wanted = {m: shares(cells, m, POWERS[m], (targets or {}).get(m)) for m in MARGINS}
+    the cells present allow; the last margin fits exactly. Cells without tokens weigh 0.
+
+    A step is a sum per margin value over the cells. Few cells, as counted, are kept in one
+    partition, so that the steps need no shuffle; many are dealt out by each margin in turn.
+    """
     rows = cells.withColumn("weight", F.col("tokens").cast("double"))
-    for _ in range(sweeps):
+    for m in MARGINS:
+        wanted = shares(cells, m, POWERS[m], (targets or {}).get(m)).withColumnRenamed("target", f"{m}_target")
+        rows = attach(rows, wanted, [m])
+    rows = staged(rows, "raked")
+    few = rows.count() <= BROADCAST_ROWS
+    for sweep in range(sweeps):
+        if few and sweep % SWEEPS_A_PLAN == 0:
+            rows = rows.coalesce(1)
         for m in MARGINS:
-            now = rows.groupBy(m).agg(F.sum("weight").alias("now"))
-            scale = now.join(wanted[m], m, "left").select(
-                m, F.when(F.col("now") > 0, F.coalesce("target", F.lit(0.0)) / F.col("now")).otherwise(0.0).alias("scale")
-            )
-            rows = rows.join(scale, m).withColumn("weight", F.col("weight") * F.col("scale")).drop("scale")
-        rows = staged(rows, "raked")
-    return rows
+            now = F.sum("weight").over(Window.partitionBy(m))
+            scaled = F.col("weight") * F.coalesce(F.col(f"{m}_target"), F.lit(0.0)) / F.col("now")
+            rows = rows.withColumn("now", now).withColumn("weight", F.when(F.col("now") > 0, scaled).otherwise(0.0))
+        if sweep % SWEEPS_A_PLAN == SWEEPS_A_PLAN - 1:
+            rows = staged(rows, "raked")
+    return rows.select(*MARGINS, "tokens", "weight")
 
 
 def probabilities(cells: DataFrame, budget: Column | float) -> DataFrame:
