@@ -41,9 +41,13 @@ def with_decile(day: DataFrame, value: str, into: str, group: tuple[str, ...] =
 def attach_deciles(day: DataFrame) -> DataFrame:
     """`atr_decile` and `volume_decile` over each date's universe."""
     require(day, ["date", "security_key", "daily_atr", "close", "median_dollar_volume_60"], "day")
-    rated = day.withColumn("_rel", relative_atr(F.col("daily_atr"), F.col("close")))
-    out = with_decile(rated, "_rel", "atr_decile").drop("_rel")
-    return with_decile(out, "median_dollar_volume_60", "volume_decile")
+    keys = ["date", "security_key"]
+    relative = relative_atr(F.col("daily_atr"), F.col("close")).alias("_rel")
+    # Each axis is ranked on three columns of its own; the wide rows move once, to join both.
+    atr = with_decile(day.select(*keys, relative), "_rel", "atr_decile").select(*keys, "atr_decile")
+    volume = day.select(*keys, "median_dollar_volume_60")
+    volume = with_decile(volume, "median_dollar_volume_60", "volume_decile").select(*keys, "volume_decile")
+    return day.join(atr.join(volume, keys), keys)
 
 
 def among_members(day: DataFrame, members: DataFrame) -> DataFrame:
