@@ -12,6 +12,7 @@ vocabulary allows.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -28,19 +29,27 @@ SEQUENCE, CLOSE = 1024, 0
 DIMENSIONS, CELL_BITS = 3, 10
 #: Tokens a range should hold, and ranges at most: beyond, ranges grow, which their sort spills.
 RANGE_TOKENS, RANGES = 4_000_000, 20_000
-#: Entries of the word cache of a worker process.
-CACHE = 300_000
 PIECES = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-_CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_ODD_SPACE = re.compile(r"[^\S \n]|[\u180e\u200b\u2060\ufeff]")
+#: Fixed value: how byte-level BPE cuts a text before merging.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters whose class has been the same in every version of Unicode for long.
+_COMMON = re.compile(r"[\n -~\u00a1-\u024f\u0400-\u045f\u2010-\u2027]*")
+
+
+def _byte_letters() -> dict[str, int]:
+    """Letters that byte-level tokenizer files write bytes as: printable ones stand for
+    themselves, the others for the letters from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
 class Encoder:
     """Ids of texts by a tokenizer file, as 16-bit numbers where the vocabulary allows.
 
-    Byte-level BPE never joins a non-space with the space after it, so a text is cut there and
-    each chunk is encoded once and kept. Texts with other white space than blank and newline
-    are encoded whole. Either way the ids are the tokenizer's.
+    `tokenizers` defines the ids. For byte-level BPE files, texts of common letters take the same
+    vocabulary and merges through `tiktoken`, several times as fast; other texts, in which the
+    two libraries' letter and blank classes could differ, and other files take `tokenizers`.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,24 +59,32 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[str, bytes] = {}
-
-    def learn(self, chunks: list[str]) -> None:
-        for chunk, found in zip(chunks, self.tokenizer.encode_batch(chunks, add_special_tokens=False), strict=True):
-            self.known[chunk] = np.array(found.ids, self.kind).tobytes()
+        self.fast = self._fast()
+
+    def _fast(self):
+        import tiktoken
+
+        spec = json.loads(self.tokenizer.to_str())
+        model, before = spec["model"], spec["pre_tokenizer"] or {}
+        if (model["type"], before.get("type"), before.get("use_regex"), before.get("add_prefix_space")) != ("BPE", "ByteLevel", True, False):
+            return None
+        vocab = model["vocab"]
+        merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        if spec["normalizer"] or merged != sorted(merged):
+            return None
+        letters = _byte_letters()
+        special = {t["content"] for t in spec["added_tokens"]}
+        ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in special}
+        return tiktoken.Encoding("file", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [None if _ODD_SPACE.search(t) else _CHUNK.findall(t) for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        self.learn(list({c for chunks in cut if chunks for c in chunks} - self.known.keys()))
         out = []
-        for text, chunks in zip(texts, cut, strict=True):
-            if chunks is None:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                out.append(np.array(ids, self.kind).tobytes())
+        for text in texts:
+            if self.fast and _COMMON.fullmatch(text):
+                ids = self.fast.encode_ordinary(text)
             else:
-                out.append(b"".join(map(self.known.__getitem__, chunks)))
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            out.append(np.array(ids, self.kind).tobytes())
         return out
 
 

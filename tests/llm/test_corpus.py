@@ -75,7 +75,7 @@ def test_packing_of_odd_rows(spark, odd):  # noqa: F811
 
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("ab'sé9 \n\t\r.,!\u00a0\u2003\u3000\x1c\x85漢<|>")), max_size=40))
-def test_cached_encoding_is_the_tokenizers(text):
+def test_fast_encoding_is_the_tokenizers(text):
     from tokenizers import Tokenizer
 
     model = packing.encoder(tokenizer_path())
