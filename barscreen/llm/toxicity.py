@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 from barscreen.llm.common import add_columns, bucket
 
 #: Bounds of the fit: labelled rows drawn of each label, terms kept.
-FIT_ROWS, FIT_TERMS = {1: 4_000, 0: 8_000}, 3_000
+FIT_ROWS, FIT_TERMS = {1: 3_000, 0: 5_000}, 2_000
 FACTORS, EPOCHS, BATCH = 8, 30, 256
 #: Words are also described by their first letters, if they are longer.
 STEM = 5
 #: Word cache of a worker process: entries.
-CACHE = 400_000
+CACHE = 200_000
 _WORD = re.compile(r"\w+")
 
 
@@ -80,6 +80,16 @@ def _sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
+def _document_counts(rows: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All terms in order, and in how many documents of label 1 and of label 0 each occurs."""
+    sides = [np.unique(np.concatenate([r for r, y in zip(rows, labels, strict=True) if y == side]), return_counts=True) for side in (1, 0)]
+    known = np.union1d(sides[0][0], sides[1][0])
+    counts = [np.zeros(len(known), np.int32) for _ in sides]
+    for (terms_, n), into in zip(sides, counts, strict=True):
+        into[np.searchsorted(known, terms_)] = n
+    return known, *counts
+
+
 def learned(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     """A machine from term arrays and 0/1 labels. One label alone, or no rows, gives the constant
     that fits it: half without rows."""
@@ -87,11 +97,7 @@ def learned(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machin
     if not n1 or not n0:
         rate = 0.5 if not len(labels) else (n1 + 0.05) / (len(labels) + 0.1)
         return Machine(np.empty(0, np.uint32), float(np.log(rate / (1 - rate))), np.empty(0), np.empty((0, FACTORS)))
-    sizes = [len(r) for r in rows]
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    known, inverse = np.unique(np.concatenate(rows), return_inverse=True)
-    in1 = np.bincount(inverse, labels[owner], len(known))
-    in0 = np.bincount(inverse, minlength=len(known)) - in1
+    known, in1, in0 = _document_counts(rows, labels)
     # Two-proportion z-score with one document added to each side.
     p1, p0 = (in1 + 0.5) / (n1 + 1), (in0 + 0.5) / (n0 + 1)
     both = (in1 + in0 + 1) / (n1 + n0 + 2)
@@ -99,11 +105,10 @@ def learned(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machin
     chosen = np.flatnonzero((np.abs(z) >= 3) & (in1 + in0 >= 2))
     if len(chosen) > FIT_TERMS:
         chosen = chosen[np.argsort(-np.abs(z[chosen]), kind="stable")[:FIT_TERMS]]
-    place = np.full(len(known), -1)
-    place[np.sort(chosen)] = np.arange(len(chosen))
-    at = place[inverse]
-    x = np.zeros((len(rows), len(chosen)), np.float32)
-    x[owner[at >= 0], at[at >= 0]] = 1
+    terms_kept = known[np.sort(chosen)]
+    x = np.zeros((len(rows), len(terms_kept)), np.float32)
+    for i, row in enumerate(rows):
+        x[i] = np.isin(terms_kept, row, assume_unique=True)
     rng = np.random.default_rng(seed)
     w = np.zeros(len(chosen), np.float32)
     v = rng.normal(0, 0.02, (len(chosen), FACTORS)).astype(np.float32)
@@ -124,7 +129,7 @@ def learned(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machin
             w -= 0.2 * gw / np.sqrt(grown_w)
             v -= 0.02 * gv / np.sqrt(grown_v)
             bias -= np.float32(0.1) * off.sum()
-    return Machine(known[np.sort(chosen)], float(bias), w.astype(float), v.astype(float))
+    return Machine(terms_kept, float(bias), w.astype(float), v.astype(float))
 
 
 def fit(docs: DataFrame, labels: DataFrame, draws: dict[int, int] | None = None) -> Machine:
