@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from barscreen.llm import components, mixing, neighbours, packing, reputation, simhash, warc
+from barscreen.llm import components, language, mixing, neighbours, packing, reputation, simhash, toxicity, warc
 from barscreen.llm.common import staged
 from barscreen.llm.queries import ORACLES, QUERIES, tokenizer_path
 from tests.llm import reference
@@ -269,6 +269,36 @@ def test_pipeline_stage_by_stage(spark, small):
     check_packing(packed, {i: r.text for i, r in before.items()})
 
 
+def test_pipeline_models_against_plain_sums(spark, small):
+    """The first two stages' decisions, from sums over all pairs of terms and letter-by-letter
+    parses of each document."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    rows = docs.collect()
+    labels = spark.read.parquet(f"{small}/labels.parquet").where(~toxicity.held_out())
+    machine = toxicity.fit(docs, labels)
+    toxic = set()
+    for r in rows:
+        present = [i for t in toxicity.terms(r.text).tolist() for i in [machine.index.get(t)] if i is not None]
+        raw = machine.bias + sum(machine.weights[i] for i in present)
+        raw += sum(float(machine.factors[i] @ machine.factors[j]) for n, i in enumerate(present) for j in present[n + 1 :])
+        if 1 / (1 + np.exp(-raw)) >= corpus_pipeline.TOXIC:
+            toxic.add(r.doc_id)
+    clean = staged(corpus_pipeline.drop_toxic(spark, docs, small), "clean")
+    assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in rows} - toxic
+
+    texts = language.fit(clean.where(~language.held_out()))
+    made = {lang: (language.automaton(t)[0], np.log2(len(t) + 2)) for lang, t in texts.items()}
+    known = set()
+    for r in clean.collect():
+        text = language.letters(r.text or "")
+        lanes = [text[i : i + language.LANE] for i in range(0, len(text), language.LANE)]
+        bits = np.array([sum(language.phrases(t, moves) for t in lanes) * cost for moves, cost in made.values()])
+        weight = np.exp2(-(bits - bits.min()) / max(1, len(text)) * min(len(text), 64))
+        if text and weight.max() / weight.sum() >= corpus_pipeline.LANGUAGE_SHARE:
+            known.add(r.doc_id)
+    assert {r.doc_id for r in corpus_pipeline.known_language(spark, clean, small).collect()} == known
+
+
 def test_pipeline_of_odd_rows(spark, odd, tmp_path):  # noqa: F811
     labels = spark.createDataFrame([(5, 1), (2, 0)], "doc_id long, toxic int")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
