@@ -30,7 +30,7 @@ LIST, TABLES, RUN = 12, 4, 48
 ROUNDS, EXTRA_ROUNDS, RECALL = 3, 4, 0.98
 #: One-byte cosines this far below the threshold are still checked exactly.
 SLACK = 0.03
-STANDINS, BLOCK, AUDITED = 6, 512, 200
+STANDINS, BLOCK, AUDITED = 6, 128, 200
 PLANES = 32
 ALL = 4.0  # above any cosine: takes no more neighbours
 
