@@ -28,10 +28,6 @@ LABELS_JSON = (
 )
 
 
-def file_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)
-
-
 def read_manifests(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(MANIFEST).json(folder)
 
