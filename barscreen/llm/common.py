@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,6 +20,18 @@ BROADCAST_ROWS = 20_000
 SLICE_BYTES = 4 << 20
 
 
+_HELD: dict[Hashable, object] = {}
+
+
+def held(key: Hashable, build: Callable[[], object]) -> object:
+    """What `build` makes, kept in a worker process until another key asks: workers outlive the
+    stages of a job, and each needs one model at a time."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there, and a lost
     executor costs only the tasks that read it."""

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barscreen.llm.common import add_columns, bucket
+from barscreen.llm.common import add_columns, bucket, held
 
 #: Bounds of the fit: per language, documents drawn and characters kept.
 FIT_DOCS, FIT_CHARS = 60, 60_000
@@ -143,16 +143,10 @@ class Parser:
         return out
 
 
-_PARSERS: dict[int, Parser] = {}
-
-
 def parser(texts: dict[str, str]) -> Parser:
     """The parser of these training texts, built once in a worker process."""
     key = zlib.crc32(repr(texts).encode("utf-8", "surrogatepass"))
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = Parser(texts)
-    return _PARSERS[key]
+    return held(("parser", key), lambda: Parser(texts))
 
 
 def fit(labelled: DataFrame, docs_per_lang: int = FIT_DOCS, chars_per_lang: int = FIT_CHARS) -> dict[str, str]:

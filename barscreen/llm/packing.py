@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barscreen.llm.common import add_columns, joined_schema, staged
+from barscreen.llm.common import add_columns, held, joined_schema, staged
 
 SEQUENCE, CLOSE = 1024, 0
 DIMENSIONS, CELL_BITS = 3, 10
@@ -88,13 +88,9 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    """The encoder of a tokenizer file, made once in a worker process."""
+    return held(("encoder", path), lambda: Encoder(path))
 
 
 def hilbert(cells: np.ndarray, bits: int = CELL_BITS) -> np.ndarray:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barscreen.llm.common import add_columns, bucket
+from barscreen.llm.common import add_columns, bucket, held
 
 #: Bounds of the fit: labelled rows drawn of each label, terms kept.
 FIT_ROWS, FIT_TERMS = {1: 3_000, 0: 5_000}, 2_000
@@ -159,9 +159,6 @@ def fit(docs: DataFrame, labels: DataFrame, draws: dict[int, int] | None = None)
     return learned(arrays, np.array([label for label, _ in got], np.int64))
 
 
-_MACHINES: dict[int, Machine] = {}
-
-
 def scored(docs: DataFrame, machine: Machine, text: str = "text", name: str = "score", keep_text: bool = True) -> DataFrame:
     """Every column of `docs` (its texts if asked) and the score of every whole text, 0 to 1.
 
@@ -172,10 +169,7 @@ def scored(docs: DataFrame, machine: Machine, text: str = "text", name: str = "s
     key = zlib.crc32(repr((machine.bias, machine.weights.tobytes(), machine.factors.tobytes(), known.tobytes())).encode())
 
     def make(texts: list[str | None]) -> list[pa.Array]:
-        if key not in _MACHINES:  # once in a worker process
-            _MACHINES.clear()
-            _MACHINES[key] = Machine(*parts)
-        model = _MACHINES[key]
+        model = held(("machine", key), lambda: Machine(*parts))  # once in a worker process
         return [pa.array([float(model.score(t)) for t in texts], pa.float64())]
 
     return add_columns(docs, text, f"{name} double", make, keep_text)
