@@ -7,30 +7,34 @@ each other: neighbours of neighbours are likely neighbours, and a node takes tho
 nearer than its list's last. This runs on one-byte components; pairs near the threshold are then
 checked in double precision, and only those at or above it are links.
 
-A list whose every member is a link is saturated: the node may have more. Its list is enlarged to
-the whole component, which is compared with itself in blocks; before that, a few members stand
-for each such component in a descent of their own, so that components which crowded lists kept
-apart are joined. So no link is lost to the length of lists; what the descent may miss is audited
-against brute force for a fixed set of nodes, and rounds are added while recall is low.
+A list whose every member is a link is saturated: the node may have more. Such nodes are put in
+blocks and compared with all nodes, without those that the angle to a block's centre rules out.
+So no link is lost to the length of lists; what the descent may miss is audited against brute
+force for a fixed set of nodes, and rounds are added while recall is low.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barscreen.llm.common import attach, joined_schema, staged
+from barscreen.llm.common import joined_schema, staged
 from barscreen.llm.components import connected
 
 LIST, TABLES, RUN = 12, 4, 48
 ROUNDS, EXTRA_ROUNDS, RECALL = 3, 4, 0.98
 #: One-byte cosines this far below the threshold are still checked exactly.
 SLACK = 0.03
-STANDINS, BLOCK, AUDITED = 6, 128, 200
+BLOCK, AUDITED = 128, 200
+#: Saturated nodes sent to tasks at a time, nodes a task compares at a time.
+PIECE_BYTES, COMPARED = 8 << 20, 2048
+#: Added to angles, far above what rounding takes from them.
+ANGLE = 1e-6
 PLANES = 32
 ALL = 4.0  # above any cosine: takes no more neighbours
 
@@ -86,6 +90,7 @@ def _pairs(ids: list[np.ndarray], others: list[np.ndarray], sims: list[np.ndarra
 
 
 PAIRS = "id long, other long, sim float"
+MET = "id long, other long, n long"
 
 
 def first_lists(nodes: DataFrame, seed: int) -> DataFrame:
@@ -264,59 +269,144 @@ def audit(links: DataFrame, nodes: DataFrame, threshold: float) -> float:
     return row.k / row.n if row.n else 1.0
 
 
-def _standins(roots: DataFrame, nodes: DataFrame) -> DataFrame:
-    """A few nodes of each component, by hash."""
-    order = Window.partitionBy("root").orderBy(F.xxhash64("node"), "node")
-    few = roots.withColumn("n", F.row_number().over(order)).where(F.col("n") <= STANDINS)
-    return staged(nodes.join(few.select(F.col("node").alias("id")), "id", "left_semi"), "standins")
+def blocked(members: DataFrame) -> DataFrame:
+    """(block, id, size, vec) of (root, id, size, vec, q): up to BLOCK members of one group that
+    sort next to each other by the signs of random projections."""
 
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                v = _unit(_matrix(batch.column("q"), np.int8))
+                planes = np.random.default_rng(3).normal(size=(PLANES, v.shape[1])).astype(np.float32)
+                key = ((v @ planes.T) > 0) @ (1 << np.arange(PLANES - 1, -1, -1, dtype=np.int64))
+                kept = batch.select(["root", "id", "size", "vec"])
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(key)], names=[*kept.schema.names, "key"])
 
-def block_counts(members: DataFrame, threshold: float) -> DataFrame:
-    """(id, n): weight of the links of each node within its group (root, id, size, vec), all
-    pairs compared, in blocks of about BLOCK nodes by twos; only counts leave a task."""
-    sizes = staged(members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "blocks")
-    rows = attach(members, sizes, ["root"], "inner").withColumn("own", F.expr("cast(pmod(xxhash64(id, root), blocks) as int)"))
-    rows = rows.withColumn("met", F.explode(F.expr("sequence(0, cast(blocks as int) - 1)"))).select(
-        "root", F.least("own", "met").alias("i"), F.greatest("own", "met").alias("j"),
-        (F.col("own") > F.col("met")).cast("int").alias("side"), "id", "size", "vec",
-    )
-    rows = rows.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "side")
-
-    def counted(table: pa.Table) -> pa.RecordBatch:
-        ids, size, side = (table.column(c).to_numpy() for c in ("id", "size", "side"))
-        v = _matrix(table.column("vec").combine_chunks(), np.float64)
-        norm = np.sqrt((v * v).sum(axis=1))
-        alone = table.column("i")[0] == table.column("j")[0]
-        a = np.arange(len(ids)) if alone else np.flatnonzero(side == 0)
-        b = a if alone else np.flatnonzero(side == 1)
-        link = (v[a] @ v[b].T) / (norm[a][:, None] * norm[b][None, :]) >= threshold
-        if alone:
-            np.fill_diagonal(link, False)
-        n = np.zeros(len(ids), np.int64)
-        n[a] += link @ size[b]
-        if not alone:
-            n[b] += link.T @ size[a]
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        key = None
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("root", "i", "j")), strict=True))
-            start = 0
-            for at in range(1, len(keys) + 1):
-                if at < len(keys) and keys[at] == keys[start]:
-                    continue
-                if held and keys[start] != key:
-                    yield counted(pa.Table.from_batches(held))
-                    held = []
-                key = keys[start]
-                held.append(batch.slice(start, at - start))
-                start = at
-        if held:
-            yield counted(pa.Table.from_batches(held))
+            root, ids = batch.column("root").to_numpy(), batch.column("id").to_numpy()
+            starts = [0] * bool(len(ids))
+            for at in range(1, len(ids)):
+                if root[at] != root[starts[-1]] or at - starts[-1] == BLOCK:
+                    starts.append(at)
+            first = np.repeat(ids[starts], np.diff([*starts, len(ids)]))
+            yield pa.RecordBatch.from_arrays([pa.array(first, pa.int64()), *batch.select(["id", "size", "vec"]).columns], names=["block", "id", "size", "vec"])
+
+    keyed = staged(members.select("root", "id", "size", "vec", "q").mapInArrow(keys, "root long, id long, size long, vec binary, key long"), "keys")
+    ordered = keyed.repartitionByRange("root", "key", "id").sortWithinPartitions("root", "key", "id")
+    return staged(ordered.mapInArrow(cut, "block long, id long, size long, vec binary"), "blocks")
+
+
+def _wide(v: np.ndarray, width: int) -> np.ndarray:
+    return np.pad(v, ((0, 0), (0, width - v.shape[1])))
+
+
+def _merged(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels, each the least member of its group, after the members a and b were joined."""
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        while (label[label] != label).any():
+            label = label[label]
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
+    return label
+
+
+class Blocks:
+    """Some blocks of members that are compared with any nodes in double precision.
+
+    A block has a centre and the greatest angle to it. A node whose angle to the centre is above
+    that angle and the threshold's together links with no member (triangle inequality), so only
+    the others are compared.
+    """
 
-    return rows.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    def __init__(self, table: pa.Table, threshold: float) -> None:
+        table = table.sort_by([("block", "ascending"), ("id", "ascending")]).combine_chunks()
+        self.ids, self.sizes, block = (table.column(c).to_numpy() for c in ("id", "size", "block"))
+        self.v, self.threshold = _matrix(table.column("vec").combine_chunks(), np.float64), threshold
+        self.starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+        unit = self.v / np.sqrt((self.v * self.v).sum(axis=1, keepdims=True))
+        centre = np.add.reduceat(unit, self.starts, axis=0)
+        norm = np.sqrt((centre * centre).sum(axis=1, keepdims=True))
+        self.centre = centre / np.where(norm > 0, norm, 1)
+        own = np.repeat(np.arange(len(self.starts)), np.diff([*self.starts, len(unit)]))
+        least = np.minimum.reduceat((unit * self.centre[own]).sum(axis=1), self.starts)
+        reach = np.arccos(np.clip(least, -1, 1)) + np.arccos(np.clip(threshold, -1, 1)) + ANGLE
+        self.limit = np.where((reach < np.pi) & (norm[:, 0] > 0), np.cos(np.minimum(reach, np.pi)), -2)
+
+    def met(self, batches: Iterator[pa.RecordBatch], edges: bool) -> Iterator[pa.RecordBatch]:
+        """(id, other, n) of nodes (id, size, vec, open): where `other` is null, the weight of a
+        member's links with the nodes or of an open node's links with the members; else edges
+        that join what links join, a row a node and a row a member at most."""
+        ends, n, label = [*self.starts[1:], len(self.ids)], np.zeros(len(self.ids), np.int64), np.arange(len(self.ids))
+        unit = self.v / np.sqrt((self.v * self.v).sum(axis=1, keepdims=True))
+        for batch in (b.slice(at, COMPARED) for b in batches for at in range(0, b.num_rows, COMPARED)):
+            ids, size, open_ = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "size", "open"))
+            v = _matrix(batch.column("vec"), np.float64)
+            width = max(v.shape[1], unit.shape[1])
+            v, all_v, members, centre = (_wide(x, width) for x in (v, self.v, unit, self.centre))
+            u = v / np.sqrt((v * v).sum(axis=1, keepdims=True))
+            near = u @ centre.T >= self.limit
+            own, first = np.zeros(len(ids), np.int64), np.full(len(ids), -1)
+            for k in np.flatnonzero(near.any(axis=0)):
+                at, part = np.flatnonzero(near[:, k]), slice(self.starts[k], ends[k])
+                cosine = u[at] @ members[part].T
+                link = cosine >= self.threshold
+                # Rounding decides nothing: these are compared as `exact_links` does.
+                r, c = np.nonzero(np.abs(cosine - self.threshold) < 1e-9)
+                link[r, c] = _cosine(v[at[r]], all_v[part][c]) >= self.threshold
+                link &= ids[at][:, None] != self.ids[part][None, :]
+                if not link.any():
+                    continue
+                n[part] += size[at] @ link
+                own[at] += link @ self.sizes[part]
+                if edges:
+                    some = link.any(axis=1)
+                    which = link.argmax(axis=1)[some] + self.starts[k]
+                    known = first[at[some]]
+                    label = _merged(label, known[known >= 0], which[known >= 0])
+                    first[at[some]] = np.where(known >= 0, known, which)
+                    if (label[part] != label[part][0]).any():
+                        a, b = np.nonzero(np.triu(link.T.astype(np.float32) @ link.astype(np.float32), 1))
+                        label = _merged(label, a + self.starts[k], b + self.starts[k])
+            linked, counted = first >= 0, open_ & (own > 0)
+            yield _met(ids[linked], self.ids[first[linked]], None)
+            yield _met(ids[counted], None, own[counted])
+        yield _met(self.ids[n > 0], None, n[n > 0])
+        moved = label != np.arange(len(label))
+        yield _met(self.ids[moved] if edges else self.ids[:0], self.ids[label[moved]] if edges else self.ids[:0], None)
+
+
+def _met(ids: np.ndarray, other: np.ndarray | None, n: np.ndarray | None) -> pa.RecordBatch:
+    columns = [pa.nulls(len(ids), pa.int64()) if c is None else pa.array(c, pa.int64()) for c in (ids, other, n)]
+    return pa.RecordBatch.from_arrays(columns, names=["id", "other", "n"])
+
+
+def compared(members: DataFrame, nodes: DataFrame, threshold: float, edges: bool = True) -> DataFrame:
+    """What `Blocks.met` finds of members (root, id, size, vec, q) among all nodes (id, size, vec,
+    open). So many blocks as fit in PIECE_BYTES are sent to the tasks at a time; nodes stay where
+    they lie, so a crowd crowds no task."""
+    blocks = blocked(members)
+    held = blocks.agg(F.coalesce(F.sum(F.length("vec") + 16), F.lit(0))).first()[0]
+    pieces = -(-held // PIECE_BYTES)
+    nodes = staged(nodes.select("id", "size", "vec", "open"), "compared_nodes")
+    parts: list[DataFrame] = []
+    for piece in range(pieces):
+        table = blocks.where(F.pmod(F.xxhash64("block"), F.lit(pieces)) == piece).toArrow()
+        if table.num_rows:
+            some = Blocks(table, threshold)
+            parts.append(staged(nodes.mapInArrow(lambda b, some=some: some.met(b, edges), MET), "met"))
+        if len(parts) == 16:
+            parts = [staged(reduce(DataFrame.unionAll, parts), "met")]
+    return reduce(DataFrame.unionAll, parts) if parts else nodes.sparkSession.createDataFrame([], MET)
+
+
+def saturated(lists: DataFrame, threshold: float) -> DataFrame:
+    """(id) of nodes whose every listed node may be a link: there may be more."""
+    degree = lists.where(F.col("sim") >= threshold - SLACK).groupBy("id").agg(F.count("*").alias("n"))
+    return staged(degree.where(F.col("n") >= LIST).select("id"), "saturated")
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, rounds: int = ROUNDS) -> DataFrame:
@@ -337,26 +427,17 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, rounds: int = ROUND
         lists = staged(_kept(before.unionByName(anew)), "lists")
         lists = descend(nodes, threshold, 1, 0, lists)
         links = staged(links.unionByName(exact_links(lists, nodes, threshold)).distinct(), "links")
-    degree = lists.where(F.col("sim") >= threshold - SLACK).groupBy("id").agg(F.count("*").alias("n"))
-    full = staged(degree.where(F.col("n") >= LIST).select(F.col("id").alias("node")), "saturated")
-    roots = connected(links)
-    while True:
-        crowded = roots.join(roots.join(full, "node").select("root").distinct(), "root", "left_semi").select("node", "root")
-        crowded = staged(crowded, "crowded")
-        some = _standins(crowded, nodes)
-        more = exact_links(descend(some, threshold, 1, 5), some, threshold)
-        named = crowded.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-        bridges = more.join(named, "a").join(named.select(F.col("a").alias("b"), F.col("ra").alias("rb")), "b").where("ra <> rb")
-        if bridges.isEmpty():
-            break
-        links = staged(links.unionByName(bridges.select("a", "b")).distinct(), "links")
-        roots = connected(links)
-    weight = nodes.select("id", "size")
+    full = saturated(lists, threshold)
+    groups = connected(links).select(F.col("node").alias("id"), "root")
+    members = full.join(nodes, "id").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    opened = nodes.join(full.withColumn("full", F.lit(True)), "id", "left").withColumn("open", F.isnull("full"))
+    found = staged(compared(members, opened, threshold), "found")
+    roots = connected(links.unionAll(found.where("other is not null").select("id", "other")))
+    # Links with a saturated node were counted exactly, on both sides; the others are in lists.
     both = links.unionAll(links.select("b", "a")).toDF("id", "other")
-    open_ = both.join(crowded.select(F.col("node").alias("id")), "id", "left_anti")
-    counts = open_.join(weight.select(F.col("id").alias("other"), "size"), "other").groupBy("id").agg(F.sum("size").alias("n"))
-    members = crowded.select(F.col("node").alias("id"), "root").join(nodes.select("id", "size", "vec"), "id")
-    counts = staged(counts.unionByName(block_counts(members, threshold)), "counts")
+    direct = both.join(full, "id", "left_anti").join(full.select(F.col("id").alias("other")), "other", "left_anti")
+    direct = direct.join(nodes.select(F.col("id").alias("other"), "size"), "other").select("id", F.col("size").alias("n"))
+    counts = found.where("other is null").select("id", "n").unionByName(direct).groupBy("id").agg(F.sum("n").alias("n"))
     named = nodes.select("id", "vec", "low", "size").join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
     named = named.withColumn("root", F.coalesce("root", "id")).join(counts, "id", "left")
     least = named.groupBy("root").agg(F.min("low").alias("component_id"))

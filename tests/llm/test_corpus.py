@@ -189,6 +189,20 @@ def test_links_of_vectors_match_brute_force(spark):
     assert neighbours.near_vectors(df.limit(0)).count() == 0
 
 
+def test_one_link_between_two_crowds(spark):
+    """Lists of both ends of the only bridge are full of nearer members of their own crowds."""
+    rng = np.random.default_rng(11)
+    turns = np.radians([0.0] * 200 + [18.2, 41.3] + [59.5] * 200)
+    v = np.zeros((len(turns), 24))
+    v[:, 0], v[:, 1] = np.cos(turns), np.sin(turns)
+    v += rng.normal(size=v.shape) * 1e-4
+    near = (v @ v.T) / np.sqrt((v * v).sum(1)[:, None] * (v * v).sum(1)[None]) >= 0.9
+    assert near[200, 201] and near[:201, 201:].sum() == 1
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.near_vectors(df).collect()}
+    assert found == {i: (near[i].sum() - 1, 0) for i in range(len(v))}
+
+
 def test_reputation_of_odd_urls(spark):
     urls = ["http://A.Example.com/en/x?q=/fr/#f", "https://www.example.com/en/", "nothing", None, "x://a.net/es/", "x://net", "x://b.net:80/fr/a", "x://1.2.3.4/", "x:///en/"]
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)] + [(0, urls[0], "h")], "page_id long, url string, verdict string")
