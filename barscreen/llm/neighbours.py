@@ -9,8 +9,9 @@ checked in double precision, and only those at or above it are links.
 
 A list whose every member is a link is saturated: the node may have more. Such nodes are put in
 blocks and compared with all nodes, without those that the angle to a block's centre rules out.
-So no link is lost to the length of lists; what the descent may miss is audited against brute
-force for a fixed set of nodes, and rounds are added while recall is low.
+So no link is lost to the length of lists; what the descent may miss between other nodes is
+audited against brute force for a set of nodes that grows with the table, and rounds are added
+until recall is met; if EXTRA_ROUNDS do not do, the job fails.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from barscreen.llm.common import joined_schema, staged
 from barscreen.llm.components import connected
 
 LIST, TABLES, RUN = 12, 4, 48
-ROUNDS, EXTRA_ROUNDS, RECALL = 3, 4, 0.98
+ROUNDS, EXTRA_ROUNDS, RECALL = 3, 16, 0.98
 #: One-byte cosines this far below the threshold are still checked exactly.
 SLACK = 0.03
 BLOCK, AUDITED = 128, 200
@@ -192,17 +193,21 @@ def _local_joins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield joined(pa.Table.from_batches(held))
 
 
-def improved(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """One round: every node joins its neighbours and up to LIST nodes that list it."""
+def improved(lists: DataFrame, nodes: DataFrame, threshold: float, turn: int = 0) -> DataFrame:
+    """One round: every node joins its neighbours and up to LIST nodes that list it, drawn anew
+    each turn. Those not drawn the turn before are news to the others."""
     state = lists.groupBy("id").agg(
         F.when((F.count("*") >= LIST) & (F.min("sim") >= threshold + SLACK), F.lit(ALL))
         .when(F.count("*") >= LIST, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("last")
     )
     known = nodes.select("id", "q").join(state, "id")
-    drawn = Window.partitionBy("mid").orderBy(F.xxhash64("id", "mid"))
-    back = lists.select(F.col("other").alias("mid"), "id", "old").withColumn("n", F.row_number().over(drawn))
+    back = lists.select(F.col("other").alias("mid"), "id", "old")
+    for name, at in (("n", turn), ("past", turn - 1)):
+        drawn = Window.partitionBy("mid").orderBy(F.xxhash64("id", "mid", F.lit(at)), "id")
+        back = back.withColumn(name, F.row_number().over(drawn))
+    back = back.where(F.col("n") <= LIST).withColumn("old", F.when(F.col("past") <= LIST, F.col("old")).otherwise(0))
     there = lists.select(F.col("id").alias("mid"), F.col("other").alias("id"), "old")
-    met = there.unionByName(back.where(F.col("n") <= LIST).drop("n")).groupBy("mid", "id").agg(F.min("old").alias("old"))
+    met = there.unionByName(back.drop("n", "past")).groupBy("mid", "id").agg(F.min("old").alias("old"))
     rows = met.join(known, "id").select("mid", "id", "old", "last", "q")
     found = rows.repartition("mid").sortWithinPartitions("mid").mapInArrow(_local_joins, PAIRS)
     before = lists.select("id", "other", "sim", F.lit(1).alias("old"))
@@ -210,13 +215,15 @@ def improved(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 
 
 def descend(nodes: DataFrame, threshold: float, rounds: int, seed: int, lists: DataFrame | None = None) -> DataFrame:
-    """(id, other, sim, old) lists after some rounds, from scratch or from given ones."""
+    """(id, other, sim, old) lists after some rounds, from scratch or, the seed being the number
+    of rounds they had, from given ones."""
+    past = seed
     if lists is None:
-        lists = staged(_kept(first_lists(nodes, seed).withColumn("old", F.lit(0))), "lists")
-    for _ in range(rounds):
+        past, lists = 0, staged(_kept(first_lists(nodes, seed).withColumn("old", F.lit(0))), "lists")
+    for turn in range(past, past + rounds):
         if lists.where("old = 0").isEmpty():
             break
-        lists = improved(lists, nodes, threshold)
+        lists = improved(lists, nodes, threshold, turn)
     return lists
 
 
@@ -242,31 +249,45 @@ def exact_links(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFra
     return staged(rows.mapInArrow(run, "a long, b long"), "links")
 
 
-def audit(links: DataFrame, nodes: DataFrame, threshold: float) -> float:
-    """Share of the links of AUDITED nodes, found by comparing these with all nodes, that are in
-    one component of `links` or linked: 1 if they have none. The audited set is fixed by hash
-    and of fixed size, so every task gets it."""
-    asked = nodes.orderBy(F.xxhash64("id"), "id").limit(AUDITED).select("id", "vec").toArrow()
-    if not asked.num_rows:
-        return 1.0
-    ids, given = asked.column("id").to_numpy(), asked.column("vec").to_pylist()
+def _drawn(nodes: DataFrame, n: float, of: int, seed: int) -> DataFrame:
+    """About n of the nodes by hash; no task gathers them."""
+    share = int(min(1.0, n / max(of, 1)) * (1 << 30))
+    return nodes.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) < share)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            every = _matrix(pa.array([*given, *batch.column("vec").to_pylist()], pa.binary()), np.float64)
-            every = every / np.sqrt((every * every).sum(axis=1, keepdims=True))
-            row, col = np.nonzero(every[: len(given)] @ every[len(given) :].T >= threshold)
-            a, b = ids[row], batch.column("id").to_numpy()[col]
-            apart = a != b
-            yield pa.RecordBatch.from_arrays([pa.array(a[apart]), pa.array(b[apart])], names=["a", "b"])
 
-    truth = staged(nodes.select("id", "vec").mapInArrow(run, "a long, b long"), "audited")
-    roots = connected(links)
-    left, right = (roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab")
-    row = truth.join(left, "a", "left").join(right, "b", "left").agg(F.count("*").alias("n"), F.count_if(F.col("ra") == F.col("rb")).alias("k")).first()
-    return row.k / row.n if row.n else 1.0
+def audit(links: DataFrame, nodes: DataFrame, threshold: float, full: DataFrame | None = None, seed: int = 0) -> float:
+    """Estimated share of link ends that `links` has among nodes that are not in `full` (id):
+    the links of these are counted exactly later. 1 if no link end was seen.
+
+    Some nodes with links found and some without are compared with all nodes. Of the latter
+    there are so many that, if a share 1 - RECALL of as many link ends as nodes with links had
+    been lost, one is seen with 95% probability; where less than one node in the root of all
+    has a link, as many as if it were so. Both draws grow with the table.
+    """
+    free = nodes if full is None else nodes.join(full, "id", "left_anti")
+    free = staged(free, "free")
+    ids = free.select("id")
+    both = links.select("a", "b").unionAll(links.select("b", "a")).toDF("id", "other")
+    both = both.join(ids, "id", "left_semi").join(ids.toDF("other"), "other", "left_semi").distinct()
+    known = staged(both.groupBy("id").agg(F.count("*").alias("k")), "known")
+    every, linked = free.count(), known.count()
+    if not every:
+        return 1.0
+    root = every**0.5
+    wanted = max(AUDITED, 4 * root, 3 / ((1 - RECALL) * max(linked / every, 1 / root)))
+    with_, without = free.join(known, "id"), free.join(known, "id", "left_anti").withColumn("k", F.lit(0).cast("long"))
+    asked = _drawn(with_, max(AUDITED, 4 * root), linked, seed).unionByName(_drawn(without, wanted, every - linked, seed))
+    asked = staged(asked.withColumn("size", F.lit(1).cast("long")).withColumn("root", F.lit(0).cast("long")), "asked")
+    one = free.withColumn("size", F.lit(1).cast("long")).withColumn("open", F.lit(False))
+    truth = compared(asked, one, threshold, edges=False).groupBy("id").agg(F.sum("n").alias("n"))
+    sums = asked.join(truth, "id", "left").groupBy((F.col("k") > 0).alias("found")).agg(
+        F.count("*").alias("rows"), F.sum("k").alias("k"), F.sum(F.coalesce("n", F.lit(0))).alias("n")
+    )
+    have = true = 0.0
+    for r in sums.collect():
+        weight = (linked if r.found else every - linked) / r.rows
+        have, true = have + weight * r.k, true + weight * r.n
+    return have / true if true else 1.0
 
 
 def blocked(members: DataFrame) -> DataFrame:
@@ -419,15 +440,16 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, rounds: int = ROUND
     rows, nodes = nodes_of(vectors)
     lists = descend(nodes, threshold, rounds, seed=1)
     links = exact_links(lists, nodes, threshold)
-    for extra in range(EXTRA_ROUNDS):
-        if audit(links, nodes, threshold) >= RECALL:
-            break
+    extra = 0
+    while (recall := audit(links, nodes, threshold, full := saturated(lists, threshold), extra)) < RECALL:
+        if extra == EXTRA_ROUNDS:
+            raise RuntimeError(f"recall of links is {recall:.4f} after {extra} added rounds, below {RECALL}")
         anew = first_lists(nodes, seed=2 + extra).withColumn("old", F.lit(0))
+        extra += 1
         before = lists.select("id", "other", "sim", F.lit(1).alias("old"))
         lists = staged(_kept(before.unionByName(anew)), "lists")
-        lists = descend(nodes, threshold, 1, 0, lists)
+        lists = descend(nodes, threshold, 1, rounds + extra, lists)
         links = staged(links.unionByName(exact_links(lists, nodes, threshold)).distinct(), "links")
-    full = saturated(lists, threshold)
     groups = connected(links).select(F.col("node").alias("id"), "root")
     members = full.join(nodes, "id").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
     opened = nodes.join(full.withColumn("full", F.lit(True)), "id", "left").withColumn("open", F.isnull("full"))

@@ -203,6 +203,26 @@ def test_one_link_between_two_crowds(spark):
     assert found == {i: (near[i].sum() - 1, 0) for i in range(len(v))}
 
 
+def test_audit_sees_sparse_and_indirect_losses(spark, monkeypatch):
+    """A link lost inside a component and the only links of a table with few, then no way out."""
+    rng = np.random.default_rng(23)
+    v = rng.normal(size=(1_500, 24))
+    for i in range(0, 6, 2):
+        v[i + 1] = v[i] + rng.normal(size=24) * 0.05
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    _, nodes = neighbours.nodes_of(df)
+    at = {r.low: r.id for r in nodes.collect()}
+    none = spark.createDataFrame([], "a long, b long")
+    assert neighbours.audit(none, nodes, 0.9) == 0
+    three = nodes.where(F.col("low").isin(0, 1, 2))
+    chain = spark.createDataFrame([(at[0], at[1]), (at[1], at[2])], "a long, b long")
+    assert neighbours.audit(chain, three, -1.0) == pytest.approx(2 / 3)
+    monkeypatch.setattr(neighbours, "exact_links", lambda *_: none)
+    monkeypatch.setattr(neighbours, "EXTRA_ROUNDS", 0)
+    with pytest.raises(RuntimeError, match="recall"):
+        neighbours.near_vectors(df)
+
+
 def test_reputation_of_odd_urls(spark):
     urls = ["http://A.Example.com/en/x?q=/fr/#f", "https://www.example.com/en/", "nothing", None, "x://a.net/es/", "x://net", "x://b.net:80/fr/a", "x://1.2.3.4/", "x:///en/"]
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)] + [(0, urls[0], "h")], "page_id long, url string, verdict string")
