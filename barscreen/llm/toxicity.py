@@ -5,8 +5,9 @@ linear model adds one weight per term; the factorization machine adds, for each
 present, the product of their factor vectors, so that an insult next to the mention of a group
 can weigh more than both alone. With sum-of-squares algebra scoring costs terms x factors.
 
-The fit sees a bounded draw of labelled rows, keeps the terms whose share differs most between
-the labels, and learns by mini-batch AdaGrad.
+The fit sees a bounded draw of labelled rows, each weighing as many as it was drawn from, keeps
+the terms whose share differs most between the labels, and learns by mini-batch AdaGrad. So scores
+stand for the labels' real rate, whatever share of each label is drawn.
 """
 
 from __future__ import annotations
@@ -90,9 +91,9 @@ def _document_counts(rows: list[np.ndarray], labels: np.ndarray) -> tuple[np.nda
     return known, *counts
 
 
-def learned(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
-    """A machine from term arrays and 0/1 labels. One label alone, or no rows, gives the constant
-    that fits it: half without rows."""
+def learned(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7, stands: tuple[float, float] = (1.0, 1.0)) -> Machine:
+    """A machine from term arrays and 0/1 labels, a row of label 0 and 1 standing for so many. One
+    label alone, or no rows, gives the constant that fits it: half without rows."""
     n1, n0 = int(labels.sum()), int((1 - labels).sum())
     if not n1 or not n0:
         rate = 0.5 if not len(labels) else (n1 + 0.05) / (len(labels) + 0.1)
@@ -112,7 +113,9 @@ def learned(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machin
     rng = np.random.default_rng(seed)
     w = np.zeros(len(chosen), np.float32)
     v = rng.normal(0, 0.02, (len(chosen), FACTORS)).astype(np.float32)
-    bias = np.float32(np.log(n1 / n0))
+    bias = np.float32(np.log(n1 * stands[1] / (n0 * stands[0])))
+    weight = np.where(labels == 1, stands[1], stands[0])
+    weight = (weight / weight.mean()).astype(np.float32)
     grown_w, grown_v = np.full_like(w, 1e-3), np.full_like(v, 1e-3)
     for _ in range(EPOCHS):
         order = rng.permutation(len(rows))
@@ -121,7 +124,7 @@ def learned(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machin
             xb, yb = x[part], labels[part]
             xv = xb @ v
             raw = bias + xb @ w + 0.5 * ((xv**2).sum(axis=1) - xb @ (v**2).sum(axis=1))
-            off = (_sigmoid(raw) - yb).astype(np.float32) / len(part)
+            off = (_sigmoid(raw) - yb).astype(np.float32) * weight[part] / len(part)
             gw = xb.T @ off + 1e-4 * w
             gv = xb.T @ (off[:, None] * xv) - (xb.T @ off)[:, None] * v + 1e-3 * v
             grown_w += gw**2
@@ -136,8 +139,9 @@ def fit(docs: DataFrame, labels: DataFrame, draws: dict[int, int] | None = None)
     """A machine from texts (doc_id, text) and labels (doc_id, toxic): so many labels of each
     kind, drawn by hash of the id.
 
-    Null labels are passed over, null texts are documents without terms. The drawn labels are
-    bounded by the parameter and so are broadcast; only hashed terms reach the driver.
+    A drawn label stands for the labels of its kind over those drawn. Null labels are passed
+    over, null texts are documents without terms. The drawn labels are bounded by the parameter
+    and so are broadcast; only hashed terms reach the driver.
     """
     kinds = sorted((draws or FIT_ROWS).items())
     drawn = [
@@ -156,7 +160,9 @@ def fit(docs: DataFrame, labels: DataFrame, draws: dict[int, int] | None = None)
     found = add_columns(rows, "text", "_terms binary", make, keep_text=False).select("_toxic", "_terms")
     got = sorted((r["_toxic"], r["_terms"]) for r in found.toArrow().to_pylist())
     arrays = [np.frombuffer(t, np.uint32) for _, t in got]
-    return learned(arrays, np.array([label for label, _ in got], np.int64))
+    counted = labels.agg(*[F.count_if(F.col("toxic") == label).alias(f"n{label}") for label, _ in kinds]).first()
+    stands = {label: max(1.0, counted[f"n{label}"] / n) for label, n in kinds if n}
+    return learned(arrays, np.array([label for label, _ in got], np.int64), stands=(stands.get(0, 1.0), stands.get(1, 1.0)))
 
 
 def scored(docs: DataFrame, machine: Machine, text: str = "text", name: str = "score", keep_text: bool = True) -> DataFrame:

@@ -282,6 +282,14 @@ def test_warc_files_round_trip(spark, tmp_path):
     assert texts[2, "conversion"][0] == texts[3, "conversion"][0] == ""
 
 
+def test_scores_keep_the_labels_rate_whatever_is_drawn(spark):
+    """One document in ten is toxic; nothing in the texts tells which."""
+    docs = spark.range(4_000).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 10 == 0).cast("int").alias("toxic"))
+    for draws in ({1: 4_000, 0: 4_000}, {1: 300, 0: 500}, {1: 4_000, 0: 500}):
+        assert toxicity.fit(docs, labels, draws).score("some words") == pytest.approx(0.1, abs=0.01)
+
+
 def test_pipeline_stage_by_stage(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     columns = docs.columns
