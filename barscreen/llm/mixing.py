@@ -12,6 +12,7 @@ are dealt out like any other where sources are many. Sweeps are written to the s
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,6 +26,9 @@ POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 SWEEPS, SHARE, SEED = 8, 0.5, 11
 #: Sweeps of one plan; after them the cells are written to the shared folder.
 SWEEPS_A_PLAN = 4
+#: Raking with the bound ends at this gap, a share of the budget, or after so many sweeps.
+GAP, BOUNDED_SWEEPS = 1e-3, 40
+_LOG = logging.getLogger(__name__)
 WORD = "[^ \\t\\n\\x0b\\f\\r]+"
 
 
@@ -91,14 +95,66 @@ def probabilities(cells: DataFrame, budget: Column | float) -> DataFrame:
     return cells.withColumn("p", F.when(F.col("tokens") > 0, F.least(want, F.lit(1.0))).otherwise(0.0))
 
 
+def _filled(rows: DataFrame, by: list[str], want: Column) -> DataFrame:
+    """Scales `weight` per group so that the sum of min(tokens, weight) is `want`; where all
+    tokens are too few, each weight reaches its tokens. Tokens and weights are above 0."""
+    group = [F.col(c) for c in by] or [F.lit(0)]
+    order = Window.partitionBy(*group).orderBy("_ratio", *[c for c in MARGINS if c in rows.columns])
+    before = F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rest = F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
+    rows = rows.withColumn("_ratio", F.col("tokens") / F.col("weight"))
+    rows = rows.withColumn("_factor", F.greatest(want - before, F.lit(0.0)) / rest)
+    whole = Window.partitionBy(*group)
+    best = F.max(F.when(F.col("_factor") <= F.col("_ratio"), F.col("_factor"))).over(whole)
+    rows = rows.withColumn("_best", F.coalesce(best, F.max("_ratio").over(whole)))
+    rows = rows.withColumn("weight", F.col("weight") * F.col("_best")).drop("_ratio", "_factor", "_best")
+    return rows.where("weight > 0")
+
+
+def bounded(cells: DataFrame, budget: float, targets: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
+    """(MARGINS, tokens, p): raking with p <= 1 in the fit, so that expected tokens meet each
+    margin's targets. A target above the tokens there are is cut to them and the others share
+    the rest. Sweeps end when margins are met to GAP of the budget. Targets that were cut and
+    what BOUNDED_SWEEPS cannot meet are logged."""
+    rows = cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double"))
+    for m in MARGINS:
+        wanted = shares(cells, m, POWERS[m], (targets or {}).get(m)).where("target > 0")
+        sums = cells.groupBy(m).agg(F.sum("tokens").alias("tokens"))
+        wanted = staged(wanted.join(sums, m).withColumn("weight", F.col("target") * budget), "wants")
+        short = wanted.where("weight > tokens").agg(F.count("*").alias("n"), F.sum(F.col("weight") - F.col("tokens")).alias("lost")).first()
+        if short.n:
+            _LOG.warning("mixing: %d values of %s have fewer tokens than their targets, by %.4f of the budget", short.n, m, short.lost / budget)
+        wanted = _filled(wanted, [], F.lit(float(budget)))
+        wanted = wanted.select(m, F.least("weight", "tokens").alias(f"{m}_want"))
+        rows = attach(rows, staged(wanted, "wants"), [m], "inner")
+    rows = staged(rows, "bounded")
+    few = rows.count() <= BROADCAST_ROWS
+    for _ in range(BOUNDED_SWEEPS):
+        rows = rows.coalesce(1) if few else rows
+        for m in MARGINS:
+            rows = _filled(rows, [m], F.col(f"{m}_want"))
+        rows = staged(rows, "bounded")
+        gaps = {}
+        for m in MARGINS:
+            met = rows.groupBy(m).agg((F.sum(F.least("tokens", "weight")) - F.first(f"{m}_want")).alias("d"))
+            gaps[m] = (met.agg(F.max(F.abs("d"))).first()[0] or 0.0) / max(budget, 1)
+        if max(gaps.values()) <= GAP:
+            break
+    else:
+        _LOG.warning("mixing targets can't all be met: largest gaps as shares of the budget %s", gaps)
+    found = rows.select(*MARGINS, F.least(F.col("weight") / F.col("tokens"), F.lit(1.0)).alias("p"))
+    return attach(cells, staged(found, "found"), list(MARGINS)).withColumn("p", F.coalesce("p", F.lit(0.0)))
+
+
 def mixed(
     docs: DataFrame, share: float = SHARE, sweeps: int = SWEEPS, seed: int = SEED,
-    targets: Mapping[str, Mapping[str, float]] | None = None,
+    targets: Mapping[str, Mapping[str, float]] | None = None, capped: bool = False,
 ) -> DataFrame:
     """The sampled rows of (doc_id, text, source, lang, ...), all their columns, and `_tokens`,
     `_topic`, `_p`.
 
-    `share` of all tokens is the budget; where probabilities reach 1 less is sampled. Null
+    `share` of all tokens is the budget. If `capped`, probabilities are cut at 1 after `sweeps`
+    of raking without the bound, and less is sampled, as the comparison SQL has it. Null
     sources and languages are a value of their own (empty text). Documents without words weigh
     nothing and are sampled with the budget's share. Rows of one id share their lot, rows
     without an id share one lot. Columns named like those added keep their names, the added
@@ -115,7 +171,7 @@ def mixed(
     counted = rows.groupBy(*[F.col(c).alias(m) for m, c in key.items()]).agg(F.sum(names["_tokens"]).alias("tokens"))
     cells = staged(counted, "cells")
     total = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    found = probabilities(raked(cells, sweeps, targets), share * total)
+    found = probabilities(raked(cells, sweeps, targets), share * total) if capped else bounded(cells, share * total, targets)
     found = found.withColumn("p", F.when(F.col("tokens") > 0, F.col("p")).otherwise(F.lit(share)))
     small = staged(found.select(*[F.col(m).alias(c) for m, c in key.items()], F.col("p").alias(names["_p"])), "chances")
     drawn = attach(rows, small, list(key.values())).where(chance(F.col("doc_id"), seed) < F.col(names["_p"]))

@@ -94,7 +94,8 @@ URL_RULES = (
 
 @query
 def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    drawn = mixing.mixed(table(spark, sf, "documents").select("doc_id", "text", "source", "lang"))
+    # As its comparison SQL has it; the pipeline keeps the bound in the fit.
+    drawn = mixing.mixed(table(spark, sf, "documents").select("doc_id", "text", "source", "lang"), capped=True)
     return drawn.select(
         "doc_id", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"),
         F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"), (F.round("_p", 6) + 0.0).alias("p"),

@@ -103,6 +103,24 @@ def test_raking_meets_targets(spark):
         assert sums == pytest.approx(targets, rel=1e-4)
 
 
+def test_bounded_raking_meets_targets(spark):
+    """Raking without the bound puts small cells far above all their tokens."""
+    rows = [("a", "en", "x", 900), ("a", "de", "x", 60), ("b", "en", "x", 200), ("b", "de", "x", 80), ("a", "en", "y", 90), ("b", "de", "y", 30), ("b", "en", "y", 40), ("c", "en", "x", 5)]
+    cells = staged(spark.createDataFrame(rows, "source string, lang string, topic string, tokens long"), "cells")
+    budget = 0.5 * sum(r[3] for r in rows)
+    given_ = {"source": {"a": 0.6, "b": 0.3, "c": 0.1}, "lang": {"en": 0.8, "de": 0.2}, "topic": {"x": 0.85, "y": 0.15}}
+    cut = mixing.probabilities(mixing.raked(cells, 8, given_), budget).collect()
+    assert sum(r.p * r.tokens for r in cut) < 0.97 * budget
+    found = mixing.bounded(cells, budget, given_).collect()
+    assert all(0 < r.p <= 1 for r in found)
+    kept = {m: {v: sum(r.p * r.tokens for r in found if r[m] == v) for v in given_[m]} for m in given_}
+    # Source c has 5 tokens; a and b share the rest of its target.
+    left = budget - 5
+    want = {"source": {"a": left * 2 / 3, "b": left / 3, "c": 5}, "lang": {"en": 0.8 * budget, "de": 0.2 * budget}, "topic": {"x": 0.85 * budget, "y": 0.15 * budget}}
+    for m in given_:
+        assert kept[m] == pytest.approx(want[m], abs=2e-3 * budget)
+
+
 def test_mixing_of_odd_rows(spark, odd):  # noqa: F811
     rows = mixing.mixed(odd, share=1.0, sweeps=2)
     assert rows.columns[: len(odd.columns)] == odd.columns
