@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barscreen.llm import chat, language, mixing, neighbours, packing, quality, reputation, simhash, toxicity, warc
+from barscreen.llm import (
+    bpe, chat, language, mixing, neighbours, packing, prefix_trie, quality, reputation, search, simhash, toxicity, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,6 +124,27 @@ def op9_warc_derivatives(spark: SparkSession, sf: str) -> DataFrame:
     return made.drop("block", "http_header", "date")
 
 
+@query
+def op11_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    return search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    from public_tokenizers import PATTERN
+
+    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.encoded(table(spark, sf, "documents").select("doc_id", "text"), path, PATTERN)
+    return bpe.digests(bpe.decoded(coded, path, PATTERN))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.paths(table(spark, sf, "conversations")))
+
+
+ORACLES["op11_ranked_search"] = search.SQL
+ORACLES["op13_prefix_trie"] = prefix_trie.SQL
 ORACLES["op5_mixing"] = mixing.sql()
 ORACLES["op7_url_reputation"] = reputation.SQL.format(rules=", ".join(map(str, URL_RULES)))
 ORACLES["op9_warc_derivatives"] = warc.SQL
