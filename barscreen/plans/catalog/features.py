@@ -291,9 +291,8 @@ pivs AS (SELECT ctx.security_key, ctx.date, ctx.pos, lag(ph) OVER w AS pivot_hig
     )
 )
 def swing_pivots(spark, sf):
-    bars, days = cut_lineage(_bars(spark, sf)), _days(spark, sf)
-    found = pv.pivots_by_session(pv.confirmed_pivots_and_nodes(ft.daily_atr(days), bars))
-    return found.drop("node")
+    found = pv.pivots_by_session(pv.confirmed_pivots(ft.daily_atr(_days(spark, sf))))
+    return found.select(*DAY, *pv.STATE[:4])
 
 
 NODES = """nwin AS (SELECT d.security_key, d.pos, h.close, h.volume, min(h.low) OVER w AS lo, max(h.high) OVER w AS hi
@@ -315,8 +314,8 @@ nodes AS (SELECT security_key, pos, lo + (bin + 0.5) * (hi - lo) / 50 AS node
     )
 )
 def volume_node(spark, sf):
-    bars, days = cut_lineage(_bars(spark, sf)), _days(spark, sf)
-    found = pv.confirmed_pivots_and_nodes(ft.daily_atr(days), bars).join(days, DAY)
+    bars, days = cut_lineage(_bars(spark, sf)), cut_lineage(_days(spark, sf))
+    found = days.join(pv.volume_nodes(days, bars), DAY, "left")
     return tidy(found.select(*DAY, (F.col("node") / F.col("close")).alias("node_to_close")))
 
 

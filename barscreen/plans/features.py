@@ -54,8 +54,10 @@ def session_context(daily: DataFrame, hourly: DataFrame | None) -> DataFrame:
     context = st.session_levels(daily_atr(daily))
     if hourly is None:
         return context
-    found = pv.pivots_by_session(pv.confirmed_pivots_and_nodes(daily_atr(daily), hourly))
-    return lv.touch_counts(context.join(found, ["security_key", "date"], "left"))
+    found = pv.pivots_by_session(pv.confirmed_pivots(daily_atr(daily))).select("security_key", "date", *pv.STATE[:4])
+    nodes = pv.volume_nodes(daily, hourly)
+    keys = ["security_key", "date"]
+    return lv.touch_counts(context.join(found, keys, "left").join(nodes, keys, "left"))
 
 
 def _raw_columns(raw: DataFrame, raw_daily: DataFrame, keys: list[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import math
 import random
 import statistics
 
@@ -15,7 +16,7 @@ from barscreen.functions import ranks
 from barscreen.functions import trailing as tr
 from barscreen.functions.orders import day_order
 from barscreen.operators import volatility as vt
-from barscreen.operators.pivots import busiest_price, last_pivots
+from barscreen.operators.pivots import pivot_states, volume_nodes
 
 START = dt.date(2020, 1, 1)
 
@@ -129,22 +130,65 @@ def test_group_rank_is_exact_under_ties_and_skew(spark):
 def test_pivots_hand_worked():
     high = np.array([10.0, 12.0, 11.0, 8.0, 9.0, 12.0])
     low = np.array([9.0, 11.0, 9.0, 6.0, 8.0, 10.0])
-    found = last_pivots(high, low, np.full(6, 3.0))
+    found = pivot_states(high, low, np.full(6, 3.0))
     # The fall from 12 to 9 confirms the high of session 1; the rise from 6 to 9 the low of 3.
-    assert np.isnan(found[1]).all()
+    assert np.isnan(found[1, :4]).all()
     assert found[2, 0] == 12.0 and found[2, 1] == 1
     assert np.isnan(found[3, 2])
     assert found[4, 2] == 6.0 and found[4, 3] == 3
 
 
-def test_node_needs_every_session():
-    days = np.arange(5)
-    bars = {"high": np.array([10.0, 20.0, 20.0, 20.0, 20.0]), "low": np.array([0.0, 10.0, 10.0, 10.0, 10.0]),
-            "close": np.array([1.0, 15.0, 15.0, 15.0, 3.0]), "volume": np.array([5.0, 1.0, 1.0, 1.0, 9.0])}
-    found = busiest_price(days, bars, days, sessions=3, bins=10)
-    assert np.isnan(found[:3]).all()
-    assert found[3] == pytest.approx(1.0)  # 0..20 in ten bins: the bin 0..2 holds volume 5
-    assert found[4] == pytest.approx(15.5)  # 10..20: the three closes at 15
-    keep = days != 2
-    gap = busiest_price(days[keep], {c: v[keep] for c, v in bars.items()}, days, sessions=3, bins=10)
-    assert np.isnan(gap).all()
+def test_pivot_search_goes_on_from_any_session():
+    random.seed(8)
+    walk = np.cumsum([random.uniform(-2, 2) for _ in range(300)])
+    high, low, need = walk + 1, walk - 1, np.full(300, 2.5)
+    high[40:43] = low[40:43] = np.nan
+    whole = pivot_states(high, low, need)
+    for cut in (1, 41, 42, 150, 299):
+        rest = pivot_states(high[cut:], low[cut:], need[cut:], tuple(whole[cut - 1]), cut)
+        np.testing.assert_array_equal(rest, whole[cut:])
+
+
+def node_by_hand(bars, days, sessions, bins):
+    """{day: node} of one security, bin by bin."""
+    out = {}
+    for i, day in enumerate(days):
+        window = days[max(0, i - sessions) : i]
+        held = [r for r in bars if r[0] in window]
+        if len(window) < sessions or {r[0] for r in held} != set(window):
+            continue
+        lows, highs = [r[3] for r in held if r[3] is not None], [r[2] for r in held if r[2] is not None]
+        if not lows or not highs or not max(highs) > min(lows):
+            continue
+        lo, width = min(lows), (max(highs) - min(lows)) / bins
+        filled = [0.0] * bins
+        for _, _, _, _, close, volume in held:
+            if close is not None and volume is not None:
+                filled[int(min(max(math.floor((close - lo) / width), 0), bins - 1))] += volume
+        if sum(filled) > 0:
+            out[day] = lo + (filled.index(max(filled)) + 0.5) * width
+    return out
+
+
+def test_node_needs_every_session(spark):
+    """Against a histogram by hand: gaps, untraded bars, flat prices, ties."""
+    random.seed(2)
+    bars, days = [], []
+    for key, held in (("A", range(40)), ("B", [d for d in range(40) if d % 9]), ("C", range(30))):
+        for d in range(40):
+            days.append((key, START + dt.timedelta(d)))
+            for slot in range(3 if d in held else 0):
+                price = 5.0 if key == "C" else random.randint(1, 40) / 2
+                known = random.random() > 0.2
+                row = (price + 1.0, price - 1.0, price, float(random.randint(0, 3))) if known else (None, None, None, 0.0)
+                bars.append((key, START + dt.timedelta(d), slot, *row))
+    hourly = spark.createDataFrame(bars, "security_key string, date date, slot_index int, high double, low double, close double, volume double")
+    daily = spark.createDataFrame(days, "security_key string, date date")
+    found = {(r.security_key, r.date): r.node for r in volume_nodes(daily, hourly, sessions=4, bins=7).collect()}
+    want = {}
+    for key in "ABC":
+        mine = [r[1:] for r in bars if r[0] == key]
+        want |= {(key, d): n for d, n in node_by_hand(mine, sorted(d for k, d in days if k == key), 4, 7).items()}
+    assert set(found) == set(want) and len(want) > 40
+    assert all(found[k] == pytest.approx(want[k]) for k in want)
+
