@@ -32,8 +32,12 @@ def market_day_return(market: DataFrame, hourly: bool) -> DataFrame:
     return closes.select("date", change.alias("market_ret_day"))
 
 
-def beta_by_session(daily: DataFrame, market_daily: DataFrame, n: int = BETA_WINDOW) -> DataFrame:
-    """`(security_key, date, beta_60)`: fitted on the previous n paired returns, held weekly.
+def beta_by_session(
+    daily: DataFrame, market_daily: DataFrame, n: int = BETA_WINDOW, carried: DataFrame | None = None
+) -> DataFrame:
+    """`(security_key, date, beta_60, paired)`: fitted on the previous n paired returns, held
+    weekly, and the returns paired so far. `carried` (security_key, beta_60, paired) holds what
+    stood before a security's first session here.
 
     The fit runs over rows where both returns are known. Splitting the window by "known" lets
     those rows see one another as neighbours without filtering and joining back.
@@ -56,11 +60,16 @@ def beta_by_session(daily: DataFrame, market_daily: DataFrame, n: int = BETA_WIN
     enough = tr.trailing_count(F.col("_both"), day_order(), n) >= tr.min_valid(n)
     week = F.date_trunc("week", "date")
     opens_week = F.coalesce(F.lag(week).over(day_order()) != week, F.lit(True))
-    return (
-        paired.withColumn("_fit", slope)
-        .withColumn("_held", F.when(opens_week & enough, F.col("_fit")))
-        .select("security_key", "date", tr.forward_fill(F.col("_held"), day_order()).alias("beta_60"))
-    )
+    held = tr.forward_fill(F.col("_held"), day_order())
+    so_far = F.count(F.when(F.col("_both"), 1)).over(day_order().rowsBetween(Window.unboundedPreceding, 0))
+    out = paired.withColumn("_fit", slope).withColumn("_held", F.when(opens_week & enough, F.col("_fit")))
+    if carried is None:
+        return out.select("security_key", "date", held.alias("beta_60"), so_far.alias("paired"))
+    before = carried.select("security_key", F.col("beta_60").alias("_beta"), F.col("paired").alias("_paired"))
+    return out.join(before, "security_key", "left").select(
+        "security_key", "date", F.coalesce(held, "_beta").alias("beta_60"),
+        (so_far + F.coalesce("_paired", F.lit(0))).alias("paired"),
+    )
 
 
 def market_features(bars: DataFrame, market: DataFrame, hourly: bool) -> DataFrame:

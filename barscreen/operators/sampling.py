@@ -41,8 +41,9 @@ def with_stratum(bars: DataFrame) -> DataFrame:
 def draw(bars: DataFrame, count: int, seed: str) -> DataFrame:
     """`count` bars, a third of them candidates, each with its weight and place in the order.
 
-    The lowest digests of each stratum; every task passes on only as many as are wanted. The
-    weight is how many bars of the stratum each drawn one stands for.
+    The lowest digests of each stratum, found by counting digests by their first digits, so that
+    a draw of any size moves the bars drawn and few more. The weight is how many bars of the
+    stratum each drawn one stands for.
     """
     wanted = {"candidate": round(count * CANDIDATE_SHARE)}
     wanted["population"] = count - wanted["candidate"]
@@ -50,10 +51,9 @@ def draw(bars: DataFrame, count: int, seed: str) -> DataFrame:
     sizes = pool.groupBy("stratum").agg(F.count(F.lit(1)).alias("_size"))
     drawn = None
     for stratum, n in wanted.items():
-        mine = pool.where(F.col("stratum") == stratum).withColumn(
-            "_d", digest(f"{seed}|{stratum}")
-        )
-        taken = top_rows(mine, ["stratum"], [F.col("_d"), *BAR], n)
+        mine = pool.where(F.col("stratum") == stratum)
+        one = pool.sparkSession.range(1).select(F.lit(n).alias("_wanted"))
+        taken = first_by_digest(mine, digest(f"{seed}|{stratum}"), BAR, one)
         drawn = taken if drawn is None else drawn.unionByName(taken)
     # Two rows of sizes, and at most `count` rows drawn.
     taken = F.least(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barscreen.functions.orders import bar_order, day_order, slot_order
@@ -16,10 +16,13 @@ ATR_PERIOD = 20
 BLOCK = 1024
 
 
-def with_true_range(bars: DataFrame, order: WindowSpec) -> DataFrame:
-    """The largest of the bar's own range and its reach from the previous close."""
+def with_true_range(bars: DataFrame, order: WindowSpec, carried: Column | None = None) -> DataFrame:
+    """The largest of the bar's own range and its reach from the previous close: `carried` for a
+    security's first bar here, if earlier ones are left out."""
     own = F.col("high") - F.col("low")
     previous = F.lag("close").over(order)
+    if carried is not None:
+        previous = F.when(F.row_number().over(order) == 1, carried).otherwise(previous)
     reach = F.greatest(F.abs(F.col("high") - previous), F.abs(F.col("low") - previous))
     known = F.col("high").isNotNull() & F.col("low").isNotNull()
     widest = F.when(previous.isNull(), own).otherwise(F.greatest(own, reach))
@@ -27,8 +30,9 @@ def with_true_range(bars: DataFrame, order: WindowSpec) -> DataFrame:
 
 
 def with_wilder_atr(
-    bars: DataFrame, order_by: list[str], into: str, period: int = ATR_PERIOD
-) -> DataFrame:
+    bars: DataFrame, order_by: list[str], into: str, period: int = ATR_PERIOD,
+    carried: tuple[Column, Column] | None = None, keep_state: bool = False,
+) -> DataFrame:
     """`into`: the averaged true range known when a bar opens.
 
     The recursion `a' = a + (range - a) / period`, started from the mean of the first `period`
@@ -37,6 +41,10 @@ def with_wilder_atr(
     scaled by how far they stand from the start of their block, summed as they come, scaled
     back, and the end of the block before is carried in. Unknown ranges leave the average as it
     was.
+
+    The state after a bar is the number of known ranges and the weighted sum of them;
+    `keep_state` adds it as `ranges_seen, range_value`. `carried`, the state before a security's
+    first bar here (null: none), goes on from there: it fades by the same steps.
     """
     fade = 1.0 - 1.0 / period
     order = Window.partitionBy("security_key").orderBy(*order_by)
@@ -45,11 +53,13 @@ def with_wilder_atr(
     among_known = Window.partitionBy("security_key", "_known").orderBy("_block", *order_by)
     in_block = Window.partitionBy("security_key", "_known", "_block").orderBy(*order_by)
 
-    step = F.greatest(F.col("_seen"), F.lit(period)) - period
+    seen, value = (F.coalesce(c, F.lit(0)) for c in carried) if carried else (F.lit(0), F.lit(0.0))
+    # Steps from the carried state, or from the end of the first `period` ranges.
+    step = F.greatest(F.col("_seen"), F.lit(period)) - F.greatest(seen, F.lit(period))
     within = F.col("_within")
-    return (
+    out = (
         bars.withColumn("_known", F.col("true_range").isNotNull())
-        .withColumn("_seen", F.count("true_range").over(so_far))
+        .withColumn("_seen", F.count("true_range").over(so_far) + seen)
         .withColumn("_block", F.floor(step / BLOCK))
         .withColumn("_step", step - F.col("_block") * BLOCK)
         .withColumn(
@@ -65,9 +75,9 @@ def with_wilder_atr(
             F.first("_before").over(in_block.rowsBetween(Window.unboundedPreceding, 0)),
         )
         .withColumn(
-            "_atr",
+            "_value",
             F.when(
-                F.col("_known") & (F.col("_seen") >= period),
+                F.col("_known"),
                 within
                 + F.when(
                     F.col("_block") > 0,
@@ -75,10 +85,18 @@ def with_wilder_atr(
                 ).otherwise(0.0),
             ),
         )
-        .withColumn(into, F.last("_atr", ignorenulls=True).over(order.rowsBetween(
-            Window.unboundedPreceding, -1)))  # through the previous bar only
-        .drop("_known", "_seen", "_block", "_step", "_within", "_before", "_carried", "_atr")
     )
+    if carried:
+        out = out.withColumn("_value", F.col("_value") + value * F.pow(F.lit(fade), F.col("_block") * BLOCK + F.col("_step")))
+    known = F.last(F.when(F.col("_seen") >= period, F.col("_value")), ignorenulls=True)
+    before = known.over(order.rowsBetween(Window.unboundedPreceding, -1))  # through the previous bar only
+    if carried:
+        before = F.coalesce(before, F.when(seen >= period, value))
+    out = out.withColumn(into, before)
+    if keep_state:
+        latest = F.last("_value", ignorenulls=True).over(so_far)
+        out = out.withColumns({"ranges_seen": F.col("_seen"), "range_value": F.coalesce(latest, value)})
+    return out.drop("_known", "_seen", "_block", "_step", "_within", "_before", "_carried", "_value")
 
 
 def hourly_ranges(bars: DataFrame) -> DataFrame:
@@ -102,9 +120,12 @@ def hourly_volatility(bars: DataFrame, window: int = 60) -> DataFrame:
     return spread_percentile(hourly_ranges(bars), window)
 
 
-def daily_volatility(daily: DataFrame) -> DataFrame:
-    """`true_range, atr20_day, spread_atr` on daily bars."""
-    ranged = with_wilder_atr(with_true_range(daily, day_order()), ["date"], "atr20_day")
+def daily_volatility(daily: DataFrame, carried: Column | None = None, keep_state: bool = False) -> DataFrame:
+    """`true_range, atr20_day, spread_atr` on daily bars. `carried`: a struct with `close`,
+    `ranges_seen` and `range_value` as they stood before a security's first bar here."""
+    state = None if carried is None else (carried["ranges_seen"], carried["range_value"])
+    ranged = with_true_range(daily, day_order(), None if carried is None else carried["close"])
+    ranged = with_wilder_atr(ranged, ["date"], "atr20_day", carried=state, keep_state=keep_state)
     return ranged.withColumn("spread_atr", ratio(F.col("true_range"), F.col("atr20_day")))
 
 

@@ -6,6 +6,9 @@ the plain window measures on supplier x week, whose bars grow with the data.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import functions as F
 
 from barscreen.functions import trailing as tr
@@ -22,7 +25,9 @@ from barscreen.plans import adapters as ad
 from barscreen.plans import features as ft
 from barscreen.plans.catalog import base as b
 from barscreen.plans.catalog.base import BAR_W, DAY_W, SLOT_W, SO_FAR, chain, frame, query, select, tidy
-from barscreen.session import cut_lineage
+from barscreen.session import cut_lineage, shared_folder
+from barscreen.sources import store
+from barscreen.streaming import carried
 
 BAR = ["security_key", "date", "slot_index"]
 DAY = ["security_key", "date"]
@@ -203,7 +208,7 @@ def hourly_progress(spark, sf):
 def weekly_beta(spark, sf):
     daily = _days(spark, sf, "nation", "day")
     _, market = ad.market_bars(spark, sf, "day")
-    return tidy(mk.beta_by_session(daily, market))
+    return tidy(mk.beta_by_session(daily, market).drop("paired"))
 
 
 MARKET = f"""mkt AS (SELECT v.security_key, v.date, v.slot_index, beta_60,
@@ -218,7 +223,7 @@ def hourly_market(spark, sf):
     bars, days = _bars(spark, sf), _days(spark, sf)
     hourly, daily = ad.market_bars(spark, sf)
     own = vt.hourly_volatility(bars).withColumn("_pc", F.lag("close").over(bar_order()))
-    own = own.join(mk.beta_by_session(days, daily), DAY, "left")
+    own = own.join(mk.beta_by_session(days, daily).drop("paired"), DAY, "left")
     return tidy(mk.market_features(own, hourly, True), *BAR, *ft.MARKET)
 
 
@@ -487,6 +492,52 @@ def daily_features(spark, sf):
     return tidy(ft.daily_features(days, market), *DAY, "is_half_day", "low_quality", "true_range", *DAILY_DOUBLES, exact="true_range")
 
 
+LATE = dt.date(1997, 9, 3)
+
+
+def _late_session(spark, sf):
+    """Snapshots that were taken before LATE, and the bars stored by session: only those of
+    the year, as nothing earlier may be needed. Returns the store and the benchmark."""
+    root = f"{shared_folder(spark)}/late/{uuid.uuid4().hex}"
+    days = cut_lineage(_days(spark, sf))
+    _, market = ad.market_bars(spark, sf)
+    market = cut_lineage(market)
+    early = days.where(F.col("date") < F.lit(LATE))
+    # A snapshot every 40 days, and none in the last ones before LATE.
+    held = F.col("date").between(F.lit(dt.date(1997, 1, 1)), F.lit(dt.date(1997, 8, 15)))
+    at = early.select("date").distinct().where((F.datediff("date", F.lit(LATE)) % 40 == 0) & held)
+    store.write_sessions(days.where(F.col("date") >= F.lit(dt.date(1997, 1, 1))), root, "daily")
+    carried.write_snapshots(carried.states(early, market), at, root)
+    return root, market
+
+
+@query(
+    select(
+        DAILY_CTES.replace("'day'", "'week'"), "dfeat", "security_key date is_half_day low_quality true_range", " ".join(DAILY_DOUBLES),
+        tail=f"WHERE date >= DATE '{LATE}'",
+    )
+)
+def late_daily_features(spark, sf):
+    """Features of late sessions from a snapshot and the bars after it."""
+    root, market = _late_session(spark, sf)
+    found = carried.late_features(spark, root, market, LATE)
+    return tidy(found, *DAY, "is_half_day", "low_quality", "true_range", *DAILY_DOUBLES, exact="true_range")
+
+
+@query(
+    select(
+        chain(b.days("nation", "week"), DAILY_ATR, LEVELS, PIVOTS),
+        "(SELECT date, security_key, ph AS pivot_high, CAST(php AS DOUBLE) AS set_pivot_high, pl AS pivot_low, CAST(plp AS DOUBLE) AS set_pivot_low, "
+        "CAST(up AS INTEGER) * 1.0 AS way, ext AS extreme, CAST(place AS DOUBLE) AS place FROM ctx JOIN piv USING (security_key, pos))",
+        "security_key date " + " ".join(pv.STATE), tail=f"WHERE date >= DATE '{LATE}'",
+    )
+)
+def late_pivots(spark, sf):
+    """The pivot search of late sessions gone on with from a snapshot."""
+    root, market = _late_session(spark, sf)
+    return carried.late_states(spark, root, market, LATE).select(*DAY, *pv.STATE)
+
+
 @query(f"WITH {b.days('supplier', 'week')} SELECT DISTINCT security_key, security_key AS requested_ticker FROM days")
 def security_directory(spark, sf):
     return ft.security_directory(ad.trades(spark, sf, "supplier", "week"))
@@ -499,5 +550,8 @@ def security_directory(spark, sf):
     )
 )
 def one_batch(spark, sf):
-    bars = _days(spark, sf, "supplier", "week")
-    return ft.one_batch(bars, ["S1", "S2", "S3", "S5", "S8"]).select(*DAY, "close", "volume")
+    """Bars stored by security, and a batch of securities read back."""
+    root = f"{shared_folder(spark)}/batches/{uuid.uuid4().hex}"
+    store.write_by_security(_days(spark, sf, "supplier", "week"), root, "daily")
+    found = store.read_batch(spark, root, "daily", ["S1", "S2", "S3", "S5", "S8"])
+    return found.select(*DAY, "close", "volume")

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from barscreen.operators import audits as au
+from barscreen.operators import bars as bo
 from barscreen.operators import patterns as pt
 from barscreen.plans import adapters as ad
 from barscreen.plans.catalog import base as b
@@ -367,6 +368,33 @@ def stale_sessions(spark, sf):
     return incremental.stale_sessions(parts, incremental.part_sets(seen))
 
 
+@query(select(b.days("nation", "week"), "days", "security_key date open high low close volume transactions"))
+def arriving_sessions(spark, sf):
+    """Day bars kept up by a stream: minutes land, late ones of the same sessions follow, and at
+    last every file is handed out again, as after a lost checkpoint."""
+    root = scratch(spark, "arrivals")
+    raw, bars = f"{root}/raw", f"{root}/bars"
+    minutes = ad.trades(spark, sf).select(*bo.MINUTE_COLUMNS, "date")
+    late = F.pmod(F.xxhash64("timestamp_utc", "security_key"), F.lit(10)) == 0
+
+    def build(rows):
+        return rows.groupBy(*bo.IDENTITY, "date").agg(*bo.ohlcv())
+
+    def land(rows):
+        rows.hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(raw)
+
+    def run(checkpoint):
+        incremental.rebuild_on_arrival(spark, raw, minutes.schema, build, bars, "daily", f"{root}/{checkpoint}")
+
+    land(minutes.where(~late))
+    run("first")
+    land(minutes.where(late))
+    run("first")
+    run("again")
+    found = store.read_dataset(spark, bars, "daily")
+    return found.select("security_key", "date", "open", "high", "low", "close", "volume", "transactions")
+
+
 @query(
     select(
         chain(cs.MARKED_CTES, cs.CAPPED),

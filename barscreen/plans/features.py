@@ -96,7 +96,7 @@ def hourly_features(
     context = (
         session_context(daily, bars)
         .select("security_key", "date", *wanted)
-        .join(mk.beta_by_session(daily, market_daily), ["security_key", "date"], "left")
+        .join(mk.beta_by_session(daily, market_daily).drop("paired"), ["security_key", "date"], "left")
     )
     out = mk.market_features(
         own.join(context, ["security_key", "date"], "left"), market_hourly, hourly=True
@@ -119,14 +119,25 @@ def daily_features(
     market_daily: DataFrame,
     raw_bars: DataFrame | None = None,
     keep: tuple[str, ...] = (),
+    carried: DataFrame | None = None,
 ) -> DataFrame:
-    """One row a daily bar with its volume, range, progress, market and level measures."""
+    """One row a daily bar with its volume, range, progress, market and level measures.
+
+    `carried` (security_key, close, ranges_seen, range_value, beta_60, paired) lets `bars` begin
+    in the middle: what has no bounded window goes on from it, and rows that have all of
+    their windows within `bars` come out as from the whole history. Kept columns may include
+    `ranges_seen`, `range_value` and `paired`, the state after each bar.
+    """
+    state = None
+    if carried is not None:
+        fields = F.struct("close", "ranges_seen", "range_value").alias("_state")
+        bars, state = bars.join(carried.select("security_key", fields), "security_key", "left"), F.col("_state")
     bars = by_security(bars)
-    own = vl.daily_volume(vt.geometry(vt.daily_volatility(bars)))
+    own = vl.daily_volume(vt.geometry(vt.daily_volatility(bars, state, keep_state=True)))
     own = pg.progress(own, hourly=False)
     own = st.session_levels(own.withColumn("daily_atr", F.col("atr20_day")))
     own = own.withColumn("_pc", F.lag("close").over(day_order())).join(
-        mk.beta_by_session(bars, market_daily), ["security_key", "date"], "left"
+        mk.beta_by_session(bars, market_daily, carried=carried), ["security_key", "date"], "left"
     )
     out = mk.market_features(own, market_daily, hourly=False)
     if raw_bars is None:
@@ -142,8 +153,3 @@ def daily_features(
 def security_directory(bars: DataFrame) -> DataFrame:
     """The distinct securities with bars, and the ticker each was requested under."""
     return bars.groupBy("security_key").agg(F.min("requested_ticker").alias("requested_ticker"))
-
-
-def one_batch(bars: DataFrame, keys: list[str]) -> DataFrame:
-    """Only these securities' rows; the filter reaches the Parquet scan."""
-    return bars.where(F.col("security_key").isin(keys))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from barscreen.operators.adjust import split_adjust
 from barscreen.schema import nan_to_null
 
+#: Parts up to this size are digested byte by byte.
+WHOLE_BYTES = 1 << 30
+#: Partitions that securities are dealt out to by hash.
+BUCKETS = 64
 MANIFEST = "file string, rows bigint, digest string, run_id string"
 #: The audit logs and their columns.
 LOGS = {
@@ -33,27 +36,40 @@ def read_manifests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _parts(spark: SparkSession, folder: str) -> DataFrame:
-    parts = spark.read.option("pathGlobFilter", "*.parquet").parquet(folder)
-    return parts.select("*", F.col("_metadata.file_name").alias("_file"))
+    read = spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+    return read.parquet(folder).select("*", F.col("_metadata.file_path").alias("_file"))
 
 
-def checksums(rows: DataFrame) -> DataFrame:
-    """(file, rows, digest) of every part, from its rows, whatever its size.
+def _row_digests(rows: DataFrame) -> DataFrame:
+    """(file, digest) from the rows of a part, whatever its size: two 60-bit pieces of the SHA-256
+    of each row added up, so it needs no order and sums up where rows are read."""
+    row = F.sha2(F.to_json(F.struct(*[c for c in rows.columns if c != "_file"]), {"ignoreNullFields": "false"}), 256)
+    piece = lambda at: F.sum(F.conv(F.substring(row, at, 15), 16, 10).cast("decimal(38,0)"))
+    return rows.groupBy(F.col("_file").alias("file")).agg(F.concat_ws("-", F.lit("rows"), piece(1), piece(16)).alias("digest"))
+
 
-    The digest adds up two 60-bit pieces of the SHA-256 of each row, so it needs no order and
-    sums up where rows are read.
+def checksums(spark: SparkSession, folder: str, whole: int = WHOLE_BYTES) -> DataFrame:
+    """(file, rows, digest) of every part by its full path: the SHA-256 of its bytes.
+
+    A file is one value of a task here, which Spark bounds at 2 GB: parts of more than `whole`
+    bytes get a digest of their rows instead, which tells as much but for bytes outside rows.
+    Folders below are read too; parts without rows are listed.
     """
-    row = F.sha2(F.to_json(F.struct(*[c for c in rows.columns if c != "_file"])), 256)
-    piece = lambda at: F.sum(F.conv(F.substring(row, at, 15), 16, 10).cast("decimal(38,0)"))
-    return rows.groupBy(F.col("_file").alias("file")).agg(
-        F.count(F.lit(1)).alias("rows"), F.concat_ws("-", piece(1), piece(16)).alias("digest")
-    )
+    rows = _parts(spark, folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(folder)
+    path = F.col("_metadata.file_path").alias("file")
+    small = files.where(F.col("length") <= whole).select(path, F.sha2("content", 256).alias("digest"))
+    large = files.where(F.col("length") > whole).select(path)
+    of_rows = _row_digests(rows.join(F.broadcast(large), F.col("_file") == F.col("file"), "left_semi")) if not large.isEmpty() else None
+    digests = small if of_rows is None else small.unionByName(of_rows)
+    counts = rows.groupBy(F.col("_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    return digests.join(counts, "file", "left").select("file", F.coalesce("rows", F.lit(0)).alias("rows"), "digest")
 
 
 def write_manifests(spark: SparkSession, parts: str, manifests: str, run_id: str) -> None:
     """Record the rows and checksum of every part."""
     (
-        checksums(_parts(spark, parts))
+        checksums(spark, parts)
         .withColumn("run_id", F.lit(run_id))
         .write.mode("append")
         .json(manifests)
@@ -63,12 +79,12 @@ def write_manifests(spark: SparkSession, parts: str, manifests: str, run_id: str
 def read_complete_parts(spark: SparkSession, parts: str, manifests: str) -> DataFrame:
     """All parts of a partition that have a manifest; the others are unfinished.
 
-    The query fails if a listed part is absent or its rows differ from its manifest: that costs
-    one more pass over the parts.
+    The query fails if a listed part is absent or differs from its manifest: that costs one more
+    pass over the parts.
     """
     rows = _parts(spark, parts)
     listed = read_manifests(spark, manifests).select("file", F.col("digest").alias("_listed"))
-    now = checksums(rows).select("file", "digest")
+    now = checksums(spark, parts).select("file", "digest")
     refused = lambda why: F.raise_error(F.concat(F.lit(why), F.col("file"))).cast("string")
     checked = listed.join(now, "file", "left").select(
         F.when(F.col("digest").isNull(), refused("a listed part is absent: "))
@@ -90,7 +106,7 @@ def audit_manifests(spark: SparkSession, parts: str, manifests: str) -> DataFram
         .otherwise("changed")
     )
     known = read_manifests(spark, manifests)
-    now = checksums(_parts(spark, parts)).select("file", F.col("rows").alias("_rows"), F.col("digest").alias("_now"))
+    now = checksums(spark, parts).select("file", F.col("rows").alias("_rows"), F.col("digest").alias("_now"))
     return now.join(known, "file", "full_outer").select(
         "file", F.coalesce("rows", "_rows").alias("rows"), state.alias("state")
     )
@@ -126,24 +142,65 @@ def write_sessions(df: DataFrame, root: str, kind: str) -> None:
     )
 
 
-def write_snapshots(df: DataFrame, root: str) -> None:
-    """Append rebalances to the table of snapshots, one partition each; a rebalance that is
-    there already is an error and nothing is written."""
-    spark = df.sparkSession
-    old = _stored_rebalances(spark, root)
-    if old is not None:
-        again = df.select(F.col("rebalance_date").cast("string")).distinct().join(old, "rebalance_date").limit(3).collect()
-        if again:
-            raise ValueError(f"snapshots are written once; there already: {[r[0] for r in again]}")
-    df.hint("rebalance", "rebalance_date").write.mode("append").partitionBy("rebalance_date").parquet(root)
+def write_by_security(df: DataFrame, root: str, kind: str, buckets: int = BUCKETS) -> None:
+    """Store rows by a hash of their security: a folder a bucket, sorted by security within."""
+    bucket = _bucket(F.col("security_key"), buckets)
+    rows = df.withColumn("bucket", bucket).repartition(buckets, "bucket").sortWithinPartitions("bucket", "security_key")
+    rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/{kind}")
+
 
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
-def _stored_rebalances(spark: SparkSession, root: str) -> DataFrame | None:
-    """Dates in the table of snapshots, None before the first one is written."""
+
+def read_batch(spark: SparkSession, root: str, kind: str, keys: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """Rows of some securities, stored by `write_by_security` with as many buckets: only the
+    folders of their buckets are opened, and row groups without their keys are passed over."""
+    wanted = [_bucket(F.lit(k), buckets) for k in keys]
+    rows = spark.read.parquet(f"{root}/{kind}")
+    return rows.where(F.col("bucket").isin(wanted) & F.col("security_key").isin(keys)).drop("bucket")
+
+
+def write_snapshots(df: DataFrame, root: str) -> None:
+    """Store rebalances, each once; a rebalance that is there already, or that another job is
+    writing, is an error and none of `df` is written.
+
+    A rebalance is claimed by creating a file that must not exist: of two jobs the file system
+    lets one through. Claims of a job that fails are taken back.
+    """
+    spark = df.sparkSession
+    days = sorted(r[0] for r in df.select(F.col("rebalance_date").cast("string")).distinct().collect())  # one a month
+    claimed: list[str] = []
+    try:
+        for day in days:
+            if not _claim(spark, f"{root}/_claims/{day}"):
+                raise ValueError(f"snapshots are written once; there already: {day}")
+            claimed.append(day)
+        df.hint("rebalance", "rebalance_date").write.mode("append").partitionBy("rebalance_date").parquet(root)
+    except Exception:
+        for day in claimed:
+            path, files = _hadoop(spark, f"{root}/_claims/{day}")
+            files.delete(path, False)
+        raise
+
+
+def _hadoop(spark: SparkSession, name: str):
+    """A path and its file system."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def _claim(spark: SparkSession, name: str) -> bool:
+    """Create an empty file; false if it exists."""
+    path, files = _hadoop(spark, name)
+    files.mkdirs(path.getParent())
     try:
-        return spark.read.parquet(root).select(F.col("rebalance_date").cast("string")).distinct()
-    except AnalysisException:
-        return None
+        return files.createNewFile(path)
+    except Exception as error:  # some file systems refuse instead of returning false
+        if files.exists(path):
+            return False
+        raise error
 
 
 def write_actions(df: DataFrame, root: str, kind: str) -> None:

@@ -28,6 +28,12 @@ def stale_sessions(parts: DataFrame, built: DataFrame) -> DataFrame:
     return part_sets(parts).join(built, ["date", "parts_digest"], "left_anti")
 
 
+def sessions_of(batch: DataFrame) -> DataFrame:
+    """The sessions of a batch, at most one row a calendar day. The comparison lets the planner
+    prune the folders of raw sessions by them while the query runs."""
+    return F.broadcast(batch.select("date").distinct().where(F.col("date") > F.lit("0001-01-01").cast("date")))
+
+
 def rebuild_on_arrival(
     spark: SparkSession,
     raw: str,
@@ -39,15 +45,13 @@ def rebuild_on_arrival(
 ) -> None:
     """Process files that arrived since the last run, then stop.
 
-    Each new file names its sessions; those are read whole from the raw folder, built, and
-    replace their partitions. Writing a session twice gives the same session, so a batch
+    Each new file names its sessions; those are read whole from the raw folder, which is
+    partitioned by date, built, and replace their partitions. Writing a session twice gives the same session, so a batch
     repeated after a failure does no harm.
     """
 
     def replace(batch: DataFrame, _: int) -> None:
-        # As values, so that only these sessions' folders are listed where `raw` has them.
-        days = [r.date for r in batch.select("date").distinct().collect()]
-        whole = spark.read.schema(schema).parquet(raw).where(F.col("date").isin(days))
+        whole = spark.read.schema(schema).parquet(raw).join(sessions_of(batch), "date", "left_semi")
         store.write_sessions(build(whole), root, kind)
 
     query = (

@@ -208,3 +208,17 @@ def test_draw_is_reproducible_and_weighted(spark):
     assert sum(r[3] == "candidate" for r in one) == 3
     assert {r[3]: r[4] for r in one} == {"candidate": 20.0, "population": pytest.approx(540 / 7)}
     assert [tuple(r) for r in sp.draw(df, 10, "y").orderBy("place").collect()] != one
+
+
+def test_large_draw_is_the_sorted_head(spark):
+    """Far beyond what Spark keeps a group and task: the lowest digests, all of them."""
+    rows = spark.range(160_000).select(
+        F.concat(F.lit("K"), F.col("id") % 977).alias("security_key"), F.lit("2024-01-02").cast("date").alias("date"),
+        F.col("id").cast("int").alias("slot_index"), (F.col("id") % 4 == 0).alias("is_candidate"),
+    )
+    drawn = sp.draw(rows, 90_000, "s")
+    marked = rows.where("NOT is_candidate").withColumn("d", sp.digest("s|population"))
+    head = {r.slot_index for r in marked.orderBy("d", *sp.BAR).limit(60_000).select("slot_index").collect()}
+    assert {r.slot_index for r in drawn.where("stratum = 'population'").select("slot_index").collect()} == head
+    assert drawn.where("stratum = 'candidate'").count() == 30_000
+    assert drawn.agg(F.count_distinct("place"), F.max("place")).first() == (90_000, 90_000)
