@@ -10,6 +10,8 @@ All steps are column expressions on one row a response: no shuffle, whatever the
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,21 +20,31 @@ VERSION, EOL = "WARC/1.1", "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 TYPES = ("metadata", "conversion")
-#: Removed in this order: pattern, replacement. All are linear for Java's and RE2's engines.
+#: Removed in this order: pattern, replacement. Every pattern takes what it has scanned, an opener
+#: that is never closed takes the rest of the page, and tags hold no `<`: so all are linear.
 STRIPPED = (
-    ("(?s)<!--.*?-->", " "),
-    (r"(?is)<script\b.*?</script\s*>", " "),
-    (r"(?is)<style\b.*?</style\s*>", " "),
-    (r"(?is)<head\b.*?</head\s*>", " "),
-    (r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|main|aside|blockquote|pre|title)\b[^>]*>", "\n"),
-    ("<[^>]*>", ""),
+    ("(?s)<!--(?:.*?-->|.*)", " "),
+    (r"(?is)<script\b(?:.*?</script\s*>|.*)", " "),
+    (r"(?is)<style\b(?:.*?</style\s*>|.*)", " "),
+    (r"(?is)<head\b(?:.*?(?:</head\s*>|(<body\b))|.*)", " $1"),
+    (r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|main|aside|blockquote|pre|title)\b[^<>]*>", "\n"),
+    ("<[^<>]*>", ""),
 )
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
-SPACED = (("[ \t\r\f]+", " "), (" ?\n[ \n]*", "\n"), ("^[ \n]+", ""), ("[ \n]+$", ""))
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
-LANG = r'(?is)<html\b[^>]*?\slang="([^"]*)"'
-CHARSET = r'(?is)<meta\b[^>]*?charset="?([\w-]+)'
-HREF = r'(?i)<a\s[^>]*?href="([^"]*)"'
+SPACED = (("[ \t\r\f ]+", " "), (" ?\n[ \n]*", "\n"), ("^[ \n]+", ""), ("[ \n]+$", ""))
+TITLE = r"(?is)<title\b[^<>]*>([^<]*)"
+#: A value in double quotes, single quotes or none.
+_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>]+))"""
+LANG = r"(?is)<html\b[^<>]*?\slang" + _VALUE
+CHARSET = r"""(?is)<meta\b[^<>]*?charset\s*=\s*["']?([\w-]+)"""
+HREF = r"(?i)<a\s(?:[^<>]*?\s)?href" + _VALUE
+ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+#: Characters of named entities, the frequent ones first as a lookup goes down the list, and of
+#: the numbers 128 to 159, which stand for Windows-1252. Names come from the standard library.
+_FREQUENT = ("amp", "nbsp", "lt", "gt", "quot", "apos", "copy", "middot", "mdash", "ndash", "hellip", "rsquo", "lsquo", "rdquo", "ldquo")
+_NAMED = {n.removesuffix(";"): c for n, c in html5.items() if n.endswith(";") and "\n" not in c}
+NAMES = {n: _NAMED[n] for n in _FREQUENT} | _NAMED
+NAMES |= {f"#{c}": bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(128, 160)}
+MARK = "\x1f"
 
 
 def identifier(*parts: Column) -> Column:
@@ -46,18 +58,45 @@ def digest(text: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(text.cast("binary"), 256))
 
 
+def decoded(text: Column) -> Column:
+    """Text with named and numeric entities replaced, each once. Unknown names and entities without
+    a semicolon stay; numbers of no character give U+FFFD."""
+    known = F.map_from_arrays(*[F.split(F.lit(MARK.join(x)), MARK) for x in (NAMES.keys(), NAMES.values())])
+
+    def one(entity: Column) -> Column:
+        name = F.substring(entity, F.lit(2), F.length(entity) - 2)
+        hexed = F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10)
+        code = F.when(F.lower(F.substring(name, 1, 2)) == "#x", hexed).otherwise(F.substring(name, F.lit(2), F.length(name))).cast("long")
+        real = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        number = F.coalesce(known[F.concat(F.lit("#"), code.cast("string"))], F.when(real, char).otherwise("\ufffd"))
+        return F.when(name.startswith("#"), number).otherwise(F.coalesce(known[name], entity))
+
+    rest = F.split(text, ENTITY, -1)
+    found = F.transform(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)), one)
+    both = F.zip_with(rest, found, lambda r, f: F.concat(r, F.coalesce(f, F.lit(""))))
+    return F.when(text.contains("&"), F.array_join(both, "")).otherwise(text)
+
+
 def plain(html: Column) -> Column:
     """Visible text of a page: a line for each block, runs of blanks as one; null gives ''."""
     text = F.coalesce(html, F.lit(""))
     for pattern, to in STRIPPED:
         text = F.regexp_replace(text, pattern, to)
-    for name, to in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(to))
+    return text
+
+
+def spaced(text: Column) -> Column:
     for pattern, to in SPACED:
         text = F.regexp_replace(text, pattern, to)
     return text
 
 
+def value(text: Column, pattern: str) -> Column:
+    """What the first match has as its attribute's value, however it is quoted."""
+    return F.concat(*[F.regexp_extract(text, pattern, i) for i in (1, 2, 3)])
+
+
 def responses(pages: DataFrame) -> DataFrame:
     """Response records of (page_id, url, html): identifier, URI, date, HTTP header, payload and
     its digest. Null urls and pages are empty; pages equal throughout share an identifier."""
@@ -76,13 +115,25 @@ def derivatives(records: DataFrame) -> DataFrame:
     Works on the columns that `responses` makes; others are left out. A response with an empty
     payload still has both, the conversion with an empty block.
     """
-    one = lambda p: F.trim(F.regexp_replace(F.regexp_extract("payload", p, 1), r"\s+", " "))
-    links = F.filter(F.regexp_extract_all("payload", F.lit(HREF), F.lit(1)), lambda x: x != "")
+    one = lambda text: F.trim(F.regexp_replace(text, r"\s+", " "))
+    page = F.col("payload")
+    tags = F.regexp_extract_all("payload", F.lit(HREF), F.lit(0))
     made = records.withColumns(
-        {"_text": plain(F.col("payload")), "_links": links, **{f"_{t}": identifier(F.col("record_id"), F.lit(t)) for t in TYPES}}
-    )
+        {
+            "_stripped": plain(page), "_title": F.regexp_extract("payload", TITLE, 1),
+            "_links": F.transform(tags, lambda tag: value(tag, HREF)),
+            **{f"_{t}": identifier(F.col("record_id"), F.lit(t)) for t in TYPES},
+        }
+    )
+    # In a step of its own: each text is named several times from here on.
+    made = made.withColumns(
+        {
+            "_text": spaced(decoded(F.col("_stripped"))), "_title": one(decoded(F.col("_title"))),
+            "_links": F.filter(F.transform("_links", decoded), lambda x: x != ""),
+        }
+    )
     fields = (
-        ("title", one(TITLE)), ("language", one(LANG)), ("charset", one(CHARSET)),
+        ("title", F.col("_title")), ("language", one(value(page, LANG))), ("charset", one(F.regexp_extract("payload", CHARSET, 1))),
         ("source-digest", F.col("payload_digest")), ("conversion", F.col("_conversion")),
         ("text-length", F.length("_text").cast("string")), ("outlink-count", F.size("_links").cast("string")),
     )
@@ -130,24 +181,43 @@ def write(records: DataFrame, folder: str, compression: str = "gzip") -> None:
 def _sql() -> str:
     text = "html"
     for pattern, to in STRIPPED:
-        text = f"regexp_replace({text}, '{pattern}', '{_quoted(to)}', 'g')"
-    for name, to in ENTITIES:
-        text = f"replace({text}, '{name}', '{_quoted(to)}')"
+        text = f"regexp_replace({text}, '{pattern}', '{to.replace('$', chr(92))}', 'g')"
+    blank = "{}"
     for pattern, to in SPACED:
-        text = f"regexp_replace({text}, '{pattern}', '{_quoted(to)}', 'g')"
-    one = lambda p: f"trim(regexp_replace(regexp_extract(html, '{p}', 1), '\\s+', ' ', 'g'))"
+        blank = f"regexp_replace({blank}, '{pattern}', '{to}', 'g')"
+    one = "trim(regexp_replace({}, '\\s+', ' ', 'g'))"
+    value = lambda of, p: " || ".join(f"regexp_extract({of}, '{_quoted(p)}', {i})" for i in (1, 2, 3))
+    known = "map(string_split({}, chr(31)), string_split({}, chr(31)))".format(
+        *[f"'{_quoted(MARK.join(x))}'" for x in (NAMES.keys(), NAMES.values())]
+    )
+    code = "(CASE WHEN lower(e[2:3]) = '#x' THEN ('0x' || e[4:-2])::BIGINT ELSE e[3:-2]::BIGINT END)"
+    char = f"CASE WHEN {code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111 THEN chr({code}::INT) ELSE chr(65533) END"
+    entity = (
+        f"CASE WHEN e[2:2] = '#' THEN coalesce(map_extract(names, '#' || {code})[1], {char})"
+        " ELSE coalesce(map_extract(names, e[2:-2])[1], e) END"
+    ).replace("e[", "x[2][").replace(", e)", ", x[2])")
+    decoded = lambda of: (
+        f"array_to_string(list_transform(list_zip(string_split_regex({of}, '{ENTITY}'), regexp_extract_all({of}, '{ENTITY}', 0)),"
+        f" lambda x: x[1] || coalesce(CASE WHEN x[2] IS NOT NULL THEN {entity} END, '')), '')"
+    )
     uuid = lambda d: (
         f"'<urn:uuid:' || {d}[1:8] || '-' || {d}[9:12] || '-' || {d}[13:16] || '-' || {d}[17:20] || '-' || {d}[21:32] || '>'"
     )
     eol = "chr(13) || chr(10)"
     return f"""
 WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
-a AS (SELECT *, md5(coalesce(page_id::VARCHAR, '') || chr(10) || url || chr(10) || md5(html)) AS d,
-    {uuid("d")} AS rid, 'sha256:' || sha256(html) AS pd, {text} AS txt,
-    [x FOR x IN regexp_extract_all(html, '{HREF}', 1) IF x <> ''] AS l FROM p),
+known AS (SELECT {known} AS names),
+t AS (SELECT *, {text} AS stripped, regexp_extract(html, '{TITLE}', 1) AS head FROM p, known),
+tag AS (SELECT page_id, i, {value("tag", HREF)} AS link FROM (
+    SELECT page_id, unnest(tags) AS tag, generate_subscripts(tags, 1) AS i FROM (SELECT page_id, regexp_extract_all(html, '{_quoted(HREF)}', 0) AS tags FROM p))),
+links AS (SELECT page_id, list(link ORDER BY i) AS l FROM (SELECT page_id, i, {decoded("link")} AS link FROM tag, known) WHERE link <> '' GROUP BY page_id),
+a AS (SELECT t.*, md5(coalesce(t.page_id::VARCHAR, '') || chr(10) || url || chr(10) || md5(html)) AS d,
+    {uuid("d")} AS rid, 'sha256:' || sha256(html) AS pd, {blank.format(decoded("stripped"))} AS txt, {one.format(decoded("head"))} AS title,
+    coalesce(l, []) AS l FROM t LEFT JOIN links ON links.page_id IS NOT DISTINCT FROM t.page_id),
 b AS (SELECT *, md5(rid || chr(10) || 'metadata') AS dm, md5(rid || chr(10) || 'conversion') AS dc,
     {uuid("dm")} AS mid, {uuid("dc")} AS cid FROM a),
-c AS (SELECT *, 'title: ' || {one(TITLE)} || {eol} || 'language: ' || {one(LANG)} || {eol} || 'charset: ' || {one(CHARSET)}
+c AS (SELECT *, 'title: ' || title || {eol} || 'language: ' || {one.format(value("html", LANG))} || {eol}
+    || 'charset: ' || {one.format(f"regexp_extract(html, '{_quoted(CHARSET)}', 1)")}
     || {eol} || 'source-digest: ' || pd || {eol} || 'conversion: ' || cid || {eol} || 'text-length: ' || length(txt)::VARCHAR
     || {eol} || 'outlink-count: ' || len(l)::VARCHAR || {eol}
     || coalesce(array_to_string(['outlink: ' || x || {eol} FOR x IN l], ''), '') AS meta FROM b),
