@@ -49,7 +49,8 @@ class Encoder:
 
     `tokenizers` defines the ids. For byte-level BPE files, texts of common letters take the same
     vocabulary and merges through `tiktoken`, several times as fast; other texts, in which the
-    two libraries' letter and blank classes could differ, and other files take `tokenizers`.
+    two libraries' letter and blank classes could differ or an added token's string occurs (which
+    `tokenizers` takes as that token), and other files take `tokenizers`.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,9 +58,9 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.fast = self._fast()
+        self.added = [t["content"] for t in json.loads(self.tokenizer.to_str())["added_tokens"]]
 
     def _fast(self):
         import tiktoken
@@ -80,7 +81,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
         for text in texts:
-            if self.fast and _COMMON.fullmatch(text):
+            if self.fast and _COMMON.fullmatch(text) and not any(t in text for t in self.added):
                 ids = self.fast.encode_ordinary(text)
             else:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
