@@ -23,9 +23,7 @@ from barscreen.llm.common import BROADCAST_ROWS, attach, fresh, staged
 MARGINS = ("source", "lang", "topic")
 #: Targets are the shares of the table to these powers: below 1, small ones gain.
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
-SWEEPS, SHARE, SEED = 8, 0.5, 11
-#: Sweeps of one plan; after them the cells are written to the shared folder.
-SWEEPS_A_PLAN = 4
+SHARE, SEED = 0.5, 11
 #: Raking with the bound ends at this gap, a share of the budget, or after so many sweeps.
 GAP, BOUNDED_SWEEPS = 1e-3, 40
 _LOG = logging.getLogger(__name__)
@@ -64,37 +62,6 @@ def shares(cells: DataFrame, margin: str, power: float, given: Mapping[str, floa
     return staged(sums.join(total).where("all > 0").select(margin, (F.col("want") / F.col("all")).alias("target")), "targets")
 
 
-def raked(cells: DataFrame, sweeps: int = SWEEPS, targets: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
-    """(MARGINS, tokens, weight): weights sum to 1 and fit each margin's targets as nearly as
-    the cells present allow; the last margin fits exactly. Cells without tokens weigh 0.
-
-    A step is a sum per margin value over the cells. Few cells, as counted, are kept in one
-    partition, so that the steps need no shuffle; many are dealt out by each margin in turn.
-    """
-    rows = cells.withColumn("weight", F.col("tokens").cast("double"))
-    for m in MARGINS:
-        wanted = shares(cells, m, POWERS[m], (targets or {}).get(m)).withColumnRenamed("target", f"{m}_target")
-        rows = attach(rows, wanted, [m])
-    rows = staged(rows, "raked")
-    few = rows.count() <= BROADCAST_ROWS
-    for sweep in range(sweeps):
-        if few and sweep % SWEEPS_A_PLAN == 0:
-            rows = rows.coalesce(1)
-        for m in MARGINS:
-            now = F.sum("weight").over(Window.partitionBy(m))
-            scaled = F.col("weight") * F.coalesce(F.col(f"{m}_target"), F.lit(0.0)) / F.col("now")
-            rows = rows.withColumn("now", now).withColumn("weight", F.when(F.col("now") > 0, scaled).otherwise(0.0))
-        if sweep % SWEEPS_A_PLAN == SWEEPS_A_PLAN - 1:
-            rows = staged(rows, "raked")
-    return rows.select(*MARGINS, "tokens", "weight")
-
-
-def probabilities(cells: DataFrame, budget: Column | float) -> DataFrame:
-    """Adds `p`: budget x weight / tokens, at most 1."""
-    want = F.lit(budget) * F.col("weight") / F.col("tokens")
-    return cells.withColumn("p", F.when(F.col("tokens") > 0, F.least(want, F.lit(1.0))).otherwise(0.0))
-
-
 def _filled(rows: DataFrame, by: list[str], want: Column) -> DataFrame:
     """Scales `weight` per group so that the sum of min(tokens, weight) is `want`; where all
     tokens are too few, each weight reaches its tokens. Tokens and weights are above 0."""
@@ -147,18 +114,16 @@ def bounded(cells: DataFrame, budget: float, targets: Mapping[str, Mapping[str,
 
 
 def mixed(
-    docs: DataFrame, share: float = SHARE, sweeps: int = SWEEPS, seed: int = SEED,
-    targets: Mapping[str, Mapping[str, float]] | None = None, capped: bool = False,
+    docs: DataFrame, share: float = SHARE, seed: int = SEED,
+    targets: Mapping[str, Mapping[str, float]] | None = None,
 ) -> DataFrame:
     """The sampled rows of (doc_id, text, source, lang, ...), all their columns, and `_tokens`,
     `_topic`, `_p`.
 
-    `share` of all tokens is the budget. If `capped`, probabilities are cut at 1 after `sweeps`
-    of raking without the bound, and less is sampled, as the comparison SQL has it. Null
-    sources and languages are a value of their own (empty text). Documents without words weigh
-    nothing and are sampled with the budget's share. Rows of one id share their lot, rows
-    without an id share one lot. Columns named like those added keep their names, the added
-    ones get another `_` at the end.
+    `share` of all tokens is the budget. Null sources and languages are a value of their own
+    (empty text). Documents without words weigh nothing and are sampled with the budget's share.
+    Rows of one id share their lot, rows without an id share one lot. Columns named like those
+    added keep their names, the added ones get another `_` at the end.
     """
     names = {n: fresh(docs, n) for n in ("_tokens", "_topic", "_p", "_source", "_lang")}
     rows = docs.withColumns(
@@ -171,43 +136,52 @@ def mixed(
     counted = rows.groupBy(*[F.col(c).alias(m) for m, c in key.items()]).agg(F.sum(names["_tokens"]).alias("tokens"))
     cells = staged(counted, "cells")
     total = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    found = probabilities(raked(cells, sweeps, targets), share * total) if capped else bounded(cells, share * total, targets)
-    found = found.withColumn("p", F.when(F.col("tokens") > 0, F.col("p")).otherwise(F.lit(share)))
+    found = bounded(cells, share * total, targets).withColumn("p", F.when(F.col("tokens") > 0, F.col("p")).otherwise(F.lit(share)))
     small = staged(found.select(*[F.col(m).alias(c) for m, c in key.items()], F.col("p").alias(names["_p"])), "chances")
     drawn = attach(rows, small, list(key.values())).where(chance(F.col("doc_id"), seed) < F.col(names["_p"]))
     return drawn.select(*docs.columns, *[names[n] for n in ("_tokens", "_topic", "_p")])
 
 
+def _filled_sql(source: str, by: str, want: str, names: str) -> str:
+    """`_filled` in SQL: the rows of `source` with `weight` scaled per group of `by`."""
+    group = f"PARTITION BY {by}" if by else ""
+    order = f"{group} ORDER BY tokens / weight, {names}"
+    kept = "* EXCLUDE (weight, best)"
+    return f"""(SELECT {kept}, weight * best AS weight FROM (
+    SELECT * EXCLUDE (factor), coalesce(max(CASE WHEN factor <= tokens / weight THEN factor END) OVER ({group}), max(tokens / weight) OVER ({group})) AS best
+    FROM (SELECT *, greatest({want} - coalesce(sum(tokens) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0)
+      / sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS factor FROM {source})) WHERE weight * best > 0)"""
+
+
 def sql(docs: str = "documents") -> str:
-    """The comparison SQL: cells, the unrolled sweeps, the draw."""
-    steps = []
-    last = "c0"
-    for sweep in range(SWEEPS):
-        for m in MARGINS:
-            now = f"w{sweep}{m}"
-            steps.append(
-                f"{now} AS MATERIALIZED (SELECT {', '.join(f'a.{x}' for x in MARGINS)}, a.tokens, a.weight * coalesce(t.target, 0)"
-                f" / nullif(n.now, 0) AS weight FROM {last} a JOIN (SELECT {m}, sum(weight) AS now FROM {last} GROUP BY 1) n USING ({m})"
-                f" LEFT JOIN t{m} t USING ({m}))"
-            )
-            last = now
-    targets = [
-        f"t{m} AS MATERIALIZED (SELECT {m}, w / sum(w) OVER () AS target FROM"
-        f" (SELECT {m}, pow(sum(tokens), {POWERS[m]}) AS w FROM cells GROUP BY 1 HAVING sum(tokens) > 0))"
-        for m in MARGINS
-    ]
+    """The comparison SQL: cells, targets cut to the tokens there are, sweeps as a recursion that
+    ends when every margin is met, the draw."""
+    wants = []
+    for m in MARGINS:
+        share = f"""(SELECT {m}, tokens, pow(tokens, {POWERS[m]}) / sum(pow(tokens, {POWERS[m]})) OVER () * (SELECT b FROM budget) AS weight
+    FROM (SELECT {m}, CAST(sum(tokens) AS DOUBLE) AS tokens FROM cells GROUP BY 1 HAVING sum(tokens) > 0))"""
+        wants.append(f"want_{m} AS MATERIALIZED (SELECT {m}, least(weight, tokens) AS {m}_want FROM {_filled_sql(share, '', '(SELECT b FROM budget)', m)})")
+    names = ", ".join(MARGINS)
+    swept = "(SELECT * FROM r WHERE gap > {gap} AND sweep < {sweeps})".format(gap=GAP, sweeps=BOUNDED_SWEEPS)
+    for m in MARGINS:
+        swept = _filled_sql(swept, m, f"{m}_want", names)
+    met = ", ".join(f"abs(sum(least(tokens, weight)) OVER (PARTITION BY {m}) - {m}_want)" for m in MARGINS)
+    columns = f"{names}, tokens, weight, {', '.join(f'{m}_want' for m in MARGINS)}"
     return f"""
-WITH d AS MATERIALIZED (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
     coalesce(len(regexp_extract_all(text, '[^ \\t\\n\\x0b\\f\\r]+')), 0) AS n,
     CASE WHEN coalesce(text, '') = '' THEN 'empty' WHEN contains(text, ' | ') THEN 'table' WHEN contains(text, '!! ') THEN 'shout'
       WHEN regexp_matches(text, '[#*$%&]{{3}}') THEN 'symbols' WHEN contains(text, chr(10)) THEN 'lines' ELSE 'line' END AS topic
   FROM {docs}),
-cells AS MATERIALIZED (SELECT source, lang, topic, sum(n)::BIGINT AS tokens FROM d GROUP BY ALL),
-{", ".join(targets)},
-c0 AS (SELECT *, tokens::DOUBLE AS weight FROM cells),
-{", ".join(steps)},
-p AS (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN
-    least(1.0, {SHARE} * (SELECT sum(tokens) FROM cells) * weight / tokens) ELSE {SHARE} END AS p FROM {last})
+cells AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(n) AS DOUBLE) AS tokens FROM d GROUP BY ALL),
+budget AS MATERIALIZED (SELECT {SHARE} * sum(tokens) AS b FROM cells),
+{", ".join(wants)},
+r AS (SELECT 0 AS sweep, CAST(1 AS DOUBLE) AS gap, {names}, tokens, tokens AS weight, {', '.join(f'{m}_want' for m in MARGINS)}
+  FROM cells {' '.join(f'JOIN want_{m} USING ({m})' for m in MARGINS)} WHERE tokens > 0
+  UNION ALL
+  SELECT sweep + 1, max(off) OVER () / greatest((SELECT b FROM budget), 1), {columns} FROM (SELECT *, greatest({met}) AS off FROM {swept})),
+p AS (SELECT source, lang, topic, CASE WHEN c.tokens > 0 THEN coalesce(least(weight / c.tokens, 1.0), 0.0) ELSE {SHARE} END AS p
+  FROM cells c LEFT JOIN (SELECT * FROM r WHERE sweep = (SELECT max(sweep) FROM r)) USING (source, lang, topic))
 SELECT doc_id, d.source, d.lang, topic, n AS tokens, round(p, 6) + 0.0 AS p FROM d JOIN p USING (source, lang, topic)
 WHERE ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '/{SEED}'), 1, 13))::BIGINT / {1 << 52}.0 < p
 """

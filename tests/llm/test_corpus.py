@@ -5,6 +5,9 @@ from __future__ import annotations
 import glob
 import gzip
 import hashlib
+import html
+import re
+import time
 import zlib
 
 import numpy as np
@@ -41,7 +44,6 @@ def check_packing(rows, texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     for doc_id, pieces in reference.grouped(rows, "doc_id").items():
         ids = [*tokenizer.encode(texts[doc_id] or "", add_special_tokens=False).ids, 0]
         at = 0
@@ -74,13 +76,12 @@ def test_packing_of_odd_rows(spark, odd):  # noqa: F811
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(alphabet=st.sampled_from(list("ab'sé9 \n\t\r.,!\u00a0\u2003\u3000\x1c\x85漢<|>")), max_size=40))
+@given(st.lists(st.sampled_from([*"ab'sé9 \n\t\r.,!\u00a0\u2003\u3000\x1c\x85漢<|>", "<|endoftext|>"]), max_size=40).map("".join))
 def test_fast_encoding_is_the_tokenizers(text):
     from tokenizers import Tokenizer
 
     model = packing.encoder(tokenizer_path())
     plain = Tokenizer.from_file(tokenizer_path())
-    plain.encode_special_tokens = True
     assert np.frombuffer(model.encode([text])[0], model.kind).tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
@@ -93,24 +94,12 @@ def test_hilbert_curve_steps_to_neighbours():
     assert (np.abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
 
 
-def test_raking_meets_targets(spark):
-    rows = [(s, lang, t, 100 + 37 * i % 91) for i, (s, lang, t) in enumerate((s, lg, t) for s in "abc" for lg in ("en", "de") for t in "xy")]
-    cells = staged(spark.createDataFrame(rows, "source string, lang string, topic string, tokens long"), "cells")
-    given_ = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "lang": {"en": 0.6, "de": 0.4}, "topic": {"x": 0.25, "y": 0.75}}
-    found = mixing.raked(cells, 6, given_)
-    for margin, targets in given_.items():
-        sums = {r[margin]: r.w for r in found.groupBy(margin).agg(F.sum("weight").alias("w")).collect()}
-        assert sums == pytest.approx(targets, rel=1e-4)
-
-
 def test_bounded_raking_meets_targets(spark):
     """Raking without the bound puts small cells far above all their tokens."""
     rows = [("a", "en", "x", 900), ("a", "de", "x", 60), ("b", "en", "x", 200), ("b", "de", "x", 80), ("a", "en", "y", 90), ("b", "de", "y", 30), ("b", "en", "y", 40), ("c", "en", "x", 5)]
     cells = staged(spark.createDataFrame(rows, "source string, lang string, topic string, tokens long"), "cells")
     budget = 0.5 * sum(r[3] for r in rows)
     given_ = {"source": {"a": 0.6, "b": 0.3, "c": 0.1}, "lang": {"en": 0.8, "de": 0.2}, "topic": {"x": 0.85, "y": 0.15}}
-    cut = mixing.probabilities(mixing.raked(cells, 8, given_), budget).collect()
-    assert sum(r.p * r.tokens for r in cut) < 0.97 * budget
     found = mixing.bounded(cells, budget, given_).collect()
     assert all(0 < r.p <= 1 for r in found)
     kept = {m: {v: sum(r.p * r.tokens for r in found if r[m] == v) for v in given_[m]} for m in given_}
@@ -122,10 +111,10 @@ def test_bounded_raking_meets_targets(spark):
 
 
 def test_mixing_of_odd_rows(spark, odd):  # noqa: F811
-    rows = mixing.mixed(odd, share=1.0, sweeps=2)
+    rows = mixing.mixed(odd, share=1.0)
     assert rows.columns[: len(odd.columns)] == odd.columns
     assert 0 < rows.count() <= len(ODD_DOCS)
-    assert mixing.mixed(odd.limit(0), sweeps=1).count() == 0
+    assert mixing.mixed(odd.limit(0)).count() == 0
 
 
 def test_simhash_matches_brute_force(spark, small):
@@ -279,8 +268,8 @@ def parsed(data: bytes):
 
 
 def test_warc_files_round_trip(spark, tmp_path):
-    html = '<html lang="en"><head><title>A &amp; b</title></head><body><!-- x --><p>One <b>two</b></p><script>no</script><a href="/u">é</a></body></html>'
-    pages = spark.createDataFrame([(1, "http://a/", html, "z"), (2, None, None, "z"), (2, None, None, "z"), (3, "http://b/", "", "z")], "page_id long, url string, html string, block string")
+    page = '<html lang="en"><head><title>A &amp; b</title></head><body><!-- x --><p>One <b>two</b></p><script>no</script><a href="/u">é</a></body></html>'
+    pages = spark.createDataFrame([(1, "http://a/", page, "z"), (2, None, None, "z"), (2, None, None, "z"), (3, "http://b/", "", "z")], "page_id long, url string, html string, block string")
     responses = warc.responses(pages)
     made = warc.derivatives(responses)
     assert warc.derivatives(warc.responses(pages.limit(0))).count() == 0
@@ -295,11 +284,60 @@ def test_warc_files_round_trip(spark, tmp_path):
         assert header["X-Refers-To-Payload-Digest"] == source.payload_digest and "text/html" in header["X-Source-HTTP-Header"]
         texts[source.page_id, header["WARC-Type"]] = block.decode(), header
     assert texts[1, "conversion"][0] == "One two\né"
-    assert "title: A &amp; b\r\nlanguage: en\r\n" in texts[1, "metadata"][0] and "outlink: /u\r\n" in texts[1, "metadata"][0]
+    assert "title: A & b\r\nlanguage: en\r\n" in texts[1, "metadata"][0] and "outlink: /u\r\n" in texts[1, "metadata"][0]
     assert f"conversion: {texts[1, 'conversion'][1]['WARC-Record-ID']}" in texts[1, "metadata"][0]
     assert texts[2, "conversion"][0] == texts[3, "conversion"][0] == ""
 
 
+OPENERS = ["<!--", "<script", "<script>", "<style>", "<head>", "<", "<p", "<p ", "<title>", "<html lang='", "<a href='", '<a href="', "<a ", "<meta charset ", "&#", "&amp", "</script ", " \n", "-->"]
+
+
+def test_pages_of_openers_take_linear_time(spark):
+    """A megabyte of each opener, never closed, in seconds, here and in the comparison SQL."""
+    import duckdb
+
+    rows = [(i, "http://x/", o * (1_000_000 // len(o))) for i, o in enumerate(OPENERS)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    start = time.time()
+    made = {(r.page_id, r.record_type): r.block_digest for r in warc.derivatives(warc.responses(pages)).collect()}
+    assert time.time() - start < 60
+    db = duckdb.connect()
+    db.register("pages", pages.toPandas())
+    start = time.time()
+    cursor = db.execute(warc.SQL)
+    names = [d[0] for d in cursor.description]
+    theirs = [dict(zip(names, r, strict=True)) for r in cursor.fetchall()]
+    assert time.time() - start < 60
+    assert {(r["page_id"], r["record_type"]): r["block_digest"] for r in theirs} == made
+
+
+def test_entities_quotes_and_odd_pages(spark):
+    named = "caf&eacute; &#8212; &copy; &notanentity; &amp;lt; &#x1F600;&#128; &#0;&#xD800;&#99999999; &lt;b&gt; a & b &amp"
+    page = f"""<html class=x lang='de'><head><title>T&eacute;st &amp; one</title><body class="m"><p>{named}</p>
+<a href='/one?a=1&amp;b=2'>x</a><a class=k href=/two>y</a><a href = "/three">z</a><a name=n>w</a><a href="">e</a><!-- never closed <p>gone"""
+    rows = [(1, "u", page, "b", "t", 1), (2, "u", None, "b", "t", 2), (3, None, "<p>plain", "b", "t", 3), (3, None, "<p>plain", "b", "t", 3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, block string, date string, record_id int")
+    made = warc.derivatives(warc.responses(pages)).collect()
+    assert len(made) == 8
+    block = {(r.page_id, r.record_type): r.block for r in made}
+    want = "café — © &notanentity; &lt; 😀€ \ufffd\ufffd&#99999999; <b> a & b &amp"
+    assert block[1, "conversion"].split("\n")[0] == want
+    meta = block[1, "metadata"].split("\r\n")
+    assert "title: Tést & one" in meta and "language: de" in meta and "outlink-count: 3" in meta
+    assert [m for m in meta if m.startswith("outlink: ")] == ["outlink: /one?a=1&b=2", "outlink: /two", "outlink: /three"]
+    assert "gone" not in block[1, "conversion"] and block[3, "conversion"] == "plain" and block[2, "conversion"] == ""
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["&", "#", "x", ";", "&amp;", "&eacute;", "&#233;", "&#x2014;", "&nope;", "&CounterClockwiseContourIntegral;", "a", " ", "&lt;", "&#150;"]), max_size=12).map("".join), min_size=1, max_size=30))
+def test_entities_are_the_standard_librarys(spark, texts):
+    """For entities with their semicolon; without it they stay here."""
+    own = re.compile(warc.ENTITY)
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", warc.decoded(F.col("t")).alias("d")).collect()
+    for r in rows:
+        assert r.d == own.sub(lambda m: html.unescape(m[0]) if m[0] != "&nope;" else m[0], r.t)
+
+
 def test_scores_keep_the_labels_rate_whatever_is_drawn(spark):
     """One document in ten is toxic; nothing in the texts tells which."""
     docs = spark.range(4_000).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"))
