@@ -23,14 +23,12 @@ TYPES = ("metadata", "conversion")
 #: Removed in this order: pattern, replacement. Every pattern takes what it has scanned, an opener
 #: that is never closed takes the rest of the page, and tags hold no `<`: so all are linear.
 STRIPPED = (
-    ("(?s)<!--(?:.*?-->|.*)", " "),
-    (r"(?is)<script\b(?:.*?</script\s*>|.*)", " "),
-    (r"(?is)<style\b(?:.*?</style\s*>|.*)", " "),
+    (r"(?is)<(?:!--(?:.*?-->|.*)|script\b(?:.*?</script\s*>|.*)|style\b(?:.*?</style\s*>|.*))", " "),
     (r"(?is)<head\b(?:.*?(?:</head\s*>|(<body\b))|.*)", " $1"),
     (r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|main|aside|blockquote|pre|title)\b[^<>]*>", "\n"),
     ("<[^<>]*>", ""),
 )
-SPACED = (("[ \t\r\f ]+", " "), (" ?\n[ \n]*", "\n"), ("^[ \n]+", ""), ("[ \n]+$", ""))
+SPACED = (("[ \t\r\f ]+", " "), (" ?\n[ \n]*", "\n"))
 TITLE = r"(?is)<title\b[^<>]*>([^<]*)"
 #: A value in double quotes, single quotes or none.
 _VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>]+))"""
@@ -89,7 +87,7 @@ def plain(html: Column) -> Column:
 def spaced(text: Column) -> Column:
     for pattern, to in SPACED:
         text = F.regexp_replace(text, pattern, to)
-    return text
+    return F.btrim(text, F.lit(" \n"))
 
 
 def value(text: Column, pattern: str) -> Column:
@@ -185,6 +183,7 @@ def _sql() -> str:
     blank = "{}"
     for pattern, to in SPACED:
         blank = f"regexp_replace({blank}, '{pattern}', '{to}', 'g')"
+    blank = f"trim({blank}, ' ' || chr(10))"
     one = "trim(regexp_replace({}, '\\s+', ' ', 'g'))"
     value = lambda of, p: " || ".join(f"regexp_extract({of}, '{_quoted(p)}', {i})" for i in (1, 2, 3))
     known = "map(string_split({}, chr(31)), string_split({}, chr(31)))".format(
