@@ -368,13 +368,13 @@ def stale_sessions(spark, sf):
     return incremental.stale_sessions(parts, incremental.part_sets(seen))
 
 
-@query(select(b.days("nation", "week"), "days", "security_key date open high low close volume transactions"))
+@query(select(b.days("nation", "month"), "days", "security_key date open high low close volume transactions"))
 def arriving_sessions(spark, sf):
     """Day bars kept up by a stream: minutes land, late ones of the same sessions follow, and at
     last every file is handed out again, as after a lost checkpoint."""
     root = scratch(spark, "arrivals")
     raw, bars = f"{root}/raw", f"{root}/bars"
-    minutes = ad.trades(spark, sf).select(*bo.MINUTE_COLUMNS, "date")
+    minutes = ad.trades(spark, sf, "nation", "month").select(*bo.MINUTE_COLUMNS, "date")
     late = F.pmod(F.xxhash64("timestamp_utc", "security_key"), F.lit(10)) == 0
 
     def build(rows):
