@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barscreen.operators.intervals import interval_join
 from barscreen.schema import require
 
 SPLIT_COLUMNS = ("ticker", "execution_date", "split_from", "split_to")
@@ -50,17 +51,13 @@ def split_adjust(
 ) -> DataFrame:
     """Prices times, and volume divided by, each bar's factor. Dividends are never applied."""
     spans = split_intervals(splits, as_of).withColumnRenamed("ticker", "_split_ticker")
-    day = F.col("date")
-    inside = (
-        (F.col(ticker_column) == F.col("_split_ticker"))
-        & (day < F.col("valid_to"))
-        & (F.col("valid_from").isNull() | (day >= F.col("valid_from")))
-    )
     factor = F.coalesce("price_factor", F.lit(1.0))
     adjusted = {p: F.col(p) * factor for p in PRICES if p in bars.columns}
     adjusted["volume"] = F.col("volume") / factor
     return (
-        bars.join(spans, inside, "left")
+        interval_join(
+            bars, spans, (ticker_column, "_split_ticker"), "date", "valid_from", "valid_to", closed=False
+        )
         .withColumns(adjusted)
         .drop("_split_ticker", "valid_from", "valid_to", "price_factor")
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barscreen.operators.intervals import interval_join
+
 EVENTS_JSON = "array<struct<type:string,date:string,ticker_change:struct<ticker:string>>>"
 
 
@@ -120,10 +122,7 @@ def stitch(bars: DataFrame, splits: DataFrame, held: DataFrame) -> tuple[DataFra
     segments stitched.
     """
     spans = held.where(F.col("ticker_now") != F.col("ticker_then"))
-    old = bars.join(
-        spans,
-        (F.col("ticker") == F.col("ticker_then")) & F.col("date").between(F.col("start"), F.col("end")),
-    )
+    old = interval_join(bars, spans, ("ticker", "ticker_then"), "date", "start", "end", how="inner")
     both = old.select("ticker_now", "ticker_then", "start", "date").join(
         bars.select(F.col("ticker").alias("ticker_now"), "date"), ["ticker_now", "date"], "left_semi"
     )
@@ -135,10 +134,7 @@ def stitch(bars: DataFrame, splits: DataFrame, held: DataFrame) -> tuple[DataFra
             F.col("ticker_now").alias("_now"), F.col("ticker_then").alias("_then"),
             F.col("start").alias("_a"), F.col("end").alias("_b"),
         )
-        inside = (F.col("ticker") == F.col("_then")) & (F.col(day) >= F.col("_a")) & (
-            F.col("_b").isNull() | (F.col(day) <= F.col("_b"))
-        )
-        return rows.join(s, inside, "left").withColumn(
+        return interval_join(rows, s, ("ticker", "_then"), day, "_a", "_b").withColumn(
             "ticker", F.coalesce("_now", "ticker")
         ).drop("_now", "_then", "_a", "_b")
 

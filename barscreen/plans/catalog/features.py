@@ -463,8 +463,8 @@ def hourly_frame(spark, sf, security="nation", session="week"):
     return ft.hourly_features(bars, days, hourly, daily, keep=("daily_atr", *ft.PRICES))
 
 
-DAILY_CTES = chain(
-    b.days("nation", "day"), b.market("day"), DAILY_ATR, LEVELS, b.BETA, DVOLUME,
+DAILY_ASSEMBLED = chain(
+    b.market("day"), DAILY_ATR, LEVELS, b.BETA, DVOLUME,
     _progress_sql("aday", DAY_W, DAY_W, False),
     f"""dfeat AS (SELECT l.security_key, l.date, l.is_half_day, l.low_quality, l.true_range,
     CASE WHEN atr20 > 0 THEN true_range / atr20 END AS spread_atr,
@@ -480,6 +480,7 @@ DAILY_CTES = chain(
   FROM ctx l JOIN prg USING (security_key, date) JOIN dvol USING (security_key, date)
   JOIN beta USING (security_key, date) LEFT JOIN mret USING (date))""",
 )
+DAILY_CTES = chain(b.days("nation", "day"), DAILY_ASSEMBLED)
 DAILY_DOUBLES = tuple(c for c in ft.DAILY if c not in ("true_range", "atr20_day"))
 
 
@@ -487,11 +488,26 @@ DAILY_DOUBLES = tuple(c for c in ft.DAILY if c not in ("true_range", "atr20_day"
     select(DAILY_CTES, "dfeat", "security_key date is_half_day low_quality true_range", " ".join(DAILY_DOUBLES))
 )
 def daily_features(spark, sf):
-    days = cut_lineage(_days(spark, sf, "nation", "day"))
+    return _daily(spark, sf, "nation")
+
+
+def _daily(spark, sf, security):
+    days = cut_lineage(_days(spark, sf, security, "day"))
     _, market = ad.market_bars(spark, sf, "day")
     return tidy(ft.daily_features(days, market), *DAY, "is_half_day", "low_quality", "true_range", *DAILY_DOUBLES, exact="true_range")
 
 
+@query(
+    select(
+        chain(b.days("supplier", "day"), DAILY_ASSEMBLED), "dfeat",
+        "security_key date is_half_day low_quality true_range", " ".join(DAILY_DOUBLES),
+    )
+)
+def supplier_daily_features(spark, sf):
+    """The same table on suppliers, whose bars grow with the data."""
+    return _daily(spark, sf, "supplier")
+
+
 LATE = dt.date(1997, 9, 3)
 
 

@@ -25,7 +25,7 @@ from barscreen.session import build_session  # noqa: E402
 HEADLINE = (
     "slot_bars", "day_bars", "session_hourly_bars", "split_adjusted_bars", "trailing_measures",
     "hourly_volume", "daily_volume", "hourly_volatility", "daily_features", "hourly_features",
-    "supplier_features",
+    "supplier_features", "supplier_daily_features",
     "capped_candidates", "universe", "event_table", "missed_announcements", "matched_controls",
     "exit_walk", "outcomes", "verdict", "label_draw",
 )

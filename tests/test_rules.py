@@ -9,10 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from barscreen.functions.ranks import first_by_digest, top_rows
+from barscreen.operators import adjust
 from barscreen.operators import calendar as cal
 from barscreen.operators import controls as ct
 from barscreen.operators import exits as ex
 from barscreen.operators import identity as idn
+from barscreen.operators import intervals as iv
 from barscreen.operators import patterns as pt
 from barscreen.operators import sampling as sp
 from barscreen.operators import study as sd
@@ -163,3 +165,48 @@ def test_renames_are_joined_up_in_their_month(spark):
 def test_days_are_looked_up_by_equality(spark, small, name):
     plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_interval_join_meets_only_its_own_year(spark):
+    """One ticker has a third of the bars and a split a month for 30 years."""
+    months = [D(1995 + i // 12, 1 + i % 12, 15) for i in range(360)]
+    splits = spark.createDataFrame(
+        [("HOT", m, 1.0, 2.0 if i % 2 else 0.5) for i, m in enumerate(months)] + [("B", D(2001, 3, 4), 1.0, 4.0)],
+        "ticker string, execution_date date, split_from double, split_to double",
+    )
+    first = D(1985, 1, 3)
+    bars = [("HOT", first + dt.timedelta(days=8 * i)) for i in range(2000)]
+    bars += [(t, first + dt.timedelta(days=16 * i)) for t in "BC" for i in range(1000)]
+    bars += [("HOT", D(2070, 1, 1)), ("HOT", None), (None, D(2000, 1, 1)), ("HOT", D(1999, 3, 15)), ("HOT", D(1999, 3, 15))]
+    df = spark.createDataFrame([(t, d, 8.0, 8.0) for t, d in bars], "ticker string, date date, close double, volume double")
+    spans = adjust.split_intervals(splits, D(2024, 12, 31))
+    cut = iv.by_year(spans, "valid_from", "valid_to", "y")
+    assert cut.count() <= spans.count() + 60 * 2
+    # What the year leaves of a bar's spans: those of its own year, not the ticker's 360.
+    per_year = cut.groupBy("ticker", "y").count().agg(F.max("count")).first()[0]
+    assert per_year <= 13
+    pairs = df.withColumn("y", F.greatest(F.lit(1990), F.least(F.lit(2050), F.year("date")))).join(cut, ["ticker", "y"]).count()
+    assert pairs <= 13 * len(bars)
+    known = [(r.ticker, r.execution_date, r.split_from / r.split_to) for r in splits.collect()]
+    want = []
+    for t, d in bars:
+        factor = 1.0
+        for ticker, day, ratio in known:
+            factor *= ratio if t == ticker and d is not None and d < day else 1.0
+        want.append((str(t), str(d), 8.0 * factor, 8.0 / factor))
+    got = [(str(r.ticker), str(r.date), r.close, r.volume) for r in adjust.split_adjust(df, splits, D(2024, 12, 31)).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_interval_join_of_overlapping_open_and_empty_spans(spark):
+    rows = spark.createDataFrame([("A", D(1999, 12, 31), 1), ("A", D(2000, 1, 1), 2), ("Z", D(2000, 1, 1), 3)], "k string, d date, _year int")
+    spans = spark.createDataFrame(
+        [("A", None, D(1999, 12, 31), "to"), ("A", D(2000, 1, 1), None, "from"), ("A", D(1999, 12, 31), D(2000, 1, 1), "over"),
+         ("A", D(2000, 1, 1), D(1999, 12, 31), "none")],
+        "kk string, a date, b date, name string",
+    )
+    met = lambda how, closed: sorted(
+        (r._year, str(r.name)) for r in iv.interval_join(rows, spans, ("k", "kk"), "d", "a", "b", how, closed).collect()
+    )
+    assert met("inner", True) == [(1, "over"), (1, "to"), (2, "from"), (2, "over")]
+    assert met("left", False) == [(1, "over"), (2, "from"), (3, "None")]
