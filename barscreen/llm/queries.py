@@ -142,6 +142,7 @@ def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     return prefix_trie.trie(prefix_trie.paths(table(spark, sf, "conversations")))
 
 
+ORACLES["op1_quality_rules"] = quality.sql()
 ORACLES["op11_ranked_search"] = search.SQL
 ORACLES["op13_prefix_trie"] = prefix_trie.SQL
 ORACLES["op5_mixing"] = mixing.sql()
