@@ -4,8 +4,8 @@ Labelled pages give each host a number of bad outcomes. Few hosts have many labe
 their rates are shrunk: the suffix towards the overall rate, the registered domain towards its
 suffix, the host towards its domain. How far is learned: the beta-binomial correlation of the
 children of each level, by moments over all of them. A host is blocked if even the lower bound
-of its posterior bad rate exceeds the limit, so unknown hosts are never blocked for what a few
-pages did.
+of its posterior bad rate exceeds the limit. The bound is no tighter than the pages of the whole
+domain and the prior of the domain allow, so that a few pages block no host.
 
 Everything is DataFrame functions. Tables shrink to one row a host before any join but the one
 with labels; the last join, pages to hosts, splits a host with many pages.
@@ -18,8 +18,14 @@ from pyspark.sql import functions as F
 
 from barscreen.llm.common import attach, staged
 
-#: Public suffixes of two labels that count as one suffix.
-TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "com.au", "co.jp", "com.br", "co.in")
+#: Under a country's two letters these names are public suffixes (co.nz, ac.uk, com.cn, ...).
+#: Registries differ in more than that; a table of suffixes can be given instead.
+CATEGORIES = (
+    "ac", "asn", "biz", "co", "com", "ed", "edu", "firm", "gen", "go", "gob", "gouv", "gov", "govt", "gv", "id",
+    "ind", "info", "int", "k12", "ltd", "me", "mi", "mil", "name", "ne", "net", "nhs", "nic", "nom", "or", "org",
+    "plc", "pro", "res", "sch", "school", "web",
+)
+CATEGORY_SUFFIX = rf"^(.*\.)?({'|'.join(CATEGORIES)})\.[a-z][a-z]$"
 #: Limits of a level's learned correlation, so that its prior weighs 1 to 999 pages.
 LEAST, MOST = 0.001, 0.5
 ADDRESS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -34,19 +40,34 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, ADDRESS, 2), F.lit(""))
 
 
-def levels(hosts: DataFrame) -> DataFrame:
-    """Adds `suffix` and `domain` (the registered one) to a table with `host`; a port is no part
-    of them, a numeric address is its own domain and suffix, an empty host has empty ones."""
+def levels(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """Adds `suffix` and `domain` (the registered one) to a table of distinct `host`s.
+
+    A host's suffix is its longest ending in `suffixes` (a table with a column `suffix`, without
+    wildcards), else its last label, or two by CATEGORIES if no table is given. The domain has one
+    label more; a host that is a suffix is its own domain. A port is no part of them, a numeric
+    address is its own domain and suffix, an empty host has empty ones.
+    """
     name = F.regexp_replace("host", ":[0-9]*$", "")
     labels = F.split(name, r"\.")
-    two = F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")
-    suffix = F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.element_at(labels, -1))
-    wide = F.when(two.isin(*TWO_LABEL_SUFFIXES), 3).otherwise(2)
-    domain = F.array_join(F.slice(labels, F.greatest(F.size(labels) - wide + 1, F.lit(1)), wide), ".")
+    if suffixes is None:
+        hosts = hosts.withColumn("_wide", F.when(name.rlike(CATEGORY_SUFFIX), 2).otherwise(1))
+    else:
+        known = staged(suffixes.select(F.col("suffix").alias("_ending")).distinct(), "suffixes")
+        width = F.explode(F.sequence(F.lit(1), F.size(labels)))
+        endings = hosts.select("host", labels.alias("_labels"), width.alias("_size"))
+        endings = endings.withColumn("_ending", F.array_join(F.slice("_labels", -F.col("_size"), F.col("_size")), "."))
+        found = attach(endings, known, ["_ending"], "inner").groupBy("host").agg(F.max("_size").alias("_wide"))
+        hosts = hosts.join(found, "host", "left").fillna(1, ["_wide"])
+
+    def ending(wide: Column) -> Column:
+        return F.array_join(F.slice(labels, F.greatest(F.size(labels) - wide + 1, F.lit(1)), wide), ".")
+
     number = name.rlike(r"^[0-9.]+$")
-    return hosts.withColumns(
-        {"suffix": F.when(number, name).otherwise(suffix), "domain": F.when(number, name).otherwise(domain)}
-    )
+    return hosts.withColumns({
+        "suffix": F.when(number, name).otherwise(ending(F.col("_wide"))),
+        "domain": F.when(number, name).otherwise(ending(F.col("_wide") + 1)),
+    }).drop("_wide")
 
 
 def _correlation(children: DataFrame, mean: str) -> float:
@@ -63,27 +84,28 @@ def _correlation(children: DataFrame, mean: str) -> float:
     return min(MOST, max(LEAST, (row.seen - row.alone) / row.pairs))
 
 
-def posteriors(hosts: DataFrame, z: float = 1.645) -> DataFrame:
+def posteriors(hosts: DataFrame, z: float = 1.645, suffixes: DataFrame | None = None) -> DataFrame:
     """(host, n, k, bad_rate, lower_bound) of (host, n labelled pages, k bad of them)."""
-    known = staged(levels(hosts), "hosts")
+    known = staged(levels(hosts, suffixes), "hosts")
     domains = staged(known.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("k").alias("k")), "domains")
-    suffixes = staged(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")), "suffixes")
-    total = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("k")).first()
+    tops = staged(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")), "tops")
+    total = tops.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("k")).first()
     overall = (total.k + 1.0) / (total.n + 2.0)
 
-    def shrunk(children: DataFrame, parent: str) -> tuple[DataFrame, Column]:
+    def shrunk(children: DataFrame, parent: str) -> tuple[DataFrame, Column, Column]:
         weight = F.lit(1.0 / _correlation(children, parent) - 1.0)
-        return children, (F.col("k") + weight * F.col(parent)) / (F.col("n") + weight)
+        size = F.col("n") + weight
+        return children, (F.col("k") + weight * F.col(parent)) / size, size
 
-    rows, mean = shrunk(suffixes.withColumn("overall", F.lit(overall)), "overall")
+    rows, mean, _ = shrunk(tops.withColumn("overall", F.lit(overall)), "overall")
     upper = staged(rows.select("suffix", mean.alias("suffix_rate")), "suffix_rates")
-    rows, mean = shrunk(attach(domains, upper, ["suffix"]), "suffix_rate")
-    upper = staged(rows.select("domain", "suffix", mean.alias("domain_rate")), "domain_rates")
-    rows = attach(known, upper, ["suffix", "domain"])
-    weight = F.lit(1.0 / _correlation(rows, "domain_rate") - 1.0)
-    a = F.col("k") + weight * F.col("domain_rate")
-    size = F.col("n") + weight
-    return rows.withColumn("bad_rate", a / size).select(
+    rows, mean, size = shrunk(attach(domains, upper, ["suffix"]), "suffix_rate")
+    upper = rows.select("domain", "suffix", mean.alias("domain_rate"), size.alias("domain_size"))
+    upper = staged(upper, "domain_rates")
+    rows, mean, size = shrunk(attach(known, upper, ["suffix", "domain"]), "domain_rate")
+    # The domain's rate is an estimate too, and of a lone host from the same pages.
+    size = F.least(size, F.col("domain_size"))
+    return rows.withColumn("bad_rate", mean).select(
         "host", "n", "k", "bad_rate",
         (F.col("bad_rate") - z * F.sqrt(F.col("bad_rate") * (1 - F.col("bad_rate")) / (size + 1))).alias("lower_bound"),
     )
@@ -107,11 +129,14 @@ def rules_of(hosts: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-def judged(pages: DataFrame, outcomes: DataFrame, rules: DataFrame, limit: float = 0.5, z: float = 1.645) -> DataFrame:
+def judged(
+    pages: DataFrame, outcomes: DataFrame, rules: DataFrame, limit: float = 0.5, z: float = 1.645,
+    suffixes: DataFrame | None = None,
+) -> DataFrame:
     """(page_id, host, path, rule, verdict, bad_rate, lower_bound) of every page.
 
     `outcomes` are (page_id, bad), null outcomes are passed over and repeated ones count each;
-    `rules` are (rule_host, rule_path, verdict). Pages may repeat; null urls and urls without
+    `rules` are (rule_host, rule_path, verdict), `suffixes` public suffixes (see `levels`). Pages may repeat; null urls and urls without
     `://` have an empty host, which is judged like any other. Other columns are left out.
     """
     cut = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
@@ -122,7 +147,7 @@ def judged(pages: DataFrame, outcomes: DataFrame, rules: DataFrame, limit: float
     hosts = cut.join(seen, "page_id", "left").groupBy("host").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("k")
     )
-    known = staged(posteriors(hosts, z), "posteriors")
+    known = staged(posteriors(hosts, z, suffixes), "posteriors")
     known = staged(known.join(rules_of(known, rules), "host", "left"), "judged_hosts")
     rows = attach(cut, known.select("host", "rules", "bad_rate", "lower_bound"), ["host"])
     fits = F.get(F.filter("rules", lambda r: F.startswith(F.col("path"), r.rule_path)), F.lit(0))
@@ -152,7 +177,7 @@ seen AS (SELECT doc_id, count(*) AS n, sum((quality = 0 OR toxic = 1)::INT) AS k
 counted AS (SELECT host, coalesce(sum(n), 0)::DOUBLE AS n, coalesce(sum(k), 0)::DOUBLE AS k
   FROM cut LEFT JOIN seen ON doc_id = page_id GROUP BY host),
 named AS (SELECT *, regexp_replace(host, ':[0-9]*$', '') AS name, split(name, '.') AS l,
-    array_to_string(l[-2:], '.') IN ({", ".join(f"'{s}'" for s in TWO_LABEL_SUFFIXES)}) AS two,
+    regexp_matches(name, '{CATEGORY_SUFFIX}') AS two,
     regexp_matches(name, '^[0-9.]+$') AS num FROM counted),
 known AS (SELECT host, n, k,
     CASE WHEN num THEN name WHEN two THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix,
@@ -164,11 +189,11 @@ sr AS ({_MOMENTS.format("s")}),
 su AS (SELECT suffix, (k + (1 / rho - 1) * m) / (n + (1 / rho - 1)) AS m FROM s, sr),
 d AS (SELECT suffix, domain, sum(n) AS n, sum(k) AS k, any_value(m) AS m FROM known JOIN su USING (suffix) GROUP BY ALL),
 dr AS ({_MOMENTS.format("d")}),
-du AS (SELECT suffix, domain, (k + (1 / rho - 1) * m) / (n + (1 / rho - 1)) AS m FROM d, dr),
-h AS (SELECT host, n, k, m FROM known JOIN du USING (suffix, domain)),
+du AS (SELECT suffix, domain, n + (1 / rho - 1) AS held, (k + (1 / rho - 1) * m) / held AS m FROM d, dr),
+h AS (SELECT host, n, k, m, held FROM known JOIN du USING (suffix, domain)),
 hr AS ({_MOMENTS.format("h")}),
 p AS (SELECT host, (k + (1 / rho - 1) * m) / (n + (1 / rho - 1)) AS bad_rate,
-    bad_rate - 1.645 * sqrt(bad_rate * (1 - bad_rate) / (n + (1 / rho - 1) + 1)) AS lower_bound FROM h, hr),
+    bad_rate - 1.645 * sqrt(bad_rate * (1 - bad_rate) / (least(n + (1 / rho - 1), held) + 1)) AS lower_bound FROM h, hr),
 r(rh, rp, v) AS (VALUES {{rules}}),
 fits AS (SELECT page_id, url_host, url_path, arg_min(struct_pack(rule := rh || rp, v := v), (-length(rh || rp), -length(rh), v)) AS f
   FROM (SELECT DISTINCT page_id, host AS url_host, path AS url_path FROM cut)

@@ -230,6 +230,55 @@ def test_audit_sees_sparse_and_indirect_losses(spark, monkeypatch):
         neighbours.near_vectors(df)
 
 
+def test_suffixes_by_rule_and_by_table(spark):
+    hosts = spark.createDataFrame(
+        [(h,) for h in ("a.b.co.nz", "x.ac.uk", "co.kr", "www.site.com", "go.com", "10.0.0.1:80", "", "a.b.town.example.jp", "x.io:8080")], "host string"
+    )
+    got = {r.host: (r.suffix, r.domain) for r in reputation.levels(hosts).collect()}
+    assert got == {
+        "a.b.co.nz": ("co.nz", "b.co.nz"), "x.ac.uk": ("ac.uk", "x.ac.uk"), "co.kr": ("co.kr", "co.kr"),
+        "www.site.com": ("com", "site.com"), "go.com": ("com", "go.com"), "10.0.0.1:80": ("10.0.0.1", "10.0.0.1"),
+        "": ("", ""), "a.b.town.example.jp": ("jp", "example.jp"), "x.io:8080": ("io", "x.io"),
+    }
+    table = spark.createDataFrame([("jp",), ("example.jp",), ("town.example.jp",), ("town.example.jp",), (None,), ("com",)], "suffix string")
+    got = {r.host: (r.suffix, r.domain) for r in reputation.levels(hosts, table).collect()}
+    assert got["a.b.town.example.jp"] == ("town.example.jp", "b.town.example.jp")
+    assert got["a.b.co.nz"] == ("nz", "co.nz") and got["www.site.com"] == ("com", "site.com")
+    assert got["10.0.0.1:80"] == ("10.0.0.1", "10.0.0.1") and len(got) == 9
+
+
+def test_registered_reputation_blocks_bad_hosts(spark, tmp_path):
+    """The registered query and its SQL on pages with planted hosts: a bad one is blocked, as is
+    its unseen neighbour under a bad domain's many hosts; what a rule allows and good hosts stay."""
+    import duckdb
+
+    pages, labels = [], []
+    for h, (host, n, bad) in enumerate((
+        ("spam.shop.co.nz", 300, 290), ("fine.edu", 300, 3), ("few.org", 2, 2), ("spam.shop.com", 300, 295),
+        ("good.ac.nz", 300, 6), *((f"h{i}.farm.net", 40, 39) for i in range(12)),
+        *((f"site{i}.org", 50, i % 3) for i in range(60)),
+    )):
+        for i in range(n):
+            pages.append((h * 1000 + i, f"http://{host}/p{i}", ""))
+            labels.append((h * 1000 + i, int(i >= bad), 0))
+    pages.append((99_999, "http://new.farm.net/x", ""))
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    df = QUERIES["op7_url_reputation"](spark, str(tmp_path))
+    rows = df.collect()
+    verdict = {r.host: (r.rule, r.verdict) for r in rows}
+    assert verdict["spam.shop.co.nz"] == (None, "block") and verdict["h3.farm.net"] == (None, "block")
+    assert verdict["fine.edu"] == verdict["good.ac.nz"] == (None, "allow")
+    assert verdict["new.farm.net"] == (None, "block") and verdict["few.org"] == (None, "allow")
+    assert verdict["spam.shop.com"] == ("com/", "allow")
+    db = duckdb.connect()
+    for t in ("pages", "labels"):
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    cursor = db.execute(ORACLES["op7_url_reputation"])
+    columns = [d[0] for d in cursor.description]
+    assert rows_of(columns, cursor.fetchall()) == rows_of(df.columns, [tuple(r) for r in rows])
+
+
 def test_reputation_of_odd_urls(spark):
     urls = ["http://A.Example.com/en/x?q=/fr/#f", "https://www.example.com/en/", "nothing", None, "x://a.net/es/", "x://net", "x://b.net:80/fr/a", "x://1.2.3.4/", "x:///en/"]
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)] + [(0, urls[0], "h")], "page_id long, url string, verdict string")
