@@ -9,6 +9,12 @@ from barscreen.operators import calendar as cal
 
 QUARTER_SESSIONS = 63
 SUSPECT_GAP = 126
+# Fixed output values: the state of a session's filing coverage.
+NO_FILINGS = "no filings at all"
+BEFORE_FIRST = "before first filing"
+FRESH = "within a quarter of a filing"
+OLDER = "one to two quarters"
+SUSPECT_HOLE = "over two quarters - suspect hole"
 RESULTS_ITEM = "2.02"
 VOLUNTARY_ITEMS = ("7.01", "8.01")
 THIN_PER_YEAR = 3.0
@@ -64,11 +70,11 @@ def filing_coverage(traded: DataFrame, filings: DataFrame, sessions: DataFrame)
     last = F.last("_filed", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0))
     gap = F.col("gap_sessions")
     state = (
-        F.when(F.col("_any").isNull(), "no filings at all")
-        .when(gap.isNull(), "before first filing")
-        .when(gap <= QUARTER_SESSIONS, "within a quarter of a filing")
-        .when(gap <= SUSPECT_GAP, "one to two quarters")
-        .otherwise("over two quarters - suspect hole")
+        F.when(F.col("_any").isNull(), NO_FILINGS)
+        .when(gap.isNull(), BEFORE_FIRST)
+        .when(gap <= QUARTER_SESSIONS, FRESH)
+        .when(gap <= SUSPECT_GAP, OLDER)
+        .otherwise(SUSPECT_HOLE)
     )
     return (
         rows.withColumn("gap_sessions", (F.col("session_no") - last).cast("int"))
@@ -89,7 +95,7 @@ def coverage_states(coverage: DataFrame) -> DataFrame:
 
 
 def longest_gaps(coverage: DataFrame, k: int = 10) -> DataFrame:
-    worst = coverage.where(F.col("state") == "over two quarters - suspect hole")
+    worst = coverage.where(F.col("state") == SUSPECT_HOLE)
     per = worst.groupBy("security_key").agg(F.max("gap_sessions").alias("gap_sessions"))
     return per.orderBy(F.desc("gap_sessions"), "security_key").limit(k)
 
