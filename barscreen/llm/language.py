@@ -5,14 +5,16 @@ of them: the longest match from where the last phrase ended is the next phrase.
 that needs the fewest phrases, each weighed by what it costs to point into that language's
 training text (log2 of its length), wins.
 
-The automata are small (a documented number of characters per language) and held as dense
-transition tables, so that a task parses thousands of lanes at once with numpy. A lane is a
+The automata are small (a documented number of characters per language, of a documented number of
+languages) and held as arrays of transitions laid over each other, so that a task parses thousands
+of lanes at once with numpy. A lane is a
 stretch of LANE letters of a text; every lane starts a phrase, in every language alike, and all
 lanes of the whole text are parsed.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 import zlib
 
@@ -23,11 +25,12 @@ from pyspark.sql import functions as F
 
 from barscreen.llm.common import add_columns, bucket, held
 
-#: Bounds of the fit: per language, documents drawn and characters kept.
-FIT_DOCS, FIT_CHARS = 60, 60_000
+#: Bounds of the fit: per language, documents drawn and characters kept; languages learned.
+FIT_DOCS, FIT_CHARS, FIT_LANGS = 60, 60_000, 256
 LANE = 512
 NONE = "und"
 _OTHER = re.compile(r"[\W\d_]+")
+_LOG = logging.getLogger(__name__)
 
 
 def letters(text: str) -> str:
@@ -83,31 +86,92 @@ def phrases(text: str, moves: list[dict[str, int]]) -> int:
     return count
 
 
+def displaced(moves: list[dict[str, int]], codes: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, owner, target): the transitions of an automaton laid over each other in one array.
+
+    State s has its row at place[s], a place of its own; its transition by a letter of code c lies
+    at place[s] + c, where `owner` names the row that the entry belongs to and `target` the place
+    of the next state. Rows are put where their entries meet free ones, those with most entries
+    first, so the arrays are about as long as there are transitions, whatever the alphabet.
+    """
+    width = max(codes.values(), default=0) + 1
+    rows = [sorted([codes[c] for c in out]) for out in moves]
+    sizes = np.array([len(r) for r in rows])
+    taken = bytearray(width + 2 * int(sizes.sum()) + len(moves))
+    place = np.full(len(moves), -1, np.int64)
+    used: set[int] = set()
+    low = width
+    for state in np.argsort(-sizes, kind="stable")[: int((sizes > 1).sum())].tolist():
+        row, at, tries = rows[state], low, 0
+        while True:
+            at = taken.find(0, at)
+            if at < 0 or at + width >= len(taken):
+                at = len(taken) if at < 0 else at
+                taken.extend(bytes(len(taken) + width))
+                continue
+            base = at - row[0]
+            if base not in used and not any([taken[base + c] for c in row]):
+                break
+            at, tries = at + 1, tries + 1
+        if tries > 8:  # the places before are nearly full
+            low = at
+        used.add(base)
+        place[state] = base
+        for c in row:
+            taken[base + c] = 1
+    # Rows of one entry, and the last state's of none, fill the gaps, all at once as far as their
+    # places differ.
+    left = np.flatnonzero(sizes < 2)
+    entry = np.array([rows[s][0] if rows[s] else 0 for s in left], np.int64)
+    free = np.flatnonzero(np.frombuffer(taken, np.uint8)[width:] == 0) + width
+    known, end, stuck = np.fromiter(used, np.int64, len(used)), len(taken), False
+    while len(left):
+        if stuck or len(free) < len(left):
+            free = np.concatenate([np.arange(end, end + 2 * len(left)), free])
+            end += 2 * len(left)
+        base = free[: len(left)] - entry
+        _, first = np.unique(base, return_index=True)
+        good = np.zeros(len(left), bool)
+        good[first] = ~np.isin(base[first], known)
+        place[left[good]] = base[good]
+        known = np.concatenate([known, base[good]])
+        # A place that did not suit is tried again by another row.
+        tried = free[: len(left)][~good]
+        free = np.concatenate([free[len(left) :], tried])
+        left, entry, stuck = left[~good], entry[~good], not good.any()
+    size = int(place.max()) + 2 * width
+    owner, target = np.full(size, -1, np.int32), np.zeros(size, np.int32)
+    states = np.repeat(np.arange(len(moves)), sizes)
+    after = np.array([out[c] for out in moves for c in sorted(out, key=codes.__getitem__)], np.int64)
+    at = place[states] + np.array([c for r in rows for c in r], np.int64)
+    owner[at], target[at] = place[states], place[after]
+    return place, owner, target
+
+
 class Parser:
-    """Automata of the languages as tables over one alphabet; column 0 is any other letter.
+    """Automata of the languages as arrays that are as long as their transitions.
 
-    A table's entry is where the next state's row starts, or -1 where the phrase ends. The last
-    row, all -1, is the state after a letter that the automaton lacks.
+    Letters have codes over all languages, 0 is any other letter. A language's memory grows with
+    its training text only, not with the letters of the others.
     """
 
     def __init__(self, texts: dict[str, str]) -> None:
         self.langs = list(texts)
-        self.alphabet = sorted(set().union(*texts.values())) if texts else []
-        self.codes = np.zeros(0x110000, np.uint16)
-        for i, c in enumerate(self.alphabet, 1):
-            self.codes[ord(c)] = i
-        width = len(self.alphabet) + 1
-        at = {c: i for i, c in enumerate(self.alphabet, 1)}
+        alphabet = sorted(set().union(*texts.values())) if texts else []
+        codes = {c: i for i, c in enumerate(alphabet, 1)}
+        self.codes = np.zeros(0x110000, np.int32)
+        self.codes[[ord(c) for c in alphabet]] = np.arange(1, len(alphabet) + 1)
         self.tables, self.costs = [], []
         for lang in self.langs:
             moves, _ = automaton(texts[lang])
-            table = np.full((len(moves) + 1, width), -1, np.int32)
-            for state, out in enumerate(moves):
-                for c, after in out.items():
-                    table[state, at[c]] = after * width
-            self.tables.append(table.ravel())
+            place, owner, target = displaced(moves, codes)
+            # The state after a first letter; no row lies at the last place, where a phrase ends.
+            nowhere = len(owner) - len(alphabet) - 1
+            begun = np.full(len(alphabet) + 1, nowhere, np.int32)
+            for c, after in moves[0].items():
+                begun[codes[c]] = place[after]
+            self.tables.append((owner, target, begun, nowhere))
             self.costs.append(np.log2(len(texts[lang]) + 2))
-        self.width = width
 
     def counts(self, texts: list[str]) -> np.ndarray:
         """Cost of each text (rows) in each language (columns): phrases times bits a phrase."""
@@ -122,23 +186,21 @@ class Parser:
         order = np.argsort(-lengths, kind="stable")
         starts, lengths, owner = starts[order], lengths[order], owner[order]
         joined = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-        coded = self.codes[joined].astype(np.int32)
+        coded = self.codes[joined]
         active = np.searchsorted(-lengths, -np.arange(LANE), side="left")
         out = np.zeros((len(texts), len(self.langs)))
-        for k, table in enumerate(self.tables):
-            state = np.zeros(total, np.int32)
+        for k, (row, target, begun, nowhere) in enumerate(self.tables):
+            state = np.full(total, nowhere, np.int32)
             found = np.zeros(total, np.int32)
             for i in range(LANE):
                 n = active[i]
                 if not n:
                     break
                 c = coded[starts[:n] + i]
-                after = table[state[:n] + c] if i else np.full(n, -1, np.int32)
-                ended = after < 0
+                at = state[:n] + c
+                ended = row[at] != state[:n]
                 found[:n] += ended
-                again = table[c]  # a new phrase starts with this letter
-                again[again < 0] = len(table) - self.width
-                state[:n] = np.where(ended, again, after)
+                state[:n] = np.where(ended, begun[c], target[at])  # a new phrase starts with this letter
             out[:, k] = np.bincount(owner, found, len(texts)) * self.costs[k]
         return out
 
@@ -149,19 +211,25 @@ def parser(texts: dict[str, str]) -> Parser:
     return held(("parser", key), lambda: Parser(texts))
 
 
-def fit(labelled: DataFrame, docs_per_lang: int = FIT_DOCS, chars_per_lang: int = FIT_CHARS) -> dict[str, str]:
+def fit(
+    labelled: DataFrame, docs_per_lang: int = FIT_DOCS, chars_per_lang: int = FIT_CHARS, most: int = FIT_LANGS,
+) -> dict[str, str]:
     """Training text per language from (doc_id, text, lang), the language of most documents
     first: a draw by hash of `doc_id`, bounded by both parameters, every language cut to about
-    the same length.
+    the same length. Of more than `most` label values those of most documents are learned, so that
+    a column full of mistakes does not fill the workers; a warning says so.
 
     The row number per language is limited before the shuffle, so no task gets more than
     `docs_per_lang` rows from each task before it. Null and letterless texts are passed over.
     """
     ordered = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     usable = labelled.where("lang is not null and text rlike '\\\\p{L}'")
-    langs = [r.lang for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
+    langs = [r.lang for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most + 1).collect()]
+    if len(langs) > most:
+        _LOG.warning("only the %d languages of most documents are learned", most)
+        langs = langs[:most]
     drawn = (
-        usable.select("doc_id", "lang", F.substring("text", 1, chars_per_lang).alias("text"))
+        usable.where(F.col("lang").isin(langs)).select("doc_id", "lang", F.substring("text", 1, chars_per_lang).alias("text"))
         .withColumn("_n", F.row_number().over(ordered))
         .where(F.col("_n") <= docs_per_lang)
         .orderBy("lang", "_n")

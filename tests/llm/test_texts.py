@@ -181,6 +181,41 @@ def test_lanes_parse_like_one_text(texts):
         np.testing.assert_allclose(got[:, k], np.array(want) * model.costs[k])
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="abcdéж中文字 ", max_size=80), max_size=4))
+def test_laid_over_transitions_are_those_of_the_automaton(texts):
+    codes = {c: i for i, c in enumerate(sorted(set("".join(texts))), 1)}
+    for text in texts:
+        moves, _ = language.automaton(text)
+        place, row, target = language.displaced(moves, codes)
+        assert len(set(place.tolist())) == len(moves)
+        for state, out in enumerate(moves):
+            for c, code in codes.items():
+                at = place[state] + code
+                assert (target[at] if row[at] == place[state] else None) == (place[out[c]] if c in out else None)
+            assert row[place[state]] != place[state]  # code 0 is no letter
+
+
+def test_scripts_of_many_letters_stay_small():
+    rng = np.random.default_rng(5)
+    scripts = {"zh": (0x4E00, 3000), "ja": (0x3041, 1500), "ko": (0xAC00, 1800), "ru": (0x430, 32), "en": (97, 26)}
+    texts = {
+        lang: "".join(map(chr, low + np.minimum(rng.zipf(1.3, language.FIT_CHARS), n) - 1))
+        for lang, (low, n) in scripts.items()
+    }
+    model = language.Parser(texts)
+    held = model.codes.nbytes + sum(a.nbytes for table in model.tables for a in table[:3])
+    assert held < 30e6
+    asked = [texts[lang][1000:1300] for lang in scripts]
+    assert model.counts(asked).argmin(axis=1).tolist() == [0, 1, 2, 3, 4]
+
+
+def test_languages_beyond_the_bound_are_not_learned(spark):
+    rows = [(i, "some words", "en" if i < 5 else f"x{i}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert list(language.fit(docs, most=2)) == ["en", "x10"] and len(language.fit(docs)) == 8
+
+
 def test_automaton_knows_exactly_the_substrings():
     text = "abracadabra"
     moves, _ = language.automaton(text)
