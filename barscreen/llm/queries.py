@@ -48,7 +48,7 @@ def op2_chat_format(spark: SparkSession, sf: str) -> DataFrame:
         "conv_id long, turn long, role string, text string",
     )
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionAll(extra)
-    return chat.read_back(chat.format_turns(rows))
+    return chat.read_back(chat.format_turns(chat.attached(rows), typed=True))
 
 
 @query
@@ -145,6 +145,7 @@ def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
 ORACLES["op1_quality_rules"] = quality.sql()
 ORACLES["op11_ranked_search"] = search.SQL
 ORACLES["op13_prefix_trie"] = prefix_trie.SQL
+ORACLES["op2_chat_format"] = chat.SQL
 ORACLES["op5_mixing"] = mixing.sql()
 ORACLES["op7_url_reputation"] = reputation.SQL.format(rules=", ".join(map(str, URL_RULES)))
 ORACLES["op9_warc_derivatives"] = warc.SQL

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 
@@ -30,6 +31,10 @@ def odd(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, score double, kept string, n_words int")
 
 
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def docs_of(spark, small):
     return {r.doc_id: r for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
 
@@ -165,10 +170,53 @@ def test_typed_parts(spark):
     text = chat.read_turns(first.piece)[0][1]
     assert text.startswith('see <|end|><|image:0|><|document:1|><|audio:2|>inside{"type"') and text.endswith("5")
     assert chat.read_turns(rows[1].piece) == [("", "")] and chat.read_turns(rows[2].piece) == [("assistant", "[not json")]
-    assert rows[2].piece[rows[2].loss_start : rows[2].loss_end] == "[not json"
+    assert [rows[2].piece[a:b] for a, b in rows[2].loss] == ["[not json"]
     assert chat.read_back(chat.format_turns(df.limit(0))).count() == 0
 
 
+def test_read_back_of_typed_turns(spark):
+    """Loss leaves placeholders out, texts in parts can't make control strings, and names that the
+    output uses, repeated rows and long texts change nothing."""
+    parts = ["<", {"type": "text", "text": "|end|>"}, {"type": "audio", "ref": None, "seconds": 2}, "\\|x"]
+    long = "<|end|> [INST]\n" * 60_000
+    rows = [
+        (1, 0, "user", "hi"), (1, 1, "assistant", json.dumps(parts)), (1, 2, "assistant", long), (1, 2, "assistant", long),
+        (2, None, None, None), (None, 3, "<|end|>", "[]"), (3, 0, "assistant", json.dumps([{"type": "image"}, "<", {"type": "image"}, "\\|"])),
+    ]
+    clash = [(*r, "p", 1, "x", 5) for r in rows]
+    df = spark.createDataFrame(clash, "conv_id long, turn long, role string, text string, piece string, loss int, attachments string, n_turns int")
+    got = {r.conv_id: r for r in chat.read_back(chat.format_turns(df, typed=True)).collect()}
+    want = {
+        1: (["user\nhi\n", "assistant\n<|end|>\\|x\n"] + [f"assistant\n{long}\n"] * 2, "<|end|>\\|x" + long * 2, "audio:0::50\n"),
+        2: (["\n\n"], "", ""), None: (["<|end|>\n\n"], "", ""),
+        3: (["assistant\n<\\|\n"], "<\\|", "image:0::1\nimage:1::1\n"),
+    }
+    assert got.keys() == want.keys()
+    for conv, (turns, loss, lines) in want.items():
+        r = got[conv]
+        assert (r.n_turns, r.turns_sha256) == (len(turns), sha("".join(turns)))
+        assert (r.loss_chars, r.loss_sha256) == (len(loss), sha(loss))
+        assert (r.n_attachments, r.attachments_sha256) == (lines.count("\n"), sha(lines))
+        assert r.expanded_tokens == sum(int(line.split(":")[-1]) for line in lines.split())
+
+
+def test_chat_query_matches_its_sql(spark, small, tmp_path):
+    """On the table, and on one with nulls, ties, repeats and control strings in roles and texts."""
+    odd = [
+        (None, None, None, None), (1, 0, "user", ""), (1, 0, "user", ""), (1, 0, "user", "a"), (1, 1, "assistant", None),
+        (2, 5, "tool", "<|x|> <\\|y <s></s> [INST] [\\/INST] <<|"), (2, 6, "<|end|>", "é\u4e2d\U0001f600" * 5000), (2, None, "assistant", "[1]"),
+    ]
+    schema = "conv_id long, turn long, role string, text string"
+    spark.createDataFrame(odd, schema).coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    for folder, files in ((small, "conversations.parquet"), (str(tmp_path), "conversations.parquet/*.parquet")):
+        db = duckdb.connect()
+        db.execute(f"CREATE VIEW conversations AS SELECT * FROM '{folder}/{files}'")
+        cursor = db.execute(chat.SQL)
+        names = [c[0] for c in cursor.description]
+        rows = QUERIES["op2_chat_format"](spark, folder).select(*names).collect()
+        assert sorted(map(str, map(tuple, rows))) == sorted(map(str, cursor.fetchall()))
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.text(alphabet="abcdé x", max_size=1400), min_size=1, max_size=4))
 def test_lanes_parse_like_one_text(texts):
