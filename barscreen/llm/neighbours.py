@@ -29,8 +29,6 @@ from barscreen.llm.components import connected
 
 LIST, TABLES, RUN = 12, 4, 48
 ROUNDS, EXTRA_ROUNDS, RECALL = 3, 16, 0.98
-#: One-byte cosines this far below the threshold are still checked exactly.
-SLACK = 0.03
 BLOCK, AUDITED = 128, 200
 #: Saturated nodes sent to tasks at a time, nodes a task compares at a time.
 PIECE_BYTES, COMPARED = 8 << 20, 2048
@@ -52,7 +50,12 @@ def _matrix(column: pa.Array, kind: type) -> np.ndarray:
 
 def nodes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(vec_id, vec) of every row, null where a vector can't link, and the distinct vectors
-    (id, size, vec, q): smallest vec_id, number of copies, doubles, one-byte components."""
+    (id, size, vec, q, off): smallest vec_id, number of copies, doubles, one-byte components and
+    the angle between the two.
+
+    Vectors are brought to components below one by a power of two, which takes nothing from their
+    digits and keeps squares of very large or small ones from leaving the range.
+    """
     schema = joined_schema(vectors.select("vec_id"), "vec binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,8 +63,8 @@ def nodes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
             made: list[bytes | None] = []
             for row in batch.column("embedding").to_pylist():
                 v = np.array(row if row is not None else [], np.float64)
-                usable = len(v) and np.isfinite(v).all() and v.any() and np.isfinite(v @ v) and v @ v > 0
-                made.append(v.tobytes() if usable else None)
+                usable = len(v) and np.isfinite(v).all() and v.any()
+                made.append(np.ldexp(v, -np.frexp(np.abs(v).max())[1]).tobytes() if usable else None)
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(made, pa.binary())], names=["vec_id", "vec"])
 
     plain = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
@@ -74,14 +77,24 @@ def nodes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
             if batch.num_rows:
                 v = _matrix(batch.column("vec"), np.float64)
                 q = np.rint(v / np.abs(v).max(axis=1, keepdims=True) * 127).astype(np.int8)
-                made = pa.array([r.tobytes() for r in q], pa.binary())
-                yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, "q"])
+                apart = np.linalg.norm(v / np.linalg.norm(v, axis=1, keepdims=True) - _unit(q, np.float64), axis=1)
+                made = [pa.array([r.tobytes() for r in q], pa.binary()), pa.array(2 * np.arcsin(np.minimum(apart / 2, 1)))]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, "q", "off"])
+
+    return rows, staged(classes.mapInArrow(small, joined_schema(classes, "q binary, off double")), "nodes")
+
 
-    return rows, staged(classes.mapInArrow(small, joined_schema(classes, "q binary")), "nodes")
+def slack(nodes: DataFrame, threshold: float) -> float:
+    """How far below the threshold the one-byte cosine of a link can lie: two vectors' angle
+    grows by no more than both angles to their one-byte forms; the products are summed in four
+    bytes."""
+    off, width = nodes.agg(F.max("off"), F.max(F.length("q"))).first()
+    wider = np.arccos(np.clip(threshold, -1, 1)) + 2 * (off or 0.0) + ANGLE
+    return float(threshold - np.cos(min(wider, np.pi)) + (width or 0) * 2.0**-22)
 
 
-def _unit(q: np.ndarray) -> np.ndarray:
-    v = q.astype(np.float32)
+def _unit(q: np.ndarray, kind: type = np.float32) -> np.ndarray:
+    v = q.astype(kind)
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
@@ -197,7 +210,7 @@ def improved(lists: DataFrame, nodes: DataFrame, threshold: float, turn: int = 0
     """One round: every node joins its neighbours and up to LIST nodes that list it, drawn anew
     each turn. Those not drawn the turn before are news to the others."""
     state = lists.groupBy("id").agg(
-        F.when((F.count("*") >= LIST) & (F.min("sim") >= threshold + SLACK), F.lit(ALL))
+        F.when((F.count("*") >= LIST) & (F.min("sim") >= threshold), F.lit(ALL))
         .when(F.count("*") >= LIST, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("last")
     )
     known = nodes.select("id", "q").join(state, "id")
@@ -231,9 +244,10 @@ def _cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
-def exact_links(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """(a, b), a < b: listed pairs whose cosine in double precision reaches the threshold."""
-    close = lists.where(F.col("sim") >= threshold - SLACK)
+def exact_links(lists: DataFrame, nodes: DataFrame, threshold: float, below: float) -> DataFrame:
+    """(a, b), a < b: listed pairs whose cosine in double precision reaches the threshold, checked
+    where the one-byte cosine is at most `below` less."""
+    close = lists.where(F.col("sim") >= threshold - below)
     close = close.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
     vec = nodes.select("id", "vec")
     rows = close.join(vec.select(F.col("id").alias("a"), F.col("vec").alias("va")), "a")
@@ -424,9 +438,9 @@ def compared(members: DataFrame, nodes: DataFrame, threshold: float, edges: bool
     return reduce(DataFrame.unionAll, parts) if parts else nodes.sparkSession.createDataFrame([], MET)
 
 
-def saturated(lists: DataFrame, threshold: float) -> DataFrame:
+def saturated(lists: DataFrame, threshold: float, below: float) -> DataFrame:
     """(id) of nodes whose every listed node may be a link: there may be more."""
-    degree = lists.where(F.col("sim") >= threshold - SLACK).groupBy("id").agg(F.count("*").alias("n"))
+    degree = lists.where(F.col("sim") >= threshold - below).groupBy("id").agg(F.count("*").alias("n"))
     return staged(degree.where(F.col("n") >= LIST).select("id"), "saturated")
 
 
@@ -438,10 +452,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, rounds: int = ROUND
     told apart by their vectors, copies among them link. Other columns are left out.
     """
     rows, nodes = nodes_of(vectors)
+    below = slack(nodes, threshold)
     lists = descend(nodes, threshold, rounds, seed=1)
-    links = exact_links(lists, nodes, threshold)
+    links = exact_links(lists, nodes, threshold, below)
     extra = 0
-    while (recall := audit(links, nodes, threshold, full := saturated(lists, threshold), extra)) < RECALL:
+    while (recall := audit(links, nodes, threshold, full := saturated(lists, threshold, below), extra)) < RECALL:
         if extra == EXTRA_ROUNDS:
             raise RuntimeError(f"recall of links is {recall:.4f} after {extra} added rounds, below {RECALL}")
         anew = first_lists(nodes, seed=2 + extra).withColumn("old", F.lit(0))
@@ -449,7 +464,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, rounds: int = ROUND
         before = lists.select("id", "other", "sim", F.lit(1).alias("old"))
         lists = staged(_kept(before.unionByName(anew)), "lists")
         lists = descend(nodes, threshold, 1, rounds + extra, lists)
-        links = staged(links.unionByName(exact_links(lists, nodes, threshold)).distinct(), "links")
+        links = staged(links.unionByName(exact_links(lists, nodes, threshold, below)).distinct(), "links")
     groups = connected(links).select(F.col("node").alias("id"), "root")
     members = full.join(nodes, "id").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
     opened = nodes.join(full.withColumn("full", F.lit(True)), "id", "left").withColumn("open", F.isnull("full"))
@@ -471,3 +486,25 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, rounds: int = ROUND
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"),
     ).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+#: Links and components of (vec_id, embedding), all pairs compared: for small tables only.
+SQL = """
+WITH RECURSIVE given AS (
+  SELECT row_number() OVER () AS k, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), usable AS MATERIALIZED (
+  SELECT k, vec_id, list_resize(e, (SELECT max(len(embedding)) FROM embeddings), 0::DOUBLE) AS e FROM given
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), link AS MATERIALIZED (
+  SELECT a.k AS a, b.k AS b, b.vec_id AS id FROM usable a JOIN usable b ON a.k <> b.k
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT k, vec_id AS low FROM usable
+  UNION SELECT link.b, reach.low FROM reach JOIN link ON link.a = reach.k AND reach.low < link.id
+), lowest AS (SELECT k, min(low) AS low FROM reach GROUP BY k),
+counted AS (SELECT a AS k, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(low, vec_id) AS component_id,
+  vec_id IS NOT DISTINCT FROM coalesce(low, vec_id) AS kept
+FROM given LEFT JOIN lowest USING (k) LEFT JOIN counted USING (k)
+"""

@@ -147,5 +147,6 @@ ORACLES["op11_ranked_search"] = search.SQL
 ORACLES["op13_prefix_trie"] = prefix_trie.SQL
 ORACLES["op2_chat_format"] = chat.SQL
 ORACLES["op5_mixing"] = mixing.sql()
+ORACLES["op6_nn_descent"] = neighbours.SQL
 ORACLES["op7_url_reputation"] = reputation.SQL.format(rules=", ".join(map(str, URL_RULES)))
 ORACLES["op9_warc_derivatives"] = warc.SQL

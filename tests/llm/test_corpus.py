@@ -196,6 +196,24 @@ def test_links_of_vectors_match_brute_force(spark):
     assert neighbours.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_any_size_and_rounding(spark):
+    """A pair that one-byte rounding moves from 0.91 to 0.69, squares outside the range of doubles,
+    different lengths, and rows of no or one id."""
+    wide = np.array([1.0] + [0.004] * 3000)
+    other = np.concatenate([wide[:1], -wide[1:]])
+    rows = [
+        (1, wide.tolist()), (2, other.tolist()), (3, [1e300, 1e300]), (4, [1e300, 1.1e300]),
+        (5, [0.0, 0.0, 1e-300, 1e-300]), (6, [0.0, 0.0, 2e-300, 2e-300]), (7, [0.0] * 5 + [1.0]), (7, [0.0] * 5 + [1.0]),
+        (None, [0.0] * 6 + [1.0]), (None, [0.0] * 6 + [1.0]), (8, [0.0] * 7 + [5e-324]),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [(r.vec_id, r.n_links, r.component_id, r.kept) for r in neighbours.near_vectors(df).collect()]
+    assert sorted(found, key=str) == sorted([
+        (1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 1, 3, False), (5, 1, 5, True), (6, 1, 5, False),
+        (7, 1, 7, True), (7, 1, 7, True), (None, 1, None, True), (None, 1, None, True), (8, 0, 8, True),
+    ], key=str)
+
+
 def test_one_link_between_two_crowds(spark):
     """Lists of both ends of the only bridge are full of nearer members of their own crowds."""
     rng = np.random.default_rng(11)
