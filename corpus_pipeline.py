@@ -18,8 +18,9 @@ from barscreen.llm.queries import table, tokenizer_path
 
 #: Documents scored as toxic from here on go.
 TOXIC = 0.3
-#: Documents in which no language has this share go, as do those without letters.
-LANGUAGE_SHARE = 0.4
+#: Documents in which no language has this share go, as do those without letters. Texts of fewer
+#: characters than JUDGED are too short to tell languages apart and stay if they hold a letter.
+LANGUAGE_SHARE, JUDGED = 0.4, 64
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +34,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     names = fresh(docs, "_lang_pred"), fresh(docs, "_lang_score")
     texts = language.fit(docs.where(~language.held_out()))
     found = language.predicted(docs, texts, names=names)
-    kept = (F.col(names[0]) != language.NONE) & (F.col(names[1]) >= LANGUAGE_SHARE)
+    told = (F.col(names[1]) >= LANGUAGE_SHARE) | (F.length("text") < JUDGED)
+    kept = (F.col(names[0]) != language.NONE) & told
     return found.where(kept).drop(*names)
 
 
