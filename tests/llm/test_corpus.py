@@ -459,11 +459,22 @@ def test_pipeline_models_against_plain_sums(spark, small):
         lanes = [text[i : i + language.LANE] for i in range(0, len(text), language.LANE)]
         bits = np.array([sum(language.phrases(t, moves) for t in lanes) * cost for moves, cost in made.values()])
         weight = np.exp2(-(bits - bits.min()) / max(1, len(text)) * min(len(text), 64))
-        if text and weight.max() / weight.sum() >= corpus_pipeline.LANGUAGE_SHARE:
+        short = len(r.text or "") < corpus_pipeline.JUDGED
+        if text and (short or weight.max() / weight.sum() >= corpus_pipeline.LANGUAGE_SHARE):
             known.add(r.doc_id)
     assert {r.doc_id for r in corpus_pipeline.known_language(spark, clean, small).collect()} == known
 
 
+def test_short_texts_that_tie_stay(spark, small):
+    """A letter that all languages know alike is no reason to drop a document; no letters are."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    tied = [(-1, "a"), (-2, "re"), (-3, "?! 12"), (-4, ""), (-5, None)]
+    rows = spark.createDataFrame(tied, "doc_id long, text string")
+    every = docs.unionByName(rows, allowMissingColumns=True)
+    kept = corpus_pipeline.known_language(spark, every, small).where("doc_id < 0").collect()
+    assert sorted(r.doc_id for r in kept) == [-2, -1]
+
+
 def test_pipeline_of_odd_rows(spark, odd, tmp_path):  # noqa: F811
     labels = spark.createDataFrame([(5, 1), (2, 0)], "doc_id long, toxic int")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
