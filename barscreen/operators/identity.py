@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barscreen.functions import trailing as tr
+from barscreen.operators import histories as hs
 from barscreen.operators.intervals import interval_join
+from barscreen.session import cut_lineage
 
 EVENTS_JSON = "array<struct<type:string,date:string,ticker_change:struct<ticker:string>>>"
 
@@ -141,6 +144,99 @@ def stitch(bars: DataFrame, splits: DataFrame, held: DataFrame) -> tuple[DataFra
     return relabel(bars, "date", usable), relabel(splits, "execution_date", spans), usable
 
 
+def _dollars(bar: Column) -> Column:
+    return bar["close"] * bar["volume"]
+
+
+def _stitches(
+    histories: DataFrame, months: DataFrame, listed: DataFrame, held: DataFrame, n: int, min_median: float
+) -> DataFrame:
+    """The stitch log from the histories of both symbols of each span: they meet once a span, not
+    once a month and bar."""
+    spans = held.where("ticker_now <> ticker_then").join(
+        listed.select(F.col("ticker").alias("ticker_now")).distinct(), "ticker_now", "left_semi"
+    )
+    now = histories.select(F.col("ticker").alias("ticker_now"), F.col("_bars").alias("_now"))
+    then = histories.select(F.col("ticker").alias("ticker_then"), F.col("_bars").alias("_then"))
+    keep = ["ticker_now", "ticker_then", "start", "end", "status"]
+    seen = hs.by_month(
+        spans.join(now, "ticker_now").join(then, "ticker_then"), months, keep,
+        lambda m: F.struct(
+            m["rebalance_date"].alias("rebalance_date"),
+            hs.within("_now", m).alias("_now"), hs.within("_then", m).alias("_then"),
+        ),
+    )
+    own = F.filter("_then", lambda b: hs.held_on(b["date"], F.col("start"), F.col("end")))
+    median = tr.middle(hs.ordered(F.col("_now"), _dollars))
+    met = (
+        seen.withColumn("_old", own)
+        .where((F.size("_old") > 0) & (F.size(hs.dates(F.col("_now"))) < n) & (median >= min_median))
+        .withColumn("_both", F.arrays_overlap(hs.dates(F.col("_old")), hs.dates(F.col("_now"))))
+    )
+    return met.groupBy("rebalance_date", "ticker_now", "ticker_then", "start").agg(
+        F.sum(F.size("_old")).cast("bigint").alias("bars"),
+        F.when(F.first("status") != "ok", "no history")
+        .when(F.max("_both"), "clash").otherwise("stitched").alias("outcome"),
+    )
+
+
+def _claimed(histories: DataFrame, log: DataFrame, held: DataFrame) -> DataFrame:
+    """Histories with `_claims`, who takes over days of the ticker in which month, and
+    `_receives`, the months in which the ticker takes over days of another."""
+    moved = log.where("outcome = 'stitched'").select("rebalance_date", "ticker_now", "ticker_then", "start")
+    spans = moved.join(held.select("ticker_now", "ticker_then", "start", "end"), ["ticker_now", "ticker_then", "start"])
+    claims = spans.groupBy(F.col("ticker_then").alias("ticker")).agg(
+        F.collect_list(F.struct("rebalance_date", "ticker_now", "start", "end")).alias("_claims")
+    )
+    receives = moved.groupBy(F.col("ticker_now").alias("ticker")).agg(F.collect_set("rebalance_date").alias("_receives"))
+    return histories.join(claims, "ticker", "left").join(receives, "ticker", "left")
+
+
+def _renamed_rows(claimed: DataFrame, months: DataFrame, rest: list[str], touched: bool = False) -> DataFrame:
+    """A row per month and bar of its window, with the ticker it counts for: `rebalance_date,
+    ticker, rest`. `touched`: only where a symbol gives or takes days in that month."""
+    of_month = lambda m: lambda c: c["rebalance_date"] == m["rebalance_date"]
+    seen = hs.by_month(
+        claimed, months, ["ticker"],
+        lambda m: F.struct(
+            m["rebalance_date"].alias("rebalance_date"), hs.within("_bars", m).alias("_bars"),
+            F.filter("_claims", of_month(m)).alias("_claims"), _takes(m).alias("_takes"),
+        ),
+    )
+    if touched:
+        seen = seen.where("_takes or size(_claims) > 0")
+    rows = seen.select("rebalance_date", "ticker", "_claims", F.inline("_bars"))
+    # A symbol may have had several owners: only the span that holds the day counts.
+    holds = F.filter("_claims", lambda c: hs.held_on(F.col("date"), c["start"], c["end"]))
+    name = F.array_max(F.transform(holds, lambda c: c["ticker_now"]))
+    return rows.withColumn("ticker", F.coalesce(name, "ticker")).select("rebalance_date", "ticker", *rest)
+
+
+def _takes(month: Column) -> Column:
+    return F.coalesce(F.array_contains("_receives", month["rebalance_date"]), F.lit(False))
+
+
+def _history_of(
+    bars: DataFrame, rebalances: DataFrame, sessions: DataFrame, n: int
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    rest = [c for c in bars.columns if c != "ticker"]
+    # Several branches read the histories: they are made once, a row a ticker.
+    return (
+        cut_lineage(hs.histories(bars, sessions, rest)),
+        hs.month_windows(rebalances.select("rebalance_date", "as_of_no"), sessions, n),
+        rest,
+    )
+
+
+def stitch_log(
+    bars: DataFrame, rebalances: DataFrame, sessions: DataFrame, listed: DataFrame, held: DataFrame,
+    n: int, min_median: float,
+) -> DataFrame:
+    """The log of `stitched_windows` alone."""
+    histories, months, _ = _history_of(bars, rebalances, sessions, n)
+    return _stitches(histories, months, listed, held, n, min_median)
+
+
 def stitched_windows(
     bars: DataFrame, rebalances: DataFrame, sessions: DataFrame, listed: DataFrame, held: DataFrame,
     n: int, min_median: float,
@@ -151,43 +247,42 @@ def stitched_windows(
     one row per symbol a security used (`ticker_now, ticker_then, start, end, status`). The log
     has a row per rebalance and old symbol with bars in the window: `stitched`, `clash` (both
     symbols have bars on one day, nothing is moved) or `no history` (the identity is not ok).
-    Rebalances are repeated once a session of their window, so bars join on the session.
+    Bars move once, to their ticker; the rows of the windows are made there, unshuffled.
     """
-    windows = rebalances.select(
-        "rebalance_date", F.explode(F.sequence(F.col("as_of_no") - n + 1, F.col("as_of_no"))).alias("session_no")
-    )
-    windows = F.broadcast(windows.join(sessions.select("session_no", "date"), "session_no").drop("session_no"))
-    seen = bars.join(windows, "date")
-    month = ["rebalance_date", "ticker"]
-    suspects = (
-        seen.join(listed.select("ticker").distinct(), "ticker", "left_semi").groupBy(*month)
-        .agg(F.count_distinct("date").alias("_days"), F.median(F.col("close") * F.col("volume")).alias("_median"))
-        .where((F.col("_days") < n) & (F.col("_median") >= min_median))
-        .select("rebalance_date", F.col("ticker").alias("ticker_now"))
-    )
-    asked = suspects.join(held.where("ticker_now <> ticker_then"), "ticker_now")
-    old = seen.join(asked.withColumnRenamed("ticker_then", "ticker"), month)
-    old = old.where(F.col("date").between(F.col("start"), F.coalesce("end", F.lit("9999-12-31").cast("date"))))
-    now = seen.select("rebalance_date", F.col("ticker").alias("ticker_now"), "date", F.lit(True).alias("_both"))
-    met = old.join(now.distinct(), ["rebalance_date", "ticker_now", "date"], "left")
-    log = met.groupBy("rebalance_date", "ticker_now", F.col("ticker").alias("ticker_then"), "start").agg(
-        F.count(F.lit(1)).alias("bars"),
-        F.when(F.first("status") != "ok", "no history")
-        .when(F.count("_both") > 0, "clash").otherwise("stitched").alias("outcome"),
+    histories, months, rest = _history_of(bars, rebalances, sessions, n)
+    log = cut_lineage(_stitches(histories, months, listed, held, n, min_median))
+    return _renamed_rows(_claimed(histories, log, held), months, rest), log
+
+
+def stitched_measure(
+    bars: DataFrame, rebalances: DataFrame, sessions: DataFrame, listed: DataFrame, held: DataFrame,
+    n: int, min_median: float,
+) -> DataFrame:
+    """Per rebalance and ticker of `stitched_windows`: `days` with bars and `median_on_days_held`.
+
+    Where no symbol gives or takes days, the month is measured in the ticker's own array; only the
+    bars of the others are put together by a shuffle.
+    """
+    histories, months, _ = _history_of(bars, rebalances, sessions, n)
+    log = cut_lineage(_stitches(histories, months, listed, held, n, min_median))
+    claimed = _claimed(histories, log, held)
+    given = lambda m: F.exists("_claims", lambda c: c["rebalance_date"] == m["rebalance_date"])
+    quiet = lambda m: ~_takes(m) & ~F.coalesce(given(m), F.lit(False))
+    whole = hs.by_month(
+        claimed, months, ["ticker"],
+        lambda m: tr.let(hs.within("_bars", m), lambda w: F.struct(
+            m["rebalance_date"].alias("rebalance_date"), F.size(hs.dates(w)).cast("bigint").alias("days"),
+            tr.middle(hs.ordered(w, _dollars)).alias("median_on_days_held"), quiet(m).alias("_quiet"),
+        )),
     )
-    moved = log.where("outcome = 'stitched'").select(
-        "rebalance_date", "ticker_now", F.col("ticker_then").alias("ticker"), "start"
+    whole = whole.where("_quiet and days > 0").select("rebalance_date", "ticker", "days", "median_on_days_held")
+    some = claimed.where("_claims is not null or _receives is not null")
+    joined = _renamed_rows(some, months, ["date", "close", "volume"], touched=True)
+    joined = joined.groupBy("rebalance_date", "ticker").agg(
+        F.count_distinct("date").alias("days"),
+        F.median(F.col("close") * F.col("volume")).alias("median_on_days_held"),
     )
-    spans = moved.join(held.select("ticker_now", F.col("ticker_then").alias("ticker"), "start", "end"), ["ticker_now", "ticker", "start"])
-    spans = spans.select(*month, "ticker_now", F.col("start").alias("_from"), F.col("end").alias("_to"))
-    inside = F.col("date").between(F.col("_from"), F.coalesce("_to", F.lit("9999-12-31").cast("date")))
-    # A symbol may have had several owners: only the span that holds the day counts.
-    renamed = seen.join(spans, month, "left").withColumn("_name", F.when(inside, F.col("ticker_now")))
-    keys = ["rebalance_date", "date", "ticker"]
-    rest = [c for c in seen.columns if c not in keys]
-    renamed = renamed.groupBy(*keys, *rest).agg(F.max("_name").alias("_name"))
-    stitched = renamed.withColumn("ticker", F.coalesce("_name", "ticker")).select(*seen.columns)
-    return stitched, log
+    return whole.unionByName(joined)
 
 
 def target_set(snapshots: DataFrame, extra: DataFrame, lists: DataFrame) -> DataFrame:

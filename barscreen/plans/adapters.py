@@ -119,6 +119,13 @@ def sessions_of(bars: DataFrame) -> DataFrame:
     return cal.session_dimension(bars.select("date", "is_half_day").distinct())
 
 
+def trade_sessions(spark: SparkSession, sf: str, session: str = "week") -> DataFrame:
+    """The sessions with trades, of all suppliers, from the dates alone: no bars are made."""
+    day = F.col("l_shipdate").cast("date")
+    dates = table(spark, sf, "lineitem").select((day if session == "day" else F.trunc(day, session)).alias("date"))
+    return cal.session_dimension(dates.distinct().withColumn("is_half_day", is_half_day(F.col("date"))))
+
+
 def event_minutes(spark: SparkSession, sf: str) -> DataFrame:
     """The event stream as minute rows: one security a user, stamped to the minute."""
     events = table(spark, sf, "events")

@@ -302,7 +302,7 @@ def audit_logs(spark, sf):
         "multi_class_securities": au.multi_class(shares),
         "market_cap_audit": chosen.withColumnRenamed("market_cap", "our_market_cap"),
         "ticker_history_gaps": au.history_gaps(cu.identities(spark, sf)).withColumnRenamed("requested", "ticker"),
-        "ticker_stitches": cu._stitched(spark, sf)[1].where("outcome = 'stitched'").withColumnsRenamed(
+        "ticker_stitches": cu.stitch_log(spark, sf).where("outcome = 'stitched'").withColumnsRenamed(
             {"ticker_now": "requested_ticker", "ticker_then": "fetched_as"}
         ).withColumn("run_id", F.lit("run-1")),
     }
