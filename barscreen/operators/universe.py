@@ -7,8 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barscreen.functions import trailing as tr
 from barscreen.operators import calendar as cal
+from barscreen.operators import histories as hs
 from barscreen.schema import require
+from barscreen.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -30,12 +33,12 @@ class Rules:
 STEPS = ("exchange", "type", "close", "dollar_volume", "history", "market_cap", "top_n")
 
 
-def padded_median(values: Column, size: int) -> Column:
-    """The median of `size` values of which those not given are zero (values are not negative).
+def padded_median(ordered: Column, size: int) -> Column:
+    """The median of `size` values of which those not in the sorted array are zero (values are not
+    negative).
 
     No grid of securities and sessions is built: the zeros are only counted.
     """
-    ordered = F.sort_array(values)
     zeros = F.lit(size) - F.size(ordered)
 
     def at(i: int) -> Column:
@@ -44,58 +47,67 @@ def padded_median(values: Column, size: int) -> Column:
     return (at((size - 1) // 2) + at(size // 2)) / 2.0
 
 
-def measure(
-    rebalances: DataFrame, bars: DataFrame, splits: DataFrame, sessions: DataFrame, rules: Rules
-) -> DataFrame:
-    """Per rebalance and ticker: close at the as-of session, and median dollar volume.
+def _product(splits: Column, after: Column, upto: Column, over: str, under: str) -> Column:
+    """The product of the ratios executed after one day and up to another; 1 if none was."""
+    between = F.filter(splits, lambda x: (x["execution_date"] > after) & (x["execution_date"] <= upto))
+    ratio = lambda x: F.coalesce(x[over] / x[under], F.lit(1.0))
+    found = F.aggregate(between, F.lit(1.0), lambda so_far, x: so_far * ratio(x))
+    return F.coalesce(found, F.lit(1.0))
 
-    Only bars of the trailing window take part. Rebalances and sessions are calendar tables, so
-    each bar is sent to the few rebalances whose window holds it. Dollar volume is the same
-    before and after a split adjustment (prices and volume move oppositely), so only the as-of
-    close is adjusted: a split executed between the as-of session and the rebalance.
+
+def _measured(
+    rebalances: DataFrame, bars: DataFrame, splits: DataFrame, sessions: DataFrame, rules: Rules,
+    rows: DataFrame | None = None,
+) -> DataFrame:
+    """`measure` with `share_factor`, how a share count of `share_count_date` grows to the
+    rebalance, and the columns of `rows`, a row a ticker.
+
+    A ticker's bars and splits move once, to its ticker; its months are measured where they lie.
     """
     require(bars, ["ticker", "date", "close", "volume"], "daily bars")
     n = rules.dollar_volume_sessions
-    windows = F.broadcast(
-        rebalances.select("rebalance_date", "as_of_session", "as_of_no").join(
-            sessions.select("date", "session_no"),
-            F.col("session_no").between(F.col("as_of_no") - n + 1, F.col("as_of_no")),
-        )
-    )
-    value = F.col("close") * F.col("volume")
-    grouped = (
-        bars.join(windows, "date")
-        .groupBy("rebalance_date", "as_of_session", "ticker")
-        .agg(
-            # At most one value a session of the window.
-            padded_median(F.collect_list(value), n).alias("median_dollar_volume_60"),
-            F.max(F.when(F.col("date") == F.col("as_of_session"), F.col("close"))).alias("close"),
-        )
-    )
-    late = splits.join(
-        F.broadcast(rebalances.select("rebalance_date", "as_of_session")),
-        (F.col("execution_date") > F.col("as_of_session"))
-        & (F.col("execution_date") <= F.col("rebalance_date")),
-    )
-    factor = late.groupBy("rebalance_date", "ticker").agg(
-        F.product(F.col("split_from") / F.col("split_to")).alias("_f")
-    )
-    return (
-        grouped.join(factor, ["rebalance_date", "ticker"], "left")
-        .withColumn("close", F.col("close") * F.coalesce("_f", F.lit(1.0)))
-        .drop("_f")
+    dated = rebalances.withColumn(
+        "share_count_date", cal.share_count_date(F.col("as_of_session"), rules.share_count_lag_days)
+    ).select("rebalance_date", "as_of_session", "as_of_no", "share_count_date")
+    own = splits.groupBy("ticker").agg(
+        F.collect_list(F.struct("execution_date", "split_from", "split_to")).alias("_splits")
     )
+    every = hs.histories(bars, sessions, ["date", "close", "volume"]).join(own, "ticker", "left")
+    keep = ["ticker"]
+    if rows is not None:
+        every, keep = every.join(rows, "ticker"), [*keep, *[c for c in rows.columns if c != "ticker"]]
+
+    def of(m: Column) -> Column:
+        def fields(window: Column) -> Column:
+            at = F.filter(window, lambda b: b["date"] == m["as_of_session"])
+            close = F.array_max(F.transform(at, lambda b: b["close"]))
+            late = _product(F.col("_splits"), m["as_of_session"], m["rebalance_date"], "split_from", "split_to")
+            grown = _product(F.col("_splits"), m["share_count_date"], m["rebalance_date"], "split_to", "split_from")
+            value = hs.ordered(window, lambda b: b["close"] * b["volume"])
+            return F.struct(
+                m["rebalance_date"].alias("rebalance_date"), m["as_of_session"].alias("as_of_session"),
+                m["share_count_date"].alias("share_count_date"), F.size(window).alias("_seen"),
+                # At most one value a session of the window.
+                tr.let(value, lambda v: padded_median(v, n)).alias("median_dollar_volume_60"),
+                (close * late).alias("close"), grown.alias("share_factor"),
+            )
+
+        return tr.let(hs.within("_bars", m), fields)
+
+    return hs.by_month(every, hs.month_windows(dated, sessions, n), keep, of).where("_seen > 0").drop("_seen")
 
 
-def forward_splits(rebalances: DataFrame, splits: DataFrame) -> DataFrame:
-    """Per rebalance and ticker: how a share count of `share_count_date` grows to the rebalance."""
-    later = splits.join(
-        F.broadcast(rebalances.select("rebalance_date", "share_count_date")),
-        (F.col("execution_date") > F.col("share_count_date"))
-        & (F.col("execution_date") <= F.col("rebalance_date")),
-    )
-    return later.groupBy("rebalance_date", "ticker").agg(
-        F.product(F.col("split_to") / F.col("split_from")).alias("share_factor")
+def measure(
+    rebalances: DataFrame, bars: DataFrame, splits: DataFrame, sessions: DataFrame, rules: Rules
+) -> DataFrame:
+    """Per rebalance and ticker: close at the as-of session, and median dollar volume.
+
+    Only bars of the trailing window take part. Dollar volume is the same before and after a
+    split adjustment (prices and volume move oppositely), so only the as-of close is adjusted: a
+    split executed between the as-of session and the rebalance.
+    """
+    return _measured(rebalances, bars, splits, sessions, rules).select(
+        "rebalance_date", "ticker", "as_of_session", "median_dollar_volume_60", "close"
     )
 
 
@@ -125,24 +137,15 @@ def rated(
     `failed_step` is the position of that step in `STEPS`, or null. A security without bars has
     no row: it cannot pass, and `attrition` only has to count it.
     """
-    dated = rebalances.withColumn(
-        "share_count_date", cal.share_count_date(F.col("as_of_session"), rules.share_count_lag_days)
-    )
     numbers = sessions.select(F.col("date").alias("_history_from"), F.col("session_no").alias("_h"))
-    dated = dated.join(
+    calendar = rebalances.join(
         F.broadcast(numbers), F.col("_h") == F.col("as_of_no") - rules.min_history_sessions + 1, "left"
-    ).drop("_h")
-    calendar = F.broadcast(dated.select("rebalance_date", "share_count_date", "_history_from"))
+    ).select("rebalance_date", "_history_from")
     out = (
-        measure(rebalances, bars, splits, sessions, rules)
-        .join(securities, "ticker")
-        .join(calendar, "rebalance_date")
-        .join(forward_splits(dated, splits), ["rebalance_date", "ticker"], "left")
+        _measured(rebalances, bars, splits, sessions, rules, securities)
+        .join(F.broadcast(calendar), "rebalance_date")
         .withColumn("listing_date", listing_date())
-        .withColumn(
-            "market_cap",
-            F.col("share_class_shares") * F.coalesce("share_factor", F.lit(1.0)) * F.col("close"),
-        )
+        .withColumn("market_cap", F.col("share_class_shares") * F.col("share_factor") * F.col("close"))
     )
     passes = [
         F.col("primary_exchange").isin(*rules.exchanges),
@@ -187,11 +190,13 @@ def attrition(
     Those without bars are counted, not listed: the totals of the three static steps less those
     that have a row.
     """
-    count = F.count(F.lit(1))
-    measured = rated_securities.groupBy("rebalance_date", "failed_step").agg(count.alias("n"))
-    present = rated_securities.groupBy("rebalance_date", static_step(rules).alias("step_no")).agg(
-        count.alias("present")
+    count, total = F.count(F.lit(1)), F.sum("n")
+    # A few counts a month: made once, read by all that follows.
+    counts = cut_lineage(
+        rated_securities.groupBy("rebalance_date", "failed_step", static_step(rules).alias("step_no")).agg(count.alias("n"))
     )
+    measured = counts.groupBy("rebalance_date", "failed_step").agg(total.alias("n"))
+    present = counts.groupBy("rebalance_date", "step_no").agg(total.alias("present"))
     # Three totals for each month of the calendar.
     totals = securities.groupBy(static_step(rules).alias("step_no")).agg(count.alias("total"))
     absent = (

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from barscreen.operators import calendar as cal
 from barscreen.operators import identity as idn
+from barscreen.operators import universe as un
 
 D = dt.date
 
@@ -56,3 +57,45 @@ def test_stitched_measure_moves_bars_once(spark):
     expected = windows.groupBy("rebalance_date", "ticker").agg(F.count_distinct("date"), F.median(F.col("close") * F.col("volume"))).collect()
     assert {tuple(r) for r in found["rows"]} == {tuple(r) for r in expected} and len(found["rows"]) == len(expected)
     assert any(r.ticker == "S0" and r.days == 60 and r.rebalance_date < D(2018, 1, 1) for r in found["rows"])
+
+
+def rules_of(spark, tickers: int, weeks: int):
+    bars, sessions, rebalances = weekly(spark, tickers, weeks)
+    splits = spark.createDataFrame(
+        [("S1", D(2015, 3, 1), 1.0, 2.0), ("S1", D(2016, 3, 1), 1.0, 4.0)], "ticker string, execution_date date, split_from double, split_to double"
+    )
+    listed = spark.range(tickers).select(
+        F.concat(F.lit("S"), "id").alias("ticker"), F.lit("XNYS").alias("primary_exchange"), F.lit("CS").alias("type"),
+        F.lit(D(2000, 1, 1)).alias("list_date"), F.lit(None).cast("date").alias("first_event_date"),
+        F.lit(1000.0).alias("share_class_shares"),
+    ).localCheckpoint()
+    rules = un.Rules(min_market_cap=1.0, max_market_cap=1e12, min_median_dollar_volume=1.0, min_close=1.0, min_history_sessions=2, top_n=5)
+    return (rebalances, listed, bars, splits.localCheckpoint(), sessions, rules), bars
+
+
+def test_rated_moves_bars_once(spark):
+    given, bars = rules_of(spark, 300, 200)
+    found = {}
+    moved = shuffled_rows(spark, lambda: found.update(rows=un.rated(*given).collect()))
+    assert moved < 2 * bars.count()
+    assert len(found["rows"]) == 300 * given[0].count()
+    one = {r.rebalance_date: r for r in found["rows"] if r.ticker == "S1"}
+    values = {r.date: r.close * r.volume for r in bars.where("ticker = 'S1'").collect()}
+    for day, r in one.items():
+        past = sorted(([0.0] * 60 + [values[d] for d in sorted(values) if d < day])[-60:])
+        assert r.median_dollar_volume_60 == (past[29] + past[30]) / 2
+        grown = [n for d, n in ((D(2015, 3, 1), 2.0), (D(2016, 3, 1), 4.0)) if r.share_count_date < d <= day]
+        late = [n for d, n in ((D(2015, 3, 1), 2.0), (D(2016, 3, 1), 4.0)) if r.as_of_session < d <= day]
+        scale = 1.0
+        for n in late:
+            scale /= n
+        assert r.close == 10.0 * scale
+        for n in grown:
+            scale *= n
+        assert r.market_cap == 1000.0 * 10.0 * scale
+
+
+def test_attrition_rates_once(spark):
+    given, bars = rules_of(spark, 200, 150)
+    moved = shuffled_rows(spark, lambda: un.attrition(un.rated(*given), given[1], given[0], given[5]).collect())
+    assert moved < 2 * bars.count()
