@@ -69,8 +69,27 @@ matched AS MATERIALIZED (SELECT date, candidate_key, candidate_slot, control_key
 MATCHED_CTES = chain(DECILES, MATCHED)
 
 
+def study_members(spark, sf):
+    """The members of the study's universe: at most 400 a month, whatever the data."""
+    kept = ["rebalance_date", "ticker", "median_dollar_volume_60"]
+    return b.stored(
+        spark, sf, "study_members", lambda: un.select_universe(cu.rated(spark, sf), STUDY_RULES).select(*kept)
+    )
+
+
+def study_bars(spark, sf):
+    """The whole history of every security that was ever a member. Nothing in the study looks at
+    another, so they are left out before any window is opened."""
+
+    def build():
+        ever = study_members(spark, sf).select(F.col("ticker").alias("security_key")).distinct()
+        return ad.day_bars(spark, sf, "supplier", "week").join(F.broadcast(ever), "security_key", "left_semi")
+
+    return b.stored(spark, sf, "study_bars", build)
+
+
 def _day_frame(spark, sf):
-    days = by_security(ad.day_bars(spark, sf, "supplier", "week"))
+    days = by_security(study_bars(spark, sf))
     own = vl.daily_volume(vt.daily_volatility(days))
     before = F.lag("close").over(day_order())
     own = own.withColumns(
@@ -80,8 +99,11 @@ def _day_frame(spark, sf):
         }
     )
     busy = F.coalesce(F.col("vol_pct_d_20") >= 90, F.lit(False))
-    chosen = un.select_universe(cu.rated(spark, sf), STUDY_RULES)
-    members = un.members_in_force(ad.sessions_of(ad.day_bars(spark, sf, "supplier", "week")), chosen, "ticker")
+    # What is not kept is not worked out: the longer windows of volume are of no use here.
+    own = own.select(
+        "security_key", "requested_ticker", "date", "close", "transactions", "daily_atr", "vol_pct_d_20", "ret_atr"
+    )
+    members = un.members_in_force(cu.supplier_weeks(spark, sf), study_members(spark, sf), "ticker")
     return ct.among_members(own, members).withColumns(
         {
             "family_a": busy & F.coalesce(F.col("ret_atr") >= 0, F.lit(False)),
@@ -236,10 +258,10 @@ OUT_PLAIN = f"kind security_key requested_ticker date slot_index family_a family
 
 
 def _outcomes(spark, sf):
-    days = ad.day_bars(spark, sf, "supplier", "week")
+    days = study_bars(spark, sf)
     frame, pairs, fired = day_frame(spark, sf), matched(spark, sf), firing(spark, sf)
     signals = ex.distinct_signals(fired, pairs, frame)
-    walked = ex.walk(signals, days.withColumn("slot_index", F.lit(0)), ad.sessions_of(days))
+    walked = ex.walk(signals, days.withColumn("slot_index", F.lit(0)), cu.supplier_weeks(spark, sf))
     flags = days.select(
         "security_key", "date",
         F.when(F.col("volume").cast("bigint") % 7 != 0, F.col("transactions") >= 3).alias("any_event"),
@@ -296,7 +318,7 @@ folded AS (SELECT o.*, CASE WHEN date >= first AND (date_diff('day', first, date
 
 @query(f"WITH RECURSIVE {chain(OUTCOMES, FOLDED)} SELECT fold, kind, count(*) AS n, min(date) AS first_date, max(date) AS last_date FROM folded GROUP BY ALL")
 def walk_forward_folds(spark, sf):
-    sessions = ad.sessions_of(ad.day_bars(spark, sf, "supplier", "week"))
+    sessions = cu.supplier_weeks(spark, sf)
     rows, usable = sd.study_window(stored_outcomes(spark, sf), sessions, HOLDOUT)
     return sd.with_fold(rows, usable).groupBy("fold", "kind").agg(
         F.count(F.lit(1)).alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date")
@@ -323,7 +345,7 @@ SELECT dates, candidates, controls, round(edge, 6) + 0.0 AS edge, round(t, 6) +
 FROM est, (SELECT CAST(count(*) FILTER (edge >= 0.15) AS BIGINT) AS folds_effect, CAST(count(*) FILTER (edge >= 0.15 AND {SURE}) AS BIGINT) AS folds_whole FROM fest) f"""
 )
 def verdict(spark, sf):
-    sessions = ad.sessions_of(ad.day_bars(spark, sf, "supplier", "week"))
+    sessions = cu.supplier_weeks(spark, sf)
     found = sd.verdict(stored_outcomes(spark, sf), sessions, FAMILIES, HOLDOUT)
     return tidy(
         found, "dates", "candidates", "controls", "edge", "t", "folds_effect", "folds_whole",

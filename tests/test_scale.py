@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from barscreen.operators import calendar as cal
 from barscreen.operators import identity as idn
 from barscreen.operators import universe as un
+from barscreen.plans.catalog import study as cst
 
 D = dt.date
 
@@ -99,3 +100,12 @@ def test_attrition_rates_once(spark):
     given, bars = rules_of(spark, 200, 150)
     moved = shuffled_rows(spark, lambda: un.attrition(un.rated(*given), given[1], given[0], given[5]).collect())
     assert moved < 2 * bars.count()
+
+
+def test_study_reads_members_only(spark, small):
+    """Outcomes, folds and the verdict read stage tables of members, not every trade again."""
+    for df in (cst._outcomes(spark, small), cst._day_frame(spark, small), cst.walk_forward_folds(spark, small)):
+        files = df.inputFiles()
+        assert files and not any("lineitem" in f for f in files)
+    ever = {r.ticker for r in cst.study_members(spark, small).collect()}
+    assert {r.security_key for r in cst.study_bars(spark, small).select("security_key").distinct().collect()} == ever
