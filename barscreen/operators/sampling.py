@@ -69,15 +69,19 @@ def draw(bars: DataFrame, count: int, seed: str) -> DataFrame:
     )
 
 
-def due_for_retest(shown: DataFrame, today, seed: str) -> DataFrame:
-    """A tenth of everything shown, from first showings at least 28 days old, by digest."""
+def due_for_retest(shown: DataFrame, today, seed: str, ties: tuple[str, ...] = ()) -> DataFrame:
+    """A tenth of everything shown, from first showings at least 28 days old, by digest.
+
+    Showings of one chart share its digest; `ties` names the columns that tell them apart, so that
+    the draw does not depend on the order rows arrive in.
+    """
     require(shown, [*BAR, "shown_on", "is_retest"], "shown")
     ripe = shown.where(
         (F.col("shown_on") <= F.date_sub(F.lit(today), RETEST_GAP_DAYS))
         & ~F.coalesce("is_retest", F.lit(False))
     )
     total = shown.agg(F.bround(F.count(F.lit(1)) * F.lit(RETEST_SHARE)).alias("_wanted"))
-    return first_by_digest(ripe, digest(f"{seed}|retest"), BAR, total)
+    return first_by_digest(ripe, digest(f"{seed}|retest"), [*BAR, *ties], total)
 
 
 def unlabelled(pool: DataFrame, labels: DataFrame) -> DataFrame:

@@ -418,7 +418,7 @@ RETEST = """ripe AS (SELECT *, row_number() OVER (ORDER BY sha1('2024-03-01|rete
 
 @query(select(chain(LABELS, RETEST), "ripe", "doc_id security_key date slot_index", tail="WHERE r <= round_even((SELECT count(*) FROM lab) * 0.1, 0)"))
 def label_retest(spark, sf):
-    due = sp.due_for_retest(label_rows(spark, sf), dt.date(2024, 3, 1), "2024-03-01")
+    due = sp.due_for_retest(label_rows(spark, sf), dt.date(2024, 3, 1), "2024-03-01", ("doc_id",))
     return due.select("doc_id", "security_key", "date", "slot_index")
 
 

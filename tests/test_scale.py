@@ -109,3 +109,13 @@ def test_study_reads_members_only(spark, small):
         assert files and not any("lineitem" in f for f in files)
     ever = {r.ticker for r in cst.study_members(spark, small).collect()}
     assert {r.security_key for r in cst.study_bars(spark, small).select("security_key").distinct().collect()} == ever
+
+
+def test_retest_draw_settles_ties(spark, tmp_path):
+    """A hundred labels of one chart: ids 59,820 apart share date, slot and digest."""
+    ids = spark.range(99, -1, -1, numPartitions=1).select((F.col("id") * 59_820).alias("doc_id"))
+    ids.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    texts = ids.select("doc_id", F.lit("x").alias("text"), F.lit("en").alias("lang"), F.lit("web").alias("source"), F.lit(1).cast("bigint").alias("n_chars"))
+    texts.write.parquet(f"{tmp_path}/documents.parquet")
+    found = cst.label_retest(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in found) == [i * 59_820 for i in range(10)]
