@@ -50,8 +50,7 @@ class RankQueue:
         self.top |= 1 << word
 
     def fill(self, ranks: list[int]) -> None:
-        """Put down every place with its rank, NONE for no place. The queue must be empty: places
-        come in order, so each bucket is a heap as it stands."""
+        """Put down every place with its rank, NONE for no place. The queue must be empty."""
         buckets = self.buckets
         for place, rank in enumerate(ranks):
             if rank >= 0:
@@ -60,12 +59,6 @@ class RankQueue:
             if rank >= 0:
                 self.mark(rank)
 
-    def push(self, rank: int, place: int) -> None:
-        bucket = self.buckets[rank]
-        if not bucket:
-            self.mark(rank)
-        heappush(bucket, place)
-
     def lowest(self) -> int:
         """The lowest rank whose bucket holds anything, NONE if no bucket does."""
         if not self.top:
@@ -118,13 +111,22 @@ class Vocabulary:
         found = [pair(a << 32 | b, NONE) for a, b in zip(part, part[1:], strict=False)]
         found.append(NONE)
         queue = self.queue
-        push, buckets = queue.push, queue.buckets
+        mark, buckets = queue.mark, queue.buckets
         queue.fill(found)
+        # A bucket is sorted when its turn comes, and its places are taken off the end. Only where a
+        # lower rank comes up meanwhile, the rest of it becomes a heap, which stays ordered as more
+        # places come: `heaps` names such ranks.
+        heaps: set[int] = set()
         while (rank := queue.lowest()) >= 0:
             bucket = buckets[rank]
+            if rank in heaps:
+                take = heappop
+            else:
+                take = list.pop
+                bucket.sort(reverse=True)
             lower = False
             while bucket and not lower:
-                place = heappop(bucket)
+                place = take(bucket)
                 if found[place] != rank:
                     continue
                 gone = after[place]
@@ -135,15 +137,31 @@ class Vocabulary:
                 before[right] = place
                 made = found[place] = pair(rank << 32 | part[right], NONE)
                 if made >= 0:
-                    push(made, place)
+                    other = buckets[made]
+                    if not other:
+                        mark(made)
+                    if made in heaps:
+                        heappush(other, place)
+                    else:
+                        other.append(place)
                     lower = made < rank
                 if left >= 0:
                     made = found[left] = pair(part[left] << 32 | rank, NONE)
                     if made >= 0:
-                        push(made, left)
+                        other = buckets[made]
+                        if not other:
+                            mark(made)
+                        if made in heaps:
+                            heappush(other, left)
+                        else:
+                            other.append(left)
                         lower = lower or made < rank
             if not bucket:
                 queue.emptied(rank)
+                heaps.discard(rank)
+            elif take is not heappop:
+                bucket.reverse()
+                heaps.add(rank)
         out = []
         place = 0
         for piece in pieces:

@@ -305,3 +305,33 @@ def test_ternary_tree():
         walked.append(tuple(reversed(path)))
     assert walked == sorted({p[:d] for p in paths for d in range(len(p) + 1)})
     assert [tree.along(list(p))[-1] for p in paths] == [tree.end.index(i) for i in range(len(paths))]
+
+
+def test_merges_where_lower_ranks_come_up(tmp_path):
+    """Ranks dealt at random: merging makes pairs of lower rank than the one in hand, and pairs of a
+    rank that was left half done."""
+    import base64
+    import random
+
+    from barscreen.llm import bpe
+
+    def plainly(model, piece):
+        ids = [model.bytes[b] for b in piece]
+        while True:
+            made = [(model.pairs.get(a << 32 | b, 1 << 40), i) for i, (a, b) in enumerate(zip(ids, ids[1:]))]
+            if not made or min(made)[0] == 1 << 40:
+                return ids
+            rank, i = min(made)
+            ids[i : i + 2] = [rank]
+
+    deal = random.Random(7)
+    for turn in range(20):
+        tokens = {bytes(deal.choices(b"abc", k=deal.randint(2, 5))) for _ in range(60)}
+        tokens = sorted(tokens, key=lambda _: deal.random())
+        path = tmp_path / f"{turn}.tiktoken"
+        every = [bytes([b]) for b in range(256)] + tokens
+        path.write_text("".join(f"{base64.b64encode(t).decode()} {i}\n" for i, t in enumerate(every)))
+        model = bpe.Vocabulary(str(path), r"\S+")
+        pieces = list({bytes(deal.choices(b"abc", k=deal.randint(1, 40))) for _ in range(60)})
+        assert model.merged(pieces) == [plainly(model, p) for p in pieces]
+        assert not any(model.queue.buckets) and not model.queue.top
