@@ -344,12 +344,13 @@ SELECT security_key, date_et, count(*) AS bars, string_agg(DISTINCT ticker, ','
 WHERE NOT EXISTS (SELECT 1 FROM covered c WHERE c.security_key = rows.security_key AND c.date_et = rows.date_et) GROUP BY 1, 2"""
 )
 def new_part_rows(spark, sf):
-    rows = ad.table(spark, sf, "lineitem").select(
+    items = ad.table(spark, sf, "lineitem")
+    rows = items.select(
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("security_key"),
         F.col("l_shipdate").cast("date").alias("date_et"),
         F.concat(F.lit("T"), F.col("l_linenumber").cast("string")).alias("ticker"),
     )
-    return store.day_manifest(store.new_rows(rows, rows.where(F.col("ticker") == "T1")))
+    return store.day_manifest(store.new_rows(rows, rows.where(F.col("ticker") == "T1"), items.count()))
 
 
 @query(

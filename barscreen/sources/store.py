@@ -253,10 +253,22 @@ def with_prices(features: DataFrame, bars: DataFrame) -> DataFrame:
     return features.join(prices, ["security_key", "date", "slot_index"], "left")
 
 
-def new_rows(fetched: DataFrame, covered: DataFrame) -> DataFrame:
-    """Fetched minute rows of securities not yet stored for their day."""
-    return fetched.join(covered.select("security_key", "date_et").distinct(),
-                        ["security_key", "date_et"], "left_anti")
+#: Rows of one partition of a comparison with what is stored.
+ROWS_A_TASK = 500_000
+
+
+def new_rows(fetched: DataFrame, covered: DataFrame, rows: int | None = None) -> DataFrame:
+    """Fetched minute rows of securities not yet stored for their day.
+
+    `rows`, the number fetched, sets the number of partitions, so that a task holds no more of a
+    larger table; a manifest of the result reuses them.
+    """
+    keys = ["security_key", "date_et"]
+    stored = covered.select(*keys)
+    if rows is not None:
+        parts = -(-rows // ROWS_A_TASK) or 1
+        fetched, stored = fetched.repartition(parts, *keys), stored.repartition(parts, *keys)
+    return fetched.join(stored.distinct(), keys, "left_anti")
 
 
 def day_manifest(rows: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from barscreen.operators import calendar as cal
 from barscreen.operators import identity as idn
 from barscreen.operators import universe as un
 from barscreen.plans.catalog import study as cst
+from barscreen.sources import store
 
 D = dt.date
 
@@ -119,3 +120,17 @@ def test_retest_draw_settles_ties(spark, tmp_path):
     texts.write.parquet(f"{tmp_path}/documents.parquet")
     found = cst.label_retest(spark, str(tmp_path)).collect()
     assert sorted(r.doc_id for r in found) == [i * 59_820 for i in range(10)]
+
+
+def partitions(df) -> int:
+    """The partitions `df` comes in, none of them joined up by adaptive execution."""
+    return df.select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+def test_new_rows_in_small_tasks(spark):
+    day = F.date_add(F.lit(D(2020, 1, 1)), (F.col("id") % 50).cast("int")).alias("date_et")
+    rows = spark.range(5000).select(F.concat(F.lit("S"), F.col("id") % 97).alias("security_key"), day, F.concat(F.lit("T"), F.col("id") % 3).alias("ticker"))
+    covered = rows.where(F.col("ticker") == "T1")
+    found = store.day_manifest(store.new_rows(rows, covered, 9 * store.ROWS_A_TASK))
+    assert partitions(found) == 9
+    assert sorted(found.collect()) == sorted(store.day_manifest(store.new_rows(rows, covered)).collect())
