@@ -29,9 +29,18 @@ def calendar_order(*columns: str) -> WindowSpec:
     return Window.partitionBy(F.lit(0)).orderBy(*columns)
 
 
-def by_security(bars: DataFrame) -> DataFrame:
+#: Bars of one partition. A task sorts its partition some ten times on end, so what it holds is
+#: many times the bars; this many fit the memory of a core.
+BARS_A_TASK = 100_000
+
+
+def by_security(bars: DataFrame, rows: int | None = None) -> DataFrame:
     """Bars shuffled to their security once; every window and grouped map after it reuses this.
 
-    The number of partitions is left to adaptive execution, which follows the size of the data.
+    `rows`, the number of bars, sets the number of partitions, so that they stay as small however
+    many bars there are. Without it adaptive execution chooses, by the bytes shuffled.
     """
-    return bars.repartition("security_key")
+    if rows is None:
+        return bars.repartition("security_key")
+    cores = bars.sparkSession.sparkContext.defaultParallelism
+    return bars.repartition(max(cores, -(-rows // BARS_A_TASK)), "security_key")

@@ -53,26 +53,45 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def middle(ordered: Column) -> Column:
-    """The median of a sorted array: the mean of its two middle elements."""
+def centre_of(ordered: Column) -> Column:
+    """The median of a sorted array, null if empty: the mean of its two middle elements. Names
+    the array several times, so it should be a column of its own."""
+    low = F.get(ordered, F.floor((F.size(ordered) - 1) / 2).cast("int"))
+    return (low + F.get(ordered, F.floor(F.size(ordered) / 2).cast("int"))) / 2.0
 
-    def of(a: Column) -> Column:
-        low = F.get(a, F.floor((F.size(a) - 1) / 2).cast("int"))
-        return (low + F.get(a, F.floor(F.size(a) / 2).cast("int"))) / 2.0
 
-    return F.when(F.size(ordered) > 0, let(ordered, of))
+def middle(ordered: Column) -> Column:
+    """The same of any expression."""
+    return F.when(F.size(ordered) > 0, let(ordered, centre_of))
 
 
 def percentile_in(past: Column, value: Column, need: int) -> Column:
-    """The share of `past` strictly below `value`, as a percentage."""
-    below = F.size(F.filter(past, lambda v: v < value))
+    """The share of `past` strictly below `value`, as a percentage.
+
+    So many stand before `value` once it is sorted in among them. Sorting and searching numbers
+    is compiled; a filter with a lambda is not.
+    """
+    known = F.coalesce(value, F.lit(0))  # without nulls an array is sorted as plain numbers
+    below = F.array_position(F.sort_array(F.array_append(past, known)), known) - 1
     return F.when(
         (F.size(past) >= need) & value.isNotNull(), below.cast("double") * 100.0 / F.size(past)
     )
 
 
 def median_of(past: Column, need: int) -> Column:
-    return F.when(F.size(past) >= need, middle(past))
+    return F.when(F.size(past) >= need, centre_of(past))
+
+
+def distances(past: Column, centre: Column) -> Column:
+    """How far the values of `past` lie from `centre`, sorted."""
+    return F.sort_array(F.transform(past, lambda v: F.coalesce(F.abs(v - centre), F.lit(0.0))))
+
+
+def robust_z_of(past: Column, centre: Column, off: Column, value: Column, need: int) -> Column:
+    """`robust_z_in` with the median of `past` and the `distances` from it as columns of their own,
+    which spares working them out in a lambda."""
+    mad = centre_of(off)
+    return F.when((F.size(past) >= need) & (mad > 0), (value - centre) / (MAD_TO_SIGMA * mad))
 
 
 def robust_z_in(past: Column, value: Column, need: int) -> Column:

@@ -32,12 +32,12 @@ def market_day_return(market: DataFrame, hourly: bool) -> DataFrame:
     return closes.select("date", change.alias("market_ret_day"))
 
 
-def beta_by_session(
+def with_beta(
     daily: DataFrame, market_daily: DataFrame, n: int = BETA_WINDOW, carried: DataFrame | None = None
 ) -> DataFrame:
-    """`(security_key, date, beta_60, paired)`: fitted on the previous n paired returns, held
-    weekly, and the returns paired so far. `carried` (security_key, beta_60, paired) holds what
-    stood before a security's first session here.
+    """Adds `beta_60`, fitted on the previous n paired returns and held weekly, and `paired`, the
+    returns paired so far. `carried` (security_key, beta_60, paired) holds what stood before a
+    security's first session here.
 
     The fit runs over rows where both returns are known. Splitting the window by "known" lets
     those rows see one another as neighbours without filtering and joining back.
@@ -46,8 +46,7 @@ def beta_by_session(
         market_series(market_daily, hourly=False).withColumnRenamed("market_return", "_m")
     )
     paired = (
-        daily.select("security_key", "date", "close")
-        .join(returns, "date", "left")
+        daily.join(returns, "date", "left")
         .withColumn("_s", tr.fractional_change(F.col("close"), day_order()))
         .withColumn("_both", F.col("_s").isNotNull() & F.col("_m").isNotNull())
     )
@@ -63,13 +62,21 @@ def beta_by_session(
     held = tr.forward_fill(F.col("_held"), day_order())
     so_far = F.count(F.when(F.col("_both"), 1)).over(day_order().rowsBetween(Window.unboundedPreceding, 0))
     out = paired.withColumn("_fit", slope).withColumn("_held", F.when(opens_week & enough, F.col("_fit")))
+    out = out.withColumns({"beta_60": held, "paired": so_far}).drop("_m", "_s", "_both", "_fit", "_held")
     if carried is None:
-        return out.select("security_key", "date", held.alias("beta_60"), so_far.alias("paired"))
+        return out
     before = carried.select("security_key", F.col("beta_60").alias("_beta"), F.col("paired").alias("_paired"))
-    return out.join(before, "security_key", "left").select(
-        "security_key", "date", F.coalesce(held, "_beta").alias("beta_60"),
-        (so_far + F.coalesce("_paired", F.lit(0))).alias("paired"),
-    )
+    return out.join(before, "security_key", "left").withColumns({
+        "beta_60": F.coalesce("beta_60", "_beta"), "paired": F.col("paired") + F.coalesce("_paired", F.lit(0)),
+    }).drop("_beta", "_paired")
+
+
+def beta_by_session(
+    daily: DataFrame, market_daily: DataFrame, n: int = BETA_WINDOW, carried: DataFrame | None = None
+) -> DataFrame:
+    """`(security_key, date, beta_60, paired)`."""
+    found = with_beta(daily.select("security_key", "date", "close"), market_daily, n, carried)
+    return found.select("security_key", "date", "beta_60", "paired")
 
 
 def market_features(bars: DataFrame, market: DataFrame, hourly: bool) -> DataFrame:

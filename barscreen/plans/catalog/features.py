@@ -460,7 +460,7 @@ def hourly_frame(spark, sf, security="nation", session="week"):
     bars = cut_lineage(ad.slot_bars(spark, sf, security, session))
     days = cut_lineage(ad.day_bars(spark, sf, security, session))
     hourly, daily = ad.market_bars(spark, sf, session)
-    return ft.hourly_features(bars, days, hourly, daily, keep=("daily_atr", *ft.PRICES))
+    return ft.hourly_features(bars, days, hourly, daily, keep=("daily_atr", *ft.PRICES), rows=bars.count())
 
 
 DAILY_ASSEMBLED = chain(
@@ -492,9 +492,10 @@ def daily_features(spark, sf):
 
 
 def _daily(spark, sf, security):
-    days = cut_lineage(_days(spark, sf, security, "day"))
+    days = cut_lineage(ad.day_bars(spark, sf, security, "day"))
     _, market = ad.market_bars(spark, sf, "day")
-    return tidy(ft.daily_features(days, market), *DAY, "is_half_day", "low_quality", "true_range", *DAILY_DOUBLES, exact="true_range")
+    found = ft.daily_features(days, market, rows=days.count())
+    return tidy(found, *DAY, "is_half_day", "low_quality", "true_range", *DAILY_DOUBLES, exact="true_range")
 
 
 @query(

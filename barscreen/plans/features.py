@@ -75,13 +75,15 @@ def hourly_features(
     raw_bars: DataFrame | None = None,
     raw_daily: DataFrame | None = None,
     keep: tuple[str, ...] = (),
+    rows: int | None = None,
     **sequence_limits,
 ) -> DataFrame:
     """Every hourly feature, one wide row a bar.
 
     `bars` and `daily` are split-adjusted; pass the as-traded ones as well where they differ.
+    `rows`, the number of `bars`, keeps the tasks of large tables small.
     """
-    bars, daily = by_security(bars), by_security(daily)
+    bars, daily = by_security(bars, rows), by_security(daily, rows)
     # First all that is read in bar order, then all that is read in slot order, then what needs
     # both: each change of order is a local sort.
     own = pg.net_moves(vt.geometry(vt.hourly_ranges(bars)), hourly=True)
@@ -120,25 +122,25 @@ def daily_features(
     raw_bars: DataFrame | None = None,
     keep: tuple[str, ...] = (),
     carried: DataFrame | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """One row a daily bar with its volume, range, progress, market and level measures.
 
     `carried` (security_key, close, ranges_seen, range_value, beta_60, paired) lets `bars` begin
     in the middle: what has no bounded window goes on from it, and rows that have all of
     their windows within `bars` come out as from the whole history. Kept columns may include
-    `ranges_seen`, `range_value` and `paired`, the state after each bar.
+    `ranges_seen`, `range_value` and `paired`, the state after each bar. `rows`, the number of
+    `bars`, keeps the tasks of large tables small.
     """
     state = None
     if carried is not None:
         fields = F.struct("close", "ranges_seen", "range_value").alias("_state")
         bars, state = bars.join(carried.select("security_key", fields), "security_key", "left"), F.col("_state")
-    bars = by_security(bars)
-    own = vl.daily_volume(vt.geometry(vt.daily_volatility(bars, state, keep_state=True)))
-    own = pg.progress(own, hourly=False)
+    own = mk.with_beta(by_security(bars, rows), market_daily, carried=carried)
+    own = own.withColumn("_pc", F.lag("close").over(day_order()))
+    own = vt.geometry(vt.daily_volatility(own, state, keep_state=True))
+    own = pg.progress(vl.daily_volume(own), hourly=False)
     own = st.session_levels(own.withColumn("daily_atr", F.col("atr20_day")))
-    own = own.withColumn("_pc", F.lag("close").over(day_order())).join(
-        mk.beta_by_session(bars, market_daily, carried=carried), ["security_key", "date"], "left"
-    )
     out = mk.market_features(own, market_daily, hourly=False)
     if raw_bars is None:
         out = st.level_distances(out)

@@ -6,9 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from barscreen.functions import orders
 from barscreen.operators import calendar as cal
 from barscreen.operators import identity as idn
 from barscreen.operators import universe as un
+from barscreen.plans import adapters as ad
+from barscreen.plans import features as ft
 from barscreen.plans.catalog import study as cst
 from barscreen.sources import store
 
@@ -127,6 +130,21 @@ def partitions(df) -> int:
     return df.select(F.spark_partition_id().alias("p")).distinct().count()
 
 
+def test_daily_features_move_bars_once(spark, small):
+    """Into as many partitions as there are bars for, none larger than a task can sort."""
+    days = ad.day_bars(spark, small, "supplier", "day").localCheckpoint()
+    market = ad.market_bars(spark, small, "day")[1].localCheckpoint()
+    rows, some = days.count(), 6 * orders.BARS_A_TASK
+    found = {}
+    moved = shuffled_rows(spark, lambda: found.update(n=ft.daily_features(days, market, rows=some).select("*", F.spark_partition_id().alias("p")).collect()))
+    # The benchmark's returns are shuffled as well: a row a session, for two windows.
+    assert rows <= moved <= rows + 3 * market.count()
+    wide = spark.range(3000).select(F.concat(F.lit("S"), "id").alias("security_key"))
+    assert partitions(orders.by_security(wide, some)) == 6
+    plain = {(r.security_key, r.date): r for r in ft.daily_features(days, market).collect()}
+    assert len(found["n"]) == rows and all(plain[r.security_key, r.date] == r[:-1] for r in found["n"])
+
+
 def test_new_rows_in_small_tasks(spark):
     day = F.date_add(F.lit(D(2020, 1, 1)), (F.col("id") % 50).cast("int")).alias("date_et")
     rows = spark.range(5000).select(F.concat(F.lit("S"), F.col("id") % 97).alias("security_key"), day, F.concat(F.lit("T"), F.col("id") % 3).alias("ticker"))
