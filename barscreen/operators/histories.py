@@ -2,7 +2,8 @@
 
 A bar lies in the windows of many rebalances. Repeating it once a window multiplies the rows that
 are shuffled; here each bar moves once, to its ticker, and the windows are cut out of the ticker's
-array where it lies. An array holds at most a bar a session: as long as the calendar.
+array where it lies. An array holds at most a bar a session: as long as the calendar. It is in
+order of date, so that a window is found by halving and read by itself, not with all the rest.
 """
 
 from __future__ import annotations
@@ -12,11 +13,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barscreen.functions import trailing as tr
+
 
 def histories(bars: DataFrame, sessions: DataFrame, fields: list[str]) -> DataFrame:
-    """(ticker, _bars): the `fields` (`date` among them) of each ticker's bars on `sessions`."""
+    """(ticker, _bars): the `fields` (`date` among them) of each ticker's bars on `sessions`, in
+    order of date."""
+    inner = ["date", *[c for c in fields if c != "date"]]
     known = bars.join(F.broadcast(sessions.select("date").distinct()), "date", "left_semi")
-    return known.groupBy("ticker").agg(F.collect_list(F.struct(*fields)).alias("_bars"))
+    return known.groupBy("ticker").agg(F.sort_array(F.collect_list(F.struct(*inner))).alias("_bars"))
 
 
 def month_windows(rebalances: DataFrame, sessions: DataFrame, n: int) -> DataFrame:
@@ -36,9 +41,28 @@ def by_month(rows: DataFrame, months: DataFrame, keep: list[str], of: Callable[[
     return each.select(*keep, F.inline(F.transform("_months", of)))
 
 
+def _before(bars: Column, day: Column) -> Column:
+    """How many of the bars, in order of date, lie before a day: found by halving steps."""
+    steps = F.sequence(F.floor(F.log2(F.size(bars) + 1)).cast("int"), F.lit(0), F.lit(-1))
+
+    def forward(found: Column, step: Column) -> Column:
+        further = found + F.call_function("shiftleft", F.lit(1), step)
+        # Beyond the last bar there is none, which is not before any day.
+        return F.when(F.get(bars, further - 1)["date"] < day, further).otherwise(found)
+
+    return F.aggregate(steps, F.lit(0), forward)
+
+
+def between(bars: Column | str, first: Column, last: Column) -> Column:
+    """Those of the bars, in order of date, that lie in [first, last]."""
+    bars = F.col(bars) if isinstance(bars, str) else bars
+    ends = F.struct(_before(bars, first).alias("a"), _before(bars, F.date_add(last, 1)).alias("z"))
+    return tr.let(ends, lambda e: F.slice(bars, e["a"] + 1, F.greatest(e["z"] - e["a"], F.lit(0))))
+
+
 def within(bars: Column | str, month: Column) -> Column:
     """The bars of a month's window."""
-    return F.filter(bars, lambda b: b["date"].between(month["_from"], month["_to"]))
+    return between(bars, month["_from"], month["_to"])
 
 
 def held_on(day: Column, start: Column, end: Column) -> Column:
@@ -47,7 +71,7 @@ def held_on(day: Column, start: Column, end: Column) -> Column:
 
 
 def dates(bars: Column) -> Column:
-    return F.array_distinct(F.transform(bars, lambda b: b["date"]))
+    return F.array_distinct(bars["date"])
 
 
 def ordered(bars: Column, value: Callable[[Column], Column]) -> Column:

@@ -16,12 +16,14 @@ EVENTS_JSON = "array<struct<type:string,date:string,ticker_change:struct<ticker:
 def parse_ticker_events(rows: DataFrame, column: str = "events_json") -> DataFrame:
     """`changes`: the ticker-change events in date order, and whether any symbol is blank.
 
-    The list is one security's own changes.
+    The list is one security's own changes. It is parsed once a row, whatever asks for it: a filter
+    is not carried past a generator with its expressions, as it is past a projection.
     """
     parsed = F.from_json(column, EVENTS_JSON)
-    mine = F.filter(parsed, lambda e: e["type"] == "ticker_change")
+    rows = rows.withColumn("_mine", F.explode(F.array(F.filter(parsed, lambda e: e["type"] == "ticker_change"))))
+    mine = F.col("_mine")
     symbol = lambda e: F.trim(F.coalesce(e["ticker_change"]["ticker"], F.lit("")))
-    changes = F.array_sort(
+    changes = F.sort_array(
         F.transform(
             mine, lambda e: F.struct(e["date"].cast("date").alias("date"),
                                      e["ticker_change"]["ticker"].alias("ticker"))
@@ -29,7 +31,7 @@ def parse_ticker_events(rows: DataFrame, column: str = "events_json") -> DataFra
     )
     return rows.withColumn("has_blank", F.exists(mine, lambda e: symbol(e) == "")).withColumn(
         "changes", F.coalesce(changes, F.array().cast("array<struct<date:date,ticker:string>>"))
-    )
+    ).drop("_mine")
 
 
 def ticker_on(changes: Column, day: Column) -> Column:

@@ -72,23 +72,23 @@ def _measured(
     own = splits.groupBy("ticker").agg(
         F.collect_list(F.struct("execution_date", "split_from", "split_to")).alias("_splits")
     )
-    every = hs.histories(bars, sessions, ["date", "close", "volume"]).join(own, "ticker", "left")
+    # A bar without a dollar volume counts like a session without a bar.
+    traded = bars.withColumn("_dollars", F.coalesce(F.col("close") * F.col("volume"), F.lit(0.0)))
+    every = hs.histories(traded, sessions, ["date", "close", "_dollars"]).join(own, "ticker", "left")
     keep = ["ticker"]
     if rows is not None:
         every, keep = every.join(rows, "ticker"), [*keep, *[c for c in rows.columns if c != "ticker"]]
 
     def of(m: Column) -> Column:
         def fields(window: Column) -> Column:
-            at = F.filter(window, lambda b: b["date"] == m["as_of_session"])
-            close = F.array_max(F.transform(at, lambda b: b["close"]))
+            close = F.array_max(hs.between(window, m["as_of_session"], m["as_of_session"])["close"])
             late = _product(F.col("_splits"), m["as_of_session"], m["rebalance_date"], "split_from", "split_to")
             grown = _product(F.col("_splits"), m["share_count_date"], m["rebalance_date"], "split_to", "split_from")
-            value = hs.ordered(window, lambda b: b["close"] * b["volume"])
             return F.struct(
                 m["rebalance_date"].alias("rebalance_date"), m["as_of_session"].alias("as_of_session"),
                 m["share_count_date"].alias("share_count_date"), F.size(window).alias("_seen"),
                 # At most one value a session of the window.
-                tr.let(value, lambda v: padded_median(v, n)).alias("median_dollar_volume_60"),
+                tr.let(F.sort_array(window["_dollars"]), lambda v: padded_median(v, n)).alias("median_dollar_volume_60"),
                 (close * late).alias("close"), grown.alias("share_factor"),
             )
 

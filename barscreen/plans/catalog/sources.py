@@ -293,7 +293,9 @@ def audit_logs(spark, sf):
     """Every audit appended to its log and the logs read back."""
     root = scratch(spark, "audits")
     securities, shares = cu.securities(spark, sf), cu.share_counts(spark, sf).withColumnRenamed("ticker_on_date", "ticker")
-    chosen = b.stored(spark, sf, "universe", lambda: cu.selected(spark, sf))
+    # The universe and the renames measure the same bars.
+    bars = cu.stored_bars(spark, sf)
+    chosen = b.stored(spark, sf, "universe", lambda: cu.selected(spark, sf, bars))
     found = {
         "listing_date_discrepancies": au.listing_date_differences(securities).withColumnsRenamed(
             {"list_date": "vendor_list_date", "first_event_date": "first_ticker_event"}
@@ -302,7 +304,7 @@ def audit_logs(spark, sf):
         "multi_class_securities": au.multi_class(shares),
         "market_cap_audit": chosen.withColumnRenamed("market_cap", "our_market_cap"),
         "ticker_history_gaps": au.history_gaps(cu.identities(spark, sf)).withColumnRenamed("requested", "ticker"),
-        "ticker_stitches": cu.stitch_log(spark, sf).where("outcome = 'stitched'").withColumnsRenamed(
+        "ticker_stitches": cu.stitch_log(spark, sf, bars).where("outcome = 'stitched'").withColumnsRenamed(
             {"ticker_now": "requested_ticker", "ticker_then": "fetched_as"}
         ).withColumn("run_id", F.lit("run-1")),
     }

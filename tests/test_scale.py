@@ -7,12 +7,17 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from barscreen.functions import orders
+from barscreen.operators import audits as au
 from barscreen.operators import calendar as cal
+from barscreen.operators import histories as hs
 from barscreen.operators import identity as idn
 from barscreen.operators import universe as un
 from barscreen.plans import adapters as ad
 from barscreen.plans import features as ft
+from barscreen.plans.catalog import base as b
+from barscreen.plans.catalog import sources as cso
 from barscreen.plans.catalog import study as cst
+from barscreen.plans.catalog import universe as cu
 from barscreen.sources import store
 
 D = dt.date
@@ -152,3 +157,36 @@ def test_new_rows_in_small_tasks(spark):
     found = store.day_manifest(store.new_rows(rows, covered, 9 * store.ROWS_A_TASK))
     assert partitions(found) == 9
     assert sorted(found.collect()) == sorted(store.day_manifest(store.new_rows(rows, covered)).collect())
+
+
+def test_windows_are_cut_out_of_ordered_bars(spark):
+    """By halving: the plan has no filter over a whole history. Gaps, repeated days and windows
+    before, between and after the bars are as a filter has them."""
+    day = lambda n: D(2020, 1, 1) + dt.timedelta(n)
+    held = {"A": [], "B": [7], "C": [3, 3, 3], "D": [9, 0, 4, 4, 30], "E": list(range(64)), "F": [2 * n for n in range(37)]}
+    bars = spark.createDataFrame([(t, float(i), day(n)) for t, ns in held.items() for i, n in enumerate(ns)], "ticker string, close double, date date")
+    sessions = bars.select("date")
+    spans = [(a, z) for a in range(-2, 76, 3) for z in range(a - 1, 78, 4)]
+    months = spark.createDataFrame([(day(a), day(z)) for a, z in spans], "_from date, _to date").agg(F.collect_list(F.struct("_from", "_to")).alias("_months"))
+    lone = spark.createDataFrame([("A", [])], "ticker string, _bars array<struct<date:date,close:double>>")
+    every = hs.histories(bars, sessions, ["close", "date"]).unionByName(lone)
+    cut = hs.by_month(every, months, ["ticker"], lambda m: F.struct(m["_from"].alias("a"), m["_to"].alias("z"), hs.within("_bars", m).alias("w")))
+    found = {(r.ticker, r.a, r.z): [(x.date, x.close) for x in r.w] for r in cut.collect()}
+    assert len(found) == len(held) * len(spans)
+    for (ticker, a, z), window in found.items():
+        assert window == sorted((day(n), float(i)) for i, n in enumerate(held[ticker]) if a <= day(n) <= z)
+    assert "filter(_bars" not in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ticker_events_are_parsed_once(spark, small):
+    gaps = au.history_gaps(cu.identities(spark, small)).select("requested", "status")
+    assert gaps._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_audit_logs_make_bars_once(spark, small, monkeypatch):
+    """The universe and the renames read one stage table, not the trades twice."""
+    made = []
+    monkeypatch.setattr(ad, "day_bars", lambda *given, make=ad.day_bars: made.append(given) or make(*given))
+    b.forget_stored()
+    assert {r.log for r in cso.audit_logs(spark, small).collect()} == set(store.LOGS)
+    assert len(made) == 1
