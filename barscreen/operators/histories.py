@@ -35,10 +35,20 @@ def month_windows(rebalances: DataFrame, sessions: DataFrame, n: int) -> DataFra
     return spans.agg(F.collect_list(F.struct(*spans.columns)).alias("_months"))
 
 
-def by_month(rows: DataFrame, months: DataFrame, keep: list[str], of: Callable[[Column], Column]) -> DataFrame:
-    """`keep` and the fields of the struct `of(month)` for each row and month."""
+def by_month(
+    rows: DataFrame, months: DataFrame, keep: list[str], of: Callable[[Column], Column],
+    only: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """`keep` and the fields of the struct `of(month)` for each row and month (of `only(month)`)."""
     each = rows.crossJoin(F.broadcast(months))
-    return each.select(*keep, F.inline(F.transform("_months", of)))
+    chosen = F.col("_months") if only is None else F.filter("_months", only)
+    return each.select(*keep, F.inline(F.transform(chosen, of)))
+
+
+def reaches(bars: str, month: Column) -> Column:
+    """Whether some of the bars, in order of date, may lie in a month's window: by the first and the last."""
+    first, last = F.get(bars, F.lit(0))["date"], F.get(bars, F.size(bars) - 1)["date"]
+    return (first <= month["_to"]) & (last >= month["_from"])
 
 
 def _before(bars: Column, day: Column) -> Column:

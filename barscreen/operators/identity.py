@@ -10,6 +10,8 @@ from barscreen.operators import histories as hs
 from barscreen.operators.intervals import interval_join
 from barscreen.session import cut_lineage
 
+#: What tells the spans of the symbols a security used apart.
+SPAN = ["ticker_now", "ticker_then", "start", "end", "status"]
 EVENTS_JSON = "array<struct<type:string,date:string,ticker_change:struct<ticker:string>>>"
 
 
@@ -150,29 +152,48 @@ def _dollars(bar: Column) -> Column:
     return bar["close"] * bar["volume"]
 
 
-def _stitches(
-    histories: DataFrame, months: DataFrame, listed: DataFrame, held: DataFrame, n: int, min_median: float
-) -> DataFrame:
-    """The stitch log from the histories of both symbols of each span: they meet once a span, not
-    once a month and bar."""
-    spans = held.where("ticker_now <> ticker_then").join(
-        listed.select(F.col("ticker").alias("ticker_now")).distinct(), "ticker_now", "left_semi"
+def _spans(held: DataFrame, listed: DataFrame) -> DataFrame:
+    """The spans in which a listed ticker went by another symbol."""
+    current = listed.select(F.col("ticker").alias("ticker_now")).distinct()
+    return held.where("ticker_now <> ticker_then").join(current, "ticker_now", "left_semi").select(*SPAN)
+
+
+def _span_bars(bars: DataFrame, sessions: DataFrame, spans: DataFrame) -> DataFrame:
+    """A row a span with the bars of the ticker, `_now`, and the days of the old symbol in the span,
+    `_then`, in order of date. Bars move once, to their span; those of symbols that no span names
+    are not moved."""
+    side = lambda name, now: F.struct(F.col(name).alias("ticker"), F.lit(now).alias("_is_now"))
+    sides = spans.select(*SPAN, F.inline(F.array(side("ticker_now", True), side("ticker_then", False))))
+    known = bars.join(F.broadcast(sessions.select("date").distinct()), "date", "left_semi")
+    met = known.join(sides, "ticker").where(F.col("_is_now") | hs.held_on(F.col("date"), F.col("start"), F.col("end")))
+    listed = lambda mine, *fields: F.sort_array(F.collect_list(F.when(mine, F.struct(*fields))))
+    return met.groupBy(*SPAN).agg(
+        listed(F.col("_is_now"), "date", "close", "volume").alias("_now"), listed(~F.col("_is_now"), "date").alias("_then")
     )
+
+
+def _span_histories(histories: DataFrame, spans: DataFrame) -> DataFrame:
+    """The same from histories that are made anyway: they meet once a span, not once a month and bar."""
     now = histories.select(F.col("ticker").alias("ticker_now"), F.col("_bars").alias("_now"))
     then = histories.select(F.col("ticker").alias("ticker_then"), F.col("_bars").alias("_then"))
-    keep = ["ticker_now", "ticker_then", "start", "end", "status"]
+    own = F.filter("_then", lambda b: hs.held_on(b["date"], F.col("start"), F.col("end")))
+    return spans.join(now, "ticker_now").join(then, "ticker_then").withColumn("_then", own)
+
+
+def _stitches(spans: DataFrame, months: DataFrame, n: int, min_median: float) -> DataFrame:
+    """The stitch log from the bars of both symbols of each span. Only months that both may have
+    bars in are looked at."""
     seen = hs.by_month(
-        spans.join(now, "ticker_now").join(then, "ticker_then"), months, keep,
+        spans, months, SPAN,
         lambda m: F.struct(
             m["rebalance_date"].alias("rebalance_date"),
-            hs.within("_now", m).alias("_now"), hs.within("_then", m).alias("_then"),
+            hs.within("_now", m).alias("_now"), hs.within("_then", m).alias("_old"),
         ),
+        only=lambda m: hs.reaches("_now", m) & hs.reaches("_then", m),
     )
-    own = F.filter("_then", lambda b: hs.held_on(b["date"], F.col("start"), F.col("end")))
     median = tr.middle(hs.ordered(F.col("_now"), _dollars))
     met = (
-        seen.withColumn("_old", own)
-        .where((F.size("_old") > 0) & (F.size(hs.dates(F.col("_now"))) < n) & (median >= min_median))
+        seen.where((F.size("_old") > 0) & (F.size(hs.dates(F.col("_now"))) < n) & (median >= min_median))
         .withColumn("_both", F.arrays_overlap(hs.dates(F.col("_old")), hs.dates(F.col("_now"))))
     )
     return met.groupBy("rebalance_date", "ticker_now", "ticker_then", "start").agg(
@@ -225,18 +246,22 @@ def _history_of(
     # Several branches read the histories: they are made once, a row a ticker.
     return (
         cut_lineage(hs.histories(bars, sessions, rest)),
-        hs.month_windows(rebalances.select("rebalance_date", "as_of_no"), sessions, n),
+        _months_of(rebalances, sessions, n),
         rest,
     )
 
 
+def _months_of(rebalances: DataFrame, sessions: DataFrame, n: int) -> DataFrame:
+    return hs.month_windows(rebalances.select("rebalance_date", "as_of_no"), sessions, n)
+
+
 def stitch_log(
     bars: DataFrame, rebalances: DataFrame, sessions: DataFrame, listed: DataFrame, held: DataFrame,
     n: int, min_median: float,
 ) -> DataFrame:
-    """The log of `stitched_windows` alone."""
-    histories, months, _ = _history_of(bars, rebalances, sessions, n)
-    return _stitches(histories, months, listed, held, n, min_median)
+    """The log of `stitched_windows` alone: it needs the bars of renamed securities only."""
+    months = _months_of(rebalances, sessions, n)
+    return _stitches(_span_bars(bars, sessions, _spans(held, listed)), months, n, min_median)
 
 
 def stitched_windows(
@@ -252,7 +277,7 @@ def stitched_windows(
     Bars move once, to their ticker; the rows of the windows are made there, unshuffled.
     """
     histories, months, rest = _history_of(bars, rebalances, sessions, n)
-    log = cut_lineage(_stitches(histories, months, listed, held, n, min_median))
+    log = cut_lineage(_stitches(_span_histories(histories, _spans(held, listed)), months, n, min_median))
     return _renamed_rows(_claimed(histories, log, held), months, rest), log
 
 
@@ -266,7 +291,7 @@ def stitched_measure(
     bars of the others are put together by a shuffle.
     """
     histories, months, _ = _history_of(bars, rebalances, sessions, n)
-    log = cut_lineage(_stitches(histories, months, listed, held, n, min_median))
+    log = cut_lineage(_stitches(_span_histories(histories, _spans(held, listed)), months, n, min_median))
     claimed = _claimed(histories, log, held)
     given = lambda m: F.exists("_claims", lambda c: c["rebalance_date"] == m["rebalance_date"])
     quiet = lambda m: ~_takes(m) & ~F.coalesce(given(m), F.lit(False))

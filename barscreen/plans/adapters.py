@@ -92,11 +92,15 @@ def slot_bars(
 def day_bars(
     spark: SparkSession, sf: str, security: str = "nation", session: str = "week"
 ) -> DataFrame:
-    """Daily bars straight from the trades: one hash aggregate, one shuffle."""
+    """Daily bars straight from the trades: one hash aggregate, one shuffle.
+
+    A security has one name here, so the key alone is grouped by and moved, not three copies.
+    """
     bars = (
         trades(spark, sf, security, session)
-        .groupBy(*bo.IDENTITY, "date")
+        .groupBy("security_key", "date")
         .agg(*bo.ohlcv())
+        .withColumns({name: F.col("security_key") for name in bo.IDENTITY[1:]})
         .withColumn("is_half_day", is_half_day(F.col("date")))
         .withColumn("timestamp_utc", F.col("date").cast("timestamp_ntz"))
     )

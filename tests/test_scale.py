@@ -69,6 +69,60 @@ def test_stitched_measure_moves_bars_once(spark):
     assert any(r.ticker == "S0" and r.days == 60 and r.rebalance_date < D(2018, 1, 1) for r in found["rows"])
 
 
+def test_stitch_log_moves_bars_of_renamed_only(spark):
+    """Against the rule written out: gaps, repeated days, unknown prices, days that are no sessions,
+    open spans, an old symbol of two owners and spans of unlisted, unnamed and unseen symbols."""
+    _, sessions, rebalances = weekly(spark, 1, 40)
+    days = sorted(r.date for r in sessions.collect())
+    off = days[3] + dt.timedelta(2)
+    seen = {"A": days[20:], "OA": days[:20], "B": days[15:] + days[16:18], "OB": days[:18] + [days[2], off], "C": days[12:], "OC": days[:20],
+            "D": days[::3], "E": days[22:], "F": days, "G": days[12:], "U": days[10:], "OU": days[:10]}
+    named = [(t, d, None if (t, i) == ("A", 2) else 10.0, 100.0 + i) for t, ds in seen.items() for i, d in enumerate(ds)]
+    others = spark.range(300).crossJoin(sessions.select("date")).select(F.concat(F.lit("X"), "id").alias("ticker"), "date", F.lit(10.0).alias("close"), F.lit(100.0).alias("volume"))
+    bars = spark.createDataFrame(named, "ticker string, date date, close double, volume double").unionByName(others).repartition(40).localCheckpoint()
+    spans = [("A", "OA", days[0], days[19], "ok"), ("B", "OB", days[1], None, "ok"), ("C", "OC", days[0], days[9], "no_events"),
+             ("E", "OC", days[10], days[19], "ok"), ("D", "F", days[4], days[30], "ok"), ("G", "OA", None, days[9], "ok"),
+             ("G", "OC", days[15], days[12], "ok"), ("F", "F", days[0], None, "ok"), ("U", "OU", days[0], None, "ok"), ("A", "gone", days[0], None, "ok")]
+    held = spark.createDataFrame(spans, "ticker_now string, ticker_then string, start date, end date, status string")
+    listed = spark.createDataFrame([(t,) for t in "ABCDEFG"] + [("A",)], "ticker string")
+    given = (bars, rebalances, sessions, listed, held, 12, 1015.0)
+    expected = set()
+    for r in rebalances.collect():
+        window = days[max(r.as_of_no - 11, 0) : r.as_of_no + 1]
+        of = {t: [(d, c, v) for x, d, c, v in named if x == t and d in window] for t in seen}
+        for now, then, start, end, status in spans:
+            own = [d for d, _, _ in of.get(then, []) if start and start <= d and (end is None or d <= end)]
+            mine = {d for d, _, _ in of[now]}
+            values = sorted(c * v for _, c, v in of[now] if c is not None)
+            half = len(values) // 2
+            enough = values and (values[half] + values[-half - 1]) / 2 >= 1015.0
+            if now != then and now != "U" and own and len(mine) < 12 and enough:
+                outcome = "no history" if status != "ok" else "clash" if mine & set(own) else "stitched"
+                expected.add((r.rebalance_date, now, then, start, len(own), outcome))
+    found = {}
+    moved = shuffled_rows(spark, lambda: found.update(log=[tuple(r) for r in idn.stitch_log(*given).collect()]))
+    assert sorted(found["log"]) == sorted(expected) and {x[-1] for x in expected} == {"no history", "clash", "stitched"}
+    assert {x[1] for x in expected} >= {"A", "B", "C", "D", "E"}
+    assert sorted(tuple(r) for r in idn.stitched_windows(*given)[1].collect()) == sorted(expected)
+    # The others, a row of each in each of the forty tasks, would be 12,000.
+    assert moved < 2000
+
+
+def test_monthly_stitches_bars_of_renamed_only(spark):
+    """What is moved are the bars of a quarter of the suppliers, not of all."""
+    hundred = "/root/testdata/sf0.01"
+    bars, _ = cu.supplier_bars(spark, hundred).count(), cu.supplier_weeks(spark, hundred).count()
+    found = {}
+    moved = shuffled_rows(spark, lambda: found.update(rows=cu.monthly_stitches(spark, hundred).collect()))
+    assert found["rows"] and moved < bars / 2
+
+
+def test_day_bars_move_one_name(spark, small):
+    """A security's key is its name: it is moved once a bar, not in three copies."""
+    plan = ad.day_bars(spark, small, "supplier", "week")._jdf.queryExecution().optimizedPlan().toString()
+    assert "requested_ticker" not in plan.split("Aggregate [")[1].split("]")[0]
+
+
 def rules_of(spark, tickers: int, weeks: int):
     bars, sessions, rebalances = weekly(spark, tickers, weeks)
     splits = spark.createDataFrame(
