@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barscreen.functions.orders import bar_order, day_order, slot_order
@@ -31,6 +31,14 @@ def net_moves(bars: DataFrame, hourly: bool) -> DataFrame:
     return bars.withColumns(columns)
 
 
+def effort(usual: Column) -> Column:
+    """`efficiency`: the move per share of the `usual` volume."""
+    participation = ratio(F.col("volume"), usual)
+    # A floor on a known participation only: `greatest` would turn an unknown one into it.
+    floored = F.when(participation.isNotNull(), F.greatest(participation, F.lit(MIN_PARTICIPATION)))
+    return F.abs(F.col("ret_atr")) / floored
+
+
 def volume_history(moved: DataFrame, hourly: bool, window: int = 60) -> DataFrame:
     """`cum_vol_pct_k` and `efficiency`, against the same slot (hourly) before.
 
@@ -51,11 +59,7 @@ def volume_history(moved: DataFrame, hourly: bool, window: int = 60) -> DataFram
         )
         for k in VOLUME_SPANS
     }
-    usual = tr.median_of(F.col("_usual"), need)
-    participation = ratio(F.col("volume"), usual)
-    # A floor on a known participation only: `greatest` would turn an unknown one into it.
-    floored = F.when(participation.isNotNull(), F.greatest(participation, F.lit(MIN_PARTICIPATION)))
-    efficiency = F.when(measurable, F.abs(F.col("ret_atr")) / floored)
+    efficiency = F.when(measurable, effort(tr.median_of(F.col("_usual"), need)))
     spent = [f"_{name}_{k}" for name in ("sum", "ok") for k in VOLUME_SPANS]
     return (
         moved.withColumns(histories)
@@ -64,5 +68,14 @@ def volume_history(moved: DataFrame, hourly: bool, window: int = 60) -> DataFram
     )
 
 
+def moves_and_effort(bars: DataFrame) -> DataFrame:
+    """`ret_atr`, `progress_k` and `efficiency` of daily bars that have their earlier closes and the
+    median volume before them as columns."""
+    atr, close = F.col("atr20_day"), F.col("close")
+    moves = {f"progress_{k}": ratio(close - F.col(f"_close_{k}"), atr) for k in PROGRESS_SPANS}
+    bars = bars.withColumns({"ret_atr": ratio(close - F.col("_pc"), atr), **moves})
+    return bars.withColumn("efficiency", effort(F.col("_usual")))
+
+
 def progress(bars: DataFrame, hourly: bool, window: int = 60) -> DataFrame:
     return volume_history(net_moves(bars, hourly), hourly, window)

@@ -66,6 +66,12 @@ def trades(spark: SparkSession, sf: str, security: str = "nation", session: str
     )
 
 
+def trade_count(spark: SparkSession, sf: str) -> int:
+    """How many trades there are, from the files' footers: there are at most as many bars with
+    trades."""
+    return spark.read.parquet(f"{sf}/lineitem.parquet").count()
+
+
 def is_half_day(date) -> object:
     """Sessions that start in the last week of a year stand in for half days."""
     return (F.month(date) == 12) & (F.dayofmonth(date) >= 24)

@@ -492,9 +492,8 @@ def daily_features(spark, sf):
 
 
 def _daily(spark, sf, security):
-    days = cut_lineage(ad.day_bars(spark, sf, security, "day"))
     _, market = ad.market_bars(spark, sf, "day")
-    found = ft.daily_features(days, market, rows=days.count())
+    found = ft.daily_features(ad.day_bars(spark, sf, security, "day"), market, rows=ad.trade_count(spark, sf))
     return tidy(found, *DAY, "is_half_day", "low_quality", "true_range", *DAILY_DOUBLES, exact="true_range")
 
 

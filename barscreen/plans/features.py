@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barscreen.functions.orders import bar_order, by_security, day_order
+from barscreen.operators import daily as dl
 from barscreen.operators import levels as lv
 from barscreen.operators import market as mk
 from barscreen.operators import pivots as pv
@@ -18,6 +19,7 @@ from barscreen.operators import sequence as sq
 from barscreen.operators import structure as st
 from barscreen.operators import volatility as vt
 from barscreen.operators import volume as vl
+from barscreen.schema import ratio
 
 IDENTITY = ("security_key", "requested_ticker", "date")
 VOLUME_HOURLY = ("vol_pct_slot_60", "vol_pct_slot_20", "vol_z_slot_60")
@@ -132,15 +134,13 @@ def daily_features(
     `ranges_seen`, `range_value` and `paired`, the state after each bar. `rows`, the number of
     `bars`, keeps the tasks of large tables small.
     """
-    state = None
-    if carried is not None:
-        fields = F.struct("close", "ranges_seen", "range_value").alias("_state")
-        bars, state = bars.join(carried.select("security_key", fields), "security_key", "left"), F.col("_state")
-    own = mk.with_beta(by_security(bars, rows), market_daily, carried=carried)
-    own = own.withColumn("_pc", F.lag("close").over(day_order()))
-    own = vt.geometry(vt.daily_volatility(own, state, keep_state=True))
-    own = pg.progress(vl.daily_volume(own), hourly=False)
-    own = st.session_levels(own.withColumn("daily_atr", F.col("atr20_day")))
+    if carried is None:
+        used = dict.fromkeys((*IDENTITY, "timestamp_utc", "is_half_day", "low_quality", *PRICES, *[c for c in keep if c in bars.columns]))
+        own = dl.with_daily_measures(by_security(bars.select(*used), rows), market_daily)
+        own = vt.geometry(own.withColumn("spread_atr", ratio(F.col("true_range"), F.col("atr20_day"))))
+        own = pg.moves_and_effort(own).withColumn("daily_atr", F.col("atr20_day"))
+    else:
+        own = _resumed(by_security(bars, rows), market_daily, carried)
     out = mk.market_features(own, market_daily, hourly=False)
     if raw_bars is None:
         out = st.level_distances(out)
@@ -152,6 +152,18 @@ def daily_features(
     return out.select(*IDENTITY, "timestamp_utc", "is_half_day", "low_quality", *DAILY, *keep)
 
 
+def _resumed(bars: DataFrame, market_daily: DataFrame, carried: DataFrame) -> DataFrame:
+    """What daily features read of the bars before, gone on with from `carried`, by windows: the
+    few bars of late sessions."""
+    fields = F.struct("close", "ranges_seen", "range_value").alias("_state")
+    bars = bars.join(carried.select("security_key", fields), "security_key", "left")
+    own = mk.with_beta(bars, market_daily, carried=carried)
+    own = own.withColumn("_pc", F.lag("close").over(day_order()))
+    own = vt.geometry(vt.daily_volatility(own, F.col("_state"), keep_state=True))
+    own = pg.progress(vl.daily_volume(own), hourly=False)
+    return st.session_levels(own.withColumn("daily_atr", F.col("atr20_day")))
+
+
 def security_directory(bars: DataFrame) -> DataFrame:
     """The distinct securities with bars, and the ticker each was requested under."""
     return bars.groupBy("security_key").agg(F.min("requested_ticker").alias("requested_ticker"))

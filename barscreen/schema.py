@@ -55,3 +55,10 @@ def ratio(part: Column, whole: Column) -> Column:
 def security_key(figi: Column, ticker: Column) -> Column:
     """The permanent identifier, or `TICKER:<symbol>` where there is none."""
     return F.coalesce(F.nullif(figi, F.lit("")), F.concat(F.lit("TICKER:"), ticker))
+
+
+def alone(column: str) -> Column:
+    """The column, by a lambda over one element. Spark puts the steps of a stage into one method,
+    and the JVM never compiles one of more than 8,000 bytes; a projection with a lambda is compiled
+    by itself, in small methods."""
+    return F.get(F.transform(F.array(column), lambda v: v), F.lit(0)).alias(column)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from barscreen.functions import orders
@@ -244,3 +245,30 @@ def test_audit_logs_make_bars_once(spark, small, monkeypatch):
     b.forget_stored()
     assert {r.log for r in cso.audit_logs(spark, small).collect()} == set(store.LOGS)
     assert len(made) == 1
+
+
+def test_daily_features_have_no_frames(spark, small):
+    """What looks back over many bars is measured a partition at a time, not frame by frame; the
+    result is that of the windows, which late sessions go on with."""
+    days = ad.day_bars(spark, small, "nation", "week").localCheckpoint()
+    market = ad.market_bars(spark, small, "week")[1].localCheckpoint()
+    keep = ("ranges_seen", "range_value", "paired")
+    found = ft.daily_features(days, market, keep=keep)
+    assert "Window [" not in found._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]
+    nobody = spark.createDataFrame([], "security_key string, close double, ranges_seen bigint, range_value double, beta_60 double, paired bigint")
+    plain = {(r.security_key, r.date): r.asDict() for r in ft.daily_features(days, market, keep=keep, carried=nobody).collect()}
+    rows = [r.asDict() for r in found.collect()]
+    assert len(rows) == len(plain) > 1000
+    for r in rows:
+        for name, value in plain[r["security_key"], r["date"]].items():
+            assert r[name] == pytest.approx(value, rel=1e-9, abs=1e-9) if isinstance(value, float) else r[name] == value, name
+
+
+def test_many_doubles_are_rounded_apart(spark):
+    """As the SQL rounds: halves away from zero; not through decimals, and in methods of their own."""
+    values = [0.0078125, -0.0078125, 2.5, 1e300, -3e-7, 123456.7890125, None, float("inf")]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    many = b.tidy(df.select("i", *[F.col("v").alias(f"v{k}") for k in range(12)]))
+    found = [r.v3 for r in many.orderBy("i").collect()]
+    assert found == [0.007813, -0.007813, 2.5, 1e300, 0.0, 123456.789013, None, float("inf")]
+    assert "transform(array(i" in many._jdf.queryExecution().optimizedPlan().toString()
