@@ -30,19 +30,30 @@ MEASURES = (
 )
 
 
-def _volume(found: dict, rows: pa.Table, place: np.ndarray) -> None:
-    volume = vc.doubles(rows, "volume")
-    low = rows["low_quality"].combine_chunks()
-    valid = ~vc.flags(rows, "low_quality") & ~low.is_null().to_numpy(zero_copy_only=False) & ~vc.flags(rows, "is_half_day")
-    log = np.log1p(volume)
-    logs, volumes = np.where(valid, log, np.nan), np.where(valid, volume, np.nan)
-    spans = {}
+def valid(rows: pa.Table) -> np.ndarray:
+    """`volume.valid_bar`."""
+    unknown = rows["low_quality"].combine_chunks().is_null().to_numpy(zero_copy_only=False)
+    return ~vc.flags(rows, "low_quality") & ~unknown & ~vc.flags(rows, "is_half_day")
+
+
+def spans(volume: np.ndarray, valid: np.ndarray, place: np.ndarray) -> dict[int, np.ndarray]:
+    """The volume of VOLUME_SPANS bars up to each, where all of them are valid: only a stretch that
+    is valid itself is ranked."""
+    out = {}
     for k in VOLUME_SPANS:
-        total = volume.copy()
+        total = volume
         for back in range(1, k):
             total = vc.lag(volume, back, place) + total
         whole = (vc.count_before(valid, k - 1, place) == k - 1) & valid
-        spans[k] = (total, np.where(whole, total, np.nan))
+        out[k] = np.where(whole, total, np.nan)
+    return out
+
+
+def _volume(found: dict, rows: pa.Table, place: np.ndarray) -> None:
+    volume, usable = vc.doubles(rows, "volume"), valid(rows)
+    log = np.log1p(volume)
+    logs, volumes = np.where(usable, log, np.nan), np.where(usable, volume, np.nan)
+    known = spans(volume, usable, place)
     names = ("vol_pct_d_120", "vol_pct_d_20", "vol_z_d_120", "_usual", *[f"cum_vol_pct_{k}" for k in VOLUME_SPANS])
     found |= {name: np.empty(len(place)) for name in names}
     for at in vc.chunks(len(place)):
@@ -51,16 +62,15 @@ def _volume(found: dict, rows: pa.Table, place: np.ndarray) -> None:
         found["vol_pct_d_20"][at] = vc.share_below(long[:, -SHORT:], log[at], min_valid(SHORT))
         found["vol_z_d_120"][at] = vc.robust_z(long, log[at], min_valid(LONG))
         found["_usual"][at] = vc.median(vc.windows(volumes, USUAL, place, at), min_valid(USUAL))
-        for k, (total, known) in spans.items():
-            # Only a stretch that is valid itself is ranked.
-            found[f"cum_vol_pct_{k}"][at] = vc.share_below(vc.windows(known, USUAL, place, at), known[at], min_valid(USUAL))
+        for k, stretch in known.items():
+            found[f"cum_vol_pct_{k}"][at] = vc.share_below(vc.windows(stretch, USUAL, place, at), stretch[at], min_valid(USUAL))
 
 
-def _beta(found: dict, close: np.ndarray, market: np.ndarray, week: np.ndarray, place: np.ndarray) -> None:
+def with_beta(found: dict, close: np.ndarray, market: np.ndarray, week: np.ndarray, place: np.ndarray) -> None:
     previous = vc.lag(close, 1, place)
     change = np.divide(close, previous, out=np.full(len(close), np.nan), where=previous != 0) - 1.0
     both = ~np.isnan(change) & ~np.isnan(market)
-    opens = (place == 0) | np.concatenate([[True], week[1:] != week[:-1]])
+    opens = (place == 0) | np.concatenate([[True], week[1:] != week[:-1]])[: len(week)]
     paired = vc.so_far(both, place)
     wanted = both & opens & (vc.count_before(both, BETA_WINDOW, place) >= min_valid(BETA_WINDOW)) & (paired > BETA_WINDOW)
     # The rows with both returns lie side by side, so that a window is of them only.
@@ -73,18 +83,18 @@ def _beta(found: dict, close: np.ndarray, market: np.ndarray, week: np.ndarray,
     found |= {"beta_60": vc.held(fit, place), "paired": paired.astype(np.int64)}
 
 
-def _measures(rows: pa.Table, place: np.ndarray) -> dict[str, np.ndarray]:
-    high, low, close = (vc.doubles(rows, c) for c in ("high", "low", "close"))
-    day = rows["_day"].to_numpy()
-    week, month = (day + 3) // 7, day.astype("datetime64[D]").astype("datetime64[M]").astype(np.int64)
-    found: dict[str, np.ndarray] = {}
-    _beta(found, close, vc.doubles(rows, "_m"), week, place)
-    found["_pc"] = previous = vc.lag(close, 1, place)
+def true_range(high: np.ndarray, low: np.ndarray, close: np.ndarray, place: np.ndarray) -> np.ndarray:
+    previous = vc.lag(close, 1, place)
     reach = np.maximum(high - low, np.maximum(np.abs(high - previous), np.abs(low - previous)))
-    found["true_range"] = np.where(np.isnan(previous), high - low, reach)
-    found["atr20_day"], found["ranges_seen"], found["range_value"] = vc.averaged(found["true_range"], place, ATR_PERIOD)
-    found |= {f"_close_{k}": vc.lag(close, k, place) for k in PROGRESS_SPANS}
-    _volume(found, rows, place)
+    return np.where(np.isnan(previous), high - low, reach)
+
+
+def periods(day: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the weeks, from Monday on, and of the months."""
+    return (day + 3) // 7, day.astype("datetime64[D]").astype("datetime64[M]").astype(np.int64)
+
+
+def with_levels(found: dict, high: np.ndarray, low: np.ndarray, week: np.ndarray, month: np.ndarray, place: np.ndarray) -> None:
     found |= {"prior_day_high": vc.lag(high, 1, place), "prior_day_low": vc.lag(low, 1, place)}
     found |= {f"{side}_{n}": np.empty(len(place)) for n in EXTREMES for side in ("high", "low")}
     for at in vc.chunks(len(place)):
@@ -94,7 +104,18 @@ def _measures(rows: pa.Table, place: np.ndarray) -> dict[str, np.ndarray]:
     for name, period in (("week", week), ("month", month)):
         found[f"prior_{name}_high"] = vc.prior_extreme(high, period, place, np.fmax)
         found[f"prior_{name}_low"] = vc.prior_extreme(low, period, place, np.fmin)
-    return found
+
+
+def _measures(rows: pa.Table, place: np.ndarray) -> pa.Table:
+    high, low, close = (vc.doubles(rows, c) for c in ("high", "low", "close"))
+    week, month = periods(rows["_day"].to_numpy())
+    found: dict[str, np.ndarray] = {"_pc": vc.lag(close, 1, place), "true_range": true_range(high, low, close, place)}
+    with_beta(found, close, vc.doubles(rows, "_m"), week, place)
+    found["atr20_day"], found["ranges_seen"], found["range_value"] = vc.averaged(found["true_range"], place, ATR_PERIOD)
+    found |= {f"_close_{k}": vc.lag(close, k, place) for k in PROGRESS_SPANS}
+    _volume(found, rows, place)
+    with_levels(found, high, low, week, month, place)
+    return vc.with_columns(rows, found)
 
 
 def _partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -68,10 +68,10 @@ def volume_history(moved: DataFrame, hourly: bool, window: int = 60) -> DataFram
     )
 
 
-def moves_and_effort(bars: DataFrame) -> DataFrame:
-    """`ret_atr`, `progress_k` and `efficiency` of daily bars that have their earlier closes and the
-    median volume before them as columns."""
-    atr, close = F.col("atr20_day"), F.col("close")
+def moves_and_effort(bars: DataFrame, hourly: bool) -> DataFrame:
+    """`ret_atr`, `progress_k` and `efficiency` of bars that have their earlier closes and the median
+    volume before them as columns."""
+    atr, close = F.col("atr20_bar" if hourly else "atr20_day"), F.col("close")
     moves = {f"progress_{k}": ratio(close - F.col(f"_close_{k}"), atr) for k in PROGRESS_SPANS}
     bars = bars.withColumns({"ret_atr": ratio(close - F.col("_pc"), atr), **moves})
     return bars.withColumn("efficiency", effort(F.col("_usual")))

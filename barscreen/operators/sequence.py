@@ -34,28 +34,30 @@ def sequence_features(
     narrow = at_most(F.col("spread_atr"), narrow_atr)
     rejected = at_least(F.col("upper_wick_frac"), LONG_WICK)
     n = extreme_window
-    return (
-        bars.withColumns(
-            {
-                "repeat_hv_narrow_5": tr.count_before(busy & narrow, bar_order(), REPEAT_WINDOW),
-                "repeat_upper_reject_5": tr.count_before(busy & rejected, bar_order(), REPEAT_WINDOW),
-                "_hi": tr.highest_before(F.col("high"), bar_order(), n),
-                "_lo": tr.lowest_before(F.col("low"), bar_order(), n),
-                "_hc": tr.highest_before(F.col("close"), bar_order(), n),
-                "_lc": tr.lowest_before(F.col("close"), bar_order(), n),
-            }
-        )
-        .withColumns(
-            {
-                "failed_new_high": _three_state(
-                    (F.col("high") > F.col("_hi")) & (F.col("close") <= F.col("_hc")),
-                    F.col("high"), F.col("close"), F.col("_hi"), F.col("_hc"),
-                ),
-                "failed_new_low": _three_state(
-                    (F.col("low") < F.col("_lo")) & (F.col("close") >= F.col("_lc")),
-                    F.col("low"), F.col("close"), F.col("_lo"), F.col("_lc"),
-                ),
-            }
-        )
-        .drop("_hi", "_lo", "_hc", "_lc")
-    )
+    found = bars.withColumns(
+        {
+            "repeat_hv_narrow_5": tr.count_before(busy & narrow, bar_order(), REPEAT_WINDOW),
+            "repeat_upper_reject_5": tr.count_before(busy & rejected, bar_order(), REPEAT_WINDOW),
+            "_hi": tr.highest_before(F.col("high"), bar_order(), n),
+            "_lo": tr.lowest_before(F.col("low"), bar_order(), n),
+            "_hc": tr.highest_before(F.col("close"), bar_order(), n),
+            "_lc": tr.lowest_before(F.col("close"), bar_order(), n),
+        }
+    )
+    return failed_extremes(found)
+
+
+def failed_extremes(bars: DataFrame) -> DataFrame:
+    """`failed_new_high/low` of bars with the extremes before them as columns."""
+    return bars.withColumns(
+        {
+            "failed_new_high": _three_state(
+                (F.col("high") > F.col("_hi")) & (F.col("close") <= F.col("_hc")),
+                F.col("high"), F.col("close"), F.col("_hi"), F.col("_hc"),
+            ),
+            "failed_new_low": _three_state(
+                (F.col("low") < F.col("_lo")) & (F.col("close") >= F.col("_lc")),
+                F.col("low"), F.col("close"), F.col("_lo"), F.col("_lc"),
+            ),
+        }
+    ).drop("_hi", "_lo", "_hc", "_lc")

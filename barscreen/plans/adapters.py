@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barscreen.functions.orders import by_security
 from barscreen.operators import bars as bo
 from barscreen.operators import calendar as cal
+from barscreen.operators import hourly as hr
 from barscreen.schema import nan_to_null
 
 SLOTS = 7
@@ -113,6 +115,37 @@ def day_bars(
     return bo.with_quality(bars, 1).select(*bo.BAR_COLUMNS)
 
 
+def bars_with_sessions(spark: SparkSession, sf: str, security: str = "nation", session: str = "week") -> DataFrame:
+    """`slot_bars` and, before those of each session, its `day_bars` as a row of `hr.with_sessions`, at
+    their security. Trades become slots in each task; the slots move to their security, and the
+    grid and the sessions are made there.
+    """
+    slots = trades(spark, sf, security, session).groupBy("security_key", "date", "slot_index").agg(
+        *bo.ohlcv(), F.max(F.when(F.col("close").isNotNull(), F.col("timestamp_utc"))).alias("close_at")
+    )
+    slots = by_security(slots.drop("transactions"), trade_count(spark, sf) if security == "supplier" else None)
+    part = F.struct("slot_index", "open", "high", "low", "close", "volume", "minutes_with_trades")
+    sessions = slots.groupBy("security_key", "date").agg(
+        F.collect_list(part).alias("_parts"), F.max("high").alias("_high"), F.min("low").alias("_low"),
+        F.max_by("close", "close_at").alias("_close"),
+    )
+    grid = sessions.withColumn("_slots", F.col("_parts")["slot_index"]).withColumn(
+        "slot_index", F.explode(F.sequence(F.lit(hr.SESSION), F.lit(SLOTS - 1)))
+    )
+    # A slot not found has place 0, and there is nothing before the first.
+    mine = F.get("_parts", F.array_position("_slots", F.col("slot_index")).cast("int") - 1)
+    whole = F.col("slot_index") == hr.SESSION
+    stamp = F.timestamp_add("MINUTE", F.col("slot_index") * cal.SLOT_MINUTES, F.col("date").cast("timestamp_ntz"))
+    minutes = F.coalesce(F.col("_mine.minutes_with_trades"), F.lit(0))
+    return grid.withColumn("_mine", mine).select(
+        "security_key", F.col("security_key").alias("requested_ticker"), "date", "slot_index",
+        F.when(~whole, stamp).alias("timestamp_utc"), is_half_day(F.col("date")).alias("is_half_day"),
+        F.when(~whole, minutes < 1).alias("low_quality"), F.col("_mine.open").alias("open"),
+        *[F.when(whole, F.col(f"_{c}")).otherwise(F.col(f"_mine.{c}")).alias(c) for c in ("high", "low", "close")],
+        F.when(~whole, F.coalesce(F.col("_mine.volume"), F.lit(0.0))).alias("volume"),
+    )
+
+
 def market_bars(spark: SparkSession, sf: str, session: str = "week") -> tuple[DataFrame, DataFrame]:
     """A benchmark over all securities: the volume-weighted price per slot and per session.
 

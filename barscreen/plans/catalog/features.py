@@ -456,11 +456,9 @@ def stored_features(spark, sf):
 
 
 def hourly_frame(spark, sf, security="nation", session="week"):
-    """The feature table with prices. Bars are read by several branches, so they are stored."""
-    bars = cut_lineage(ad.slot_bars(spark, sf, security, session))
-    days = cut_lineage(ad.day_bars(spark, sf, security, session))
-    hourly, daily = ad.market_bars(spark, sf, session)
-    return ft.hourly_features(bars, days, hourly, daily, keep=("daily_atr", *ft.PRICES), rows=bars.count())
+    """The feature table with prices."""
+    both = ad.bars_with_sessions(spark, sf, security, session)
+    return ft.hourly_features_of(both, *ad.market_bars(spark, sf, session), keep=("daily_atr", *ft.PRICES))
 
 
 DAILY_ASSEMBLED = chain(

@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barscreen.functions.orders import bar_order, by_security, day_order
+from barscreen.functions import trailing as tr
+from barscreen.functions.orders import by_security, day_order
 from barscreen.operators import daily as dl
+from barscreen.operators import hourly as hr
 from barscreen.operators import levels as lv
 from barscreen.operators import market as mk
 from barscreen.operators import pivots as pv
@@ -19,7 +21,7 @@ from barscreen.operators import sequence as sq
 from barscreen.operators import structure as st
 from barscreen.operators import volatility as vt
 from barscreen.operators import volume as vl
-from barscreen.schema import ratio
+from barscreen.schema import alone, ratio
 
 IDENTITY = ("security_key", "requested_ticker", "date")
 VOLUME_HOURLY = ("vol_pct_slot_60", "vol_pct_slot_20", "vol_z_slot_60")
@@ -85,26 +87,9 @@ def hourly_features(
     `bars` and `daily` are split-adjusted; pass the as-traded ones as well where they differ.
     `rows`, the number of `bars`, keeps the tasks of large tables small.
     """
-    bars, daily = by_security(bars, rows), by_security(daily, rows)
-    # First all that is read in bar order, then all that is read in slot order, then what needs
-    # both: each change of order is a local sort.
-    own = pg.net_moves(vt.geometry(vt.hourly_ranges(bars)), hourly=True)
-    own = own.withColumn("_pc", F.lag("close").over(bar_order()))
-    own = pg.volume_history(vt.spread_percentile(vl.hourly_volume(own)), hourly=True)
-    own = sq.sequence_features(own, **sequence_limits)
-    wanted = [
-        "daily_atr", "pos", *st.LEVELS, *[f"set_{a}" for a in lv.ANCHORS],
-        *[f"touch_{a}" for a in lv.ANCHORS], "pivot_high", "pivot_low", "node",
-    ]
-    # Betas join the session table (one row a session), so the wide bars are joined once.
-    context = (
-        session_context(daily, bars)
-        .select("security_key", "date", *wanted)
-        .join(mk.beta_by_session(daily, market_daily).drop("paired"), ["security_key", "date"], "left")
-    )
-    out = mk.market_features(
-        own.join(context, ["security_key", "date"], "left"), market_hourly, hourly=True
-    )
+    used = dict.fromkeys((*IDENTITY, "slot_index", "timestamp_utc", "is_half_day", "low_quality", *PRICES, *[c for c in keep if c in bars.columns]))
+    both = by_security(hr.with_sessions(bars.select(*used), daily), rows)
+    out = _measured(both, market_hourly, market_daily, sequence_limits)
     if raw_bars is None:
         out = st.level_distances(out)
     else:
@@ -112,10 +97,27 @@ def hourly_features(
         out = st.level_distances(
             out.join(_raw_columns(raw_bars, raw_daily, keys), keys, "left"), "raw_close", "raw_atr"
         )
-    out = lv.nearest_level(pv.pivot_distances(out))
-    return out.select(
-        *IDENTITY, "slot_index", "timestamp_utc", "is_half_day", "low_quality", *HOURLY, *keep
-    )
+    return _assembled(out, keep)
+
+
+def hourly_features_of(
+    both: DataFrame, market_hourly: DataFrame, market_daily: DataFrame, keep: tuple[str, ...] = (), **sequence_limits
+) -> DataFrame:
+    """`hourly_features` of bars with their sessions (`hr.with_sessions`) that lie at their security."""
+    return _assembled(st.level_distances(_measured(both, market_hourly, market_daily, sequence_limits)), keep)
+
+
+def _assembled(out: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    out = lv.nearest_level(pv.pivot_distances(out.withColumn("security_key", alone("security_key"))))
+    return out.select(*IDENTITY, "slot_index", "timestamp_utc", "is_half_day", "low_quality", *HOURLY, *keep)
+
+
+def _measured(both: DataFrame, market_hourly: DataFrame, market_daily: DataFrame, limits: dict) -> DataFrame:
+    own = hr.with_hourly_measures(both, market_daily, **limits)
+    own = own.withColumn("spread_atr", ratio(F.col("true_range"), F.col("atr20_bar")))
+    own = sq.failed_extremes(pg.moves_and_effort(vt.geometry(own), hourly=True))
+    own = own.withColumn("efficiency", F.when(tr.measurable(F.col("is_half_day")), F.col("efficiency")))
+    return mk.market_features(own, market_hourly, hourly=True)
 
 
 def daily_features(
@@ -138,7 +140,7 @@ def daily_features(
         used = dict.fromkeys((*IDENTITY, "timestamp_utc", "is_half_day", "low_quality", *PRICES, *[c for c in keep if c in bars.columns]))
         own = dl.with_daily_measures(by_security(bars.select(*used), rows), market_daily)
         own = vt.geometry(own.withColumn("spread_atr", ratio(F.col("true_range"), F.col("atr20_day"))))
-        own = pg.moves_and_effort(own).withColumn("daily_atr", F.col("atr20_day"))
+        own = pg.moves_and_effort(own, hourly=False).withColumn("daily_atr", F.col("atr20_day"))
     else:
         own = _resumed(by_security(bars, rows), market_daily, carried)
     out = mk.market_features(own, market_daily, hourly=False)

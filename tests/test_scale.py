@@ -16,6 +16,7 @@ from barscreen.operators import universe as un
 from barscreen.plans import adapters as ad
 from barscreen.plans import features as ft
 from barscreen.plans.catalog import base as b
+from barscreen.plans.catalog import features as cf
 from barscreen.plans.catalog import sources as cso
 from barscreen.plans.catalog import study as cst
 from barscreen.plans.catalog import universe as cu
@@ -272,3 +273,16 @@ def test_many_doubles_are_rounded_apart(spark):
     found = [r.v3 for r in many.orderBy("i").collect()]
     assert found == [0.007813, -0.007813, 2.5, 1e300, 0.0, 123456.789013, None, float("inf")]
     assert "transform(array(i" in many._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_slot_features_move_slots_once(spark):
+    """A traded slot is moved when it is made up and once to its security: no bar of the grid, no
+    session and no feature is moved after that, and nothing is written between."""
+    hundred = "/root/testdata/sf0.01"
+    slots = ad.trades(spark, hundred, "supplier", "month").select("security_key", "date", "slot_index").distinct().count()
+    found = {}
+    moved = shuffled_rows(spark, lambda: found.update(n=cf.supplier_features(spark, hundred).select(F.sum(F.hash("*"))).collect()))
+    trades = spark.read.parquet(f"{hundred}/lineitem.parquet").count()
+    assert slots < trades and moved < 2.2 * trades
+    plan = cf.supplier_features(spark, hundred)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter, (security_key" not in plan and "LogicalRDD" not in plan
