@@ -117,6 +117,7 @@ def _measured(both: DataFrame, market_hourly: DataFrame, market_daily: DataFrame
     own = own.withColumn("spread_atr", ratio(F.col("true_range"), F.col("atr20_bar")))
     own = sq.failed_extremes(pg.moves_and_effort(vt.geometry(own), hourly=True))
     own = own.withColumn("efficiency", F.when(tr.measurable(F.col("is_half_day")), F.col("efficiency")))
+    own = own.withColumn("security_key", alone("security_key"))
     return mk.market_features(own, market_hourly, hourly=True)
 
 
@@ -141,6 +142,7 @@ def daily_features(
         own = dl.with_daily_measures(by_security(bars.select(*used), rows), market_daily)
         own = vt.geometry(own.withColumn("spread_atr", ratio(F.col("true_range"), F.col("atr20_day"))))
         own = pg.moves_and_effort(own, hourly=False).withColumn("daily_atr", F.col("atr20_day"))
+        own = own.withColumn("security_key", alone("security_key"))
     else:
         own = _resumed(by_security(bars, rows), market_daily, carried)
     out = mk.market_features(own, market_daily, hourly=False)
