@@ -142,7 +142,6 @@ def daily_features(
         own = dl.with_daily_measures(by_security(bars.select(*used), rows), market_daily)
         own = vt.geometry(own.withColumn("spread_atr", ratio(F.col("true_range"), F.col("atr20_day"))))
         own = pg.moves_and_effort(own, hourly=False).withColumn("daily_atr", F.col("atr20_day"))
-        own = own.withColumn("security_key", alone("security_key"))
     else:
         own = _resumed(by_security(bars, rows), market_daily, carried)
     out = mk.market_features(own, market_daily, hourly=False)
